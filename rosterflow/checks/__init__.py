@@ -1,0 +1 @@
+"""Queries over the generated test tables and their plain-SQL counterparts."""

@@ -7,7 +7,9 @@ the physical layout.
 from __future__ import annotations
 
 from functools import reduce
+from itertools import accumulate
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,11 +31,10 @@ def number_rows(df: DataFrame, order: list, name: str, start: int = 0) -> DataFr
     placed = stage(df.orderBy(*order).withColumn(_SLOT, F.monotonically_increasing_id()), "numbered")
     part = F.shiftright(F.col(_SLOT), 33)
     sizes = sorted(placed.groupBy(part.alias("p")).count().collect())
-    bases, at = [], start
-    for p, rows in sizes:
-        bases.append((p, at))
-        at += rows
-    offsets = spark.createDataFrame(bases, "_part long, _base long")
+    bases = list(accumulate((rows for _, rows in sizes), initial=start))[: len(sizes)]
+    offsets = spark.createDataFrame(
+        pa.table({"_part": pa.array([p for p, _ in sizes], pa.int64()), "_base": pa.array(bases, pa.int64())})
+    )
     place = F.col(_SLOT).bitwiseAND(F.lit((1 << 33) - 1))
     return (
         placed.withColumn("_part", part)
@@ -73,12 +74,13 @@ def dense_ids(
     ``nulls``: "own" gives null an id like any value, "drop" leaves it out, "zero" gives it the
     id before the first one (0 when numbering from 1, -1 when numbering from 0).
     """
-    kept = df if nulls == "own" else df.where(F.col(value).isNotNull())
-    dim = number_rows(first_positions(kept, [value], order), order, name, start).select(value, name)
-    if nulls == "zero":
-        none = df.where(F.col(value).isNull()).select(value).distinct()
-        dim = dim.unionByName(none.withColumn(name, F.lit(start - 1).cast("long")))
-    return dim
+    is_null = F.col(value).isNull()
+    firsts = first_positions(df.where(~is_null) if nulls == "drop" else df, [value], order)
+    if nulls != "zero":
+        return number_rows(firsts, order, name, start).select(value, name)
+    # null sorts last and takes no number from the others
+    dim = number_rows(firsts, [is_null, *order], name, start)
+    return dim.select(value, F.when(is_null, F.lit(start - 1)).otherwise(F.col(name)).cast("long").alias(name))
 
 
 def row_ids(df: DataFrame, columns: list[str], order: list[str], name: str, start: int = 0) -> DataFrame:

@@ -148,7 +148,7 @@ def assemble_star(
     school = academy_plan.academy_tables(academy, academy_order)
     roster = stage(school["trainees"], "trainees")
     talent, trainees = linked_records(
-        stage(merged, "merged"), people["applicants"], roster, applicant_order
+        stage(merged, "merged"), applicants, roster, applicant_order
     )
     talent = stage(talent, "talent-final")
     trainees = stage(trainees, "trainees-linked")

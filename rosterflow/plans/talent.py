@@ -10,6 +10,7 @@ from rosterflow.operators.joins import attach_ids, outer_link
 from rosterflow.operators.merge import collapse_first
 from rosterflow.operators.numbering import dense_ids
 from rosterflow.operators.reshape import dim_and_junction, explode_array, explode_map
+from rosterflow.session import stage
 
 INTERVIEW = ["name", "self_development", "financial_support_self", "result", "course_interest", "geo_flex"]
 ASSESSMENT = ["psychometrics", "presentation", "date", "academy"]
@@ -67,7 +68,7 @@ def talent_tables(interviews: DataFrame, reports: DataFrame) -> tuple[DataFrame,
     The positions in ``ORDER`` stay with the talent rows.
     """
     left, right = _sides(interviews, reports)
-    linked = _placed(outer_link(left, right, "person_id"))
+    linked = stage(_placed(outer_link(left, right, "person_id")), "talent-pairs")
     dim = academy_ids(linked)
     return _typed(linked, dim), dim.select("academy_location_id", F.col("academy").alias("location_name"))
 

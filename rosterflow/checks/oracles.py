@@ -396,7 +396,7 @@ ORACLES: dict[str, str] = {
           SELECT l_returnflag, 'analytic' AS trait, 1 AS week, l_quantity AS v FROM lineitem UNION ALL
           SELECT l_returnflag, 'studious', 2, l_quantity FROM lineitem WHERE l_linenumber <> 2 UNION ALL
           SELECT l_returnflag, 'imaginative', 2, CAST(l_linenumber AS DOUBLE) FROM lineitem) GROUP BY ALL""",
-    "pivot_events": """SELECT user_id, strftime(CAST(ts AS DATE), '%Y-%m-%d') AS day,
+    "pivot_traits": """SELECT user_id, strftime(CAST(ts AS DATE), '%Y-%m-%d') AS day,
           round(avg(value) FILTER (WHERE event_type = 'click'), 4) AS click,
           round(avg(value) FILTER (WHERE event_type = 'error'), 4) AS error,
           round(avg(value) FILTER (WHERE event_type = 'purchase'), 4) AS purchase,

@@ -20,8 +20,7 @@ from rosterflow.operators.linking import apply_links, link_forward
 from rosterflow.operators.merge import collapse_first, fill_previous_date
 from rosterflow.operators.reshape import (
     TRAITS,
-    dim_and_junction,
-    explode_array,
+    explode_dim,
     explode_map,
     pivot_traits,
     union_by_name,
@@ -42,7 +41,7 @@ QUERIES: dict = {}
 
 
 def query(f):
-    QUERIES[f.__name__] = f
+    QUERIES[f.__name__.strip("_")] = f
     return f
 
 
@@ -289,8 +288,7 @@ def first_by_sort(spark, sf):
 def explode_array_junction(spark, sf):
     """Words of all documents as list values: dimension, and its junction summed per value."""
     docs = table(spark, sf, "documents").select("doc_id", F.split("text", " ").alias("words"))
-    long = explode_array(docs, ["doc_id"], "words", "strength")
-    dim, junction = dim_and_junction(long, "doc_id", "strength", ["doc_id", "_at"], "strength_id")
+    dim, junction = explode_dim(docs, "doc_id", "doc_id", "words", "strength", "strength_id")
     per_value = junction.groupBy("strength_id").agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.countDistinct("doc_id").alias("n_docs"),
@@ -308,8 +306,7 @@ def explode_map_junction(spark, sf):
             F.create_map("event_type", F.expr("CASE WHEN event_id % 4 = 0 THEN NULL ELSE CAST(event_id % 10 AS INT) END")),
         ).alias("scores"),
     )
-    long = explode_map(events, ["event_id"], "scores", "tech_name", "score")
-    dim, junction = dim_and_junction(long, "event_id", "tech_name", ["event_id", "_at"], "tech_id", ("score",))
+    dim, junction = explode_dim(events, "event_id", "event_id", "scores", "tech_name", "tech_id", "score")
     return junction.join(dim, "tech_id").select("event_id", "tech_id", "tech_name", "score")
 
 
@@ -330,7 +327,7 @@ def unpivot_measures(spark, sf):
 
 
 @query
-def pivot_events(spark, sf):
+def pivot_traits_(spark, sf):
     names = ("click", "error", "purchase", "signup", "view")
     events = table(spark, sf, "events").select(
         null_if("user_id % 10 = 0", "user_id").alias("user_id"), F.to_date("ts").alias("day"), "event_type", "value"
@@ -360,10 +357,6 @@ def _interviews(spark, sf):
     return stage(roles.interviews(spark, sf), "interviews")
 
 
-def _reports(spark, sf):
-    return stage(roles.reports(spark, sf), "reports")
-
-
 @query
 def collapse_first_non_null(spark, sf):
     events = table(spark, sf, "events").select(
@@ -379,14 +372,14 @@ def collapse_first_non_null(spark, sf):
 @query
 def outer_link(spark, sf):
     """Interviews and assessments by person id; ids missing on a side stay apart."""
-    left = roles.interviews(spark, sf).select("person_id", "json_key")
+    left = _interviews(spark, sf).select("person_id", "json_key")
     right = roles.reports(spark, sf).select(F.col("assessment_id").alias("person_id"), F.col("src_row").alias("report_key"))
     return J.outer_link(left, right, "person_id")
 
 
 @query
 def name_join(spark, sf):
-    results, _ = assessment_plan.interview_results(_interviews(spark, sf), _reports(spark, sf))
+    results, _ = assessment_plan.interview_results(_interviews(spark, sf), roles.reports(spark, sf))
     return results.select(
         "json_key",
         "name",
@@ -405,7 +398,7 @@ def name_join(spark, sf):
 
 @query
 def tech_by_name(spark, sf):
-    scores, languages = assessment_plan.tech_by_assessment(_interviews(spark, sf), _reports(spark, sf))
+    scores, languages = assessment_plan.tech_by_assessment(_interviews(spark, sf), roles.reports(spark, sf))
     return scores.join(languages, "language_id").groupBy("applicationid", "language_id", "language").agg(
         F.count(F.lit(1)).alias("n_rows"), F.sum("score").alias("sum_score")
     )
@@ -678,14 +671,14 @@ def _flags_as_text(df: DataFrame) -> DataFrame:
 
 @query
 def talent_table(spark, sf):
-    talent, academies = talent_plan.talent_tables(_interviews(spark, sf), _reports(spark, sf))
+    talent, academies = talent_plan.talent_tables(_interviews(spark, sf), roles.reports(spark, sf))
     named = talent.join(academies, "academy_location_id", "left")
     return _flags_as_text(named).drop(*talent_plan.ORDER)
 
 
 @query
 def talent_merged(spark, sf):
-    talent, _ = talent_plan.merged_talent(_interviews(spark, sf), _reports(spark, sf))
+    talent, _ = talent_plan.merged_talent(_interviews(spark, sf), roles.reports(spark, sf))
     return _flags_as_text(talent)
 
 
@@ -721,7 +714,7 @@ def behaviour_table(spark, sf):
 
 
 def _linked(spark, sf):
-    talent, _ = talent_plan.merged_talent(_interviews(spark, sf), _reports(spark, sf))
+    talent, _ = talent_plan.merged_talent(_interviews(spark, sf), roles.reports(spark, sf))
     people, _ = academy_plan.trainees(roles.academy(spark, sf))
     return linked_plan.linked_records(
         stage(talent, "merged"), roles.applicants(spark, sf), stage(people, "trainees"), applicant_plan.ORDER
@@ -746,7 +739,7 @@ def star_load(spark, sf):
     tables = star_plan.assemble_star(
         stage(roles.applicants(spark, sf), "applicants"),
         _interviews(spark, sf),
-        _reports(spark, sf),
+        roles.reports(spark, sf),
         stage(roles.academy(spark, sf), "academy"),
         applicant_plan.ORDER,
         POSITION,

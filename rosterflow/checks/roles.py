@@ -14,6 +14,7 @@ from rosterflow.functions.dates import compact_date
 from rosterflow.functions.text import TRAINER_CORRECTIONS, behaviour_key, correct_values, person_id
 from rosterflow.operators.merge import fill_previous_date
 from rosterflow.operators.reshape import TRAITS
+from rosterflow.session import stage
 from rosterflow.sources.reports import parse_person
 
 
@@ -99,7 +100,8 @@ def report_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reports(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parse_person(report_lines(spark, sf_dir)).where(F.col("reject_reason").isNull())
+    parsed = stage(parse_person(report_lines(spark, sf_dir)), "reports")
+    return parsed.where(F.col("reject_reason").isNull())
 
 
 def academy(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,9 +28,9 @@ def link_forward(
     chooses the earliest right row, an undated one last; "exclude" - null matches nothing.
 
     Left rows equal in keys and date make the same choice, and right rows equal in keys and date
-    compete only by position. Both sides are therefore first reduced to one row per keys and
-    date (map-side combined), which bounds the rows per key by the number of calendar days
-    however many people share a name. One window over that finds all choices; no pairs are
+    compete only by position. Both sides are therefore first reduced together to one row per
+    keys and date (map-side combined), which bounds the rows per key by the number of calendar
+    days however many people share a name. One window over that finds all choices; no pairs are
     emitted.
     """
     if null_rule not in _NULL_RULES:
@@ -38,35 +38,36 @@ def link_forward(
     for side in (left, right):
         if side.schema[date].dataType.simpleString() != "date":
             raise TypeError(f"{date} must be a date column")
-    known = " AND ".join(f"`{k}` IS NOT NULL" for k in keys)
-    left = left.where(known)
+    choosers = left.select(*keys, date, F.col(left_pos).alias("_lpos"), F.col(value).alias("_value"))
     if null_rule != "left_wild":
-        left = left.where(F.col(date).isNotNull())
-    choosers = left.groupBy(*keys, date).agg(
-        F.max(left_pos).alias("_lpos"), F.max_by(value, left_pos).alias("_value")
+        choosers = choosers.where(F.col(date).isNotNull())
+    candidates = right.select(*keys, date, F.col(right_pos).alias("_rpos"))
+    known = " AND ".join(f"`{k}` IS NOT NULL" for k in keys)
+    days = (
+        choosers.unionByName(candidates, allowMissingColumns=True)
+        .where(known)
+        .groupBy(*keys, date)
+        .agg(
+            F.max("_lpos").alias("_lpos"),
+            F.max_by("_value", "_lpos").alias("_value"),
+            F.min("_rpos").alias("_rpos"),
+        )
     )
-    candidates = right.where(known).groupBy(*keys, date).agg(F.min(right_pos).alias("_rpos"))
-    both = candidates.unionByName(choosers, allowMissingColumns=True)
 
-    # latest first; undated candidates lead, undated choosers trail; candidates before choosers
-    is_left = F.col("_rpos").isNull()
-    order = Window.partitionBy(*keys).orderBy(
-        F.when(F.col(date).isNotNull(), 1).when(is_left, 2).otherwise(0),
-        F.col(date).desc(),
-        is_left,
-    )
-    seen = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    dated = F.last(F.when(F.col(date).isNotNull(), F.col("_rpos")), ignorenulls=True).over(seen)
-    undated = F.last(F.when(F.col(date).isNull(), F.col("_rpos")), ignorenulls=True).over(seen)
+    # from the latest day back, so the last candidate seen is the nearest one; a day without
+    # date stands first when it is everyone's fallback, last when it may take any day
+    dated = F.when(F.col(date).isNotNull(), F.col("_rpos"))
+    undated = F.when(F.col(date).isNull(), F.col("_rpos"))
+    latest = F.col(date).desc_nulls_first() if null_rule == "right_wild" else F.col(date).desc_nulls_last()
+    seen = Window.partitionBy(*keys).orderBy(latest).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    choice = F.last(dated, ignorenulls=True).over(seen)
     if null_rule == "right_wild":
-        choice = F.coalesce(dated, undated)
+        choice = F.coalesce(choice, F.last(undated, ignorenulls=True).over(seen))
     elif null_rule == "left_wild":
-        choice = F.coalesce(dated, F.when(F.col(date).isNull(), undated))
-    else:
-        choice = dated
+        choice = F.coalesce(choice, undated)
     return (
-        both.withColumn("_choice", choice)
-        .where(is_left & F.col("_choice").isNotNull())
+        days.withColumn("_choice", choice)
+        .where(F.col("_lpos").isNotNull() & F.col("_choice").isNotNull())
         .groupBy(F.col("_choice").alias(right_pos))
         .agg(F.max_by("_value", "_lpos").alias(value))
     )

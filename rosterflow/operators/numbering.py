@@ -6,7 +6,6 @@ the physical layout.
 
 from __future__ import annotations
 
-from functools import reduce
 from itertools import accumulate
 
 import pyarrow as pa
@@ -43,22 +42,24 @@ def number_rows(df: DataFrame, order: list, name: str, start: int = 0) -> DataFr
     )
 
 
-def first_positions(df: DataFrame, values: list[str], order: list[str]) -> DataFrame:
+def first_positions(df: DataFrame, values: list[str], order: list[str], unique: bool = False) -> DataFrame:
     """Each distinct value with the smallest position it occurs at.
 
     Map-side combined, so a value that fills a third of the rows leaves one row per task. With
-    a composite position the last part is reduced first by hash aggregation; only the remaining
-    few rows are compared as structs.
+    a composite position the last part is reduced first by hash aggregation, unless ``unique``
+    says that no value occurs twice under the leading parts; only the remaining rows are
+    compared by the whole position. Positions are not null.
     """
     *outer, inner = order
-    best = df.groupBy(*values, *outer).agg(F.min(inner).alias(inner))
-    if outer:
-        best = (
-            best.groupBy(*values)
-            .agg(F.min(F.struct(*order)).alias("_first"))
-            .select(*values, *[F.col(f"_first.{c}").alias(c) for c in order])
-        )
-    return best
+    if not outer:
+        return df.groupBy(*values).agg(F.min(inner).alias(inner))
+    if not unique:
+        df = df.groupBy(*values, *outer).agg(F.min(inner).alias(inner))
+    if len(outer) == 1:
+        # hash aggregation when both parts are numbers
+        return df.groupBy(*values).agg(F.min(outer[0]).alias(outer[0]), F.min_by(inner, outer[0]).alias(inner))
+    first = df.groupBy(*values).agg(F.min(F.struct(*order)).alias("_first"))
+    return first.select(*values, *[F.col(f"_first.{c}").alias(c) for c in order])
 
 
 def dense_ids(
@@ -68,6 +69,7 @@ def dense_ids(
     name: str,
     start: int = 1,
     nulls: str = "own",
+    unique: bool = False,
 ) -> DataFrame:
     """Dimension (value, id), numbered by first appearance.
 
@@ -75,7 +77,7 @@ def dense_ids(
     id before the first one (0 when numbering from 1, -1 when numbering from 0).
     """
     is_null = F.col(value).isNull()
-    firsts = first_positions(df.where(~is_null) if nulls == "drop" else df, [value], order)
+    firsts = first_positions(df.where(~is_null) if nulls == "drop" else df, [value], order, unique)
     if nulls != "zero":
         return number_rows(firsts, order, name, start).select(value, name)
     # null sorts last and takes no number from the others
@@ -119,7 +121,7 @@ def carry_forward(
 ) -> DataFrame:
     """Add ``name`` = last non-null ``value`` strictly before the row within ``parts``.
 
-    ``order`` is an integer, unique within ``parts``. Rows are cut into blocks of ``width``
+    ``parts`` are not null; ``order`` is an integer, unique within them. Rows are cut into blocks of ``width``
     positions, so one task sorts at most ``width`` rows of a group however large the group is;
     the value carried into each block comes from a table with one row per block.
     """
@@ -139,10 +141,9 @@ def carry_forward(
         _rows_before(Window.partitionBy(*parts, "_block").orderBy(order))
     )
     near = df.withColumn("_block", block).withColumn("_near", inside)
-    # partitions are small when the blocks are few, so Spark may broadcast them by itself
-    same = reduce(lambda a, b: a & b, [near[c].eqNullSafe(blocks[c]) for c in [*parts, "_block"]])
-    return near.join(blocks, same, "left").select(
-        *[near[c] for c in df.columns], F.coalesce("_near", "_carried").alias(name)
+    # plain equality: the join then reuses the partitioning and order of the window
+    return near.join(blocks, [*parts, "_block"], "left").select(
+        *df.columns, F.coalesce("_near", "_carried").alias(name)
     )
 
 

@@ -25,13 +25,24 @@ def explode_map(df: DataFrame, keys: list[str], column: str, name: str, value: s
     return df.select(*keys, F.posexplode(column).alias("_at", name, value)).where(F.col(value).isNotNull())
 
 
-def dim_and_junction(
-    long: DataFrame, key: str, value: str, order: list[str], id_name: str, extra: tuple[str, ...] = ()
+def explode_dim(
+    df: DataFrame, key: str, order: str, column: str, value: str, id_name: str, score: str | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """Dimension (id, value) numbered from 0 by first appearance, and junction (key, id, ...)."""
-    long = long.where(F.col(key).isNotNull())
-    dim = dense_ids(long, value, order, id_name, start=0, nulls="drop")
-    junction = lookup(long, dim, [value], "left").select(key, id_name, *extra)
+    """Dimension (id, value) numbered from 0 by first appearance, and junction (key, id[, score]).
+
+    ``column`` is an array, or a map when ``score`` names its values. Rows follow ``order``
+    (unique), elements their place. The dimension needs only the first of equal elements in a
+    row, so they are reduced inside the row, before any shuffle; the junction keeps them all.
+    """
+    keys = list(dict.fromkeys([key, order]))
+    df = df.where(F.col(key).isNotNull())
+    if score:
+        long = firsts = explode_map(df, keys, column, value, score)
+    else:
+        long = explode_array(df, keys, column, value)
+        firsts = explode_array(df.withColumn(column, F.array_distinct(column)), keys, column, value)
+    dim = dense_ids(firsts, value, [order, "_at"], id_name, start=0, nulls="drop", unique=True)
+    junction = lookup(long, dim, [value], "left").select(key, id_name, *([score] if score else []))
     return dim.select(id_name, value), junction
 
 

@@ -9,7 +9,7 @@ from rosterflow.functions.text import pass_fail, yes_no
 from rosterflow.operators.joins import attach_ids, outer_link
 from rosterflow.operators.merge import collapse_first
 from rosterflow.operators.numbering import dense_ids
-from rosterflow.operators.reshape import dim_and_junction, explode_array, explode_map
+from rosterflow.operators.reshape import explode_dim
 from rosterflow.session import stage
 
 INTERVIEW = ["name", "self_development", "financial_support_self", "result", "course_interest", "geo_flex"]
@@ -121,11 +121,9 @@ def merged_talent(interviews: DataFrame, reports: DataFrame) -> tuple[DataFrame,
 
 def strength_tables(interviews: DataFrame, column: str, value: str, id_name: str) -> tuple[DataFrame, DataFrame]:
     """(dimension, junction) of a list column, numbered from 0 in listed order."""
-    long = explode_array(interviews, ["json_key", "key_text"], column, value)
-    return dim_and_junction(long, "json_key", value, ["key_text", "_at"], id_name)
+    return explode_dim(interviews, "json_key", "key_text", column, value, id_name)
 
 
 def tech_tables(interviews: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(languages, scores), languages numbered from 0 in listed order."""
-    long = explode_map(interviews, ["json_key", "key_text"], "tech_self_score", "tech_name", "score")
-    return dim_and_junction(long, "json_key", "tech_name", ["key_text", "_at"], "tech_id", ("score",))
+    return explode_dim(interviews, "json_key", "key_text", "tech_self_score", "tech_name", "tech_id", "score")

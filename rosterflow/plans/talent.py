@@ -68,7 +68,7 @@ def talent_tables(interviews: DataFrame, reports: DataFrame) -> tuple[DataFrame,
     The positions in ``ORDER`` stay with the talent rows.
     """
     left, right = _sides(interviews, reports)
-    linked = stage(_placed(outer_link(left, right, "person_id")), "talent-pairs")
+    linked = stage(_placed(outer_link(left.dropDuplicates(), right, "person_id")), "talent-pairs")
     dim = academy_ids(linked)
     return _typed(linked, dim), dim.select("academy_location_id", F.col("academy").alias("location_name"))
 

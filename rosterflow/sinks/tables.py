@@ -11,7 +11,15 @@ _LOG = "_versions"
 
 
 def export_csv(df: DataFrame, folder: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(folder)
+    """One CSV folder; values keep their blanks, quotes inside values are doubled."""
+    (
+        df.write.mode("overwrite")
+        .option("header", True)
+        .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(folder)
+    )
 
 
 def export_json(df: DataFrame, folder: str) -> None:

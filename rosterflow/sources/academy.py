@@ -11,7 +11,7 @@ from rosterflow.functions.paths import academy_course, academy_date
 from rosterflow.functions.text import TRAINER_CORRECTIONS, behaviour_key, correct_values
 from rosterflow.operators.reshape import TRAITS, union_by_name
 from rosterflow.session import stage
-from rosterflow.sources.files import file_reader, list_files, with_file_position
+from rosterflow.sources.files import csv_reader, file_reader, list_files, with_file_position, without_missing
 from rosterflow.sources.schemas import ACADEMY_FIXED
 
 # a heading line names both fixed columns as whole fields
@@ -48,12 +48,12 @@ def scan_academy(spark: SparkSession, raw_dir: str, since=None) -> DataFrame:
         names = [n.strip().strip('"').lower() for n in header.lstrip("﻿").split(",")]
         schema = ", ".join(f"`{n}` {'string' if n in ACADEMY_FIXED else 'double'}" for n in names)
         frames.append(
-            with_file_position(spark.read.schema(schema).option("header", True).csv([unquote(p) for p in paths]))
+            with_file_position(csv_reader(spark.read, schema).csv([unquote(p) for p in paths]))
         )
     if not frames:
         empty = ", ".join([*(f"{n} string" for n in ACADEMY_FIXED), *(f"{t}_w1 double" for t in TRAITS)])
         return spark.createDataFrame([], f"{empty}, src_file string, src_block long, src_row long")
-    return union_by_name(frames)
+    return without_missing(union_by_name(frames), list(ACADEMY_FIXED))
 
 
 def clean_academy(scanned: DataFrame) -> DataFrame:

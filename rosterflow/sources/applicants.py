@@ -5,30 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterflow.functions.dates import invite_date, strict_dmy
+from rosterflow.functions.dates import invite_date, parse_dmy
 from rosterflow.functions.paths import source_path
 from rosterflow.functions.text import clean_phone, person_id
 from rosterflow.operators.merge import fill_previous_date
-from rosterflow.sources.files import file_reader
+from rosterflow.sources.files import csv_reader, file_reader, without_missing
 from rosterflow.sources.schemas import APPLICANT_CSV
 
 
 def scan_applicants(spark: SparkSession, raw_dir: str, since=None) -> DataFrame:
     """Raw rows of all files, with ``src_file``; ``id`` is the row number in its file."""
-    return (
-        file_reader(spark, ".csv", since)
-        .schema(APPLICANT_CSV)
-        .option("header", True)
-        .csv(f"{raw_dir}/Talent")
-        .select("*", source_path().alias("src_file"))
-    )
+    scanned = csv_reader(file_reader(spark, ".csv", since), APPLICANT_CSV).csv(f"{raw_dir}/Talent")
+    return without_missing(scanned.select("*", source_path().alias("src_file")), scanned.columns[1:])
 
 
 def clean_applicants(raw: DataFrame) -> DataFrame:
-    """Cleaned rows with ``applicant_id``; (src_file, id) stays as their position."""
+    """Cleaned rows with ``applicant_id``; (src_file, id) stays as their position.
+
+    Rows with a value the cleaning cannot use are kept and flagged, not a reason to stop.
+    """
     cleaned = (
         raw.withColumn("phone_number", clean_phone(F.col("phone_number")))
-        .withColumn("dob", strict_dmy(F.col("dob")))
+        .withColumn("birth", parse_dmy(F.col("dob")))
         .withColumn("invited_on", invite_date(F.col("invited_date"), F.col("month")))
     )
     filled = fill_previous_date(cleaned, ["src_file"], "id", "invited_on")
@@ -38,7 +36,7 @@ def clean_applicants(raw: DataFrame) -> DataFrame:
         person_id(F.col("iddate"), F.col("name")).alias("applicant_id"),
         "name",
         "gender",
-        "dob",
+        F.col("birth").alias("dob"),
         "email",
         "city",
         "address",
@@ -51,6 +49,7 @@ def clean_applicants(raw: DataFrame) -> DataFrame:
         "iddate",
         "date_missing",
         (F.col("invited_date").isNull() & F.col("month").isNotNull()).alias("day_missing"),
+        (F.col("birth").isNull() & F.col("dob").isNotNull()).alias("dob_unreadable"),
     )
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 from rosterflow.functions.paths import source_path
+from rosterflow.sources.schemas import MISSING
 
 
 def file_reader(spark: SparkSession, suffix: str, since: datetime | str | None = None) -> DataFrameReader:
@@ -28,6 +29,16 @@ def file_reader(spark: SparkSession, suffix: str, since: datetime | str | None =
     return reader
 
 
+def csv_reader(reader: DataFrameReader, schema: str) -> DataFrameReader:
+    """CSV with a heading line; a quote inside a quoted value is doubled, a backslash is a letter."""
+    return reader.schema(schema).option("header", True).option("escape", '"')
+
+
+def without_missing(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Texts that stand for a missing value become null."""
+    return df.withColumns({c: F.when(~F.col(c).isin(*MISSING), F.col(c)) for c in columns})
+
+
 def with_file_position(df: DataFrame) -> DataFrame:
     """Add src_file, src_block, src_row; use directly on a scan.
 
@@ -57,7 +68,7 @@ def list_files(spark: SparkSession, folder: str, suffix: str = "", since: dateti
 
 
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    return spark.read.schema(schema).option("header", True).csv(path)
+    return csv_reader(spark.read, schema).csv(path)
 
 
 def read_json(spark: SparkSession, path: str, schema: str) -> DataFrame:

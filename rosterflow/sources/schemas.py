@@ -24,3 +24,26 @@ TALENT_JSON = T.StructType(
     ]
 )
 ACADEMY_FIXED = ("name", "trainer")
+
+# CSV texts that stand for a missing value.
+MISSING = (
+    "",
+    "#N/A",
+    "#N/A N/A",
+    "#NA",
+    "-1.#IND",
+    "-1.#QNAN",
+    "-NaN",
+    "-nan",
+    "1.#IND",
+    "1.#QNAN",
+    "<NA>",
+    "N/A",
+    "NA",
+    "NULL",
+    "NaN",
+    "None",
+    "n/a",
+    "nan",
+    "null",
+)

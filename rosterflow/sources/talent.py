@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rosterflow.functions.dates import compact_date, parse_dmy, repair_slashes
 from rosterflow.functions.paths import json_key, json_key_text, source_path
-from rosterflow.functions.text import person_id
+from rosterflow.functions.text import person_id, yes_no
 from rosterflow.operators.reshape import explode_array, explode_map
 from rosterflow.session import stage
 from rosterflow.sources.files import file_reader
@@ -46,14 +46,15 @@ def read_talent_json(spark: SparkSession, raw_dir: str, since=None) -> tuple[Dat
     return records, rejects
 
 
+FLAGS = ("self_development", "geo_flex", "financial_support_self")
 NESTED = ("tech_self_score", "strengths", "weaknesses")
 
 
 def shred_talent(records: DataFrame) -> dict[str, DataFrame]:
-    """Core columns, language scores, strengths and weaknesses, each with ``json_key``."""
+    """Core columns with flags as booleans, language scores, strengths and weaknesses, by ``json_key``."""
     keys = ["json_key", "key_text"]
     return {
-        "core": records.drop(*NESTED),
+        "core": records.drop(*NESTED).withColumns({c: yes_no(F.col(c)) for c in FLAGS}),
         "tech": explode_map(records, keys, "tech_self_score", "language", "score"),
         "strengths": explode_array(records, keys, "strengths", "strength"),
         "weaknesses": explode_array(records, keys, "weaknesses", "weakness"),

@@ -9,6 +9,7 @@ from rosterflow.functions.paths import source_path
 from rosterflow.plans.applicants import continue_applicants
 from rosterflow.session import stage
 from rosterflow.sources.applicants import clean_applicants
+from rosterflow.sources.files import csv_reader, without_missing
 from rosterflow.sources.schemas import APPLICANT_CSV
 
 STORED = {
@@ -23,14 +24,9 @@ def run_applicant_updates(spark: SparkSession, raw_dir: str, target: str, checkp
     Each micro-batch writes its own ``batch_id`` folder and continues the ids of earlier batches
     only, so a batch that is run again after a failure overwrites its own rows with the same ids.
     """
-    files = (
-        spark.readStream.schema(APPLICANT_CSV)
-        .option("header", True)
-        .option("pathGlobFilter", "*.csv")
-        .option("recursiveFileLookup", True)
-        .csv(f"{raw_dir}/Talent")
-        .select("*", source_path().alias("src_file"))
-    )
+    reader = spark.readStream.option("pathGlobFilter", "*.csv").option("recursiveFileLookup", True)
+    scanned = csv_reader(reader, APPLICANT_CSV).csv(f"{raw_dir}/Talent")
+    files = without_missing(scanned.select("*", source_path().alias("src_file")), scanned.columns[1:])
 
     def store(batch: DataFrame, batch_id: int) -> None:
         applicants = stage(clean_applicants(batch), "applicants-batch")

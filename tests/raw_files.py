@@ -7,11 +7,11 @@ APPLICANTS = {
     "April2019.csv": """id,name,gender,dob,email,city,address,postcode,phone_number,uni,degree,invited_date,month,invited_by
 1,Ada O'Test,Female,04/08/1994,ada@example.com,Town,1 Road,AA1 1AA,+44 (718) 555 0101,Uni A,2:1,10.0,April 2019,Rec One
 2,Ben Demo-Case,Male,,ben@example.com,Town,2 Road,AA1 1AB,,Uni B,1st,,,Fifi Etton
-3,Cy Sample,,12/01/1995,,,,,,Uni B,3rd,,,
+3,Cy Sample,,12/01/1995,,,N/A,,,"Uni ""B"", north",3rd,,,
 4,Dee Back\\slash,Female,01/02/1990,,Town,1 Road,AA1 1AA,,,,,May 2019,Rec One
 """,
     "Sept2019.csv": """id,name,gender,dob,email,city,address,postcode,phone_number,uni,degree,invited_date,month,invited_by
-1,Eve Early,Female,04/08/1994,,,,,,,,,,Fifi Eton
+1,Eve Early,Female,1994-08-04,,,,,,,,,,Fifi Eton
 2,Ada O'Test,Female,04/08/1994,ada@example.com,Town,1 Road,AA1 1AA,,Uni A,2:1,5.0,SEPT 2019,Bruno Belbrook
 """,
 }

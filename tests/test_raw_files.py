@@ -12,10 +12,10 @@ from rosterflow.plans.applicants import applicant_tables, applicants_since
 from rosterflow.plans.assessments import interview_results, tech_by_assessment
 from rosterflow.plans.star import COLUMNS, audit_star, build_star, unlinked_trainees
 from rosterflow.plans.talent import merged_talent, talent_tables
-from rosterflow.sinks.tables import append_candidates, export_tables, read_star, write_star
+from rosterflow.sinks.tables import append_candidates, export_csv, export_tables, read_star, write_star
 from rosterflow.sources.academy import read_academy, scan_academy
 from rosterflow.sources.applicants import read_applicants
-from rosterflow.sources.files import file_reader, list_files
+from rosterflow.sources.files import file_reader, list_files, read_csv
 from rosterflow.sources.reports import read_assessment_reports
 from rosterflow.sources.talent import read_talent_json, shred_talent
 from rosterflow.session import stage
@@ -44,6 +44,9 @@ def test_applicants(spark, raw):
     }
     ada = rows["adaotest20190410"]
     assert (ada.phone_number, ada.dob, ada.invited_date) == ("+44-718-555-0101", dt.date(1994, 8, 4), dt.date(2019, 4, 10))
+    cy = rows["cysample20190400"]
+    assert (cy.uni, cy.address) == ('Uni "B", north', None)
+    assert rows["eveearly00000000"].dob is None and rows["eveearly00000000"].dob_unreadable
     assert rows["deeback\\slash20190400"].day_missing and rows["eveearly00000000"].date_missing
 
 
@@ -56,6 +59,12 @@ def test_talent_json(spark, raw):
     assert [os.path.basename(r.src_file) for r in rejects.collect()] == ["77.json"]
     parts = shred_talent(records)
     assert "strengths" not in parts["core"].columns
+    assert {r.json_key: r.self_development for r in parts["core"].collect()} == {
+        10383: True,
+        9999: None,
+        11000: None,
+        12000: None,
+    }
     assert {(r.json_key, r.language, r.score) for r in parts["tech"].collect()} == {
         (10383, "Java", 3),
         (10383, "C#", 2),
@@ -192,6 +201,9 @@ def test_write_and_refresh(spark, star, tmp_path):
     assert spark.read.parquet(f"{first}/talent").count() == 5
     with pytest.raises(ValueError):
         write_star(star, target, mode="other")
+    quoted = spark.createDataFrame([(1, ' say "hi", you ')], "a int, b string")
+    export_csv(quoted, str(tmp_path / "quoted"))
+    assert read_csv(spark, str(tmp_path / "quoted"), "a int, b string").first().b == ' say "hi", you '
     export_tables(star, str(tmp_path / "csv"), ["strengths", "tech_junction"])
     assert spark.read.option("header", True).csv(str(tmp_path / "csv" / "strengths")).columns == ["strength_id", "strength"]
 

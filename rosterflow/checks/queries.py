@@ -32,7 +32,7 @@ from rosterflow.plans import assessments as assessment_plan
 from rosterflow.plans import linked as linked_plan
 from rosterflow.plans import star as star_plan
 from rosterflow.plans import talent as talent_plan
-from rosterflow.session import checkpoint_root, stage
+from rosterflow.session import checkpoint_root, stage, together
 from rosterflow.sinks.tables import export_csv, export_json, read_star, write_star
 from rosterflow.sources.applicants import clean_applicants, scan_applicants
 from rosterflow.sources.files import POSITION, read_csv, read_json
@@ -357,6 +357,10 @@ def _interviews(spark, sf):
     return stage(roles.interviews(spark, sf), "interviews")
 
 
+def _talent_sides(spark, sf):
+    return together(lambda: _interviews(spark, sf), lambda: roles.reports(spark, sf))
+
+
 @query
 def collapse_first_non_null(spark, sf):
     events = table(spark, sf, "events").select(
@@ -379,7 +383,7 @@ def outer_link(spark, sf):
 
 @query
 def name_join(spark, sf):
-    results, _ = assessment_plan.interview_results(_interviews(spark, sf), roles.reports(spark, sf))
+    results, _ = assessment_plan.interview_results(*_talent_sides(spark, sf))
     return results.select(
         "json_key",
         "name",
@@ -398,7 +402,7 @@ def name_join(spark, sf):
 
 @query
 def tech_by_name(spark, sf):
-    scores, languages = assessment_plan.tech_by_assessment(_interviews(spark, sf), roles.reports(spark, sf))
+    scores, languages = assessment_plan.tech_by_assessment(*_talent_sides(spark, sf))
     return scores.join(languages, "language_id").groupBy("applicationid", "language_id", "language").agg(
         F.count(F.lit(1)).alias("n_rows"), F.sum("score").alias("sum_score")
     )
@@ -671,14 +675,14 @@ def _flags_as_text(df: DataFrame) -> DataFrame:
 
 @query
 def talent_table(spark, sf):
-    talent, academies = talent_plan.talent_tables(_interviews(spark, sf), roles.reports(spark, sf))
+    talent, academies = talent_plan.talent_tables(*_talent_sides(spark, sf))
     named = talent.join(academies, "academy_location_id", "left")
     return _flags_as_text(named).drop(*talent_plan.ORDER)
 
 
 @query
 def talent_merged(spark, sf):
-    talent, _ = talent_plan.merged_talent(_interviews(spark, sf), roles.reports(spark, sf))
+    talent, _ = talent_plan.merged_talent(*_talent_sides(spark, sf))
     return _flags_as_text(talent)
 
 
@@ -714,11 +718,12 @@ def behaviour_table(spark, sf):
 
 
 def _linked(spark, sf):
-    talent, _ = talent_plan.merged_talent(_interviews(spark, sf), roles.reports(spark, sf))
-    people, _ = academy_plan.trainees(roles.academy(spark, sf))
-    return linked_plan.linked_records(
-        stage(talent, "merged"), roles.applicants(spark, sf), stage(people, "trainees"), applicant_plan.ORDER
+    records, people, invited = together(
+        lambda: stage(talent_plan.merged_talent(*_talent_sides(spark, sf))[0], "merged"),
+        lambda: stage(academy_plan.trainees(roles.academy(spark, sf))[0], "trainees"),
+        lambda: stage(roles.applicants(spark, sf), "applicants"),
     )
+    return linked_plan.linked_records(records, invited, people, applicant_plan.ORDER)
 
 
 @query
@@ -736,14 +741,13 @@ def linked_trainees(spark, sf):
 @query
 def star_load(spark, sf):
     """All fifteen tables built, written, read back and counted."""
-    tables = star_plan.assemble_star(
-        stage(roles.applicants(spark, sf), "applicants"),
-        _interviews(spark, sf),
-        roles.reports(spark, sf),
-        stage(roles.academy(spark, sf), "academy"),
-        applicant_plan.ORDER,
-        POSITION,
+    sources = together(
+        lambda: stage(roles.applicants(spark, sf), "applicants"),
+        lambda: _interviews(spark, sf),
+        lambda: roles.reports(spark, sf),
+        lambda: stage(roles.academy(spark, sf), "academy"),
     )
+    tables = star_plan.assemble_star(*sources, applicant_plan.ORDER, POSITION)
     target = _scratch(spark, "star")
     write_star(tables, target)
     return star_plan.table_counts(read_star(spark, target))

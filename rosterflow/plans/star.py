@@ -13,7 +13,7 @@ from rosterflow.plans import academy as academy_plan
 from rosterflow.plans.applicants import ORDER, applicant_tables
 from rosterflow.plans.linked import linked_records
 from rosterflow.plans.talent import merged_talent, strength_tables, tech_tables
-from rosterflow.session import stage
+from rosterflow.session import stage, together
 from rosterflow.sources.academy import read_academy
 from rosterflow.sources.applicants import read_applicants
 from rosterflow.sources.files import POSITION
@@ -143,30 +143,34 @@ def assemble_star(
     skip: int = 0,
 ) -> dict[str, DataFrame]:
     """All tables from cleaned, staged sources; ``skip`` leaves out the first keyless talent."""
-    people = applicant_tables(applicants, applicant_order)
-    merged, academies = merged_talent(interviews, reports)
-    school = academy_plan.academy_tables(academy, academy_order)
-    roster = stage(school["trainees"], "trainees")
-    talent, trainees = linked_records(
-        stage(merged, "merged"), applicants, roster, applicant_order
+    def merged() -> tuple[DataFrame, DataFrame]:
+        records, locations = merged_talent(interviews, reports)
+        return stage(records, "merged"), locations
+
+    def schooled() -> tuple[dict[str, DataFrame], DataFrame]:
+        tables = academy_plan.academy_tables(academy, academy_order)
+        return tables, stage(tables["trainees"], "trainees")
+
+    people, (records, academies), (school, roster), strength, weakness, tech = together(
+        lambda: applicant_tables(applicants, applicant_order),
+        merged,
+        schooled,
+        lambda: strength_tables(interviews, "strengths", "strength", "strength_id"),
+        lambda: strength_tables(interviews, "weaknesses", "weakness", "weakness_id"),
+        lambda: tech_tables(interviews),
     )
-    talent = stage(talent, "talent-final")
-    trainees = stage(trainees, "trainees-linked")
-
-    # records with a file are stored first, then those that get a key here
-    keyed = synthetic_keys(
-        talent.withColumn("no_file", F.col("json_key").isNull().cast("int")), "json_key", ["applicant_id"], skip=skip
+    talent, trainees = linked_records(records, applicants, roster, applicant_order)
+    talent, trainees = together(
+        lambda: stage(talent, "talent-final"), lambda: stage(trainees, "trainees-linked")
+    )
+    (strengths, strength_pairs), (weaknesses, weakness_pairs), (languages, scores) = strength, weakness, tech
+    stored, marks, strength_kept, weakness_kept, scores_kept = together(
+        lambda: _stored_talent(talent, skip),
+        lambda: _stored_marks(school["behaviours"], trainees),
+        lambda: keep_members(strength_pairs, talent, "json_key"),
+        lambda: keep_members(weakness_pairs, talent, "json_key"),
+        lambda: keep_members(scores, talent, "json_key"),
     )
-    stored = number_rows(keyed, ["no_file", "applicant_id"], "talent_id", 1)
-
-    strengths, strength_pairs = strength_tables(interviews, "strengths", "strength", "strength_id")
-    weaknesses, weakness_pairs = strength_tables(interviews, "weaknesses", "weakness", "weakness_id")
-    languages, scores = tech_tables(interviews)
-
-    marks = surrogate_join(school["behaviours"], trainees, "behaviour_id", "trainee_id")
-    marks = marks.drop("name").withColumnRenamed("week", "week_number")
-    # a name can stand in two files of one date; their marks sort after trainee and week
-    marks = number_rows(marks, ["trainee_id", "week_number", *TRAITS], "behaviour_id", 1)
 
     tables = {
         **people,
@@ -175,9 +179,9 @@ def assemble_star(
         "strengths": strengths,
         "weaknesses": weaknesses,
         "tech_self_scores": languages,
-        "strengths_junction": keep_members(strength_pairs, talent, "json_key"),
-        "weaknesses_junction": keep_members(weakness_pairs, talent, "json_key"),
-        "tech_junction": keep_members(scores, talent, "json_key"),
+        "strengths_junction": strength_kept,
+        "weaknesses_junction": weakness_kept,
+        "tech_junction": scores_kept,
         "courses": school["courses"],
         "trainers": school["trainers"],
         # the load stores trainees without their date
@@ -187,12 +191,31 @@ def assemble_star(
     return {name: tables[name].select(*columns) for name, columns in COLUMNS.items()}
 
 
+def _stored_talent(talent: DataFrame, skip: int) -> DataFrame:
+    """Records with a file are stored first, then those that get a key here."""
+    flagged = talent.withColumn("no_file", F.col("json_key").isNull().cast("int"))
+    keyed = synthetic_keys(flagged, "json_key", ["applicant_id"], skip=skip)
+    return number_rows(keyed, ["no_file", "applicant_id"], "talent_id", 1)
+
+
+def _stored_marks(behaviours: DataFrame, trainees: DataFrame) -> DataFrame:
+    """Marks under their trainee's id.
+
+    A name can stand in two files of one date, so the order goes on to the marks themselves.
+    """
+    marks = surrogate_join(behaviours, trainees, "behaviour_id", "trainee_id")
+    marks = marks.drop("name").withColumnRenamed("week", "week_number")
+    return number_rows(marks, ["trainee_id", "week_number", *TRAITS], "behaviour_id", 1)
+
+
 def build_star(spark: SparkSession, raw_dir: str, skip: int = 0) -> dict[str, DataFrame]:
     """Full refresh from the raw files. Each source is read once and staged."""
-    interviews, _ = read_talent_json(spark, raw_dir)
-    reports, _ = read_assessment_reports(spark, raw_dir)
-    applicants = stage(read_applicants(spark, raw_dir), "applicants")
-    academy = read_academy(spark, raw_dir)
+    (interviews, _), (reports, _), applicants, academy = together(
+        lambda: read_talent_json(spark, raw_dir),
+        lambda: read_assessment_reports(spark, raw_dir),
+        lambda: stage(read_applicants(spark, raw_dir), "applicants"),
+        lambda: read_academy(spark, raw_dir),
+    )
     return assemble_star(applicants, interviews, reports, academy, skip=skip)
 
 

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -45,3 +48,13 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = f"{checkpoint_root(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def together(*tasks: Callable) -> list:
+    """Results of independent tasks whose Spark jobs may run at the same time.
+
+    Keeps executors busy while one job waits for its last tasks. Job groups are inherited.
+    """
+    with ThreadPoolExecutor(len(tasks)) as pool:
+        futures = [pool.submit(inheritable_thread_target(task)) for task in tasks]
+        return [f.result() for f in futures]

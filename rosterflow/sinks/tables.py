@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import uuid
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rosterflow.session import together
+
 _LOG = "_versions"
 
 
@@ -41,11 +44,11 @@ def append_candidates(df: DataFrame, target: str) -> None:
 
 
 def write_star(tables: dict[str, DataFrame], target: str, mode: str = "refresh") -> str:
-    """Write all tables, parents first; return the folder written to.
+    """Write all tables; return the folder written to.
 
     "refresh" writes a new version and then logs it, so readers see the old version until all
     tables are complete and no path is overwritten while it is read. "append" adds rows to the
-    current version.
+    current version, parents first.
     """
     spark = next(iter(tables.values())).sparkSession
     if mode == "append":
@@ -57,13 +60,16 @@ def write_star(tables: dict[str, DataFrame], target: str, mode: str = "refresh")
         raise ValueError("mode must be refresh or append")
     version = f"v-{uuid.uuid4().hex}"
     folder = f"{target}/{version}"
-    for name, df in tables.items():
-        df.write.parquet(f"{folder}/{name}")
+    together(*(partial(_write, df, f"{folder}/{name}") for name, df in tables.items()))
     log = spark.range(1).select(F.lit(version).alias("version"), F.current_timestamp().alias("written_at"))
     log.coalesce(1).write.mode("append").parquet(f"{target}/{_LOG}")
     return folder
 
 
+def _write(df: DataFrame, folder: str) -> None:
+    df.write.parquet(folder)
+
+
 def current_version(spark: SparkSession, target: str) -> str:
     log = spark.read.schema("version string, written_at timestamp").parquet(f"{target}/{_LOG}")
     return f"{target}/{log.agg(F.max_by('version', 'written_at')).first()[0]}"

@@ -484,6 +484,16 @@ ORACLES: dict[str, str] = {
             {_iso('d - INTERVAL 9000 DAY')} AS dob, '+44-' || nk || '-555-' || k AS phone_number,
             {_iso('d')} AS invited_date, pr AS invited_by FROM base""",
     ),
+    "academy_files": _with(
+        ["mark"],
+        """SELECT name, trainer, count(*) FILTER (WHERE i = 0 AND week = 1) * 2 AS n_rows,
+           CAST(sum(2 * value) FILTER (WHERE i = 0 AND week = 1) AS BIGINT) AS analytic_w1,
+           CAST(sum(value) FILTER (WHERE i = 0 AND week = 2) AS BIGINT) AS analytic_w2,
+           CAST(sum(2 * value) FILTER (WHERE i = 2 AND week = 1) AS BIGINT) AS imaginative_w1,
+           CAST(sum(value) FILTER (WHERE i = 2 AND week = 2) AS BIGINT) AS imaginative_w2
+           FROM mark GROUP BY name, trainer""",
+    ),
+    "file_listing": "SELECT DISTINCT c_nationkey FROM customer",
     "incremental_since": _with(
         ["base"],
         """, r AS (SELECT k, d, 'Rec ' || strftime(d, '%Y-%m') AS rec, name, pr, place, seg FROM base),

@@ -34,8 +34,9 @@ from rosterflow.plans import star as star_plan
 from rosterflow.plans import talent as talent_plan
 from rosterflow.session import checkpoint_root, stage, together
 from rosterflow.sinks.tables import export_csv, export_json, read_star, write_star
+from rosterflow.sources.academy import scan_academy
 from rosterflow.sources.applicants import clean_applicants, scan_applicants
-from rosterflow.sources.files import POSITION, read_csv, read_json
+from rosterflow.sources.files import POSITION, list_files, read_csv, read_json
 
 QUERIES: dict = {}
 
@@ -610,6 +611,32 @@ def applicant_files(spark, sf):
     )
 
 
+@query
+def academy_files(spark, sf):
+    """Marks written as CSV files with two different headings, scanned and united by name."""
+    root = _scratch(spark, "raw")
+    marks = stage(roles.academy(spark, sf).drop(*POSITION, "course_name", "date", "behaviour_id"), "marks")
+    first = X.prefixed_columns(marks, tuple(f"{t}_w1" for t in TRAITS))
+    export_csv(marks.select("name", "trainer", *first), f"{root}/Academy/one")
+    export_csv(marks.select(*reversed(marks.columns)), f"{root}/Academy/two")
+    scanned = scan_academy(spark, root)
+    return scanned.groupBy("name", "trainer").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        *[F.sum(c).cast("long").alias(c) for c in X.prefixed_columns(marks, ("analytic_", "imaginative_"))],
+    )
+
+
+@query
+def file_listing(spark, sf):
+    """Files of an export by folder: each nation's customers stand in a folder of their own."""
+    folder = _scratch(spark, "listed")
+    table(spark, sf, "customer").select("c_custkey", "c_nationkey").write.partitionBy("c_nationkey").csv(folder)
+    paths = list_files(spark, folder, ".csv").where("length > 0")
+    return paths.select(
+        F.regexp_extract("path", r"c_nationkey=(\d+)/", 1).cast("int").alias("c_nationkey")
+    ).distinct()
+
+
 @query
 def incremental_since(spark, sf):
     """Recruiters and places of later invitations, with ids counting on from the stored ones."""

@@ -45,7 +45,7 @@ def scan_academy(spark: SparkSession, raw_dir: str, since=None) -> DataFrame:
         raise ValueError("some academy files have no heading line with name and trainer, or several")
     frames = []
     for header, paths in headers:
-        names = [n.strip().strip('"').lower() for n in header.lstrip("﻿").split(",")]
+        names = [n.strip().strip('"').lower() for n in header.lstrip("\ufeff").split(",")]
         schema = ", ".join(f"`{n}` {'string' if n in ACADEMY_FIXED else 'double'}" for n in names)
         frames.append(
             with_file_position(csv_reader(spark.read, schema).csv([unquote(p) for p in paths]))

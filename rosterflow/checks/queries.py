@@ -272,7 +272,7 @@ def synthetic_keys(spark, sf):
 @query
 def skip_rows(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
-    return N.skip_rows(orders, [F.asc_nulls_last("o_totalprice"), F.col("o_orderkey")], 2).select("o_orderkey")
+    return N.skip_rows(orders, ["o_totalprice", "o_orderkey"], 2).select("o_orderkey")
 
 
 @query
@@ -359,7 +359,7 @@ def _interviews(spark, sf):
 
 
 def _talent_sides(spark, sf):
-    return together(lambda: _interviews(spark, sf), lambda: roles.reports(spark, sf))
+    return together(spark, lambda: _interviews(spark, sf), lambda: roles.reports(spark, sf))
 
 
 @query
@@ -676,7 +676,7 @@ def incremental_since(spark, sf):
 
 @query
 def applicant_tables(spark, sf):
-    rows = roles.applicants(spark, sf)
+    rows = stage(roles.applicants(spark, sf), "applicants")
     linked, recruiters = applicant_plan.recruit(rows)
     return linked.join(recruiters, "recruiter_id").select(
         "id", "applicant_id", "name", _iso("invited_date"), "recruiter_id", "recruiter_name"
@@ -746,6 +746,7 @@ def behaviour_table(spark, sf):
 
 def _linked(spark, sf):
     records, people, invited = together(
+        spark,
         lambda: stage(talent_plan.merged_talent(*_talent_sides(spark, sf))[0], "merged"),
         lambda: stage(academy_plan.trainees(roles.academy(spark, sf))[0], "trainees"),
         lambda: stage(roles.applicants(spark, sf), "applicants"),
@@ -769,6 +770,7 @@ def linked_trainees(spark, sf):
 def star_load(spark, sf):
     """All fifteen tables built, written, read back and counted."""
     sources = together(
+        spark,
         lambda: stage(roles.applicants(spark, sf), "applicants"),
         lambda: _interviews(spark, sf),
         lambda: roles.reports(spark, sf),

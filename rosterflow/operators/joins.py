@@ -50,20 +50,21 @@ def lookup(
     a whole hot key. Pass a staged ``right``: it is read once more for the measurement.
     """
     if fits_broadcast(right):
-        return _equi(left, F.broadcast(right), on, how, null_safe)
+        return equi_join(left, F.broadcast(right), on, how, null_safe)
     hot = hot_keys(left, on)
     if hot is None:
-        return _equi(left, right, on, how, null_safe)
+        return equi_join(left, right, on, how, null_safe)
     hot = F.broadcast(hot)
-    hot_right = _equi(right, hot, on, "left_semi", True).dropDuplicates(on)
-    hot_left = _equi(left, hot, on, "left_semi", True)
-    cold_left = _equi(left, hot, on, "left_anti", True)
-    return _equi(hot_left, F.broadcast(hot_right), on, how, null_safe).unionByName(
-        _equi(cold_left, right, on, how, null_safe)
+    hot_right = equi_join(right, hot, on, "left_semi", True).dropDuplicates(on)
+    hot_left = equi_join(left, hot, on, "left_semi", True)
+    cold_left = equi_join(left, hot, on, "left_anti", True)
+    return equi_join(hot_left, F.broadcast(hot_right), on, how, null_safe).unionByName(
+        equi_join(cold_left, right, on, how, null_safe)
     )
 
 
-def _equi(left: DataFrame, right: DataFrame, on: list[str], how: str, null_safe: bool) -> DataFrame:
+def equi_join(left: DataFrame, right: DataFrame, on: list[str], how: str, null_safe: bool) -> DataFrame:
+    """Join by columns of the same name, which are kept once; with ``null_safe`` null equals null."""
     if not null_safe:
         return left.join(right, on, how).select(*_output(left, right, on, how))
     renamed = right.withColumnsRenamed({c: f"_r_{c}" for c in on})

@@ -143,6 +143,8 @@ def assemble_star(
     skip: int = 0,
 ) -> dict[str, DataFrame]:
     """All tables from cleaned, staged sources; ``skip`` leaves out the first keyless talent."""
+    spark = applicants.sparkSession
+
     def merged() -> tuple[DataFrame, DataFrame]:
         records, locations = merged_talent(interviews, reports)
         return stage(records, "merged"), locations
@@ -152,6 +154,7 @@ def assemble_star(
         return tables, stage(tables["trainees"], "trainees")
 
     people, (records, academies), (school, roster), strength, weakness, tech = together(
+        spark,
         lambda: applicant_tables(applicants, applicant_order),
         merged,
         schooled,
@@ -161,10 +164,11 @@ def assemble_star(
     )
     talent, trainees = linked_records(records, applicants, roster, applicant_order)
     talent, trainees = together(
-        lambda: stage(talent, "talent-final"), lambda: stage(trainees, "trainees-linked")
+        spark, lambda: stage(talent, "talent-final"), lambda: stage(trainees, "trainees-linked")
     )
     (strengths, strength_pairs), (weaknesses, weakness_pairs), (languages, scores) = strength, weakness, tech
     stored, marks, strength_kept, weakness_kept, scores_kept = together(
+        spark,
         lambda: _stored_talent(talent, skip),
         lambda: _stored_marks(school["behaviours"], trainees),
         lambda: keep_members(strength_pairs, talent, "json_key"),
@@ -211,6 +215,7 @@ def _stored_marks(behaviours: DataFrame, trainees: DataFrame) -> DataFrame:
 def build_star(spark: SparkSession, raw_dir: str, skip: int = 0) -> dict[str, DataFrame]:
     """Full refresh from the raw files. Each source is read once and staged."""
     (interviews, _), (reports, _), applicants, academy = together(
+        spark,
         lambda: read_talent_json(spark, raw_dir),
         lambda: read_assessment_reports(spark, raw_dir),
         lambda: stage(read_applicants(spark, raw_dir), "applicants"),

@@ -50,11 +50,11 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def together(*tasks: Callable) -> list:
+def together(spark: SparkSession, *tasks: Callable) -> list:
     """Results of independent tasks whose Spark jobs may run at the same time.
 
     Keeps executors busy while one job waits for its last tasks. Job groups are inherited.
     """
     with ThreadPoolExecutor(len(tasks)) as pool:
-        futures = [pool.submit(inheritable_thread_target(task)) for task in tasks]
+        futures = [pool.submit(inheritable_thread_target(spark)(task)) for task in tasks]
         return [f.result() for f in futures]

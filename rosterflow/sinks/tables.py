@@ -60,7 +60,7 @@ def write_star(tables: dict[str, DataFrame], target: str, mode: str = "refresh")
         raise ValueError("mode must be refresh or append")
     version = f"v-{uuid.uuid4().hex}"
     folder = f"{target}/{version}"
-    together(*(partial(_write, df, f"{folder}/{name}") for name, df in tables.items()))
+    together(spark, *(partial(_write, df, f"{folder}/{name}") for name, df in tables.items()))
     log = spark.range(1).select(F.lit(version).alias("version"), F.current_timestamp().alias("written_at"))
     log.coalesce(1).write.mode("append").parquet(f"{target}/{_LOG}")
     return folder

@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from rosterflow.operators import numbering
 from rosterflow.operators.linking import apply_links, link_forward
 from rosterflow.operators.merge import collapse_first, fill_previous_date
 from rosterflow.operators.numbering import carry_forward, dense_ids, number_rows, row_ids, skip_rows, synthetic_keys
@@ -136,11 +137,18 @@ def test_null_rules_of_dense_ids(spark, start, nulls, null_id):
     assert got == expected
 
 
-def test_row_ids_and_skip(spark):
+def test_row_ids(spark):
     df = spark.createDataFrame([(3, "x", None), (1, "y", "z"), (2, "x", None)], "p int, a string, b string")
     got = {(r.a, r.b): r.n for r in row_ids(df, ["a", "b"], ["p"], "n").collect()}
     assert got == {("y", "z"): 0, ("x", None): 1}
-    assert {r.p for r in skip_rows(df, ["p"], 1).collect()} == {2, 3}
+
+
+@pytest.mark.parametrize("top", [0, 10_000])
+def test_skip_rows_by_anti_join_or_number(spark, monkeypatch, top):
+    monkeypatch.setattr(numbering, "MAX_TOP_ROWS", top)
+    df = spark.createDataFrame([(1, None), (2, "b"), (3, "a"), (4, None), (5, "b")], "p int, a string")
+    for n, left in ((0, {1, 2, 3, 4, 5}), (2, {1, 4, 5}), (4, {4}), (9, set())):
+        assert {r.p for r in skip_rows(df, ["a", "p"], n).collect()} == left
 
 
 def test_synthetic_keys(spark):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from rosterflow.plans import star
+
 _PUNCT = "' !\"#$%&''()*+,-./:;<=>?@[]^_`{|}~'"
 
 
@@ -320,6 +322,61 @@ def _star() -> str:
     return _with(needed, select)
 
 
+# the fifteen tables with the columns the rules look at
+_TABLES = {
+    "recruiters": "SELECT recruiter_id, invited_by AS recruiter_name FROM recruiter",
+    "applicants": """SELECT applicant_id, recruiter_id FROM app JOIN recruiter
+        ON app.invited_by IS NOT DISTINCT FROM recruiter.invited_by""",
+    "academy_locations": "SELECT academy_location_id FROM acad",
+    "talent": """SELECT row_number() OVER (ORDER BY json_key IS NULL, applicant_id) AS talent_id, applicant_id,
+        academy_location_id, coalesce(json_key, 999999999 + row_number() OVER
+        (PARTITION BY json_key IS NULL ORDER BY applicant_id)) AS json_key FROM final""",
+    "strengths": "SELECT strength_id, value AS strength FROM strength",
+    "weaknesses": "SELECT row_number() OVER () AS weakness_id, value AS weakness FROM (SELECT DISTINCT value FROM weakness_long)",
+    "tech_self_scores": "SELECT tech_id, tech_name FROM tech",
+    "strengths_junction": """SELECT json_key, strength_id FROM strength_long JOIN strength USING (value)
+        WHERE json_key IN (SELECT json_key FROM final)""",
+    "weaknesses_junction": "SELECT json_key FROM weakness_long WHERE json_key IN (SELECT json_key FROM final)",
+    "tech_junction": """SELECT json_key, tech_id, score FROM tech_long JOIN tech USING (tech_name)
+        WHERE json_key IN (SELECT json_key FROM final)""",
+    "location": "SELECT location_id, applicant_id FROM place",
+    "courses": "SELECT DISTINCT course_id, course_name FROM academy",
+    "trainers": "SELECT trainer_id, trainer FROM trainer",
+    "trainees": """SELECT trainee_id, json_key, trainer_id, course_id FROM followed JOIN trainer
+        ON followed.trainer IS NOT DISTINCT FROM trainer.trainer""",
+    "behaviours": """SELECT row_number() OVER () AS behaviour_id, f.trainee_id, b.week AS week_number
+        FROM behaviour b JOIN followed f ON f.behaviour_id = b.behaviour_id""",
+}
+
+
+def _audit() -> str:
+    rows = []
+
+    def rule(table: str, name: str, column: str, count: str) -> None:
+        rows.append(f"SELECT '{table}' AS table_name, '{name}' AS rule, '{column}' AS column_name, ({count}) AS violations")
+
+    def repeated(table: str, column: str) -> str:
+        return f"SELECT count(*) FROM (SELECT 1 FROM t_{table} WHERE {column} IS NOT NULL GROUP BY {column} HAVING count(*) > 1)"
+
+    for table, column in star.PRIMARY_KEYS.items():
+        rule(table, "pk_not_null", column, f"SELECT count(*) FROM t_{table} WHERE {column} IS NULL")
+        rule(table, "pk_unique", column, repeated(table, column))
+    for table, column in star.UNIQUE:
+        rule(table, "unique", column, repeated(table, column))
+    for child, fk, parent, pk in star.FOREIGN_KEYS:
+        exists = f"EXISTS (SELECT 1 FROM t_{parent} p WHERE p.{pk} = c.{fk})"
+        rule(child, "fk", fk, f"SELECT count(*) FROM t_{child} c WHERE {fk} IS NOT NULL AND NOT {exists}")
+    for table, columns in star.NOT_NULL.items():
+        for column in columns:
+            rule(table, "not_null", column, f"SELECT count(*) FROM t_{table} WHERE {column} IS NULL")
+    for table, limits in star.LENGTHS.items():
+        for column, limit in limits.items():
+            rule(table, "length", column, f"SELECT count(*) FROM t_{table} WHERE length({column}) > {limit}")
+    needed = ["recruiter", "acad", "final", "strength", "weakness_long", "tech", "place", "trainer", "followed", "behaviour"]
+    tables = ",\n".join(f"t_{name} AS ({body})" for name, body in _TABLES.items())
+    return _with(needed, "").rstrip() + ",\n" + tables + "\n" + "\nUNION ALL ".join(rows)
+
+
 ORACLES: dict[str, str] = {
     "phone_clean": """SELECT c_custkey, replace(replace(replace('+44 (' || c_nationkey || ') 555 ' || c_custkey,
         '(', ''), ')', ''), ' ', '-') AS phone_number FROM customer""",
@@ -535,4 +592,5 @@ ORACLES: dict[str, str] = {
     "linked_talent": _with(["final"], f"SELECT {_RECORD} FROM final"),
     "linked_trainees": _with(["followed"], "SELECT trainee_id, name, course_name, json_key FROM followed"),
     "star_load": _star(),
+    "star_audit": _audit(),
 }

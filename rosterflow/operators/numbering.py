@@ -130,7 +130,8 @@ def carry_forward(
 
     ``parts`` are not null; ``order`` is an integer, unique within them. Rows are cut into blocks of ``width``
     positions, so one task sorts at most ``width`` rows of a group however large the group is;
-    the value carried into each block comes from a table with one row per block.
+    the value carried into each block comes from a table with one row per block, of which one
+    task sees at most the range of ``order`` divided by ``width`` (row numbers are dense).
     """
     block = F.floor(F.col(order) / F.lit(width)).alias("_block")
     blocks = (

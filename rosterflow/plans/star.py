@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -226,9 +228,12 @@ def build_star(spark: SparkSession, raw_dir: str, skip: int = 0) -> dict[str, Da
 
 def audit_star(tables: dict[str, DataFrame]) -> DataFrame:
     """Violations per rule (table_name, rule, column_name, violations); expected to be zero."""
+    spark = tables["talent"].sparkSession
     parts = [A.key_audit(tables[t], t, pk) for t, pk in PRIMARY_KEYS.items()]
     parts += [A.unique_audit(tables[t], t, c) for t, c in UNIQUE]
-    parts += [A.orphan_audit(tables[c], c, fk, tables[p], pk) for c, fk, p, pk in FOREIGN_KEYS]
+    parts += together(
+        spark, *(partial(A.orphan_audit, tables[c], c, fk, tables[p], pk) for c, fk, p, pk in FOREIGN_KEYS)
+    )
     parts += [A.not_null_audit(tables[t], t, cols) for t, cols in NOT_NULL.items()]
     parts += [A.length_audit(tables[t], t, limits) for t, limits in LENGTHS.items()]
     return A.union_audits(parts)

@@ -18,20 +18,27 @@ from rosterflow.sources.schemas import ACADEMY_FIXED
 _HEADER = "".join(rf"(?=(?:.*,)?\s*\"?{c}\"?\s*(?:,|$))" for c in ACADEMY_FIXED)
 
 
-def academy_headers(spark: SparkSession, raw_dir: str, since=None) -> list[tuple[str, list[str]]]:
-    """Distinct header lines with the files that have them (one short entry per file).
+def academy_headers(spark: SparkSession, raw_dir: str, since=None) -> dict[str, list[str]]:
+    """Heading lines with the files that have them.
 
-    Like any file listing this is metadata; no data row leaves the executors.
+    The driver gets one short entry per file, as in any file listing; no data row leaves the
+    executors.
     """
     lines = file_reader(spark, ".csv", since).text(f"{raw_dir}/Academy")
-    return (
+    found = (
         lines.where(F.col("value").rlike(rf"(?i)^\W*{_HEADER}"))
         .select(F.trim(F.replace("value", F.lit("\r"), F.lit(""))).alias("header"), F.col("_metadata.file_path").alias("path"))
-        .groupBy("header")
-        .agg(F.sort_array(F.collect_set("path")).alias("paths"))
-        .orderBy("header")
+        .groupBy("path")
+        .agg(F.min("header").alias("header"), F.count(F.lit(1)).alias("n"))
         .collect()
     )
+    filled = list_files(spark, f"{raw_dir}/Academy", ".csv", since).where("length > 0").count()
+    if filled != len(found) or any(row.n > 1 for row in found):
+        raise ValueError("some academy files have no heading line with name and trainer, or several")
+    headers: dict[str, list[str]] = {}
+    for row in sorted(found):
+        headers.setdefault(row.header, []).append(unquote(row.path))
+    return headers
 
 
 def scan_academy(spark: SparkSession, raw_dir: str, since=None) -> DataFrame:
@@ -39,16 +46,12 @@ def scan_academy(spark: SparkSession, raw_dir: str, since=None) -> DataFrame:
 
     A single read over mixed headers would bind values by place and shift columns silently.
     """
-    headers = academy_headers(spark, raw_dir, since)
-    filled = list_files(spark, f"{raw_dir}/Academy", ".csv", since).where("length > 0").count()
-    if filled != sum(len(paths) for _, paths in headers):
-        raise ValueError("some academy files have no heading line with name and trainer, or several")
     frames = []
-    for header, paths in headers:
+    for header, paths in academy_headers(spark, raw_dir, since).items():
         names = [n.strip().strip('"').lower() for n in header.lstrip("\ufeff").split(",")]
         schema = ", ".join(f"`{n}` {'string' if n in ACADEMY_FIXED else 'double'}" for n in names)
         frames.append(
-            with_file_position(csv_reader(spark.read, schema).csv([unquote(p) for p in paths]))
+            with_file_position(csv_reader(spark.read, schema).csv(paths))
         )
     if not frames:
         empty = ", ".join([*(f"{n} string" for n in ACADEMY_FIXED), *(f"{t}_w1 double" for t in TRAITS)])

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from rosterflow.functions.text import pass_fail, yes_no
 from rosterflow.operators.joins import attach_ids, outer_link
 from rosterflow.operators.merge import collapse_first
-from rosterflow.operators.numbering import dense_ids
+from rosterflow.operators.numbering import dense_ids, first_positions
 from rosterflow.operators.reshape import explode_dim
 from rosterflow.session import stage
 
@@ -81,12 +81,11 @@ def merged_talent(interviews: DataFrame, reports: DataFrame) -> tuple[DataFrame,
     are mapped before the merge, since an unknown value counts as missing.
     """
     left, right = _sides(interviews, reports)
-    pairs_order = _placed(
-        # an academy first appears with the first interview of its person, or in its report
-        outer_link(
-            left.groupBy("person_id").agg(F.min("key_text").alias("key_text")), right, "person_id"
-        )
-    )
+    # an academy first appears with the first interview of its person, or in its report; one row
+    # per person and one per person and academy are enough to tell, so no key is hot here
+    first_interview = left.groupBy("person_id").agg(F.min("key_text").alias("key_text"))
+    first_report = first_positions(right, ["person_id", "academy"], REPORT_POSITION)
+    pairs_order = _placed(first_interview.join(first_report, "person_id", "full_outer"))
     dim = academy_ids(pairs_order)
     flagged = left.select(
         "person_id",

@@ -1,3 +1,46 @@
 """DuckDB SQL for the queries of this package that SQL can express."""
 
-ORACLES = {}
+ORACLES = {
+    "op1_mixing": r"""
+WITH docs AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+         coalesce(('0x' || md5(doc_id::VARCHAR)[1:15])::BIGINT, 0) AS hash
+  FROM documents),
+sizes AS (
+  SELECT source, sum(size)::BIGINT AS source_size,
+         [5.0, 2.0, 1.0][1 + (row_number() OVER (ORDER BY source IS NULL, source COLLATE "binary") - 1) % 3]::DOUBLE AS weight
+  FROM docs GROUP BY source),
+levels AS (SELECT *, source_size * 2.0::DOUBLE AS most, source_size * 2.0::DOUBLE / weight AS level FROM sizes),
+shares AS (
+  SELECT *, (sum(source_size) OVER () * 1.5::DOUBLE - coalesce(sum(most) OVER below, 0))
+            / (sum(weight) OVER () - coalesce(sum(weight) OVER below, 0)) AS share
+  FROM levels WINDOW below AS (ORDER BY level, source IS NULL, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+targets AS (
+  SELECT source, source_size, least(most, coalesce(weight * max(share) FILTER (share <= level) OVER (), most)) AS target
+  FROM shares),
+passes AS (
+  SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS repeats FROM targets),
+summed AS (
+  SELECT source, hash, sum(size) AS words, sum(sum(size)) OVER (PARTITION BY source ORDER BY hash) AS upto
+  FROM docs GROUP BY source, hash),
+edges AS (
+  SELECT p.source, p.source_size, target, repeats, hash AS last, 2 * (target - repeats * p.source_size - upto + words) >= words AS closed
+  FROM passes p JOIN summed s ON p.source IS NOT DISTINCT FROM s.source
+  QUALIFY row_number() OVER (PARTITION BY p.source ORDER BY upto < target - repeats * p.source_size,
+      CASE WHEN upto < target - repeats * p.source_size THEN -hash ELSE hash END) = 1)
+SELECT doc_id, size, source_size, target,
+       (size * (repeats + CASE WHEN repeats < 2 AND (hash < last OR hash = last AND closed) THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM docs d JOIN edges e ON d.source IS NOT DISTINCT FROM e.source
+""",
+    "op4_exact_dedup": r"""
+SELECT doc_id,
+       first_value(doc_id) OVER (PARTITION BY content ORDER BY points DESC, doc_id) AS keep_id,
+       count(*) OVER (PARTITION BY content) AS group_size,
+       row_number() OVER (PARTITION BY content ORDER BY points DESC, doc_id) = 1 AS kept,
+       sha256(content) AS text_sha256
+FROM (
+  SELECT doc_id, length(coalesce(text, '')) AS points,
+         regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS content
+  FROM documents)
+""",
+}

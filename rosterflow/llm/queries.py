@@ -3,14 +3,30 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from rosterflow.llm import packing
+from rosterflow.llm import exact_dedup, mixing, packing, simhash
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(documents(spark, sf_dir), [5, 2, 1], 1.5)
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_duplicates(documents(spark, sf_dir)).drop("at")
+
+
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(documents(spark, sf_dir))
+    digits = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
+    return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -18,5 +34,8 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_mixing": op1_mixing,
+    "op4_exact_dedup": op4_exact_dedup,
+    "op6_simhash": op6_simhash,
     "op7_packing": op7_packing,
 }

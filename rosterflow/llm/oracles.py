@@ -42,5 +42,22 @@ FROM (
   SELECT doc_id, length(coalesce(text, '')) AS points,
          regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS content
   FROM documents)
+""",
+    "op5_chat_formatting": r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+  UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'),
+pieces AS (
+  SELECT *, length('<|im_start|>' || url_encode(role) || chr(10) || regexp_replace(text, '<(\\*)[|]', '<\1\\|', 'g') || '<|im_end|>' || chr(10)) AS chars
+  FROM turns),
+heads AS (SELECT *, sum(chars) OVER (PARTITION BY conv_id ORDER BY turn, role, text ROWS UNBOUNDED PRECEDING) AS upto FROM pieces)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       coalesce(sum(upto - 1) FILTER (role = 'assistant'), 0)::BIGINT AS formatted_chars,
+       count(*) FILTER (role = 'assistant') AS n_examples
+FROM heads GROUP BY conv_id
 """,
 }

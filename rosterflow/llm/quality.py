@@ -27,6 +27,11 @@ from rosterflow.llm.mixing import id_hash
 
 #: hashed words and, after them, hashed shapes and repeats
 WORDS, SHAPES = 1 << 15, 1 << 12
+#: shares of repeated neighbouring words and of repeated lines above which a feature of its own has that share
+LEVELS = (0, 0.05, 0.2)
+REPEATS = WORDS + SHAPES - 2 * len(LEVELS)
+#: what words count beside shapes and repeats, which say more about form
+WORD_WEIGHT = 0.4
 #: labelled rows that a fit may use, the least hashes of their ids
 MOST_LABELLED = 3000
 #: features that a fit may use, the most frequent ones, each in at least LEAST_DOCS labelled documents
@@ -51,7 +56,7 @@ def _slots(word: str) -> tuple[int, int]:
     if found is None:
         letters = "".join(_WORD.findall(word.lower()))
         own = crc32(letters.encode("utf-8", "replace")) % WORDS
-        found = own, WORDS + crc32(_shape(word).encode("utf-8", "replace")) % (SHAPES - 2)
+        found = own, WORDS + crc32(_shape(word).encode("utf-8", "replace")) % (REPEATS - WORDS)
         if len(word) <= LONGEST:
             if len(_KNOWN) >= REMEMBERED:
                 _KNOWN.clear()
@@ -60,18 +65,19 @@ def _slots(word: str) -> tuple[int, int]:
 
 
 def features(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Feature numbers and how often each occurs among the words; both empty for a text without words."""
+    """Feature numbers and the share of each among words or lines; both empty for a text without words."""
     words = text.split()
     counts = Counter(words)
     slots = np.array([_slots(w) for w in counts], np.int64).reshape(-1, 2)
     often = np.fromiter(counts.values(), np.float64, len(counts))
     lines = text.split("\n")
     again = sum(map(operator.eq, words, islice(words, 1, None)))
-    extra = [(WORDS + SHAPES - 2, again), (WORDS + SHAPES - 1, len(lines) - len(set(lines)))]
-    numbers = np.concatenate([slots[:, 0], slots[:, 1], [n for n, c in extra if c]]).astype(np.int64)
-    weights = np.concatenate([often, often, [float(c) for _, c in extra if c]])
+    shares = (again / max(1, len(words)), 1 - len(set(lines)) / len(lines))
+    extra = [(REPEATS + i, s) for i, (s, least) in enumerate((s, x) for s in shares for x in LEVELS) if s > least]
+    numbers = np.concatenate([slots[:, 0], slots[:, 1], [n for n, _ in extra]]).astype(np.int64)
+    weights = np.concatenate([often, often]) / max(1, len(words))
     found, place = np.unique(numbers, return_inverse=True)
-    return found, np.bincount(place, weights, len(found)) / max(1, len(words))
+    return found, np.bincount(place, np.concatenate([weights, [s for _, s in extra]]), len(found))
 
 
 @dataclass
@@ -160,6 +166,7 @@ def _fitted(bags: list, labels: np.ndarray) -> Model:
     slot = np.full(WORDS + SHAPES, -1, np.int64)
     slot[kept] = np.arange(len(kept))
     weight = np.log((n + 1) / (seen[kept] + 0.5)) + 0.05
+    weight[kept < WORDS] *= WORD_WEIGHT
     x = np.zeros((n, len(kept)), np.float32)
     for i, (numbers, shares) in enumerate(bags):
         place = slot[np.asarray(numbers, np.int64)]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,3 +34,12 @@ def texts_of(batches: Iterator[pa.RecordBatch], name: str = "text") -> Iterator[
 def held_out(doc_id: Column, parts: int, part: int) -> Column:
     """True where crc32 of the id's text leaves ``part`` modulo ``parts``; false for a null id."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % parts == part, F.lit(False))
+
+
+def lists_of(table: pa.Table, name: str) -> list[np.ndarray]:
+    """The lists of a column as arrays that share one buffer."""
+    column = table.column(name).combine_chunks()
+    if isinstance(column, pa.ChunkedArray):
+        column = pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], column.type)
+    values, ends = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
+    return [values[a:b] for a, b in zip(ends, ends[1:])]

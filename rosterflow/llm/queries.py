@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterflow.llm import chat, exact_dedup, language, mixing, packing, phrases, quality, simhash
+from rosterflow.llm import chat, exact_dedup, language, mixing, packing, phrases, pseudo, quality, simhash, toxicity
 from rosterflow.llm.common import held_out
 
 
@@ -18,6 +18,19 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    counts = pseudo.count(docs)
+    return pseudo.score(docs, counts, pseudo.train(docs, counts))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), quality.train_rows())
+    out = held_out(F.col("doc_id"), 5, 0).alias("held_out")
+    return toxicity.score(docs, model).select("doc_id", out, "severity", "grade", "toxic")
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, sf_dir)).drop("at")
 
@@ -61,6 +74,8 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op2_lm_scoring": op2_lm_scoring,
+    "op3_toxicity": op3_toxicity,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_chat_formatting": op5_chat_formatting,
     "op6_simhash": op6_simhash,

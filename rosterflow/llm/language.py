@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rosterflow.llm.common import texts_of, typed
+from rosterflow.llm.common import lists_of, texts_of, typed
 from rosterflow.llm.mixing import id_hash
 
 BUCKETS = 1 << 13
@@ -124,9 +124,11 @@ def fit(docs: DataFrame, train: Column | None = None, most: int = MOST_PER_LANGU
 
     same = (rows["doc_id"] == chosen["chosen_id"]) & (rows["lang"] == chosen["chosen_lang"])
     sample = rows.join(F.broadcast(chosen), same, "left_semi").select("lang", F.col("doc_id").cast("string").alias("id"), "text")
-    found = sample.mapInArrow(run, bag).toPandas().sort_values(["lang", "id"], kind="stable")
-    found = found.drop_duplicates(["lang", "id"])
-    return _fitted(found["lang"].tolist(), list(zip(found["found"], found["shares"])))
+    found = sample.mapInArrow(run, bag).toArrow().sort_by([("lang", "ascending"), ("id", "ascending")])
+    names, ids = found.column("lang").to_pylist(), found.column("id").to_pylist()
+    bags = list(zip(lists_of(found, "found"), lists_of(found, "shares")))
+    kept = [i for i in range(len(ids)) if i == 0 or (names[i], ids[i]) != (names[i - 1], ids[i - 1])]
+    return _fitted([names[i] for i in kept], [bags[i] for i in kept])
 
 
 def _fitted(names: list[str], bags: list, steps: int = 300, rate: float = 4.0, decay: float = 1e-4) -> Model:

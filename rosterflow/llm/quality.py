@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rosterflow.llm.common import held_out, texts_of, typed
+from rosterflow.llm.common import held_out, lists_of, texts_of, typed
 from rosterflow.llm.mixing import id_hash
 
 #: hashed words and, after them, hashed shapes and repeats
@@ -154,8 +154,10 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column | None = None, most: i
             yield pa.record_batch(columns, names=bag.names)
 
     rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("doc_id", "quality", "text")
-    found = rows.mapInArrow(run, bag).toPandas().sort_values("doc_id", kind="stable").drop_duplicates("doc_id")
-    return _fitted(list(zip(found["numbers"], found["shares"])), found["quality"].to_numpy(np.float64))
+    found = rows.mapInArrow(run, bag).toArrow().sort_by("doc_id")
+    ids, bags = found.column("doc_id").to_pylist(), list(zip(lists_of(found, "numbers"), lists_of(found, "shares")))
+    kept = [i for i in range(len(ids)) if i == 0 or ids[i] != ids[i - 1]]
+    return _fitted([bags[i] for i in kept], found.column("quality").to_numpy()[kept])
 
 
 def _fitted(bags: list, labels: np.ndarray) -> Model:

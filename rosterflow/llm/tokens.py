@@ -3,44 +3,74 @@
 from __future__ import annotations
 
 import os
-from collections import ChainMap
-from itertools import chain
+import re
+import struct
 
 import numpy as np
 
-#: white space at which a text may be cut without changing its ids: the tokenizer drops it and no token spans it
-BLANKS = str.maketrans("\t\n\r", "   ")
 #: words longer than this are encoded each time and not remembered
 LONGEST = 64
+#: a word of plain Latin letters and the punctuation after it: two tokens' worth of text, whatever the case
+_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?*&%$#|]*)")
 
 _LOADED: dict[str, WordEncoder] = {}
 
 
-class WordEncoder:
-    """Encodes texts word by word and remembers the ids of at most ``most`` words.
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
 
-    For tokenizers that drop white space and never join across it; the ids equal those of the whole text. When the
-    memory is full it starts anew, so it holds at most ``most`` words or the words of one text.
+
+class WordEncoder(dict):
+    """Ids (uint32, little-endian bytes) of words; computes and remembers those of unknown words, at most ``most``.
+
+    For tokenizers that lower-case, drop white space and never join across it, nor across a change from letters to
+    punctuation: then the ids of a text are those of its words, one after another. Words that are not plain Latin
+    letters with punctuation behind them go through the whole tokenizer; for plain ones its model alone is asked.
+    When the memory is full it starts anew.
     """
 
-    def __init__(self, tokenizer_json: str, most: int = 300_000):
+    def __init__(self, tokenizer_json: str, most: int = 400_000):
+        super().__init__({"": b""})
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
-        self.most, self.known = most, {"": ()}
+        self.model = self.tokenizer.model
+        self.most, self.cores = most, {}
+        letters = [chr(c) for c in range(0x100) if _PLAIN.fullmatch(chr(c))]
+        split = self.tokenizer.pre_tokenizer.pre_tokenize_str
+        self.as_bytes = str.maketrans({c: split(c)[0][0] for c in letters})
 
     def ids(self, text: str) -> np.ndarray:
-        words, long = text.translate(BLANKS).split(" "), {}
-        new = set(words).difference(self.known)
-        if len(self.known) + len(new) > self.most:
-            self.known = {"": ()}
-            new = set(words).difference(self.known)
-        new = list(new)
-        for word, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False) if new else ()):
-            (self.known if len(word) <= LONGEST else long)[word] = tuple(found.ids)
-        known = ChainMap(self.known, long) if long else self.known
-        return np.fromiter(chain.from_iterable(map(known.__getitem__, words)), np.uint32)
+        words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+        return np.frombuffer(b"".join(map(self.__getitem__, words)), "<u4")
+
+    def __missing__(self, word: str) -> bytes:
+        plain = _PLAIN.fullmatch(word) if len(word) <= LONGEST else None
+        if plain is None:
+            ids = self._whole(word)
+        elif plain[2]:
+            ids = self._core(plain[1].lower()) + self[plain[2]]
+        else:
+            ids = self._core(word.lower())
+        if len(word) <= LONGEST:
+            if len(self) >= self.most:
+                self.clear()
+                self[""] = b""
+            self[word] = ids
+        return ids
+
+    def _whole(self, text: str) -> bytes:
+        return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def _core(self, letters: str) -> bytes:
+        ids = self.cores.get(letters)
+        if ids is None:
+            if len(self.cores) >= self.most:
+                self.cores.clear()
+            tokens = self.model.tokenize(letters.translate(self.as_bytes))
+            ids = self.cores[letters] = _packed([t.id for t in tokens])
+        return ids
 
 
 def encoder(tokenizer_json: str) -> WordEncoder:

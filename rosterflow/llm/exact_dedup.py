@@ -11,10 +11,10 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rosterflow.llm.located import located, locator, without
 from rosterflow.session import checkpoint_root, stage
 
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
@@ -35,19 +35,6 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+", "")
 
 
-def located(docs: DataFrame) -> DataFrame:
-    """``docs`` if read straight from files, else a written copy: both know each row's file and place in it."""
-    try:
-        docs.select("_metadata.row_index")
-        return docs
-    except AnalysisException:
-        return stage(docs, "dedup-input")
-
-
-def locator() -> Column:
-    return F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
-
-
 def _rank() -> Column:
     """Orders the rows of a group; the greatest stays: most code points, then smallest id, a null id last."""
     return F.struct("points", F.col("doc_id").isNotNull().alias("named"), F.bitwise_not("doc_id").alias("turned"), "at")
@@ -133,7 +120,4 @@ def exact_duplicates(
 def drop_copies(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
     docs = located(docs)
-    dropped = exact_duplicates(docs).where("NOT kept").select("at")
-    file, row = F.col("_metadata.file_path"), F.col("_metadata.row_index")
-    gone = (file == F.col("at.file")) & (row == F.col("at.row"))
-    return docs.join(dropped, gone, "left_anti")
+    return without(docs, exact_duplicates(docs).where("NOT kept").select("at"))

@@ -99,6 +99,26 @@ def thresholds(rows: DataFrame, budgets: DataFrame) -> DataFrame:
     )
 
 
+def _narrow(docs: DataFrame) -> DataFrame:
+    size = word_count(F.col("text"))
+    return docs.select("doc_id", "source", size.alias("size"), id_hash(F.col("doc_id")).alias("hash"))
+
+
+def _bounds(rows: DataFrame, weights: list[float], total: float, repeats: int) -> DataFrame:
+    """One row per source: name, repeats, last, closed, source_size and target."""
+    sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
+    budgets = stage(targets(sizes, list(weights), total, repeats), "mix-targets")
+    budgets_by_name = budgets.withColumnRenamed("source", "origin")
+    bounds = thresholds(rows, budgets).join(budgets_by_name, F.col("name").eqNullSafe(F.col("origin")))
+    return stage(bounds.drop("origin"), "mix-sources")
+
+
+def _times(repeats: int) -> Column:
+    """How often a row is taken, from its hash and its source's bounds."""
+    once_more = (F.col("hash") < F.col("last")) | ((F.col("hash") == F.col("last")) & F.col("closed"))
+    return F.col("repeats") + F.when(once_more & (F.col("repeats") < repeats), 1).otherwise(0)
+
+
 def mix(
     docs: DataFrame, weights: list[float] = (5, 2, 1), total: float = 1.5, repeats: int = MAX_REPEATS
 ) -> DataFrame:
@@ -108,15 +128,20 @@ def mix(
     with equal ids, and those without id, are taken or left together. A source of empty texts has target and taken 0.
     A null source is a source. An empty table gives no rows. Further columns are not looked at.
     """
-    size = word_count(F.col("text"))
-    rows = docs.select("doc_id", "source", size.alias("size"), id_hash(F.col("doc_id")).alias("hash"))
-    rows = stage(rows, "mix-rows")
-    sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
-    budgets = stage(targets(sizes, list(weights), total, repeats), "mix-targets")
-    bounds = thresholds(rows, budgets).join(
-        budgets.withColumnRenamed("source", "origin"), F.col("name").eqNullSafe(F.col("origin"))
-    )
-    once_more = (F.col("hash") < F.col("last")) | ((F.col("hash") == F.col("last")) & F.col("closed"))
-    times = F.col("repeats") + F.when(once_more & (F.col("repeats") < repeats), 1).otherwise(0)
-    joined = rows.join(bounds, rows["source"].eqNullSafe(bounds["name"]))
-    return joined.select("doc_id", "source", "size", "source_size", "target", (F.col("size") * times).alias("taken"))
+    rows = stage(_narrow(docs), "mix-rows")
+    joined = rows.join(_bounds(rows, weights, total, repeats), F.col("source").eqNullSafe(F.col("name")))
+    taken = (F.col("size") * _times(repeats)).alias("taken")
+    return joined.select("doc_id", "source", "size", "source_size", "target", taken)
+
+
+def mixed_rows(
+    docs: DataFrame, weights: list[float] = (5, 2, 1), total: float = 1.5, repeats: int = MAX_REPEATS
+) -> DataFrame:
+    """The rows of ``docs``, with all their columns, as often as the mix takes them. Texts are not shuffled as long as
+    the table of sources is small enough for Spark to broadcast it."""
+    bounds = _bounds(stage(_narrow(docs), "mix-rows"), weights, total, repeats)
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"))
+    rows = rows.select("doc", id_hash(F.col("doc.doc_id")).alias("hash"))
+    joined = rows.join(bounds, F.col("doc.source").eqNullSafe(F.col("name")))
+    copies = joined.select("doc", F.explode(F.array_repeat(F.lit(0), _times(repeats).cast("int"))))
+    return copies.select("doc.*")

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from rosterflow.llm.common import texts_of, typed
 from rosterflow.llm.components import smallest_reachable
+from rosterflow.llm.located import located, locator, without
 from rosterflow.session import stage
 
 SEED = 42
@@ -51,15 +52,17 @@ def _majority(hashes: np.ndarray) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """doc_id and fingerprint (long) of every row; a null text is empty."""
-    schema = T.StructType([*typed(docs, "doc_id"), T.StructField("fingerprint", T.LongType())])
+    """Every column of ``docs`` but its text, and the fingerprint (long); a null text is empty."""
+    others = [c for c in docs.columns if c != "text"]
+    schema = T.StructType([*typed(docs, *others), T.StructField("fingerprint", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in texts_of(batches):
             prints = np.array([fingerprint(t, shingle) for t in texts], np.uint64).view(np.int64)
-            yield pa.record_batch([batch.column("doc_id"), pa.array(prints)], names=["doc_id", "fingerprint"])
+            columns = [*(batch.column(c) for c in others), pa.array(prints)]
+            yield pa.record_batch(columns, names=[*others, "fingerprint"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return docs.mapInArrow(run, schema)
 
 
 def _masks(bits: int, blocks: int) -> list[int]:
@@ -91,6 +94,15 @@ def links(prints: DataFrame, bits: int = 3, blocks: int = 6) -> DataFrame:
     return left.join(right, same & near).select("a", "b")
 
 
+def _grouped(prints: DataFrame, bits: int, blocks: int) -> DataFrame:
+    """(fingerprint, root): the least fingerprint that each one reaches over links."""
+    distinct = stage(prints.select("fingerprint").distinct(), "simhash-distinct")
+    reached = smallest_reachable(links(distinct, bits, blocks))
+    return distinct.join(reached, F.col("fingerprint") == F.col("node"), "left").select(
+        "fingerprint", F.coalesce("root", "fingerprint").alias("root")
+    )
+
+
 def near_duplicates(docs: DataFrame, bits: int = 3, shingle: int = 3, blocks: int = 6) -> DataFrame:
     """doc_id, fingerprint (long) and component_id (smallest doc_id reachable over links, itself included) per row.
 
@@ -98,12 +110,24 @@ def near_duplicates(docs: DataFrame, bits: int = 3, shingle: int = 3, blocks: in
     like any other. Equal rows stay separate rows of one component; a null id stays null and does not name a component
     unless all its ids are null. An empty table gives no rows. Further columns are not looked at.
     """
-    prints = stage(fingerprints(docs, shingle), "simhash")
-    distinct = stage(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least")), "simhash-distinct")
-    reached = smallest_reachable(links(distinct, bits, blocks))
-    nodes = distinct.join(reached, F.col("fingerprint") == F.col("node"), "left").select(
-        "fingerprint", "least", F.coalesce("root", "fingerprint").alias("root")
-    )
-    names = nodes.groupBy("root").agg(F.min("least").alias("component_id"))
-    known = nodes.join(names, "root").select("fingerprint", "component_id")
+    prints = stage(fingerprints(docs.select("doc_id", "text"), shingle), "simhash")
+    roots = stage(_grouped(prints, bits, blocks), "simhash-roots")
+    least = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least"))
+    names = roots.join(least, "fingerprint").groupBy("root").agg(F.min("least").alias("component_id"))
+    known = roots.join(names, "root").select("fingerprint", "component_id")
     return prints.join(known, "fingerprint").select("doc_id", "fingerprint", "component_id")
+
+
+def drop_near_duplicates(docs: DataFrame, bits: int = 3, shingle: int = 3, blocks: int = 6) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that stay: of each component the row with the smallest id (a null
+    id comes last), of rows with equal ids the first in the files."""
+    docs = located(docs)
+    rows = docs.select("doc_id", "text", locator().alias("at"))
+    prints = stage(fingerprints(rows, shingle), "simhash")
+    roots = stage(_grouped(prints, bits, blocks), "simhash-roots")
+    rank = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "at")
+    best = prints.groupBy("fingerprint").agg(F.min(rank).alias("best"))
+    best = roots.join(best, "fingerprint").groupBy("root").agg(F.min("best").alias("best"))
+    kept = roots.join(best, "root").select("fingerprint", F.col("best.at").alias("kept"))
+    dropped = prints.join(kept, "fingerprint").where("at != kept").select("at")
+    return without(docs, dropped)

@@ -605,7 +605,7 @@ def applicant_files(spark, sf):
         F.col("pr").alias("invited_by"),
     )
     export_csv(raw, f"{root}/Talent")
-    cleaned = clean_applicants(scan_applicants(spark, root))
+    cleaned = clean_applicants(scan_applicants(spark, root)[0])
     return cleaned.select(
         _long("id"), "applicant_id", "name", _iso("dob"), "phone_number", _iso("invited_date"), "invited_by"
     )
@@ -619,7 +619,7 @@ def academy_files(spark, sf):
     first = X.prefixed_columns(marks, tuple(f"{t}_w1" for t in TRAITS))
     export_csv(marks.select("name", "trainer", *first), f"{root}/Academy/one")
     export_csv(marks.select(*reversed(marks.columns)), f"{root}/Academy/two")
-    scanned = scan_academy(spark, root)
+    scanned, _ = scan_academy(spark, root)
     return scanned.groupBy("name", "trainer").agg(
         F.count(F.lit(1)).alias("n_rows"),
         *[F.sum(c).cast("long").alias(c) for c in X.prefixed_columns(marks, ("analytic_", "imaginative_"))],

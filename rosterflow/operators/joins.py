@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MAX_BROADCAST_BYTES = 64 << 20
-HOT_SHARE = 1000  # a key is hot from 1/1000 of the rows on, so there are at most 1000 of them
 
 
 def fits_broadcast(df: DataFrame) -> bool:
@@ -25,17 +24,6 @@ def fits_broadcast(df: DataFrame) -> bool:
     return (total or 0) <= MAX_BROADCAST_BYTES
 
 
-def hot_keys(df: DataFrame, on: list[str]) -> DataFrame | None:
-    """Keys with at least 1/HOT_SHARE of the rows, or None. Counts are combined map-side."""
-    total = df.count()
-    if not total:
-        return None
-    counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-    heavy = counts.where(F.col("_n") * HOT_SHARE >= total).drop("_n")
-    rows = heavy.collect()  # at most HOT_SHARE rows
-    return df.sparkSession.createDataFrame(rows, heavy.schema) if rows else None
-
-
 def lookup(
     left: DataFrame,
     right: DataFrame,
@@ -43,24 +31,13 @@ def lookup(
     how: str = "left",
     null_safe: bool = False,
 ) -> DataFrame:
-    """Join ``left`` to ``right`` (unique on ``on``) by "inner", "left", "left_semi", "left_anti".
+    """Join ``left`` to ``right`` by "inner", "left", "left_semi", "left_anti"; duplicates on the right multiply.
 
-    ``right`` is broadcast only when its measured size is within the bound. Beyond it, rows of
-    hot keys meet their few right rows by broadcast and all others are shuffled, so no task gets
-    a whole hot key. Pass a staged ``right``: it is read once more for the measurement.
+    ``right`` is broadcast only when its measured size is within the bound. Beyond it this is a shuffled join, which
+    adaptive execution splits where a key is hot; the rows are the same either way. Pass a staged ``right``: it is read
+    once more for the measurement.
     """
-    if fits_broadcast(right):
-        return equi_join(left, F.broadcast(right), on, how, null_safe)
-    hot = hot_keys(left, on)
-    if hot is None:
-        return equi_join(left, right, on, how, null_safe)
-    hot = F.broadcast(hot)
-    hot_right = equi_join(right, hot, on, "left_semi", True).dropDuplicates(on)
-    hot_left = equi_join(left, hot, on, "left_semi", True)
-    cold_left = equi_join(left, hot, on, "left_anti", True)
-    return equi_join(hot_left, F.broadcast(hot_right), on, how, null_safe).unionByName(
-        equi_join(cold_left, right, on, how, null_safe)
-    )
+    return equi_join(left, F.broadcast(right) if fits_broadcast(right) else right, on, how, null_safe)
 
 
 def equi_join(left: DataFrame, right: DataFrame, on: list[str], how: str, null_safe: bool) -> DataFrame:
@@ -78,9 +55,16 @@ def _output(left: DataFrame, right: DataFrame, on: list[str], how: str) -> list[
 
 
 def keep_members(df: DataFrame, parent: DataFrame, key: str) -> DataFrame:
-    """Rows whose key survives in ``parent``; both keys compare as long."""
-    keys = parent.select(F.col(key).cast("long").alias(key)).where(F.col(key).isNotNull())
-    return lookup(df.withColumn(key, F.col(key).cast("long")), keys, [key], "left_semi")
+    """Rows whose key survives in ``parent``; both keys compare as long, "7.0" as 7, other texts as no key."""
+    keys = parent.select(_whole(parent, key).alias(key)).where(F.col(key).isNotNull())
+    return lookup(df.withColumn(key, _whole(df, key)), keys, [key], "left_semi")
+
+
+def _whole(df: DataFrame, key: str) -> Column:
+    """A key as long; a text may hold a whole number with zeros behind the point."""
+    if df.schema[key].dataType.simpleString() != "string":
+        return F.col(key).try_cast("long")
+    return F.regexp_replace(F.trim(key), r"\.0*$", "").try_cast("long")
 
 
 def orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:

@@ -12,11 +12,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rosterflow.operators.joins import equi_join
 from rosterflow.session import stage
 
 SYNTHETIC_BASE = 1_000_000_000  # fixed value: first key given to records without one
-MAX_TOP_ROWS = 10_000
 _SLOT = "_slot"
 
 
@@ -109,18 +107,14 @@ def sort_nulls_last(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def skip_rows(df: DataFrame, columns: list[str], n: int) -> DataFrame:
-    """All rows but the first ``n`` by ``columns`` (unique together), nulls last.
+    """All rows but the first ``n`` by ``columns``, nulls last; which of equal rows are skipped is left open.
 
-    ``offset`` would move every row through one task. The first few rows are found as a top-n
-    and left out by an anti join; for a larger ``n`` the rows are numbered instead.
+    ``offset`` would move every row through one task, so the rows are numbered.
     """
     if n <= 0:
         return df
     order = [F.asc_nulls_last(c) for c in columns]
-    if n > MAX_TOP_ROWS:
-        return number_rows(df, order, "_row").where(F.col("_row") >= n).drop("_row")
-    first = df.select(*columns).orderBy(*order).limit(n)
-    return equi_join(df, F.broadcast(first), columns, "left_anti", null_safe=True)
+    return number_rows(df, order, "_row").where(F.col("_row") >= n).drop("_row")
 
 
 def carry_forward(

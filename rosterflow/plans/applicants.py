@@ -62,7 +62,7 @@ def applicants_since(
     ``current`` holds the stored ``recruiters`` and ``location``. Ids they already gave stay,
     and only new recruiters and places are returned.
     """
-    applicants = stage(read_applicants(spark, raw_dir, since), "applicants-since")
+    applicants, _ = read_applicants(spark, raw_dir, since)
     return continue_applicants(applicants, current)
 
 

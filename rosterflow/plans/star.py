@@ -214,16 +214,29 @@ def _stored_marks(behaviours: DataFrame, trainees: DataFrame) -> DataFrame:
     return number_rows(marks, ["trainee_id", "week_number", *TRAITS], "behaviour_id", 1)
 
 
-def build_star(spark: SparkSession, raw_dir: str, skip: int = 0) -> dict[str, DataFrame]:
-    """Full refresh from the raw files. Each source is read once and staged."""
-    (interviews, _), (reports, _), applicants, academy = together(
+def build_star(spark: SparkSession, raw_dir: str, skip: int = 0) -> tuple[dict[str, DataFrame], DataFrame]:
+    """(tables, rejects) of a full refresh from the raw files. Each source is read once and staged.
+
+    ``rejects`` (source, src_file, record, reason) holds all that was read and could not be used.
+    """
+    (interviews, objects), (reports, lines), (applicants, people), (academy, marks) = together(
         spark,
         lambda: read_talent_json(spark, raw_dir),
         lambda: read_assessment_reports(spark, raw_dir),
-        lambda: stage(read_applicants(spark, raw_dir), "applicants"),
+        lambda: read_applicants(spark, raw_dir),
         lambda: read_academy(spark, raw_dir),
     )
-    return assemble_star(applicants, interviews, reports, academy, skip=skip)
+    tables = assemble_star(applicants, interviews, reports, academy, skip=skip)
+    return tables, load_rejects(objects, lines, people, marks)
+
+
+def load_rejects(objects: DataFrame, lines: DataFrame, people: DataFrame, marks: DataFrame) -> DataFrame:
+    """What the four readers could not use, as one table."""
+    named = objects.select(F.lit("talent").alias("source"), "src_file", "record", "reason")
+    spoken = lines.select(
+        F.lit("reports").alias("source"), "src_file", F.col("line").alias("record"), F.col("reject_reason").alias("reason")
+    )
+    return named.unionByName(spoken).unionByName(people).unionByName(marks)
 
 
 def audit_star(tables: dict[str, DataFrame]) -> DataFrame:

@@ -2,61 +2,31 @@
 
 from __future__ import annotations
 
-from urllib.parse import unquote
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterflow.functions.paths import academy_course, academy_date
 from rosterflow.functions.text import TRAINER_CORRECTIONS, behaviour_key, correct_values
-from rosterflow.operators.reshape import TRAITS, union_by_name
+from rosterflow.operators.reshape import TRAITS
 from rosterflow.session import stage
-from rosterflow.sources.files import csv_reader, file_reader, list_files, with_file_position, without_missing
+from rosterflow.sources.delimited import column, read_delimited, scan_lines
+from rosterflow.sources.files import POSITION
 from rosterflow.sources.schemas import ACADEMY_FIXED
 
-# a heading line names both fixed columns as whole fields
-_HEADER = "".join(rf"(?=(?:.*,)?\s*\"?{c}\"?\s*(?:,|$))" for c in ACADEMY_FIXED)
-
-
-def academy_headers(spark: SparkSession, raw_dir: str, since=None) -> dict[str, list[str]]:
-    """Heading lines with the files that have them.
-
-    The driver gets one short entry per file, as in any file listing; no data row leaves the
-    executors.
-    """
-    lines = file_reader(spark, ".csv", since).text(f"{raw_dir}/Academy")
-    found = (
-        lines.where(F.col("value").rlike(rf"(?i)^\W*{_HEADER}"))
-        .select(F.trim(F.replace("value", F.lit("\r"), F.lit(""))).alias("header"), F.col("_metadata.file_path").alias("path"))
-        .groupBy("path")
-        .agg(F.min("header").alias("header"), F.count(F.lit(1)).alias("n"))
-        .collect()
-    )
-    filled = list_files(spark, f"{raw_dir}/Academy", ".csv", since).where("length > 0").count()
-    if filled != len(found) or any(row.n > 1 for row in found):
-        raise ValueError("some academy files have no heading line with name and trainer, or several")
-    headers: dict[str, list[str]] = {}
-    for row in sorted(found):
-        headers.setdefault(row.header, []).append(unquote(row.path))
-    return headers
+_WEEKLY = rf"^({'|'.join(TRAITS)})_w\d+$"
 
 
-def scan_academy(spark: SparkSession, raw_dir: str, since=None) -> DataFrame:
-    """All rows; one read per distinct header, united by name.
+def scan_academy(spark: SparkSession, raw_dir: str, since=None) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejects) of all files, whatever weeks they hold and in whatever order.
 
-    A single read over mixed headers would bind values by place and shift columns silently.
+    The driver sees the distinct names of weekly columns, whose number is that of traits and weeks. A mark that is not a
+    number is null.
     """
-    frames = []
-    for header, paths in academy_headers(spark, raw_dir, since).items():
-        names = [n.strip().strip('"').lower() for n in header.lstrip("\ufeff").split(",")]
-        schema = ", ".join(f"`{n}` {'string' if n in ACADEMY_FIXED else 'double'}" for n in names)
-        frames.append(
-            with_file_position(csv_reader(spark.read, schema).csv(paths))
-        )
-    if not frames:
-        empty = ", ".join([*(f"{n} string" for n in ACADEMY_FIXED), *(f"{t}_w1 double" for t in TRAITS)])
-        return spark.createDataFrame([], f"{empty}, src_file string, src_block long, src_row long")
-    return without_missing(union_by_name(frames), list(ACADEMY_FIXED))
+    records, rejects = read_delimited(scan_lines(spark, f"{raw_dir}/Academy", since), list(ACADEMY_FIXED), "academy")
+    names = records.select(F.explode("heading").alias("name")).distinct().where(F.col("name").rlike(_WEEKLY)).collect()
+    weekly = sorted({r["name"] for r in names} or {f"{t}_w1" for t in TRAITS})
+    marks = [column(n).try_cast("double").alias(n) for n in weekly]
+    return records.select(*[column(n).alias(n) for n in ACADEMY_FIXED], *marks, *POSITION), rejects
 
 
 def clean_academy(scanned: DataFrame) -> DataFrame:
@@ -68,7 +38,9 @@ def clean_academy(scanned: DataFrame) -> DataFrame:
     return fixed.withColumn("behaviour_id", behaviour_key(F.col("name"), F.col("date")))
 
 
-def read_academy(spark: SparkSession, raw_dir: str, since=None) -> DataFrame:
-    return stage(clean_academy(scan_academy(spark, raw_dir, since)), "academy")
+def read_academy(spark: SparkSession, raw_dir: str, since=None) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejects)."""
+    rows, rejects = scan_academy(spark, raw_dir, since)
+    return stage(clean_academy(rows), "academy"), rejects
 
 

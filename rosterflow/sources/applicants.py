@@ -6,17 +6,34 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterflow.functions.dates import invite_date, parse_dmy
-from rosterflow.functions.paths import source_path
 from rosterflow.functions.text import clean_phone, person_id
 from rosterflow.operators.merge import fill_previous_date
-from rosterflow.sources.files import csv_reader, file_reader, without_missing
+from rosterflow.session import stage
+from rosterflow.sources.delimited import column, read_delimited, scan_lines
 from rosterflow.sources.schemas import APPLICANT_CSV
 
 
-def scan_applicants(spark: SparkSession, raw_dir: str, since=None) -> DataFrame:
-    """Raw rows of all files, with ``src_file``; ``id`` is the row number in its file."""
-    scanned = csv_reader(file_reader(spark, ".csv", since), APPLICANT_CSV).csv(f"{raw_dir}/Talent")
-    return without_missing(scanned.select("*", source_path().alias("src_file")), scanned.columns[1:])
+def applicant_rows(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejects) of staged CSV lines, columns by heading; ``id`` is the row number in its file.
+
+    A file needs ``id`` and ``name``; other columns it lacks are null. A row without whole number as id is rejected.
+    """
+    records, rejects = read_delimited(lines, ["id", "name"], "applicants")
+    number = column("id").try_cast("double").try_cast("int")
+    numberless = records.where(number.isNull()).select(
+        F.lit("applicants").alias("source"),
+        "src_file",
+        F.array_join("fields", ",", "").alias("record"),
+        F.lit("no whole number as id").alias("reason"),
+    )
+    texts = [column(c).alias(c) for c in APPLICANT_CSV[1:]]
+    rows = records.select(number.alias("id"), *texts, "src_file").where("id IS NOT NULL")
+    return rows, rejects.unionByName(numberless)
+
+
+def scan_applicants(spark: SparkSession, raw_dir: str, since=None) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejects) of all files."""
+    return applicant_rows(scan_lines(spark, f"{raw_dir}/Talent", since))
 
 
 def clean_applicants(raw: DataFrame) -> DataFrame:
@@ -53,5 +70,7 @@ def clean_applicants(raw: DataFrame) -> DataFrame:
     )
 
 
-def read_applicants(spark: SparkSession, raw_dir: str, since=None) -> DataFrame:
-    return clean_applicants(scan_applicants(spark, raw_dir, since))
+def read_applicants(spark: SparkSession, raw_dir: str, since=None) -> tuple[DataFrame, DataFrame]:
+    """(applicants, rejects)."""
+    rows, rejects = scan_applicants(spark, raw_dir, since)
+    return stage(clean_applicants(rows), "applicants"), rejects

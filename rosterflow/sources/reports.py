@@ -10,13 +10,13 @@ from rosterflow.functions.dates import compact_date, free_text_date
 from rosterflow.functions.text import person_id
 from rosterflow.operators.joins import lookup
 from rosterflow.session import stage
-from rosterflow.sources.files import POSITION, file_reader, with_file_position
+from rosterflow.sources.files import POSITION, file_reader, modified_after, with_file_position
 
 
 def scan_report_lines(spark: SparkSession, raw_dir: str, since=None) -> DataFrame:
     """Lines with their position. Files are split like any text, not loaded whole."""
     scanned = file_reader(spark, ".txt", since).option("lineSep", "\n").text(f"{raw_dir}/Talent")
-    lines = with_file_position(scanned)
+    lines = with_file_position(modified_after(scanned, since))
     return lines.withColumn("value", R.drop_returns(F.col("value")))
 
 
@@ -46,17 +46,14 @@ def parse_reports(lines: DataFrame) -> DataFrame:
     """
     staged = stage(lines, "report-lines")
     first = F.col("src_block") == 0
-    starts = staged.where(first).groupBy("src_file").agg(F.min("src_row").alias("_start"))
-    heading = staged.where(first).join(starts, "src_file").withColumn("_line", F.col("src_row") - F.col("_start"))
-    heads = (
-        heading.where("_line < 2")
-        .groupBy("src_file")
-        .agg(
-            F.min("_start").alias("_start"),
-            F.max(F.when(F.col("_line") == 0, F.col("value"))).alias("date_text"),
-            F.max(F.when(F.col("_line") == 1, F.col("value"))).alias("academy_text"),
-        )
+    # the row counter rises by one inside a split, so the heading lines are at the least count and the next
+    opening = staged.where(first).groupBy("src_file").agg(F.min(F.struct("src_row", "value")).alias("_top"))
+    opening = stage(opening.select("src_file", F.col("_top.src_row").alias("_start"), F.col("_top.value").alias("date_text")), "report-first")
+    second = lookup(staged.where(first), opening.select("src_file", "_start"), ["src_file"], "inner").where(
+        F.col("src_row") == F.col("_start") + 1
     )
+    second = second.groupBy("src_file").agg(F.max("value").alias("academy_text"))
+    heads = opening.join(second, "src_file", "left")
     heads = stage(heads, "report-heads")
     people = lookup(staged, heads, ["src_file"], "left").where(
         ~(first & (F.col("src_row") - F.col("_start") < 3)) & (F.trim("value") != "")

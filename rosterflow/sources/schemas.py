@@ -4,15 +4,26 @@ from pyspark.sql import types as T
 
 # Columns of the raw files.
 APPLICANT_CSV = (
-    "id int, name string, gender string, dob string, email string, city string, address string, "
-    "postcode string, phone_number string, uni string, degree string, invited_date string, "
-    "month string, invited_by string"
+    "id",
+    "name",
+    "gender",
+    "dob",
+    "email",
+    "city",
+    "address",
+    "postcode",
+    "phone_number",
+    "uni",
+    "degree",
+    "invited_date",
+    "month",
+    "invited_by",
 )
 TALENT_JSON = T.StructType(
     [
         T.StructField("name", T.StringType()),
         T.StructField("date", T.StringType()),
-        T.StructField("tech_self_score", T.MapType(T.StringType(), T.IntegerType())),
+        T.StructField("tech_self_score", T.MapType(T.StringType(), T.StringType())),
         T.StructField("strengths", T.ArrayType(T.StringType())),
         T.StructField("weaknesses", T.ArrayType(T.StringType())),
         T.StructField("self_development", T.StringType()),

@@ -5,12 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterflow.functions.paths import source_path
 from rosterflow.plans.applicants import continue_applicants
 from rosterflow.session import stage
-from rosterflow.sources.applicants import clean_applicants
-from rosterflow.sources.files import csv_reader, without_missing
-from rosterflow.sources.schemas import APPLICANT_CSV
+from rosterflow.sources.applicants import applicant_rows, clean_applicants
+from rosterflow.sources.files import with_row_count, with_split
 
 STORED = {
     "recruiters": "recruiter_id long, recruiter_name string, batch_id long",
@@ -25,11 +23,12 @@ def run_applicant_updates(spark: SparkSession, raw_dir: str, target: str, checkp
     only, so a batch that is run again after a failure overwrites its own rows with the same ids.
     """
     reader = spark.readStream.option("pathGlobFilter", "*.csv").option("recursiveFileLookup", True)
-    scanned = csv_reader(reader, APPLICANT_CSV).csv(f"{raw_dir}/Talent")
-    files = without_missing(scanned.select("*", source_path().alias("src_file")), scanned.columns[1:])
+    files = with_split(reader.option("lineSep", "\n").text(f"{raw_dir}/Talent"))
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        applicants = stage(clean_applicants(batch), "applicants-batch")
+        rows, rejects = applicant_rows(stage(with_row_count(batch), "csv-lines-batch"))
+        rejects.write.mode("overwrite").parquet(f"{target}/rejects/batch_id={batch_id}")
+        applicants = stage(clean_applicants(rows), "applicants-batch")
         current = {name: _stored(batch.sparkSession, target, name, batch_id) for name in STORED}
         for name, df in continue_applicants(applicants, current).items():
             df.write.mode("overwrite").parquet(f"{target}/{name}/batch_id={batch_id}")

@@ -26,23 +26,21 @@ def rows(df):
 
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
 @pytest.mark.parametrize("null_safe", [False, True])
-def test_hot_keys_are_split_exactly(sides, monkeypatch, how, null_safe):
+@pytest.mark.parametrize("times", [1, 2])
+def test_rows_do_not_depend_on_the_size(sides, monkeypatch, how, null_safe, times):
     left, right = sides
+    right = right.unionByName(right.where("v_id % 3 = 0")) if times == 2 else right
     small = rows(J.lookup(left, right, ["v"], how, null_safe))
     monkeypatch.setattr(J, "MAX_BROADCAST_BYTES", 0)
-    monkeypatch.setattr(J, "HOT_SHARE", 100)
     assert not J.fits_broadcast(right)
-    assert {r.v for r in J.hot_keys(left, ["v"]).collect()} == {"hot", None}
     assert rows(J.lookup(left, right, ["v"], how, null_safe)) == small
 
 
-def test_no_hot_keys(spark, monkeypatch):
-    left = spark.range(100).withColumnRenamed("id", "v")
-    right = left.withColumn("w", F.col("v") * 2)
-    monkeypatch.setattr(J, "MAX_BROADCAST_BYTES", 0)
-    monkeypatch.setattr(J, "HOT_SHARE", 2)
-    assert J.hot_keys(left, ["v"]) is None
-    assert J.lookup(left, right, ["v"]).where("w = v * 2").count() == 100
+def test_keys_as_text(spark):
+    df = spark.createDataFrame([("7.0", 1), ("8", 2), ("x", 3), (None, 4), ("7.5", 5)], "k string, v int")
+    parent = spark.createDataFrame([(7,), (9,)], "k long")
+    assert [(r.k, r.v) for r in J.keep_members(df, parent, "k").collect()] == [(7, 1)]
+    assert [(r.k, r.v) for r in J.keep_members(df, parent.selectExpr("cast(k as double) k"), "k").collect()] == [(7, 1)]
 
 
 def test_outer_link_nulls_never_match(spark):

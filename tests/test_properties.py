@@ -143,12 +143,12 @@ def test_row_ids(spark):
     assert got == {("y", "z"): 0, ("x", None): 1}
 
 
-@pytest.mark.parametrize("top", [0, 10_000])
-def test_skip_rows_by_anti_join_or_number(spark, monkeypatch, top):
-    monkeypatch.setattr(numbering, "MAX_TOP_ROWS", top)
+def test_skip_rows(spark):
     df = spark.createDataFrame([(1, None), (2, "b"), (3, "a"), (4, None), (5, "b")], "p int, a string")
     for n, left in ((0, {1, 2, 3, 4, 5}), (2, {1, 4, 5}), (4, {4}), (9, set())):
         assert {r.p for r in skip_rows(df, ["a", "p"], n).collect()} == left
+    equal = spark.createDataFrame([("x",)] * 4, "a string")
+    assert skip_rows(equal, ["a"], 1).count() == 3
 
 
 def test_synthetic_keys(spark):

@@ -14,7 +14,7 @@ from rosterflow.plans.star import COLUMNS, audit_star, build_star, unlinked_trai
 from rosterflow.plans.talent import merged_talent, talent_tables
 from rosterflow.sinks.tables import append_candidates, export_csv, export_tables, read_star, write_star
 from rosterflow.sources.academy import read_academy, scan_academy
-from rosterflow.sources.applicants import read_applicants
+from rosterflow.sources.applicants import read_applicants, scan_applicants
 from rosterflow.sources.files import file_reader, list_files, read_csv
 from rosterflow.sources.reports import read_assessment_reports
 from rosterflow.sources.talent import read_talent_json, shred_talent
@@ -29,11 +29,11 @@ def raw(tmp_path_factory):
 
 @pytest.fixture(scope="module")
 def star(spark, raw):
-    return {name: stage(df, name) for name, df in build_star(spark, raw).items()}
+    return {name: stage(df, name) for name, df in build_star(spark, raw)[0].items()}
 
 
 def test_applicants(spark, raw):
-    rows = {r.applicant_id: r for r in read_applicants(spark, raw).collect()}
+    rows = {r.applicant_id: r for r in read_applicants(spark, raw)[0].collect()}
     assert set(rows) == {
         "adaotest20190410",
         "bendemocase20190400",
@@ -110,23 +110,67 @@ def test_report_split_over_many_blocks(spark, tmp_path):
 
 
 def test_academy_binds_columns_by_name(spark, raw):
-    rows = {r.behaviour_id: r for r in read_academy(spark, raw).collect()}
+    rows = {r.behaviour_id: r for r in read_academy(spark, raw)[0].collect()}
     assert len(rows) == 5
     business = rows["Ada_O'Test2019-07-01"]
     assert (business.trainer, business.imaginative_w1, business.analytic_w1) == ("Tom Trainer", 6.0, 1.0)
     assert rows["Ada_O'Test2019-06-03"].trainer == "Elly Kelly"
 
 
-def test_academy_file_without_heading_is_refused(spark, tmp_path):
+def test_academy_file_without_heading_is_rejected(spark, tmp_path):
     (tmp_path / "Academy").mkdir()
-    (tmp_path / "Academy" / "Data_1_2019-01-01.csv").write_text("1,2,3\n")
-    with pytest.raises(ValueError):
-        scan_academy(spark, str(tmp_path))
+    (tmp_path / "Academy" / "Data_1_2019-01-01.csv").write_text("1,2,3\n4,5,6\n")
+    (tmp_path / "Academy" / "Data_2_2019-01-01.csv").write_text('"Name", trainer ,"Analytic_W1"\n"Smith, A",T,5\nname,trainer,x\n')
+    rows, rejects = scan_academy(spark, str(tmp_path))
+    assert [(r.name, r.trainer, r.analytic_w1) for r in rows.orderBy("src_row").collect()] == [("Smith, A", "T", 5.0), ("name", "trainer", None)]
+    assert {(r.record, r.reason) for r in rejects.collect()} == {
+        ("1,2,3", "no heading with the needed columns"),
+        ("4,5,6", "no heading with the needed columns"),
+    }
+
+
+def test_csv_loses_nothing(spark, tmp_path):
+    """Other column order, quoted line breaks, quotes as letters, short, long and torn rows."""
+    (tmp_path / "Talent").mkdir()
+    (tmp_path / "Talent" / "a.csv").write_bytes(
+        b'\xef\xbb\xbfid,name,email,gender,extra\r\n1,"A\nA, ""x""",a@x.y,F,1\r\n\r\n2,B 5"x,,NA,\r\n3,C,c\r\n4,D,d,M,e,f\r\n'
+        b'5,E,"two\r\nlines\n",M,\r\nx,F,f,M,\r\n6,G,"open,M,'
+    )
+    (tmp_path / "Talent" / "b.csv").write_text("name,id\nH,7\n")
+    rows, rejects = scan_applicants(spark, str(tmp_path))
+    assert {(r.id, r.name, r.email, r.gender, r.dob) for r in rows.collect()} == {
+        (1, 'A\nA, "x"', "a@x.y", "F", None),
+        (2, 'B 5"x', None, None, None),
+        (5, "E", "two\r\nlines\n", "M", None),
+        (7, "H", None, None, None),
+    }
+    assert {(r.record, r.reason) for r in rejects.collect()} == {
+        ("3,C,c", "too few values"),
+        ("4,D,d,M,e,f", "too many values"),
+        ("x,F,f,M,", "no whole number as id"),
+        ('6,G,"open,M,', "quotes do not match"),
+    }
+
+
+def test_rejects_of_the_load(spark, tmp_path):
+    root = write_raw(tmp_path / "files")
+    (tmp_path / "files" / "Talent" / "abc.json").write_text('{"name": "No Key", "strengths": ["Kind"], "tech_self_score": {"Java": "3.0"}}')
+    (tmp_path / "files" / "Talent" / "88.json").write_text('{"name": "Half", "date": "01/05/2019", "tech_self_score": {"Java": 3.5, "C": "x", "Go": 4}}')
+    tables, rejects = build_star(spark, root)
+    assert {(r.source, os.path.basename(r.src_file), r.reason) for r in rejects.collect()} == {
+        ("talent", "77.json", "unreadable"),
+        ("talent", "abc.json", "no whole number in the file name"),
+        ("reports", "Day 1.txt", "no dash"),
+        ("reports", "Day 1.txt", "no score"),
+    }
+    # 3.5 is cut as the surveyed load does with its integers; a word is no score
+    scores = tables["tech_junction"].join(tables["tech_self_scores"], "tech_id").where("json_key = 88")
+    assert {(r.tech_name, r.score) for r in scores.collect()} == {("Java", 3), ("Go", 4)}
 
 
 def test_no_academy_files(spark, tmp_path):
     (tmp_path / "Academy").mkdir()
-    assert read_academy(spark, str(tmp_path)).count() == 0
+    assert read_academy(spark, str(tmp_path))[0].count() == 0
 
 
 def test_talent_keeps_both_sides(spark, raw):
@@ -226,9 +270,9 @@ def test_since_continues_ids(spark, tmp_path):
     _age(f"{root}/Talent/April2019.csv", 7200)
     cutoff = dt.datetime.fromtimestamp(time.time() - 3600, dt.timezone.utc)
     assert [os.path.basename(r.path) for r in list_files(spark, f"{root}/Talent", ".csv", cutoff).collect()] == ["Sept2019.csv"]
-    everything = applicant_tables(stage(read_applicants(spark, root), "all"))
+    everything = applicant_tables(read_applicants(spark, root)[0])
     old = applicant_tables(
-        stage(read_applicants(spark, root), "all").where(F.col("src_file").contains("April")),
+        read_applicants(spark, root)[0].where(F.col("src_file").contains("April")),
     )
     current = {name: stage(old[name], name) for name in ("recruiters", "location")}
     new = applicants_since(spark, root, cutoff, current)

@@ -24,4 +24,7 @@ def locator() -> Column:
 
 def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     """Rows of located ``docs`` whose place is not in ``dropped`` (at)."""
-    return docs.join(dropped, locator() == F.col("at"), "left_anti")
+    gone = "gone"
+    while gone in docs.columns:
+        gone += "_"
+    return docs.join(dropped.select(F.col("at").alias(gone)), locator() == F.col(gone), "left_anti")

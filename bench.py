@@ -6,6 +6,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -29,6 +30,8 @@ HEADLINES = {
     "talent_merged": 1,
     "academy_tables": 1,
     "linked_talent": 1,
+    "name_join": 1,
+    "tech_by_name": 1,
     "star_load": 1,
 }
 
@@ -43,6 +46,7 @@ def main() -> None:
             "spark.sql.shuffle.partitions": cpus,
             "spark.driver.memory": os.environ.get("BENCH_MEMORY", "8g"),
             "spark.ui.enabled": "false",
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="rosterflow-bench-"),
         },
     )
     spark.sparkContext.setLogLevel("ERROR")

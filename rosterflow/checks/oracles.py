@@ -377,6 +377,37 @@ def _audit() -> str:
     return _with(needed, "").rstrip() + ",\n" + tables + "\n" + "\nUNION ALL ".join(rows)
 
 
+def _contents() -> str:
+    nulls = {c: "NULL" for c in ("gender", "dob", "email", "phone_number", "degree")}
+    tables = _TABLES | {
+        "applicants": f"""SELECT applicant_id, name, city AS uni_source, (SELECT seg FROM base WHERE k = app.id) AS uni,
+            {', '.join(f'{v} AS {c}' for c, v in nulls.items())}, invited_date, recruiter_id FROM app JOIN recruiter
+            ON app.invited_by IS NOT DISTINCT FROM recruiter.invited_by""",
+        "academy_locations": "SELECT academy_location_id, academy AS location_name FROM acad",
+        "talent": """SELECT row_number() OVER (ORDER BY json_key IS NULL, applicant_id) AS talent_id,
+            * REPLACE (coalesce(json_key, 999999999 + row_number() OVER
+            (PARTITION BY json_key IS NULL ORDER BY applicant_id)) AS json_key) FROM final""",
+        "weaknesses": """SELECT row_number() OVER (ORDER BY min(rn)) - 1 AS weakness_id, value AS weakness FROM
+            (SELECT value, row_number() OVER (ORDER BY key_text, nth) AS rn FROM weakness_long) GROUP BY value""",
+        "weaknesses_junction": """SELECT json_key, weakness_id FROM weakness_long JOIN t_weaknesses ON value = weakness
+            WHERE json_key IN (SELECT json_key FROM final)""",
+        "location": "SELECT location_id, applicant_id, address, postcode, city FROM place",
+        "trainees": """SELECT trainee_id, json_key, trainer_id, course_id, NULL AS date FROM followed JOIN trainer
+            ON followed.trainer IS NOT DISTINCT FROM trainer.trainer""",
+        "behaviours": f"""SELECT row_number() OVER (ORDER BY f.trainee_id, b.week, {', '.join(_TRAITS)}) AS behaviour_id,
+            f.trainee_id, b.week AS week_number, {', '.join(_TRAITS)}
+            FROM behaviour b JOIN followed f ON f.behaviour_id = b.behaviour_id""",
+    }
+    needed = ["recruiter", "acad", "final", "strength", "weakness_long", "tech", "place", "trainer", "followed", "behaviour"]
+    bodies = ",\n".join(f"t_{name} AS ({body})" for name, body in tables.items())
+    rows = [
+        f"""SELECT '{name}' AS table_name, concat_ws('|', {', '.join(f"coalesce(CAST({c} AS VARCHAR), '-')" for c in columns)})
+            AS content FROM t_{name}"""
+        for name, columns in star.COLUMNS.items()
+    ]
+    return _with(needed, "").rstrip() + ",\n" + bodies + "\n" + "\nUNION ALL ".join(rows)
+
+
 ORACLES: dict[str, str] = {
     "phone_clean": """SELECT c_custkey, replace(replace(replace('+44 (' || c_nationkey || ') 555 ' || c_custkey,
         '(', ''), ')', ''), ' ', '-') AS phone_number FROM customer""",
@@ -593,4 +624,31 @@ ORACLES: dict[str, str] = {
     "linked_trainees": _with(["followed"], "SELECT trainee_id, name, course_name, json_key FROM followed"),
     "star_load": _star(),
     "star_audit": _audit(),
+    "star_contents": _contents(),
+    "star_append": _star(),
+    "applicant_layouts": _with(
+        ["base"],
+        """SELECT CAST(k AS INTEGER) AS id, name, seg || chr(10) || place || ', "' || nk || '"' AS address,
+           day(d) || '.0' AS invited_date, strftime(d, '%B %Y') AS month, pr AS invited_by, NULL AS gender FROM base""",
+    ),
+    "applicant_rejects": _with(
+        ["base"],
+        """SELECT CAST(k AS INTEGER) AS id, CASE k % 3 WHEN 0 THEN 'too few values' WHEN 1 THEN 'too many values'
+           ELSE 'no whole number as id' END AS reason FROM base WHERE k % 10 = 0""",
+    ),
+    "report_files": _with(
+        ["parsed"],
+        f"""SELECT {_strip('first_name || last_name')} || strftime(date_trunc('month', date), '%Y%m%d') AS assessment_id,
+           psychometrics, presentation, 'Town' || strftime(date, '%m') AS academy, NULL AS reason FROM parsed
+           WHERE has_dash AND psychometrics IS NOT NULL AND presentation IS NOT NULL
+           UNION ALL SELECT value, NULL, NULL, NULL, CASE WHEN has_dash THEN 'no score' ELSE 'no dash' END FROM parsed
+           WHERE NOT has_dash OR psychometrics IS NULL OR presentation IS NULL""",
+    ),
+    "files_since": _with(
+        ["base"], "SELECT CAST(k AS INTEGER) AS id, name, pr AS invited_by FROM base WHERE k % 3 > 0"
+    ),
+    "streamed_files": _with(
+        ["base"],
+        "SELECT CAST(k AS INTEGER) AS id, name, pr AS recruiter_name, CAST(k % 3 > 0 AS INTEGER) AS batch_id FROM base",
+    ),
 }

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import time
 import uuid
+from datetime import timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +38,8 @@ from rosterflow.session import checkpoint_root, stage, together
 from rosterflow.sinks.tables import export_csv, export_json, read_star, write_star
 from rosterflow.sources.academy import scan_academy
 from rosterflow.sources.applicants import clean_applicants, scan_applicants
+from rosterflow.sources.reports import read_assessment_reports
+from rosterflow.streaming.incremental import run_applicant_updates
 from rosterflow.sources.files import POSITION, list_files, read_csv, read_json
 
 QUERIES: dict = {}
@@ -790,3 +794,121 @@ def star_load(spark, sf):
 def star_audit(spark, sf):
     """Every key, reference, null and length rule on the fifteen tables."""
     return star_plan.audit_star(_star(spark, sf))
+
+
+@query
+def star_contents(spark, sf):
+    """Every row of the fifteen tables with every column."""
+    rows = []
+    for name, df in _star(spark, sf).items():
+        values = [F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in df.columns]
+        rows.append(df.select(F.lit(name).alias("table_name"), F.concat_ws("|", *values).alias("content")))
+    return union_by_name(rows)
+
+
+@query
+def star_append(spark, sf):
+    """The star appended to itself and to a part of itself: nothing may come twice."""
+    tables = _star(spark, sf)
+    target = _scratch(spark, "appended")
+    write_star({n: df.where("talent_id % 2 = 0") if n == "talent" else df for n, df in tables.items()}, target)
+    for _ in range(2):
+        write_star(tables, target, mode="append")
+    return star_plan.table_counts(read_star(spark, target))
+
+
+def _applicant_root(spark, sf):
+    """Applicant files in two column orders, addresses with line breaks, and one of rows that do not fit."""
+    root = _scratch(spark, "raw")
+    raw = stage(
+        roles.people(spark, sf).select(
+            F.col("k").cast("int").alias("id"),
+            "name",
+            F.expr("concat(seg, '\\n', place, ', \"', nk, '\"')").alias("address"),
+            F.expr("concat(dayofmonth(d), '.0')").alias("invited_date"),
+            F.date_format("d", "MMMM yyyy").alias("month"),
+            F.col("pr").alias("invited_by"),
+        ),
+        "applicant-raw",
+    )
+    export_csv(raw.where("id % 2 = 0"), f"{root}/Talent/one")
+    export_csv(raw.where("id % 2 = 1").select(*reversed(raw.columns)), f"{root}/Talent/two")
+    short = F.expr("CASE id % 3 WHEN 0 THEN concat(id, ',short') WHEN 1 THEN concat(id, ',long,F,more') ELSE concat('n', id, ',name,F') END")
+    lines = raw.where("id % 10 = 0").select(short.alias("id,name,gender"))
+    # one column that holds whole lines: neither separator nor quote occurs in them
+    lines.write.option("header", True).option("sep", "\x01").option("quote", "\x02").csv(f"{root}/Talent/odd")
+    return root
+
+
+@query
+def applicant_layouts(spark, sf):
+    """Columns bound by heading, quoted line breaks kept."""
+    rows, _ = scan_applicants(spark, _applicant_root(spark, sf))
+    return rows.select("id", "name", "address", "invited_date", "month", "invited_by", "gender")
+
+
+@query
+def applicant_rejects(spark, sf):
+    _, rejects = scan_applicants(spark, _applicant_root(spark, sf))
+    return rejects.select(F.regexp_extract("record", "[0-9]+", 0).cast("int").alias("id"), "reason")
+
+
+@query
+def report_files(spark, sf):
+    """Assessment reports as text files, one per month: heading, blank lines, returns; read, parsed and rejected."""
+    root = _scratch(spark, "raw")
+    lines = roles.report_lines(spark, sf).select(
+        F.date_format("date", "yyyy-MM").alias("month"),
+        F.trunc("date", "month").alias("start"),
+        (F.col("src_row") + 10).alias("nth"),
+        F.concat("value", F.lit("\r")).alias("value"),
+    )
+    months = lines.select("month", "start").distinct()
+    heads = months.select(
+        "month",
+        F.explode(
+            F.array(
+                F.struct(F.lit(0).cast("long").alias("nth"), F.date_format("start", "EEEE d MMMM yyyy").alias("value")),
+                F.struct(F.lit(1).cast("long").alias("nth"), F.concat(F.lit("Town"), F.date_format("start", "MM"), F.lit(" Academy")).alias("value")),
+                F.struct(F.lit(2).cast("long").alias("nth"), F.lit("").alias("value")),
+                F.struct(F.lit(5).cast("long").alias("nth"), F.lit(" ").alias("value")),
+            )
+        ).alias("head"),
+    ).select("month", "head.nth", "head.value")
+    text = lines.select("month", "nth", "value").unionByName(heads)
+    text = text.repartition("month").sortWithinPartitions("month", "nth").select("month", "value")
+    text.write.partitionBy("month").text(f"{root}/Talent")
+    records, rejects = read_assessment_reports(spark, root)
+    good = records.select("assessment_id", "psychometrics", "presentation", "academy", F.lit(None).cast("string").alias("reason"))
+    bad = rejects.select(F.col("line").alias("assessment_id"), F.col("reject_reason").alias("reason"))
+    return good.unionByName(bad, allowMissingColumns=True)
+
+
+def _two_exports(spark, sf):
+    """Applicants written in two steps; gives the folder, and the time after the first step."""
+    root = _scratch(spark, "raw")
+    raw = stage(roles.people(spark, sf).select(F.col("k").cast("int").alias("id"), "name", F.col("pr").alias("invited_by")), "raw")
+    export_csv(raw.where("id % 3 = 0"), f"{root}/Talent/one")
+    first = list_files(spark, f"{root}/Talent").agg(F.max("modificationTime")).first()[0]
+    time.sleep(0.05)
+    return root, raw, first.astimezone(timezone.utc)
+
+
+@query
+def files_since(spark, sf):
+    """Only the files written later, even in the same second."""
+    root, raw, first = _two_exports(spark, sf)
+    export_csv(raw.where("id % 3 > 0"), f"{root}/Talent/two")
+    return scan_applicants(spark, root, first)[0].select("id", "name", "invited_by")
+
+
+@query
+def streamed_files(spark, sf):
+    """Two runs of the file stream: each file once, ids of recruiters kept."""
+    root, raw, _ = _two_exports(spark, sf)
+    target = _scratch(spark, "streamed")
+    run_applicant_updates(spark, root, target, f"{target}-checkpoint")
+    export_csv(raw.where("id % 3 > 0"), f"{root}/Talent/two")
+    run_applicant_updates(spark, root, target, f"{target}-checkpoint")
+    people, recruiters = (spark.read.parquet(f"{target}/{t}") for t in ("applicants", "recruiters"))
+    return people.join(recruiters.drop("batch_id"), "recruiter_id").select("id", "name", "recruiter_name", "batch_id")

@@ -96,9 +96,9 @@ def outer_link(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 
 def name_join(left: DataFrame, right: DataFrame, left_name: Column, right_name: Column) -> DataFrame:
     """Inner join on names in upper case; column names must not overlap, duplicates multiply."""
-    a = left.withColumn("_name", F.upper(left_name)).where(F.col("_name").isNotNull())
-    b = right.withColumn("_name", right_name).where(F.col("_name").isNotNull())
-    return a.join(b, "_name", "inner").drop("_name")
+    a = left.withColumn("_joined", F.upper(left_name)).where(F.col("_joined").isNotNull())
+    b = right.withColumn("_joined", right_name).where(F.col("_joined").isNotNull())
+    return a.join(b, "_joined", "inner").drop("_joined")
 
 
 def decode(df: DataFrame, dim: DataFrame, code: str) -> DataFrame:

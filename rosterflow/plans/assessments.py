@@ -9,6 +9,7 @@ from rosterflow.functions.text import full_name
 from rosterflow.operators.joins import attach_ids, lookup, name_join
 from rosterflow.operators.numbering import dense_ids
 from rosterflow.operators.reshape import explode_map
+from rosterflow.session import stage
 
 EXTRACT = [
     "json_key",
@@ -28,8 +29,9 @@ def assessment_table(reports: DataFrame) -> DataFrame:
     )
 
 
-def _by_name(interviews: DataFrame, reports: DataFrame, columns: list[str]) -> DataFrame:
-    results = reports.select(
+def _results(reports: DataFrame) -> DataFrame:
+    """Reports under the upper-case name they are joined by, with their places."""
+    return reports.select(
         full_name(F.col("first_name"), F.col("last_name")).alias("report_name"),
         "psychometrics",
         "presentation",
@@ -38,8 +40,7 @@ def _by_name(interviews: DataFrame, reports: DataFrame, columns: list[str]) -> D
         F.col("src_file").alias("report_file"),
         F.col("src_block").alias("report_block"),
         F.col("src_row").alias("report_row"),
-    )
-    return name_join(interviews.select(*columns), results, F.col("name"), F.col("report_name"))
+    ).where(F.col("report_name").isNotNull())
 
 
 def interview_results(interviews: DataFrame, reports: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -47,13 +48,19 @@ def interview_results(interviews: DataFrame, reports: DataFrame) -> tuple[DataFr
 
     Academies are numbered from 0 by first appearance, a missing one is -1.
     """
-    pairs = _by_name(interviews, reports, [*EXTRACT, "key_text"]).withColumn("name", F.upper("name"))
-    order = ["key_text", "report_file", "report_block", "report_row"]
-    dim = dense_ids(pairs, "academy", order, "academyid", start=0, nulls="zero")
-    results = attach_ids(pairs, dim, "academy").select(
+    results = stage(_results(reports), "extract-results")
+    # of all pairs of a name, an academy's first has the first interview and the academy's first report
+    place = ["report_file", "report_block", "report_row"]
+    people = interviews.groupBy(F.upper("name").alias("_name")).agg(F.min("key_text").alias("key_text"))
+    firsts = results.groupBy("report_name", "academy").agg(F.min(F.struct(*place)).alias("_at"))
+    firsts = name_join(people, firsts, F.col("_name"), F.col("report_name")).select("academy", "key_text", "_at.*")
+    dim = stage(dense_ids(firsts, "academy", ["key_text", *place], "academyid", start=0, nulls="zero"), "extract-academies")
+    coded = attach_ids(results, dim, "academy")
+    pairs = name_join(interviews.select(*EXTRACT), coded, F.col("name"), F.col("report_name"))
+    found = pairs.withColumn("name", F.upper("name")).select(
         *EXTRACT, "psychometrics", "presentation", "assessment_id", "academyid"
     )
-    return results, dim.select("academy", "academyid")
+    return found, dim.select("academy", "academyid")
 
 
 def tech_by_assessment(interviews: DataFrame, reports: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -61,13 +68,18 @@ def tech_by_assessment(interviews: DataFrame, reports: DataFrame) -> tuple[DataF
 
     Languages are numbered from 0 in the order of assessment ids.
     """
-    pairs = _by_name(interviews, reports, ["name", "key_text", "tech_self_score"])
-    order = ["assessment_id", "key_text", "report_file", "report_block", "report_row"]
-    long = explode_map(pairs, order, "tech_self_score", "language", "score").where(
-        F.col("assessment_id").isNotNull()
-    )
-    dim = dense_ids(long, "language", [*order, "_at"], "language_id", start=0, nulls="drop")
-    scores = lookup(long, dim, ["language"], "left").select(
-        F.col("assessment_id").alias("applicationid"), "language_id", "score"
+    results = stage(_results(reports).where(F.col("assessment_id").isNotNull()), "extract-assessments")
+    long = explode_map(interviews, ["name", "key_text"], "tech_self_score", "language", "score")
+    long = stage(long, "extract-scores")
+    # of all pairs of a name, a language's first has the least assessment and the first interview with the language
+    tests = results.groupBy("report_name").agg(
+        F.min(F.struct("assessment_id", "report_file", "report_block", "report_row")).alias("_test")
     )
+    firsts = long.groupBy(F.upper("name").alias("_name"), "language").agg(F.min(F.struct("key_text", "_at")).alias("_entry"))
+    firsts = name_join(firsts, tests, F.col("_name"), F.col("report_name")).select("language", "_test.*", "_entry.*")
+    order = ["assessment_id", "key_text", "report_file", "report_block", "report_row", "_at"]
+    dim = stage(dense_ids(firsts, "language", order, "language_id", start=0, nulls="drop"), "extract-languages")
+    coded = lookup(long, dim, ["language"], "left")
+    pairs = name_join(coded, results.select("report_name", "assessment_id"), F.col("name"), F.col("report_name"))
+    scores = pairs.select(F.col("assessment_id").alias("applicationid"), "language_id", "score")
     return scores, dim.select("language", "language_id")

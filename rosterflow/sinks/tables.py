@@ -8,6 +8,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rosterflow.plans.appending import continue_star
 from rosterflow.session import together
 
 _LOG = "_versions"
@@ -44,20 +45,16 @@ def append_candidates(df: DataFrame, target: str) -> None:
 
 
 def write_star(tables: dict[str, DataFrame], target: str, mode: str = "refresh") -> str:
-    """Write all tables; return the folder written to.
+    """Write all tables as a new version and then log it; return the folder written to.
 
-    "refresh" writes a new version and then logs it, so readers see the old version until all
-    tables are complete and no path is overwritten while it is read. "append" adds rows to the
-    current version, parents first.
+    Readers see the old version until all tables are complete, and no path is overwritten while it is read. "refresh"
+    stores the tables as they are; "append" adds to the current version what it lacks (see ``continue_star``).
     """
+    if mode not in ("refresh", "append"):
+        raise ValueError("mode must be refresh or append")
     spark = next(iter(tables.values())).sparkSession
     if mode == "append":
-        folder = current_version(spark, target)
-        for name, df in tables.items():
-            df.write.mode("append").parquet(f"{folder}/{name}")
-        return folder
-    if mode != "refresh":
-        raise ValueError("mode must be refresh or append")
+        tables = continue_star(read_star(spark, target), tables)
     version = f"v-{uuid.uuid4().hex}"
     folder = f"{target}/{version}"
     together(spark, *(partial(_write, df, f"{folder}/{name}") for name, df in tables.items()))

@@ -7,6 +7,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from rosterflow.checks.oracles import ORACLES
+from rosterflow.checks.queries import QUERIES
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -30,10 +32,10 @@ def _rows(rows, columns, names):
     return sorted(tuple(_text(r[i]) for i in places) for r in rows)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, db, name):
-    df = entry.queries()[name](spark, SF)
-    result = db.execute(entry.oracle_sql()[name])
+    df = QUERIES[name](spark, SF)
+    result = db.execute(ORACLES[name])
     columns = [c[0] for c in result.description]
     names = sorted(columns)
     assert sorted(df.columns) == names
@@ -41,7 +43,7 @@ def test_query_matches_sql(spark, db, name):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_entry(spark):

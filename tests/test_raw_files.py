@@ -240,8 +240,13 @@ def test_write_and_refresh(spark, star, tmp_path):
     second = write_star(star, target)
     assert first != second
     assert read_star(spark, target)["talent"].count() == 5
-    write_star(star, target, mode="append")
-    assert read_star(spark, target)["talent"].count() == 10
+    before = {n: sorted(map(repr, df.collect())) for n, df in star.items()}
+    violations = {tuple(r) for r in audit_star(star).collect()}
+    for _ in range(2):
+        write_star(star, target, mode="append")
+        stored = read_star(spark, target)
+        assert {n: sorted(map(repr, stored[n].select(df.columns).collect())) for n, df in star.items()} == before
+    assert {tuple(r) for r in audit_star(stored).collect()} == violations
     assert spark.read.parquet(f"{first}/talent").count() == 5
     with pytest.raises(ValueError):
         write_star(star, target, mode="other")
@@ -252,6 +257,36 @@ def test_write_and_refresh(spark, star, tmp_path):
     assert spark.read.option("header", True).csv(str(tmp_path / "csv" / "strengths")).columns == ["strength_id", "strength"]
 
 
+def test_append_continues_ids(spark, star, tmp_path):
+    """A load of other people: their recruiters, strengths and records get the next ids, references follow."""
+    target = str(tmp_path / "store")
+    write_star(star, target)
+    longer = {n: df for n, df in star.items()}
+    longer["recruiters"] = spark.createDataFrame([(1, "New Rec"), (2, "Rec One")], star["recruiters"].schema)
+    person = star["applicants"].limit(1).withColumn("applicant_id", F.lit("newperson20200101"))
+    longer["applicants"] = person.withColumn("recruiter_id", F.lit(1).cast("long"))
+    record = star["talent"].where("json_key = 10383").withColumns(
+        {"applicant_id": F.lit("newperson20200101"), "json_key": F.lit(555).cast("long"), "talent_id": F.lit(1).cast("long")}
+    )
+    lost = record.withColumns({"applicant_id": F.lit("lost"), "json_key": F.lit(1_000_000_000).cast("long"), "talent_id": F.lit(2).cast("long")})
+    longer["talent"] = record.unionByName(lost)
+    longer["strengths"] = spark.createDataFrame([(0, "Brave"), (1, "Kind")], star["strengths"].schema)
+    longer["strengths_junction"] = spark.createDataFrame([(555, 0), (555, 1)], star["strengths_junction"].schema)
+    write_star(longer, target, mode="append")
+    stored = read_star(spark, target)
+    names = {r.recruiter_id: r.recruiter_name for r in stored["recruiters"].collect()}
+    assert len(names) == star["recruiters"].count() + 1
+    new = stored["applicants"].where("applicant_id = 'newperson20200101'").first()
+    assert names[new.recruiter_id] == "New Rec"
+    talent = {r.applicant_id: r for r in stored["talent"].collect()}
+    assert sorted(r.talent_id for r in talent.values()) == list(range(1, star["talent"].count() + 3))
+    assert talent["lost"].json_key == 1 + max(r.json_key for r in star["talent"].collect())
+    kept = stored["strengths_junction"].join(stored["strengths"], "strength_id").where("json_key = 555").collect()
+    assert {r.strength for r in kept} == {"Brave", "Kind"}
+    before, after = ({(r.table_name, r.rule): r.violations for r in audit_star(t).collect() if "pk" in r.rule or r.rule == "unique"} for t in (star, stored))
+    assert before == after
+
+
 def test_candidates(spark, tmp_path):
     df = spark.createDataFrame([(1, "x", "20190101", "u1", "2019-01-01")], ["id", "invited_date", "iddate", "uniqueid", "Invited on"])
     append_candidates(df, str(tmp_path / "c"))

@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -112,16 +113,26 @@ def parse(names: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return _mix(total * inverse[start] + (end - start).astype(np.uint64)), np.searchsorted(start, first)
 
 
-def _sketches(texts: list[str]) -> list[str]:
-    """Fingerprints of texts that are not empty, parsed side by side."""
+def _phrases(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Names and beginnings of texts that are not empty, parsed side by side, for each of LEVELS."""
     names = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
     first = np.concatenate(([0], np.cumsum([len(t) for t in texts[:-1]]))).astype(np.int64)
-    parts = []
     for level in range(1, max(LEVELS) + 1):
         names, first = parse(names, first)
         if level in LEVELS:
-            hashed = names.astype(np.uint32)[:, None] * _MULTIPLY + _ADD
-            parts.append(np.minimum.reduceat(hashed, first, axis=0))
+            yield names, first
+
+
+def phrase_names(text: str) -> list[np.ndarray]:
+    """Names of a text's phrases in order, for each of LEVELS; none for the empty text."""
+    return [names for names, _ in _phrases([text])] if text else [np.zeros(0, np.uint64)] * len(LEVELS)
+
+
+def _sketches(texts: list[str]) -> list[str]:
+    parts = []
+    for names, first in _phrases(texts):
+        hashed = names.astype(np.uint32)[:, None] * _MULTIPLY + _ADD
+        parts.append(np.minimum.reduceat(hashed, first, axis=0))
     numbers = _mix(np.concatenate(parts, axis=1).astype(np.uint64)) >> np.uint64(48)
     return [row.tobytes().hex() for row in numbers.astype(">u2")]
 
@@ -187,14 +198,18 @@ def edit_trial(docs: DataFrame) -> DataFrame:
     edited_fingerprint, near_edited and near_next.
 
     The next row is that of the next greater id; after the last comes the first. A null text is empty, a null id comes
-    first, rows of equal id are ordered by text, a single row is its own next, an empty table gives no rows; further
-    columns are not looked at. Texts are sorted once in ranges (equal ids are split by a hash of the text, so they do
+    first, rows of equal id are ordered by a hash of the text, a single row is its own next, an empty table gives no rows; further
+    columns are not looked at. Texts are sorted once in ranges, compressed (equal ids are split by the hash, so they do
     not pile up in one task). Each task hands over its first and its last text, which are then matched by task.
     """
     spark = docs.sparkSession
     text = F.coalesce("text", F.lit("")).alias("text")
-    keys = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text").asc(), F.col("text").asc()]
-    rows = docs.select("doc_id", text).repartitionByRange(*keys[:2]).sortWithinPartitions(*keys)
+    keys = [F.col("doc_id").asc_nulls_first(), F.col("turn").asc()]
+    small = T.StructType(
+        [*typed(docs, "doc_id"), T.StructField("turn", T.LongType()), T.StructField("packed", T.BinaryType())]
+    )
+    rows = docs.select("doc_id", text).select("doc_id", F.xxhash64("text").alias("turn"), "text")
+    rows = rows.mapInArrow(_squeeze, small).repartitionByRange(*keys).sortWithinPartitions(*keys)
     result = [
         *typed(docs, "doc_id"),
         T.StructField("n_chars", T.LongType()),
@@ -202,8 +217,11 @@ def edit_trial(docs: DataFrame) -> DataFrame:
         *(T.StructField(n, T.DoubleType()) for n in ("near_edited", "near_next")),
     ]
     edge = [T.StructField("part", T.IntegerType()), T.StructField("side", T.StringType()), T.StructField("text", T.StringType())]
-    schema = T.StructType([*result, *edge])
+    prints = ("fingerprint", "edited_fingerprint")
+    narrow = [T.StructField(f.name, T.BinaryType()) if f.name in prints else f for f in result]
+    schema = T.StructType([*narrow, *edge])
     staged = stage(rows.mapInArrow(_within(schema), schema), "phrases")
+    staged = staged.withColumns({n: F.lower(F.hex(n)) for n in prints})
     done = staged.where("side IS NULL").select(*[f.name for f in result])
     ends = staged.where("side IS NOT NULL")
     parts = sorted(r[0] for r in ends.select("part").distinct().collect())
@@ -225,25 +243,34 @@ def _batch(rows: list[tuple], schema: T.StructType) -> pa.RecordBatch:
     return pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows), arrow)], schema=arrow)
 
 
+def _squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    compress = zstandard.ZstdCompressor(level=1).compress
+    for batch in batches:
+        packed = pa.array([compress(t.encode()) for t in batch.column("text").to_pylist()], pa.binary())
+        yield pa.record_batch([batch.column("doc_id"), batch.column("turn"), packed], names=["doc_id", "turn", "packed"])
+
+
 def _within(schema: T.StructType):
     """Rows of one range, in order; the first is handed over as well, the last instead."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, held, blank = TaskContext.get().partitionId(), [], (None,) * 3
+        restore, raw = zstandard.ZstdDecompressor().decompress, bytes.fromhex
         for whole in batches:
             for at in range(0, whole.num_rows, _SLICE):
                 batch = whole.slice(at, _SLICE)
-                texts, out = batch.column("text").to_pylist(), []
+                texts, out = [restore(p).decode() for p in batch.column("packed").to_pylist()], []
                 rows = list(zip(batch.column("doc_id").to_pylist(), texts, fingerprints_of(texts)))
                 if not held:
-                    out.append((rows[0][0], *blank[:2], rows[0][2], *blank, part, "first", rows[0][1]))
+                    out.append((rows[0][0], *blank[:2], raw(rows[0][2]), *blank, part, "first", rows[0][1]))
                 rows = held + rows
-                out += [(*r, *blank) for r in _rows(rows[:-1], rows[1:])]
+                for doc_id, n, sha, own, other, *near in _rows(rows[:-1], rows[1:]):
+                    out.append((doc_id, n, sha, raw(own), raw(other), *near, *blank))
                 held = rows[-1:]
                 if out:
                     yield _batch(out, schema)
         for doc_id, text, own in held:
-            yield _batch([(doc_id, *blank[:2], own, *blank, part, "last", text)], schema)
+            yield _batch([(doc_id, *blank[:2], raw(own), *blank, part, "last", text)], schema)
 
     return run
 

@@ -69,6 +69,18 @@ def length_audit(df: DataFrame, table: str, limits: dict[str, int]) -> DataFrame
     return _long(counts, table, "length", list(limits))
 
 
+def column_audit(df: DataFrame, table: str, missing: dict[str, list[str]], limits: dict[str, int]) -> DataFrame:
+    """Nulls by rule and column, and values longer than allowed, from one pass over the table."""
+    checks = [(rule, c, F.col(c).isNull()) for rule, columns in missing.items() for c in columns]
+    checks += [("length", c, F.length(c) > n) for c, n in limits.items()]
+    counts = df.agg(*[F.count_if(test).cast("long").alias(f"_{i}") for i, (_, _, test) in enumerate(checks)])
+    rows = [
+        F.struct(F.lit(rule).alias("rule"), F.lit(column).alias("column_name"), F.col(f"_{i}").alias("violations"))
+        for i, (rule, column, _) in enumerate(checks)
+    ]
+    return counts.select(F.lit(table).alias("table_name"), F.inline(F.array(*rows)))
+
+
 def key_audit(df: DataFrame, table: str, pk: str) -> DataFrame:
     """Primary key: not null and unique."""
     return not_null_audit(df, table, [pk], "pk_not_null").unionByName(

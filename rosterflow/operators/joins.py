@@ -68,9 +68,12 @@ def _whole(df: DataFrame, key: str) -> Column:
 
 
 def orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
-    """Child rows whose non-null reference has no parent."""
+    """Child rows whose non-null reference has no parent.
+
+    Both are stored tables, whose sizes Spark knows from their files, so nothing is measured first.
+    """
     keys = parent.select(F.col(pk).alias(fk)).where(F.col(fk).isNotNull())
-    return lookup(child.where(F.col(fk).isNotNull()), keys, [fk], "left_anti")
+    return equi_join(child.where(F.col(fk).isNotNull()), keys, [fk], "left_anti", False)
 
 
 def attach_ids(df: DataFrame, dim: DataFrame, value: str) -> DataFrame:

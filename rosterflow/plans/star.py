@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from functools import partial
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterflow.operators import audit as A
 from rosterflow.operators.joins import keep_members, surrogate_join
-from rosterflow.operators.numbering import number_rows, synthetic_keys
+from rosterflow.operators.numbering import SYNTHETIC_BASE, number_rows
 from rosterflow.operators.reshape import TRAITS
 from rosterflow.plans import academy as academy_plan
 from rosterflow.plans.applicants import ORDER, applicant_tables
@@ -198,10 +196,17 @@ def assemble_star(
 
 
 def _stored_talent(talent: DataFrame, skip: int) -> DataFrame:
-    """Records with a file are stored first, then those that get a key here."""
+    """Records with a file are stored first, then those that get a key here; the first ``skip`` of these are left out.
+
+    One numbering gives both ids: the made keys count the rows behind the last record with a file.
+    """
     flagged = talent.withColumn("no_file", F.col("json_key").isNull().cast("int"))
-    keyed = synthetic_keys(flagged, "json_key", ["applicant_id"], skip=skip)
-    return number_rows(keyed, ["no_file", "applicant_id"], "talent_id", 1)
+    placed = number_rows(flagged, ["no_file", "applicant_id"], "_place")
+    late = F.col("_place") - F.lit(talent.where(F.col("json_key").isNotNull()).count())
+    keyless = F.col("no_file") == 1
+    rows = placed.withColumn("talent_id", F.col("_place") + 1 - F.when(keyless, skip).otherwise(0))
+    rows = rows.withColumn("json_key", F.coalesce("json_key", late + SYNTHETIC_BASE).cast("long"))
+    return rows.where(~keyless | (late >= skip)).drop("_place")
 
 
 def _stored_marks(behaviours: DataFrame, trainees: DataFrame) -> DataFrame:
@@ -241,14 +246,15 @@ def load_rejects(objects: DataFrame, lines: DataFrame, people: DataFrame, marks:
 
 def audit_star(tables: dict[str, DataFrame]) -> DataFrame:
     """Violations per rule (table_name, rule, column_name, violations); expected to be zero."""
-    spark = tables["talent"].sparkSession
-    parts = [A.key_audit(tables[t], t, pk) for t, pk in PRIMARY_KEYS.items()]
+    parts = []
+    for name in COLUMNS:
+        keys = [PRIMARY_KEYS[name]] if name in PRIMARY_KEYS else []
+        missing = {"pk_not_null": keys, "not_null": NOT_NULL.get(name, [])}
+        if any(missing.values()) or name in LENGTHS:
+            parts.append(A.column_audit(tables[name], name, missing, LENGTHS.get(name, {})))
+        parts += [A.unique_audit(tables[name], name, key, "pk_unique") for key in keys]
     parts += [A.unique_audit(tables[t], t, c) for t, c in UNIQUE]
-    parts += together(
-        spark, *(partial(A.orphan_audit, tables[c], c, fk, tables[p], pk) for c, fk, p, pk in FOREIGN_KEYS)
-    )
-    parts += [A.not_null_audit(tables[t], t, cols) for t, cols in NOT_NULL.items()]
-    parts += [A.length_audit(tables[t], t, limits) for t, limits in LENGTHS.items()]
+    parts += [A.orphan_audit(tables[c], c, fk, tables[p], pk) for c, fk, p, pk in FOREIGN_KEYS]
     return A.union_audits(parts)
 
 

@@ -95,7 +95,8 @@ def exact_duplicates(
     first = hit_texts.where("at = first").select(F.col("key").alias("k"), F.col("content").alias("known"))
     others = hit_texts.where("at != first")
     differ = others.join(first, (F.col("key") == F.col("k")) & (F.col("content") != F.col("known")))
-    shared = stage(differ.select("key").distinct(), "dedup-shared")
+    # written right behind the join, which can then be split where one text has many copies
+    shared = stage(differ.select("key"), "dedup-differ").distinct()
 
     size = F.col("size")
     found = rows.join(groups, "key").select("doc_id", "text_sha256", "key", "at", "best", size.alias("group_size"))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rosterflow.llm.common import lists_of, texts_of, typed
-from rosterflow.llm.mixing import id_hash
+from rosterflow.llm.sampling import id_hash, within_share
 
 BUCKETS = 1 << 13
 #: documents per language that a fit may use, those with the least id hashes
@@ -101,8 +101,8 @@ def fit(docs: DataFrame, train: Column | None = None, most: int = MOST_PER_LANGU
     rows = rows.where(train) if train is not None else rows
     ids = rows.select("doc_id", "lang", id_hash(F.col("doc_id")).alias("hash"))
     counts = ids.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).withColumnRenamed("lang", "name")
-    below = F.col("hash") / F.lit(float(1 << 60)) <= F.lit(2.0 * most + 50) / F.col("n")
-    few = ids.join(F.broadcast(counts), (F.col("lang") == F.col("name")) & below)
+    below = within_share(F.lit(2.0 * most + 50) / F.col("n"))
+    few = ids.join(counts, (F.col("lang") == F.col("name")) & below)
     order = Window.partitionBy("lang").orderBy("hash", "doc_id")
     chosen = few.withColumn("place", F.row_number().over(order)).where(F.col("place") <= most)
     chosen = chosen.select(F.col("doc_id").alias("chosen_id"), F.col("lang").alias("chosen_lang")).distinct()

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rosterflow.llm.common import word_count
+from rosterflow.llm.sampling import id_hash
 from rosterflow.session import stage
 
 #: bits of the hash that each round of histograms looks at; a source's histogram has at most 2 ** BITS rows
@@ -45,11 +46,6 @@ def targets(sizes: DataFrame, weights: list[float], total: float, repeats: int =
     return share.withColumn("target", target).select("source", "source_size", "target")
 
 
-def id_hash(doc_id: Column) -> Column:
-    """The first 60 bits of the MD5 of the id as text; 0 for null."""
-    return F.coalesce(F.conv(F.substring(F.md5(doc_id.cast("string")), 1, 15), 16, 10).cast("long"), F.lit(0))
-
-
 def _piece(level: int) -> Column:
     """The bits of the hash that round ``level`` looks at."""
     return F.shiftright("hash", BITS * (ROUNDS - level - 1)).bitwiseAND(F.lit((1 << BITS) - 1))

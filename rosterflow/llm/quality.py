@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rosterflow.llm.common import held_out, lists_of, texts_of, typed
-from rosterflow.llm.mixing import id_hash
+from rosterflow.llm.sampling import least_hashes
 
 #: hashed words and, after them, hashed shapes and repeats
 WORDS, SHAPES = 1 << 15, 1 << 12
@@ -136,7 +136,7 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column | None = None, most: i
     labelled = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
     labelled = labelled.where(train) if train is not None else labelled
     labelled = labelled.groupBy("doc_id").agg(F.avg("quality").alias("quality"))
-    sample = labelled.orderBy(id_hash(F.col("doc_id")), "doc_id").limit(most)
+    sample = least_hashes(labelled, most)
     bag = T.StructType(
         [
             T.StructField("doc_id", docs.schema["doc_id"].dataType),

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rosterflow.llm.common import lists_of, texts_of, typed
-from rosterflow.llm.mixing import id_hash
+from rosterflow.llm.sampling import least_hashes
 
 BUCKETS = 1 << 20
 #: labelled documents of each label that a fit may use, those with the least id hashes
@@ -105,9 +105,8 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column | None = None, grade:
     rows = labels.where(F.col("doc_id").isNotNull() & kind.isNotNull() & level.isNotNull())
     rows = rows.where(train) if train is not None else rows
     rows = rows.groupBy("doc_id").agg(F.max(kind).alias("toxic"), F.max(level).alias("grade"))
-    order = (id_hash(F.col("doc_id")), "doc_id")
-    sample = rows.where("toxic > 0").orderBy(*order).limit(MOST_PER_LABEL)
-    sample = sample.unionByName(rows.where("toxic <= 0").orderBy(*order).limit(MOST_PER_LABEL))
+    sample = least_hashes(rows.where("toxic > 0"), MOST_PER_LABEL)
+    sample = sample.unionByName(least_hashes(rows.where("toxic <= 0"), MOST_PER_LABEL))
     bag = T.StructType(
         [
             T.StructField("doc_id", docs.schema["doc_id"].dataType),

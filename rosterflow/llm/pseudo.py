@@ -29,9 +29,9 @@ VOCABULARY, OTHERS = 8192, 256
 SYMBOLS = VOCABULARY + OTHERS + 1
 EDGE = SYMBOLS - 1
 #: classes that the network predicts, words seen on each side, size of the hidden layer
-CLASSES, SIDE, HIDDEN = 64, 2, 16
-#: every position is predicted when scoring; training takes one in STRIDE positions of every document
-STRIDE, BATCH, RATE = 8, 1024, 0.3
+CLASSES, SIDE, HIDDEN = 48, 2, 16
+#: positions per gradient step, and the first step's rate
+BATCH, RATE = 1024, 0.3
 #: models that are averaged by one task
 FAN_IN = 32
 #: distinct words that a counting task holds before it hands them on
@@ -100,7 +100,12 @@ class Counts:
 def count(docs: DataFrame) -> Counts:
     """Counts over all documents; the VOCABULARY most frequent words come to the driver, and one sum per bucket."""
     counts = stage(word_counts(docs), "word-counts")
-    top = counts.orderBy(F.desc("n"), "word").limit(VOCABULARY).collect()
+    # sizes of the counts first: only words that may be among the most frequent are sorted and leave their tasks
+    size = F.floor(F.log2(F.col("n").cast("double")) * 16).alias("size")
+    sizes = sorted(((r["size"], r["words"]) for r in counts.groupBy(size).agg(F.count(F.lit(1)).alias("words")).collect()), reverse=True)
+    upto = [s for i, (s, _) in enumerate(sizes) if sum(w for _, w in sizes[:i]) < VOCABULARY]
+    often = counts.where(size >= F.lit(min(upto, default=0)))
+    top = often.orderBy(F.desc("n"), "word").limit(VOCABULARY).collect()
     vocabulary = [r["word"] for r in top]
     bucket = F.crc32(F.col("word").cast("binary")) % OTHERS
     sums = {r["b"]: r["n"] for r in counts.groupBy(bucket.alias("b")).agg(F.sum("n").alias("n")).collect()}
@@ -168,16 +173,35 @@ class Network:
         np.add.at(self.table.reshape(-1), flat, moved.astype(np.float32))
 
 
-def _trained(texts: Iterator[str], counts: Counts) -> Network:
-    """One pass over the texts of a task: one position in STRIDE, starting at a place that depends on the text."""
-    numbers, network = _Numbers(counts.vocabulary), Network()
-    held, size, seen = [], 0, 0
-    for text in texts:
-        symbols = numbers.symbols(text)
-        chosen = np.arange(len(symbols) % STRIDE if len(symbols) > STRIDE else 0, len(symbols), STRIDE)
-        if len(chosen):
-            held.append((Network.windows(symbols)[chosen], counts.group[symbols[chosen]]))
-            size += len(chosen)
+def encode(docs: DataFrame, counts: Counts) -> DataFrame:
+    """(doc_id, symbols) of every row, written once for training and scoring; symbols as 16-bit little-endian bytes.
+
+    A null text has no symbols. Equal rows all stay; further columns are not looked at.
+    """
+    schema = T.StructType([*typed(docs, "doc_id"), T.StructField("symbols", T.BinaryType())])
+    shared = docs.sparkSession.sparkContext.broadcast(counts.vocabulary)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers = _Numbers(shared.value)
+        for batch, texts in texts_of(batches):
+            packed = pa.array([numbers.symbols(t).astype("<u2").tobytes() for t in texts], pa.binary())
+            yield pa.record_batch([batch.column("doc_id"), packed], names=schema.names)
+
+    return stage(docs.select("doc_id", "text").mapInArrow(run, schema), "symbols")
+
+
+def _symbols_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
+    for batch in batches:
+        yield batch, [np.frombuffer(b, "<u2").astype(np.int64) for b in batch.column("symbols").to_pylist()]
+
+
+def _trained(documents: Iterator[np.ndarray], counts: Counts) -> Network:
+    """One pass over all positions of the documents of a task, shuffled in parts."""
+    network, held, size, seen = Network(), [], 0, 0
+    for symbols in documents:
+        if len(symbols):
+            held.append((Network.windows(symbols), counts.group[symbols]))
+            size += len(symbols)
         if size >= BATCH * 16:
             seen = _fed(network, held, seen)
             held, size = [], 0
@@ -196,24 +220,24 @@ def _fed(network: Network, held: list, seen: int) -> int:
     return seen
 
 
-def train(docs: DataFrame, counts: Counts) -> Network:
-    """Averages the models of all tasks, weighed by their tokens, FAN_IN at a time; one model comes to the driver."""
+def train(encoded: DataFrame, counts: Counts) -> Network:
+    """Learns from every position of every document. Averages the models of all tasks, weighed by their tokens, FAN_IN at a time; one model comes to the driver."""
     schema = T.StructType(
         [T.StructField("part", T.LongType()), T.StructField("weight", T.DoubleType()), T.StructField("model", T.BinaryType())]
     )
-    shared = docs.sparkSession.sparkContext.broadcast(counts)
+    shared = encoded.sparkSession.sparkContext.broadcast(counts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = 0
 
-        def texts() -> Iterator[str]:
+        def documents() -> Iterator[np.ndarray]:
             nonlocal words
-            for _, found in texts_of(batches):
-                for text in found:
-                    words += len(text)
-                    yield text
+            for _, found in _symbols_of(batches):
+                for symbols in found:
+                    words += len(symbols)
+                    yield symbols
 
-        vector = _trained(texts(), shared.value).vector()
+        vector = _trained(documents(), shared.value).vector()
         if words:
             row = [TaskContext.get().partitionId()], [float(words)], [vector.astype("<f4").tobytes()]
             kinds = (pa.int64(), pa.float64(), pa.binary())
@@ -227,7 +251,7 @@ def train(docs: DataFrame, counts: Counts) -> Network:
         row = int(rows["part"].min()) // FAN_IN, weight, total.astype("<f4").tobytes()
         return pd.DataFrame([row], columns=schema.names)
 
-    models = stage(docs.select("text").mapInArrow(run, schema), "pseudo-models")
+    models = stage(encoded.select("symbols").mapInArrow(run, schema), "pseudo-models")
     most = models.agg(F.max("part")).first()[0]
     while most is not None and most > 0:
         models = stage(models.groupBy(F.expr(f"part DIV {FAN_IN}")).applyInPandas(average, schema), "pseudo-averages")
@@ -236,7 +260,7 @@ def train(docs: DataFrame, counts: Counts) -> Network:
     return Network(np.frombuffer(last["model"], "<f4")) if last else Network()
 
 
-def score(docs: DataFrame, counts: Counts, network: Network) -> DataFrame:
+def score(encoded: DataFrame, counts: Counts, network: Network) -> DataFrame:
     """doc_id, n_tokens, log_likelihood (sum over all tokens) and mean_log_likelihood of every row.
 
     A null or empty text has no tokens, sum 0 and a null mean. Equal texts score alike; rows may repeat; an empty table
@@ -244,28 +268,25 @@ def score(docs: DataFrame, counts: Counts, network: Network) -> DataFrame:
     """
     schema = T.StructType(
         [
-            *typed(docs, "doc_id"),
+            *typed(encoded, "doc_id"),
             T.StructField("n_tokens", T.LongType()),
             T.StructField("log_likelihood", T.DoubleType()),
             T.StructField("mean_log_likelihood", T.DoubleType()),
         ]
     )
-    shared = docs.sparkSession.sparkContext.broadcast((counts, network.vector()))
+    shared = encoded.sparkSession.sparkContext.broadcast((counts, network.vector()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, vector = shared.value
-        numbers, net = _Numbers(found.vocabulary), Network(vector)
-        for batch, texts in texts_of(batches):
-            sizes, sums = [], []
-            for text in texts:
-                symbols = numbers.symbols(text)
-                sizes.append(len(symbols))
-                sums.append(pseudo_likelihood(net, found, symbols))
+        net = Network(vector)
+        for batch, documents in _symbols_of(batches):
+            sizes = [len(symbols) for symbols in documents]
+            sums = [pseudo_likelihood(net, found, symbols) for symbols in documents]
             means = [s / n if n else None for s, n in zip(sums, sizes)]
             columns = [pa.array(sizes, pa.int64()), pa.array(sums, pa.float64()), pa.array(means, pa.float64())]
             yield pa.record_batch([batch.column("doc_id"), *columns], names=schema.names)
 
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return encoded.select("doc_id", "symbols").mapInArrow(run, schema)
 
 
 def pseudo_likelihood(network: Network, counts: Counts, symbols: np.ndarray, at_once: int = 2048) -> float:

@@ -21,7 +21,8 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     counts = pseudo.count(docs)
-    return pseudo.score(docs, counts, pseudo.train(docs, counts))
+    encoded = pseudo.encode(docs, counts)
+    return pseudo.score(encoded, counts, pseudo.train(encoded, counts))
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -133,7 +133,7 @@ def test_toxicity_of_messy_rows(spark, tables):
 @pytest.fixture(scope="module")
 def language_model(tables):
     counts = pseudo.count(tables[0])
-    return counts, pseudo.train(tables[0], counts)
+    return counts, pseudo.train(pseudo.encode(tables[0], counts), counts)
 
 
 def test_counts_cover_all_documents(tables, language_model):
@@ -151,7 +151,7 @@ def test_counts_cover_all_documents(tables, language_model):
 def test_scores_against_plain_sums(spark, tables, language_model):
     counts, network = language_model
     docs = tables[0].where("doc_id < 6")
-    found = {r["doc_id"]: r for r in pseudo.score(docs, counts, network).collect()}
+    found = {r["doc_id"]: r for r in pseudo.score(pseudo.encode(docs, counts), counts, network).collect()}
     numbers = pseudo._Numbers(counts.vocabulary)
     for r in docs.collect():
         symbols, total = numbers.symbols(r["text"]), 0.0
@@ -179,26 +179,28 @@ def test_both_sides_help(tables, language_model):
 
 
 def test_averaging_is_the_mean_of_the_tasks(spark, tables):
-    docs = tables[0].where("doc_id < 60").select("doc_id", "text").repartition(3, "doc_id").cache()
+    docs = tables[0].where("doc_id < 60")
     counts = pseudo.count(docs)
-    parts = docs.groupBy(F.spark_partition_id().alias("p")).agg(F.collect_list(F.struct("doc_id", "text")).alias("rows")).collect()
-    network = pseudo.train(docs, counts).vector()
+    encoded = pseudo.encode(docs, counts).repartition(3, "doc_id").cache()
+    network = pseudo.train(encoded, counts).vector()
     own, weight = [], []
-    for texts in (docs.rdd.glom().map(lambda rows: [r["text"] for r in rows]).collect()):
-        if texts:
-            own.append(pseudo._trained(iter(texts), counts).vector())
-            weight.append(sum(map(len, texts)))
-    assert len(parts) == len(own) and np.allclose(network, np.average(own, axis=0, weights=weight), atol=1e-5)
+    for rows in encoded.rdd.glom().collect():
+        documents = [np.frombuffer(r["symbols"], "<u2").astype(np.int64) for r in rows]
+        if documents:
+            own.append(pseudo._trained(iter(documents), counts).vector())
+            weight.append(sum(map(len, documents)))
+    assert len(own) == 3 and np.allclose(network, np.average(own, axis=0, weights=weight), atol=1e-5)
 
 
 def test_pseudo_likelihood_of_messy_rows(spark, language_model):
     df = messy(spark)
-    found = pseudo.score(df, *language_model).collect()
+    counts = language_model[0]
+    found = pseudo.score(pseudo.encode(df, counts), *language_model).collect()
     assert len(found) == df.count()
     blank = [r for r in found if r["doc_id"] in (2, 3, 4)]
     assert all((r["n_tokens"], r["log_likelihood"], r["mean_log_likelihood"]) == (0, 0, None) for r in blank)
     assert {r["n_tokens"] for r in found if r["doc_id"] == 5} == {len(LONG.split())}
-    assert pseudo.score(empty(spark), *language_model).collect() == []
+    assert pseudo.score(pseudo.encode(empty(spark), counts), *language_model).collect() == []
     nothing = pseudo.count(empty(spark))
-    network = pseudo.train(empty(spark), nothing)
-    assert pseudo.score(df, nothing, network).count() == df.count()
+    network = pseudo.train(pseudo.encode(empty(spark), nothing), nothing)
+    assert pseudo.score(pseudo.encode(df, nothing), nothing, network).count() == df.count()

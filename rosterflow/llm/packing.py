@@ -199,11 +199,18 @@ def sequences(pieces: DataFrame, length: int = 2048, pad_id: int = 0) -> DataFra
 
     ``pieces`` with ids, of which a sequence holds at most ``length``, so a group is bounded.
     """
-    word = F.udf(lambda parts: np.frombuffer(b"".join(parts), "<u4").tolist(), T.ArrayType(T.LongType()))
-    ordered = F.array_sort(F.collect_list(F.struct("offset", "ids")))
-    tokens = F.sum("length")
-    rows = pieces.groupBy("sequence_id").agg(ordered.alias("parts"), tokens.alias("tokens"))
-    width = F.when(F.bit_count("tokens") == 1, F.col("tokens")).otherwise(F.lit(length))
-    ids = word(F.col("parts.ids"))
-    padding = F.array_repeat(F.lit(pad_id).cast("long"), (width - F.col("tokens")).cast("int"))
-    return rows.select("sequence_id", "tokens", F.concat(ids, padding).alias("ids"))
+    parts = F.array_sort(F.collect_list(F.struct("offset", "ids")))
+    rows = pieces.groupBy("sequence_id").agg(parts.alias("parts"), F.sum("length").alias("tokens"))
+    schema = "sequence_id long, tokens long, ids array<long>"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = []
+            for parts in batch.column("parts").to_pylist():
+                real = np.frombuffer(b"".join(parts), "<u4").astype(np.int64)
+                n = len(real)
+                ids.append(np.pad(real, (0, 0 if n & (n - 1) == 0 else length - n), constant_values=pad_id))
+            columns = [batch.column("sequence_id"), batch.column("tokens"), pa.array(ids, pa.list_(pa.int64()))]
+            yield pa.record_batch(columns, names=["sequence_id", "tokens", "ids"])
+
+    return rows.select("sequence_id", F.col("parts.ids").alias("parts"), "tokens").mapInArrow(run, schema)

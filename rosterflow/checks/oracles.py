@@ -651,4 +651,15 @@ ORACLES: dict[str, str] = {
         ["base"],
         "SELECT CAST(k AS INTEGER) AS id, name, pr AS recruiter_name, CAST(k % 3 > 0 AS INTEGER) AS batch_id FROM base",
     ),
+    "talent_files": f"""SELECT s_name AS name, '2019-0' || (s_nationkey % 9 + 1) || '-01' AS date, CAST(s_suppkey % 7 AS INTEGER) AS java,
+        CASE s_suppkey % 3 WHEN 0 THEN 'Yes' WHEN 1 THEN 'No' ELSE 'Maybe' END AS geo_flex,
+        {_strip('s_name')} || '20190' || (s_nationkey % 9 + 1) || '01' AS person_id, NULL AS reason FROM supplier
+        UNION ALL SELECT CAST(s_nationkey AS VARCHAR), NULL, NULL, NULL, NULL, 'no whole number in the file name' FROM supplier""",
+    "shredded_talent": _with(
+        ["intv", "tech_long", "strength_long", "weakness_long"],
+        f"""SELECT 'tech' AS part, json_key, tech_name AS value, score FROM tech_long
+        UNION ALL SELECT 'core', json_key, concat_ws('|', {', '.join(f"coalesce(CAST({_flag(c)} AS VARCHAR), '-')" for c in ('self_development', 'financial_support_self', 'geo_flex'))}), NULL FROM intv
+        UNION ALL SELECT 'strength', json_key, value, NULL FROM strength_long
+        UNION ALL SELECT 'weakness', json_key, value, NULL FROM weakness_long""",
+    ),
 }

@@ -39,6 +39,7 @@ from rosterflow.sinks.tables import export_csv, export_json, read_star, write_st
 from rosterflow.sources.academy import scan_academy
 from rosterflow.sources.applicants import clean_applicants, scan_applicants
 from rosterflow.sources.reports import read_assessment_reports
+from rosterflow.sources.talent import read_talent_json, shred_talent
 from rosterflow.streaming.incremental import run_applicant_updates
 from rosterflow.sources.files import POSITION, list_files, read_csv, read_json
 
@@ -912,3 +913,35 @@ def streamed_files(spark, sf):
     run_applicant_updates(spark, root, target, f"{target}-checkpoint")
     people, recruiters = (spark.read.parquet(f"{target}/{t}") for t in ("applicants", "recruiters"))
     return people.join(recruiters.drop("batch_id"), "recruiter_id").select("id", "name", "recruiter_name", "batch_id")
+
+
+@query
+def talent_files(spark, sf):
+    """Suppliers written as interview objects, one file each, read and cleaned; what hangs on the missing key is rejected."""
+    root = _scratch(spark, "raw")
+    raw = table(spark, sf, "supplier").select(
+        F.col("s_name").alias("name"),
+        F.expr("concat('1//0', s_nationkey % 9 + 1, '/2019')").alias("date"),
+        F.expr("map('Java', s_suppkey % 7 + 0.5, 'C', CAST(NULL AS DOUBLE))").alias("tech_self_score"),
+        F.expr("array('s', CAST(s_nationkey AS STRING))").alias("strengths"),
+        F.expr("CASE s_suppkey % 3 WHEN 0 THEN 'Yes' WHEN 1 THEN 'No' ELSE 'Maybe' END").alias("geo_flex"),
+    )
+    raw.write.option("maxRecordsPerFile", 1).json(f"{root}/Talent")
+    records, rejects = read_talent_json(spark, root)
+    good = records.select(
+        "name", _iso("date"), F.col("tech_self_score")["Java"].alias("java"), "geo_flex", "person_id", F.lit(None).cast("string").alias("reason")
+    )
+    bad = rejects.select(F.get_json_object("record", "$.strengths[1]").alias("name"), "reason")
+    return good.unionByName(bad, allowMissingColumns=True)
+
+
+@query
+def shredded_talent(spark, sf):
+    """Interviews cut into core flags, language scores, strengths and weaknesses."""
+    parts = shred_talent(_interviews(spark, sf))
+    flags = [F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in ("self_development", "financial_support_self", "geo_flex")]
+    core = parts["core"].select(F.lit("core").alias("part"), "json_key", F.concat_ws("|", *flags).alias("value"))
+    tech = parts["tech"].select(F.lit("tech").alias("part"), "json_key", F.col("language").alias("value"), "score")
+    strong = parts["strengths"].select(F.lit("strength").alias("part"), "json_key", F.col("strength").alias("value"))
+    weak = parts["weaknesses"].select(F.lit("weakness").alias("part"), "json_key", F.col("weakness").alias("value"))
+    return union_by_name([tech, core, strong, weak])

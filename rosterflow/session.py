@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+#: folders of the runs that are going on, the innermost last
+_RUNS: list[str] = []
+
 
 def build_session(app: str = "rosterflow", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the jobs expect; cluster settings win when already given."""
@@ -38,14 +42,30 @@ def checkpoint_root(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+@contextmanager
+def run_folder(spark: SparkSession) -> Iterator[str]:
+    """A folder below the shared one that takes all tables staged inside the block and is removed at its end.
+
+    Results are to be written by then. Without it staged tables stay, so that lazy results remain readable.
+    """
+    folder = f"{checkpoint_root(spark)}/run-{uuid.uuid4().hex}"
+    _RUNS.append(folder)
+    try:
+        yield folder
+    finally:
+        _RUNS.remove(folder)
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once as Parquet in the shared folder and read it back.
+    """Write ``df`` once as Parquet in the shared folder, or that of the run, and read it back.
 
     Cuts the lineage, fixes row positions and ids against task retries, and keeps column
     pruning and filter pushdown for the readers (a checkpoint would store whole rows).
     """
     spark = df.sparkSession
-    path = f"{checkpoint_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{_RUNS[-1] if _RUNS else checkpoint_root(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

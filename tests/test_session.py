@@ -1,8 +1,9 @@
+import os
 from types import SimpleNamespace
 
 import pytest
 
-from rosterflow.session import checkpoint_root, stage, together
+from rosterflow.session import checkpoint_root, run_folder, stage, together
 
 
 def fake(master, conf=None, folder=None):
@@ -27,6 +28,18 @@ def test_stage_keeps_schema_and_rows(spark):
     assert stage(df.where("a > 1"), "empty").count() == 0
 
 
+def test_run_folder_is_removed(spark, tmp_path):
+    with run_folder(spark) as folder:
+        staged = stage(spark.range(5), "short")
+        with run_folder(spark) as inner:
+            assert stage(spark.range(2), "inner").inputFiles()[0].removeprefix("file://").startswith(inner.removeprefix("file:"))
+        assert not os.path.exists(inner.removeprefix("file:"))
+        assert staged.count() == 5 and os.path.exists(folder.removeprefix("file:"))
+        staged.write.parquet(str(tmp_path / "kept"))
+    assert not os.path.exists(folder.removeprefix("file:"))
+    assert spark.read.parquet(str(tmp_path / "kept")).count() == 5
+
+
 def test_together_keeps_order_and_raises(spark):
     assert together(spark, lambda: spark.range(3).count(), lambda: "b") == [3, "b"]
     with pytest.raises(ZeroDivisionError):

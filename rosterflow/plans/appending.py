@@ -50,9 +50,11 @@ def continue_star(stored: dict[str, DataFrame], new: dict[str, DataFrame]) -> di
                 rows = lookup(rows, mapped, [column], "inner" if name == "behaviours" else "left")
                 rows = rows.withColumn(column, F.col("_after").cast(kinds[column])).drop("_after")
         if name == "behaviours":
-            fresh = lookup(rows, known_ids["trainees"].where("NOT _known").select(F.col("_after").alias("trainee_id")), ["trainee_id"], "left_semi")
+            added = known_ids["trainees"].where("NOT _known").select(F.col("_after").alias("trainee_id"))
+            fresh = lookup(rows, added, ["trainee_id"], "left_semi")
         elif key is None or name == "talent":
-            fresh = lookup(rows, stage(old.select(*natural).distinct(), "stored-keys"), natural, "left_anti", null_safe=True)
+            keys = stage(old.select(*natural).distinct(), "stored-keys")
+            fresh = lookup(rows, keys, natural, "left_anti", null_safe=True)
         else:
             fresh = None
         if key is None:
@@ -65,15 +67,19 @@ def continue_star(stored: dict[str, DataFrame], new: dict[str, DataFrame]) -> di
             out[name] = old.unionByName(numbered.drop("_before"))
             continue
         # several rows may share a natural key that is not unique by nature: the n-th new one is the n-th stored one
-        stored_rows, rows = stage(_ranked(old, key, natural), "append-old"), stage(_ranked(rows, key, natural), "append-new")
+        stored_rows = stage(_ranked(old, key, natural), "append-old")
+        rows = stage(_ranked(rows, key, natural), "append-new")
         on = [*natural, "_nth"]
         same = stored_rows.select(*on, F.col(key).alias("_after"))
         joined = lookup(rows, same, on, "left", null_safe=True)
         fresh = joined.where("_after IS NULL").select(*old.columns)
         numbered = stage(_numbered(fresh, key, first, kinds[key]), f"append-{name}")
         out[name] = old.unionByName(numbered.drop("_before"))
-        ids = joined.where("_after IS NOT NULL").select(F.col(key).alias("_before"), "_after", F.lit(True).alias("_known"))
-        known_ids[name] = stage(ids.unionByName(numbered.select("_before", F.col(key).alias("_after"), F.lit(False).alias("_known"))), "append-ids")
+        ids = joined.where("_after IS NOT NULL").select(
+            F.col(key).alias("_before"), "_after", F.lit(True).alias("_known")
+        )
+        more = numbered.select("_before", F.col(key).alias("_after"), F.lit(False).alias("_known"))
+        known_ids[name] = stage(ids.unionByName(more), "append-ids")
     return out
 
 

@@ -54,7 +54,8 @@ def interview_results(interviews: DataFrame, reports: DataFrame) -> tuple[DataFr
     people = interviews.groupBy(F.upper("name").alias("_name")).agg(F.min("key_text").alias("key_text"))
     firsts = results.groupBy("report_name", "academy").agg(F.min(F.struct(*place)).alias("_at"))
     firsts = name_join(people, firsts, F.col("_name"), F.col("report_name")).select("academy", "key_text", "_at.*")
-    dim = stage(dense_ids(firsts, "academy", ["key_text", *place], "academyid", start=0, nulls="zero"), "extract-academies")
+    dim = dense_ids(firsts, "academy", ["key_text", *place], "academyid", start=0, nulls="zero")
+    dim = stage(dim, "extract-academies")
     coded = attach_ids(results, dim, "academy")
     pairs = name_join(interviews.select(*EXTRACT), coded, F.col("name"), F.col("report_name"))
     found = pairs.withColumn("name", F.upper("name")).select(
@@ -75,7 +76,8 @@ def tech_by_assessment(interviews: DataFrame, reports: DataFrame) -> tuple[DataF
     tests = results.groupBy("report_name").agg(
         F.min(F.struct("assessment_id", "report_file", "report_block", "report_row")).alias("_test")
     )
-    firsts = long.groupBy(F.upper("name").alias("_name"), "language").agg(F.min(F.struct("key_text", "_at")).alias("_entry"))
+    entry = F.min(F.struct("key_text", "_at")).alias("_entry")
+    firsts = long.groupBy(F.upper("name").alias("_name"), "language").agg(entry)
     firsts = name_join(firsts, tests, F.col("_name"), F.col("report_name")).select("language", "_test.*", "_entry.*")
     order = ["assessment_id", "key_text", "report_file", "report_block", "report_row", "_at"]
     dim = stage(dense_ids(firsts, "language", order, "language_id", start=0, nulls="drop"), "extract-languages")

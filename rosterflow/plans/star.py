@@ -239,7 +239,10 @@ def load_rejects(objects: DataFrame, lines: DataFrame, people: DataFrame, marks:
     """What the four readers could not use, as one table."""
     named = objects.select(F.lit("talent").alias("source"), "src_file", "record", "reason")
     spoken = lines.select(
-        F.lit("reports").alias("source"), "src_file", F.col("line").alias("record"), F.col("reject_reason").alias("reason")
+        F.lit("reports").alias("source"),
+        "src_file",
+        F.col("line").alias("record"),
+        F.col("reject_reason").alias("reason"),
     )
     return named.unionByName(spoken).unionByName(people).unionByName(marks)
 

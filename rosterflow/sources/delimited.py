@@ -35,7 +35,8 @@ def _quotes(value: Column) -> Column:
 
 
 def _records(lines: DataFrame) -> DataFrame:
-    """One row per record. The lines of a file with open quotes are joined while the quotes before them are odd in number."""
+    """One row per record. In a file with open quotes, a line belongs to the record before while an odd number of quotes
+    stands before it."""
     odd = lines.where(_quotes(F.col("value")) % 2 == 1).select("src_file").distinct()
     odd = stage(odd, "csv-quoted")
     plain = lookup(lines, odd, ["src_file"], "left_anti")
@@ -43,7 +44,8 @@ def _records(lines: DataFrame) -> DataFrame:
     before = Window.partitionBy("src_file").orderBy("src_block", "src_row").rowsBetween(Window.unboundedPreceding, -1)
     inside = F.coalesce(F.sum(_quotes(F.col("value"))).over(before), F.lit(0)) % 2 == 1
     upto = before.rowsBetween(Window.unboundedPreceding, 0)
-    numbered = quoted.withColumn("_inside", inside).withColumn("_record", F.sum(F.when(F.col("_inside"), 0).otherwise(1)).over(upto))
+    number = F.sum(F.when(F.col("_inside"), 0).otherwise(1)).over(upto)
+    numbered = quoted.withColumn("_inside", inside).withColumn("_record", number)
     parts = F.array_sort(F.collect_list(F.struct("src_block", "src_row", "value")))
     joined = numbered.groupBy("src_file", "_record").agg(parts.alias("_parts")).select(
         F.array_join(F.col("_parts.value"), "\n").alias("value"),
@@ -88,7 +90,8 @@ def read_delimited(lines: DataFrame, needed: list[str], source: str) -> tuple[Da
     why = F.when(lacking, "no heading with the needed columns").when(repeated, "a column is named twice")
     heads = stage(heads.withColumn("_file_reason", why), "csv-heads")
     rows = lookup(records, heads, ["src_file"], "left")
-    rows = rows.where(F.col("_file_reason").isNotNull() | (F.col("src_block") != F.col("_block")) | (F.col("src_row") != F.col("_row")))
+    is_heading = (F.col("src_block") == F.col("_block")) & (F.col("src_row") == F.col("_row"))
+    rows = rows.where(F.col("_file_reason").isNotNull() | ~is_heading)
     values = _values(F.col("value"))
     matched = F.char_length(F.array_join("_values", ",")) == F.char_length("value")
     rows = rows.withColumn("_values", values)

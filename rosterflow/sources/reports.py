@@ -48,7 +48,8 @@ def parse_reports(lines: DataFrame) -> DataFrame:
     first = F.col("src_block") == 0
     # the row counter rises by one inside a split, so the heading lines are at the least count and the next
     opening = staged.where(first).groupBy("src_file").agg(F.min(F.struct("src_row", "value")).alias("_top"))
-    opening = stage(opening.select("src_file", F.col("_top.src_row").alias("_start"), F.col("_top.value").alias("date_text")), "report-first")
+    opening = opening.select("src_file", F.col("_top.src_row").alias("_start"), F.col("_top.value").alias("date_text"))
+    opening = stage(opening, "report-first")
     second = lookup(staged.where(first), opening.select("src_file", "_start"), ["src_file"], "inner").where(
         F.col("src_row") == F.col("_start") + 1
     )

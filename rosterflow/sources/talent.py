@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterflow.functions.dates import compact_date, parse_dmy, repair_slashes
@@ -33,8 +33,12 @@ def scan_talent(spark: SparkSession, raw_dir: str, since=None) -> DataFrame:
 def clean_talent(scanned: DataFrame) -> DataFrame:
     """Parsed date, person id and keys; ``key_text`` orders the files as they are listed."""
     date = parse_dmy(repair_slashes(F.col("date")))
+
+    def whole(_: Column, score: Column) -> Column:
+        return score.try_cast("double").try_cast("int")
+
     return (
-        scanned.withColumn("tech_self_score", F.transform_values("tech_self_score", lambda _, v: v.try_cast("double").try_cast("int")))
+        scanned.withColumn("tech_self_score", F.transform_values("tech_self_score", whole))
         .withColumn("key_text", json_key_text(F.col("src_file")))
         .withColumn("json_key", json_key(F.col("src_file")))
         .withColumn("date", date)
@@ -49,9 +53,15 @@ def read_talent_json(spark: SparkSession, raw_dir: str, since=None) -> tuple[Dat
     """
     staged = stage(clean_talent(scan_talent(spark, raw_dir, since)), "talent")
     records = staged.where(F.col("_corrupt").isNull()).drop("_corrupt")
-    broken = staged.where(F.col("_corrupt").isNotNull()).select("src_file", F.col("_corrupt").alias("record"), F.lit("unreadable").alias("reason"))
+    broken = staged.where(F.col("_corrupt").isNotNull()).select(
+        "src_file", F.col("_corrupt").alias("record"), F.lit("unreadable").alias("reason")
+    )
     # such a record goes on under a new key; what hangs on its key cannot
-    nested = records.where(F.col("json_key").isNull()).select("src_file", F.to_json(F.struct(*NESTED)).alias("record"), F.lit("no whole number in the file name").alias("reason"))
+    nested = records.where(F.col("json_key").isNull()).select(
+        "src_file",
+        F.to_json(F.struct(*NESTED)).alias("record"),
+        F.lit("no whole number in the file name").alias("reason"),
+    )
     return records, broken.unionByName(nested)
 
 

@@ -38,7 +38,7 @@ MOST_LABELLED = 3000
 MOST_FEATURES, LEAST_DOCS = 6000, 3
 RANK, NEIGHBOURS, BLOCK = 64, 15, 512
 PRIOR_WEIGHT = 0.05
-REMEMBERED, LONGEST = 300_000, 64
+REMEMBERED, LONGEST = 100_000, 64
 
 _RUN = re.compile(r"(.)\1+", re.S)
 _WORD = re.compile(r"[^\W\d_]+")
@@ -193,6 +193,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in texts_of(batches):
             yield pa.record_batch([batch.column("doc_id"), pa.array(shared.value.scores(texts))], names=schema.names)
+        _KNOWN.clear()  # the worker goes on to other stages
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
@@ -204,6 +205,7 @@ def keep_good(docs: DataFrame, model: Model, least: float = 0.3) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in texts_of(batches):
             yield batch.filter(pa.array(shared.value.scores(texts) >= least))
+        _KNOWN.clear()  # the worker goes on to other stages
 
     return docs.mapInArrow(run, docs.schema)
 

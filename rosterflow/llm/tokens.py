@@ -21,7 +21,8 @@ def _packed(ids: list[int]) -> bytes:
 
 
 class WordEncoder(dict):
-    """Ids (uint32, little-endian bytes) of words; computes and remembers those of unknown words, at most ``most``.
+    """Ids (uint32, little-endian bytes) of words; computes and remembers those of unknown words, at most ``most``, and
+    those of lower-case letter runs, at most ``most_cores``, which many words share and which take longer to compute.
 
     For tokenizers that lower-case, drop white space and never join across it, nor across a change from letters to
     punctuation: then the ids of a text are those of its words, one after another. Words that are not plain Latin
@@ -29,14 +30,14 @@ class WordEncoder(dict):
     When the memory is full it starts anew.
     """
 
-    def __init__(self, tokenizer_json: str, most: int = 400_000):
+    def __init__(self, tokenizer_json: str, most: int = 100_000, most_cores: int = 400_000):
         super().__init__({"": b""})
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.model = self.tokenizer.model
-        self.most, self.cores = most, {}
+        self.most, self.most_cores, self.cores = most, most_cores, {}
         letters = [chr(c) for c in range(0x100) if _PLAIN.fullmatch(chr(c))]
         split = self.tokenizer.pre_tokenizer.pre_tokenize_str
         self.as_bytes = str.maketrans({c: split(c)[0][0] for c in letters})
@@ -66,7 +67,7 @@ class WordEncoder(dict):
     def _core(self, letters: str) -> bytes:
         ids = self.cores.get(letters)
         if ids is None:
-            if len(self.cores) >= self.most:
+            if len(self.cores) >= self.most_cores:
                 self.cores.clear()
             tokens = self.model.tokenize(letters.translate(self.as_bytes))
             ids = self.cores[letters] = _packed([t.id for t in tokens])

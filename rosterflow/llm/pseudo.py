@@ -3,7 +3,8 @@
 The vocabulary and the probability of a word within its class are counts over all documents. The network sees the words
 left and right of a position and predicts the class of the word there. Every task trains a copy on its own documents
 from the same start; the copies are averaged in rounds of a fixed number, so what is gathered grows with the corpus. A
-document's score is the sum of the conditional log-probabilities of all its tokens.
+document's score is the sum of the conditional log-probabilities of all its tokens. Words outside the vocabulary enter the network by hash bucket; in the
+score each counts with its own share of its bucket, joined from the counts of all words.
 """
 
 from __future__ import annotations
@@ -36,6 +37,8 @@ BATCH, RATE = 1024, 0.3
 FAN_IN = 32
 #: distinct words that a counting task holds before it hands them on
 MOST_COUNTED = 300_000
+#: log shares of words are summed as whole multiples of 1 / SCALE, so the order of the rows does not matter
+SCALE = 10**8
 REMEMBERED, LONGEST = 400_000, 64
 
 
@@ -90,16 +93,22 @@ class _Numbers(dict):
 
 @dataclass
 class Counts:
-    """vocabulary by falling count; class of each symbol; log of each symbol's share of its class, by corpus counts."""
+    """vocabulary by falling count; class of each symbol; log of each symbol's share of its class, by corpus counts;
+    tokens and distinct words outside the vocabulary of each bucket."""
 
     vocabulary: list[str]
     group: np.ndarray
     within: np.ndarray
+    tokens: np.ndarray
+    kinds: np.ndarray
 
 
-def count(docs: DataFrame) -> Counts:
-    """Counts over all documents; the VOCABULARY most frequent words come to the driver, and one sum per bucket."""
-    counts = stage(word_counts(docs), "word-counts")
+def count(docs: DataFrame, words: DataFrame | None = None) -> Counts:
+    """Counts over all documents; the VOCABULARY most frequent words come to the driver, and one sum per bucket.
+
+    ``words``: the staged ``word_counts`` of the documents, if they are at hand.
+    """
+    counts = stage(word_counts(docs), "word-counts") if words is None else words
     # sizes of the counts first: only words that may be among the most frequent are sorted and leave their tasks
     size = F.floor(F.log2(F.col("n").cast("double")) * 16).alias("size")
     sizes = sorted(((r["size"], r["words"]) for r in counts.groupBy(size).agg(F.count(F.lit(1)).alias("words")).collect()), reverse=True)
@@ -108,9 +117,11 @@ def count(docs: DataFrame) -> Counts:
     top = often.orderBy(F.desc("n"), "word").limit(VOCABULARY).collect()
     vocabulary = [r["word"] for r in top]
     bucket = F.crc32(F.col("word").cast("binary")) % OTHERS
-    sums = {r["b"]: r["n"] for r in counts.groupBy(bucket.alias("b")).agg(F.sum("n").alias("n")).collect()}
+    found = counts.groupBy(bucket.alias("b")).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("words")).collect()
+    sums, kinds = {r["b"]: r["n"] for r in found}, {r["b"]: r["words"] for r in found}
     for r in top:
         sums[crc32(r["word"].encode()) % OTHERS] -= r["n"]
+        kinds[crc32(r["word"].encode()) % OTHERS] -= 1
     n = np.zeros(SYMBOLS)
     n[: len(top)] = [r["n"] for r in top]
     n[VOCABULARY : VOCABULARY + OTHERS] = [sums.get(b, 0) for b in range(OTHERS)]
@@ -119,7 +130,8 @@ def count(docs: DataFrame) -> Counts:
     group = np.empty(SYMBOLS, np.int64)
     group[order] = np.minimum(np.cumsum(share[order]) / share.sum() * CLASSES, CLASSES - 1).astype(np.int64)
     total = np.bincount(group, n + 1, CLASSES)
-    return Counts(vocabulary, group, np.log((n + 1) / total[group]))
+    rest = [np.array([x.get(b, 0) for b in range(OTHERS)], np.int64) for x in (sums, kinds)]
+    return Counts(vocabulary, group, np.log((n + 1) / total[group]), *rest)
 
 
 class Network:
@@ -174,18 +186,41 @@ class Network:
 
 
 def encode(docs: DataFrame, counts: Counts) -> DataFrame:
-    """(doc_id, symbols) of every row, written once for training and scoring; symbols as 16-bit little-endian bytes.
+    """(doc_id, symbols, row, rest) of every row, written once for training and scoring; symbols as 16-bit little-endian
+    bytes, a number of the row, and its words outside the vocabulary with how often each occurs.
 
     A null text has no symbols. Equal rows all stay; further columns are not looked at.
     """
-    schema = T.StructType([*typed(docs, "doc_id"), T.StructField("symbols", T.BinaryType())])
+    rest = T.StructType([T.StructField("word", T.StringType()), T.StructField("times", T.LongType())])
+    schema = T.StructType(
+        [
+            *typed(docs, "doc_id"),
+            T.StructField("symbols", T.BinaryType()),
+            T.StructField("row", T.LongType()),
+            T.StructField("rest", T.ArrayType(rest)),
+        ]
+    )
     shared = docs.sparkSession.sparkContext.broadcast(counts.vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers = _Numbers(shared.value)
+        numbers, row = _Numbers(shared.value), TaskContext.get().partitionId() << 40
         for batch, texts in texts_of(batches):
-            packed = pa.array([numbers.symbols(t).astype("<u2").tobytes() for t in texts], pa.binary())
-            yield pa.record_batch([batch.column("doc_id"), packed], names=schema.names)
+            packed, words, times, ends = [], [], [], [0]
+            for text in texts:
+                symbols = numbers.symbols(text)
+                others = np.flatnonzero(symbols >= VOCABULARY).tolist()
+                if others:
+                    own = tokens_of(text)
+                    counted = Counter([own[i] for i in others])
+                    words += counted.keys()
+                    times += counted.values()
+                packed.append(symbols.astype("<u2").tobytes())
+                ends.append(len(words))
+            pairs = pa.StructArray.from_arrays([pa.array(words, pa.string()), pa.array(times, pa.int64())], names=rest.names)
+            columns = [pa.array(packed, pa.binary()), pa.array(range(row, row + len(texts)), pa.int64())]
+            columns.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs))
+            row += len(texts)
+            yield pa.record_batch([batch.column("doc_id"), *columns], names=schema.names)
 
     return stage(docs.select("doc_id", "text").mapInArrow(run, schema), "symbols")
 
@@ -260,10 +295,27 @@ def train(encoded: DataFrame, counts: Counts) -> Network:
     return Network(np.frombuffer(last["model"], "<f4")) if last else Network()
 
 
-def score(encoded: DataFrame, counts: Counts, network: Network) -> DataFrame:
+def rest_shares(encoded: DataFrame, counts: Counts, words: DataFrame) -> DataFrame:
+    """(row, share): sum over a row's tokens outside the vocabulary of the log of the word's share of its bucket.
+
+    A word seen n times among N tokens of its bucket has n / (N + 1). One count is kept back for unseen words and spread
+    over as many of them as the bucket has known ones, and one more. ``share`` is a whole multiple of 1 / SCALE. The rows
+    are joined by word; a word outside the vocabulary has less than one token in VOCABULARY.
+    """
+    bucket = (F.crc32(F.col("word").cast("binary")) % OTHERS + 1).cast("int")
+    seen = F.lit(np.log(counts.tokens + 1.0).tolist())
+    unseen = F.lit((-np.log(counts.tokens + 1.0) - np.log(counts.kinds + 1.0)).tolist())
+    own = F.coalesce(F.log(F.col("n").cast("double")) - F.element_at(seen, bucket), F.element_at(unseen, bucket))
+    pairs = encoded.select("row", F.inline("rest")).join(words.select("word", "n"), "word", "left")
+    scaled = F.round(own * SCALE).cast("long") * F.col("times")
+    return pairs.select("row", scaled.alias("share")).groupBy("row").agg(F.sum("share").alias("share"))
+
+
+def score(encoded: DataFrame, counts: Counts, network: Network, words: DataFrame | None = None) -> DataFrame:
     """doc_id, n_tokens, log_likelihood (sum over all tokens) and mean_log_likelihood of every row.
 
-    A null or empty text has no tokens, sum 0 and a null mean. Equal texts score alike; rows may repeat; an empty table
+    ``words``: the staged ``word_counts``, with which every word outside the vocabulary counts with its own share of its
+    bucket; without them it counts as its bucket. A null or empty text has no tokens, sum 0 and a null mean. Equal texts score alike; rows may repeat; an empty table
     gives no rows; further columns are not looked at. A text is read in slices of positions, so memory is bounded.
     """
     schema = T.StructType(
@@ -272,6 +324,7 @@ def score(encoded: DataFrame, counts: Counts, network: Network) -> DataFrame:
             T.StructField("n_tokens", T.LongType()),
             T.StructField("log_likelihood", T.DoubleType()),
             T.StructField("mean_log_likelihood", T.DoubleType()),
+            T.StructField("row", T.LongType()),
         ]
     )
     shared = encoded.sparkSession.sparkContext.broadcast((counts, network.vector()))
@@ -284,9 +337,15 @@ def score(encoded: DataFrame, counts: Counts, network: Network) -> DataFrame:
             sums = [pseudo_likelihood(net, found, symbols) for symbols in documents]
             means = [s / n if n else None for s, n in zip(sums, sizes)]
             columns = [pa.array(sizes, pa.int64()), pa.array(sums, pa.float64()), pa.array(means, pa.float64())]
-            yield pa.record_batch([batch.column("doc_id"), *columns], names=schema.names)
-
-    return encoded.select("doc_id", "symbols").mapInArrow(run, schema)
+            yield pa.record_batch([batch.column("doc_id"), *columns, batch.column("row")], names=schema.names)
+
+    scored = encoded.select("doc_id", "symbols", "row").mapInArrow(run, schema)
+    if words is None:
+        return scored.drop("row")
+    both = scored.join(rest_shares(encoded, counts, words), "row", "left")
+    total = F.col("log_likelihood") + F.coalesce("share", F.lit(0)) / SCALE
+    mean = F.when(F.col("n_tokens") > 0, total / F.col("n_tokens"))
+    return both.select("doc_id", "n_tokens", total.alias("log_likelihood"), mean.alias("mean_log_likelihood"))
 
 
 def pseudo_likelihood(network: Network, counts: Counts, symbols: np.ndarray, at_once: int = 2048) -> float:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rosterflow.llm import chat, exact_dedup, language, mixing, packing, phrases, pseudo, quality, simhash, toxicity
 from rosterflow.llm.common import held_out
+from rosterflow.session import stage
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,9 +21,10 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    counts = pseudo.count(docs)
+    words = stage(pseudo.word_counts(docs), "word-counts")
+    counts = pseudo.count(docs, words)
     encoded = pseudo.encode(docs, counts)
-    return pseudo.score(encoded, counts, pseudo.train(encoded, counts))
+    return pseudo.score(encoded, counts, pseudo.train(encoded, counts), words)
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,7 +1,7 @@
 """Masked pseudo-likelihood: a bidirectional window network predicts every token from both sides.
 
-The vocabulary and the probability of a word within its class are counts over all documents. The network sees the words
-left and right of a position and predicts the class of the word there. Every task trains a copy on its own documents
+The vocabulary and the classes are counts over all documents. The network sees the words left and right of a position and
+predicts the class of the word there and, from the same hidden layer, the word among those of its class. Every task trains a copy on its own documents
 from the same start; the copies are averaged in rounds of a fixed number, so what is gathered grows with the corpus. A
 document's score is the sum of the conditional log-probabilities of all its tokens. Words outside the vocabulary enter the network by hash bucket; in the
 score each counts with its own share of its bucket, joined from the counts of all words.
@@ -30,7 +30,7 @@ VOCABULARY, OTHERS = 8192, 256
 SYMBOLS = VOCABULARY + OTHERS + 1
 EDGE = SYMBOLS - 1
 #: classes that the network predicts, words seen on each side, size of the hidden layer
-CLASSES, SIDE, HIDDEN = 48, 2, 16
+CLASSES, SIDE, HIDDEN = 64, 2, 16
 #: positions per gradient step, and the first step's rate
 BATCH, RATE = 1024, 0.3
 #: models that are averaged by one task
@@ -102,6 +102,13 @@ class Counts:
     tokens: np.ndarray
     kinds: np.ndarray
 
+    def __post_init__(self):
+        #: symbols class by class, where each class starts among them, and the place of each symbol
+        self.members = np.argsort(self.group, kind="stable")
+        self.starts = np.searchsorted(self.group[self.members], np.arange(CLASSES + 1))
+        self.place = np.argsort(self.members)
+        self.shares = self.within[self.members].astype(np.float32)
+
 
 def count(docs: DataFrame, words: DataFrame | None = None) -> Counts:
     """Counts over all documents; the VOCABULARY most frequent words come to the driver, and one sum per bucket.
@@ -135,20 +142,22 @@ def count(docs: DataFrame, words: DataFrame | None = None) -> Counts:
 
 
 class Network:
-    """log p(class | words on both sides): a table per place of the window, a hidden layer, a softmax over classes."""
+    """log p(word | words on both sides): a table per place of the window, a hidden layer, a softmax over classes and one
+    over the words of the true class, which starts from their corpus shares."""
 
     def __init__(self, vector: np.ndarray | None = None):
         rng = np.random.default_rng(3)
-        sizes = [(2 * SIDE * SYMBOLS, HIDDEN), (HIDDEN, CLASSES), (1, HIDDEN), (1, CLASSES)]
+        sizes = [(2 * SIDE * SYMBOLS, HIDDEN), (HIDDEN, CLASSES), (1, HIDDEN), (1, CLASSES), (SYMBOLS, HIDDEN), (1, SYMBOLS)]
         if vector is None:
             parts = [rng.normal(0, 0.1, s).astype(np.float32) for s in sizes[:2]] + [np.zeros(s, np.float32) for s in sizes[2:]]
         else:
             ends = np.cumsum([a * b for a, b in sizes])[:-1]
             parts = [p.reshape(s).copy() for p, s in zip(np.split(vector, ends), sizes)]
-        self.table, self.out, self.bias, self.prior = parts
+        # rows of words and lean are in the order of Counts.members
+        self.table, self.out, self.bias, self.prior, self.words, self.lean = parts
 
     def vector(self) -> np.ndarray:
-        return np.concatenate([p.ravel() for p in (self.table, self.out, self.bias, self.prior)])
+        return np.concatenate([p.ravel() for p in (self.table, self.out, self.bias, self.prior, self.words, self.lean)])
 
     @staticmethod
     def windows(symbols: np.ndarray) -> np.ndarray:
@@ -170,13 +179,46 @@ class Network:
         own = logits[np.arange(len(classes)), classes]
         return own - np.log(np.exp(logits).sum(axis=1))
 
-    def step(self, windows: np.ndarray, classes: np.ndarray, rate: float) -> None:
+    def word_log_probabilities(self, windows: np.ndarray, symbols: np.ndarray, counts: Counts) -> np.ndarray:
+        """log p(word | both sides) over all symbols: that of the class and that of the word among those of its class."""
+        hidden, logits = self._forward(windows)
+        classes, found = counts.group[symbols], np.empty(len(symbols), np.float32)
+        logits -= logits.max(axis=1, keepdims=True)
+        found = logits[np.arange(len(classes)), classes] - np.log(np.exp(logits).sum(axis=1))
+        for at, low, high in _by_class(classes, counts):
+            among = self._among(hidden[at], low, high, counts)
+            own = among[np.arange(len(at)), counts.place[symbols[at]] - low]
+            found[at] += own - np.log(np.exp(among).sum(axis=1))
+        return found
+
+    def _among(self, hidden: np.ndarray, low: int, high: int, counts: Counts) -> np.ndarray:
+        among = hidden @ self.words[low:high].T
+        among += self.lean[0, low:high] + counts.shares[low:high]
+        among -= among.max(axis=1, keepdims=True)
+        return among
+
+    def _step_words(self, hidden: np.ndarray, symbols: np.ndarray, counts: Counts, rate: float) -> np.ndarray:
+        """One gradient step of the words of each class that occurs; the gradient of the hidden layer comes back."""
+        back = np.zeros_like(hidden)
+        for at, low, high in _by_class(counts.group[symbols], counts):
+            inner = hidden[at]
+            slope = np.exp(self._among(inner, low, high, counts))
+            slope /= slope.sum(axis=1, keepdims=True)
+            slope[np.arange(len(at)), counts.place[symbols[at]] - low] -= 1
+            back[at] = slope @ self.words[low:high]
+            pace = rate * 0.3 / len(at) ** 0.5
+            self.words[low:high] -= pace * (slope.T @ inner)
+            self.lean[0, low:high] -= pace * slope.sum(axis=0)
+        return back
+
+    def step(self, windows: np.ndarray, symbols: np.ndarray, counts: Counts, rate: float) -> None:
         """One gradient step on the mean loss; the table moves by each position's own gradient."""
+        classes = counts.group[symbols]
         hidden, logits = self._forward(windows)
         slope = np.exp(logits - logits.max(axis=1, keepdims=True))
         slope /= slope.sum(axis=1, keepdims=True)
         slope[np.arange(len(classes)), classes] -= 1
-        inner = (slope @ self.out.T) * (1 - hidden * hidden)
+        inner = (slope @ self.out.T + self._step_words(hidden, symbols, counts, rate)) * (1 - hidden * hidden)
         self.out -= rate * 8 * (hidden.T @ slope) / len(classes)
         self.prior -= rate * 8 * slope.mean(axis=0)
         self.bias -= rate * inner.mean(axis=0)
@@ -185,6 +227,18 @@ class Network:
         np.add.at(self.table.reshape(-1), flat, moved.astype(np.float32))
 
 
+def _by_class(classes: np.ndarray, counts: Counts) -> Iterator[tuple[np.ndarray, int, int]]:
+    """Positions of each class of more than one word, with the bounds of its members."""
+    order = np.argsort(classes.astype(np.uint8), kind="stable")
+    ends = np.cumsum(np.bincount(classes, minlength=CLASSES)).tolist()
+    start = 0
+    for k, end in enumerate(ends):
+        low, high = int(counts.starts[k]), int(counts.starts[k + 1])
+        if end > start and high - low > 1:
+            yield order[start:end], low, high
+        start = end
+
+
 def encode(docs: DataFrame, counts: Counts) -> DataFrame:
     """(doc_id, symbols, row, rest) of every row, written once for training and scoring; symbols as 16-bit little-endian
     bytes, a number of the row, and its words outside the vocabulary with how often each occurs.
@@ -235,22 +289,22 @@ def _trained(documents: Iterator[np.ndarray], counts: Counts) -> Network:
     network, held, size, seen = Network(), [], 0, 0
     for symbols in documents:
         if len(symbols):
-            held.append((Network.windows(symbols), counts.group[symbols]))
+            held.append((Network.windows(symbols), symbols))
             size += len(symbols)
         if size >= BATCH * 16:
-            seen = _fed(network, held, seen)
+            seen = _fed(network, held, counts, seen)
             held, size = [], 0
     if held:
-        _fed(network, held, seen)
+        _fed(network, held, counts, seen)
     return network
 
 
-def _fed(network: Network, held: list, seen: int) -> int:
-    windows, classes = (np.concatenate(x) for x in zip(*held))
-    order = np.random.default_rng(seen).permutation(len(classes))
+def _fed(network: Network, held: list, counts: Counts, seen: int) -> int:
+    windows, symbols = (np.concatenate(x) for x in zip(*held))
+    order = np.random.default_rng(seen).permutation(len(symbols))
     for at in range(0, len(order), BATCH):
         some = order[at : at + BATCH]
-        network.step(windows[some], classes[some], RATE / (1 + seen / 2e6) ** 0.5)
+        network.step(windows[some], symbols[some], counts, RATE / (1 + seen / 2e6) ** 0.5)
         seen += len(some)
     return seen
 
@@ -314,8 +368,8 @@ def rest_shares(encoded: DataFrame, counts: Counts, words: DataFrame) -> DataFra
 def score(encoded: DataFrame, counts: Counts, network: Network, words: DataFrame | None = None) -> DataFrame:
     """doc_id, n_tokens, log_likelihood (sum over all tokens) and mean_log_likelihood of every row.
 
-    ``words``: the staged ``word_counts``, with which every word outside the vocabulary counts with its own share of its
-    bucket; without them it counts as its bucket. A null or empty text has no tokens, sum 0 and a null mean. Equal texts score alike; rows may repeat; an empty table
+    ``words``: the staged ``word_counts``, with which the network predicts every word, and each word outside the vocabulary
+    has its own share of its bucket; without them it predicts classes, and words have their corpus shares. A null or empty text has no tokens, sum 0 and a null mean. Equal texts score alike; rows may repeat; an empty table
     gives no rows; further columns are not looked at. A text is read in slices of positions, so memory is bounded.
     """
     schema = T.StructType(
@@ -328,13 +382,14 @@ def score(encoded: DataFrame, counts: Counts, network: Network, words: DataFrame
         ]
     )
     shared = encoded.sparkSession.sparkContext.broadcast((counts, network.vector()))
+    likelihood = pseudo_likelihood if words is None else word_likelihood
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, vector = shared.value
         net = Network(vector)
         for batch, documents in _symbols_of(batches):
             sizes = [len(symbols) for symbols in documents]
-            sums = [pseudo_likelihood(net, found, symbols) for symbols in documents]
+            sums = [likelihood(net, found, symbols) for symbols in documents]
             means = [s / n if n else None for s, n in zip(sums, sizes)]
             columns = [pa.array(sizes, pa.int64()), pa.array(sums, pa.float64()), pa.array(means, pa.float64())]
             yield pa.record_batch([batch.column("doc_id"), *columns, batch.column("row")], names=schema.names)
@@ -358,3 +413,14 @@ def pseudo_likelihood(network: Network, counts: Counts, symbols: np.ndarray, at_
         part = network.log_probabilities(windows[at : at + at_once], classes[at : at + at_once])
         total += part.sum(dtype=np.float64)
     return float(total)
+
+
+def word_likelihood(network: Network, counts: Counts, symbols: np.ndarray, at_once: int = 2048) -> float:
+    """Sum over positions of log p(word | both sides), a word outside the vocabulary as its bucket."""
+    if not len(symbols):
+        return 0.0
+    windows, total = Network.windows(symbols), 0.0
+    for at in range(0, len(symbols), at_once):
+        part = network.word_log_probabilities(windows[at : at + at_once], symbols[at : at + at_once], counts)
+        total += part.sum(dtype=np.float64)
+    return float(total)

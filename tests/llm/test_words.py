@@ -1,9 +1,10 @@
-"""Pseudo-likelihood of words: those outside the vocabulary count with their own counts."""
+"""Pseudo-likelihood of words: those outside the vocabulary count with their own counts, the network predicts the others."""
 
 from collections import Counter
 from math import log
 from zlib import crc32
 
+import numpy as np
 import pytest
 
 from rosterflow.llm import pseudo
@@ -30,7 +31,8 @@ def test_words_outside_the_vocabulary_have_their_own_share(spark, model):
         tokens[b] += plain[w]
     some = docs.where("doc_id < 20")
     encoded = pseudo.encode(some, counts).cache()
-    by_bucket = {r["doc_id"]: r["log_likelihood"] for r in pseudo.score(encoded, counts, network).collect()}
+    numbers = pseudo._Numbers(counts.vocabulary)
+    by_bucket = {r["doc_id"]: pseudo.word_likelihood(network, counts, numbers.symbols(r["text"])) for r in some.collect()}
     found = {r["doc_id"]: r["log_likelihood"] for r in pseudo.score(encoded, counts, network, words).collect()}
     parts = {}
     for r in some.collect():
@@ -63,3 +65,38 @@ def test_gibberish_scores_below_rare_words(spark, model):
     assert len(found) == 6 and len({r["log_likelihood"] for r in found if r["doc_id"] == 0}) == 1
     assert scores[1] < scores[0] - 1 and scores[0] < scores[2]
     assert scores[3] is None and scores[4] is None
+
+
+def test_context_tells_words_of_one_class_apart(spark):
+    rng = np.random.default_rng(5)
+    rows = []
+    for i in range(1500):
+        a, b = (("ants", "bone"), ("zebras", "milk"))[i % 2]
+        rows.append((i, " ".join(f"{a} want {b} {rng.choice(['now', 'today'])}" for _ in range(6))))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(1)
+    words = pseudo.word_counts(docs).cache()
+    counts = pseudo.count(docs, words)
+    network = pseudo.train(pseudo.encode(docs, counts), counts)
+    numbers = pseudo._Numbers(counts.vocabulary)
+    right, wrong = numbers.symbols("ants want bone now"), numbers.symbols("ants want milk now")
+    assert counts.group[right[2]] == counts.group[wrong[2]]  # equally frequent, so of one class
+
+    def at_its_place(symbols):
+        return network.word_log_probabilities(network.windows(symbols)[2:3], symbols[2:3], counts)[0]
+
+    assert at_its_place(right) > at_its_place(wrong) + 1
+    # the probabilities of all symbols at a position sum up to one
+    window = np.repeat(network.windows(right)[2:3], pseudo.SYMBOLS, axis=0)
+    total = np.exp(network.word_log_probabilities(window, np.arange(pseudo.SYMBOLS), counts).astype(float)).sum()
+    assert total == pytest.approx(1, abs=1e-3)
+    df = spark.createDataFrame([(0, "ants want bone now"), (1, "ants want milk now")], "doc_id long, text string")
+    found = {r["doc_id"]: r["log_likelihood"] for r in pseudo.score(pseudo.encode(df, counts), counts, network, words).collect()}
+    assert found[0] > found[1]
+
+
+def test_predicted_words_beat_their_corpus_shares(model):
+    docs, _, counts, network = model
+    numbers = pseudo._Numbers(counts.vocabulary)
+    texts = [numbers.symbols(r["text"]) for r in docs.limit(200).collect()]
+    predicted = sum(pseudo.word_likelihood(network, counts, s) for s in texts)
+    assert predicted > sum(pseudo.pseudo_likelihood(network, counts, s) for s in texts)

@@ -98,7 +98,8 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column | None = None, grade:
     ``grade``: a column of labels with ordered grades 0, 1, 2, ...; without one, grade 0 are documents that are not
     toxic and toxic ones are spread over 1 to ``grades`` by how many of their words mark toxic documents, in equal
     parts. Rows without id or label are left out; the greatest of several labels counts. Words of whole texts are made
-    in tasks; the driver gets the sample's word numbers only. Copies in the sample count once.
+    in tasks; the driver gets the sample's word numbers only. Copies in the sample count once. Each document of the sample
+    weighs as many train rows of its label as it stands for, so probabilities do not hang on the size of the table.
     """
     kind = F.col("toxic").cast("int")
     level = F.col(grade).cast("int") if grade else kind
@@ -107,10 +108,13 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column | None = None, grade:
     rows = rows.groupBy("doc_id").agg(F.max(kind).alias("toxic"), F.max(level).alias("grade"))
     sample = least_hashes(rows.where("toxic > 0"), MOST_PER_LABEL)
     sample = sample.unionByName(least_hashes(rows.where("toxic <= 0"), MOST_PER_LABEL))
+    kinds = rows.groupBy((F.col("toxic") > 0).alias("toxic")).agg(F.count(F.lit(1)).alias("rows")).collect()
+    stands_for = {r["toxic"]: r["rows"] / min(r["rows"], MOST_PER_LABEL) for r in kinds}
     bag = T.StructType(
         [
             T.StructField("doc_id", docs.schema["doc_id"].dataType),
             T.StructField("grade", T.IntegerType()),
+            T.StructField("toxic", T.IntegerType()),
             T.StructField("buckets", T.ArrayType(T.IntegerType())),
             T.StructField("counts", T.ArrayType(T.IntegerType())),
         ]
@@ -120,15 +124,17 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column | None = None, grade:
         for batch, texts in texts_of(batches):
             bags = [features(t) for t in texts]
             lists = [pa.array([b[i] for b in bags], pa.list_(pa.int32())) for i in (0, 1)]
-            yield pa.record_batch([batch.column("doc_id"), batch.column("grade"), *lists], names=bag.names)
+            yield pa.record_batch([*map(batch.column, ("doc_id", "grade", "toxic")), *lists], names=bag.names)
 
-    texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("doc_id", "grade", "text")
+    texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("doc_id", "grade", "toxic", "text")
     found = texts.mapInArrow(run, bag).toArrow().sort_by("doc_id")
     different, grade_of = {}, found.column("grade").to_pylist()
     for i, (numbers, counts) in enumerate(zip(lists_of(found, "buckets"), lists_of(found, "counts"))):
         different.setdefault((numbers.tobytes(), counts.tobytes()), (i, numbers, counts))
     kept = list(different.values())
-    return _fitted([k[1:] for k in kept], np.array([grade_of[k[0]] for k in kept], np.int64), None if grade else grades)
+    label_of = found.column("toxic").to_pylist()
+    share = np.array([stands_for[label_of[k[0]] > 0] for k in kept])
+    return _fitted([k[1:] for k in kept], np.array([grade_of[k[0]] for k in kept], np.int64), None if grade else grades, share)
 
 
 def _select(bags: list, toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -143,7 +149,7 @@ def _select(bags: list, toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return kept, z[kept]
 
 
-def _fitted(bags: list, grade: np.ndarray, spread: int | None, steps: int = 1500, rate: float = 0.05) -> Model:
+def _fitted(bags: list, grade: np.ndarray, spread: int | None, share: np.ndarray, steps: int = 1500, rate: float = 0.05) -> Model:
     """Proximal gradient steps with momentum from zero: small weights vanish, thresholds stay in order."""
     toxic = grade > 0
     if not len(bags) or toxic.all() or not toxic.any():
@@ -165,9 +171,10 @@ def _fitted(bags: list, grade: np.ndarray, spread: int | None, steps: int = 1500
     over = (grade[:, None] > np.arange(top)).astype(float)
     weights, thresholds = np.zeros(len(kept)), np.linspace(0, 1, top)
     speed, drift = np.zeros_like(weights), np.zeros(top)
+    share = (share / share.sum())[:, None]
     for _ in range(steps):
         p = 1 / (1 + np.exp(np.clip(thresholds - (x @ weights)[:, None], -500, 500)))
-        slope = (p - over) / len(x)
+        slope = (p - over) * share
         speed = 0.9 * speed - rate * (x.T @ slope.sum(axis=1))
         drift = 0.9 * drift + rate * slope.sum(axis=0)
         weights = np.sign(weights + speed) * np.maximum(np.abs(weights + speed) - rate * PENALTY, 0)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,26 +20,32 @@ RULES = {
     "strengths": ("strength_id", ["strength"], {}),
     "weaknesses": ("weakness_id", ["weakness"], {}),
     "tech_self_scores": ("tech_id", ["tech_name"], {}),
-    "strengths_junction": (None, ["json_key"], {"strength_id": "strengths"}),
-    "weaknesses_junction": (None, ["json_key"], {"weakness_id": "weaknesses"}),
-    "tech_junction": (None, ["json_key"], {"tech_id": "tech_self_scores"}),
+    "strengths_junction": (None, ["json_key", "strength_id"], {"strength_id": "strengths"}),
+    "weaknesses_junction": (None, ["json_key", "weakness_id"], {"weakness_id": "weaknesses"}),
+    "tech_junction": (None, ["json_key", "tech_id"], {"tech_id": "tech_self_scores"}),
     "location": ("location_id", ["applicant_id", "address", "postcode", "city"], {}),
     "courses": (None, ["course_id", "course_name"], {}),
     "trainers": ("trainer_id", ["trainer"], {}),
     "trainees": ("trainee_id", ["json_key", "trainer_id", "course_id"], {"trainer_id": "trainers"}),
-    "behaviours": ("behaviour_id", ["trainee_id"], {"trainee_id": "trainees"}),
+    "behaviours": ("behaviour_id", ["trainee_id", "week_number"], {"trainee_id": "trainees"}),
 }
 
+#: tables whose rows are told apart by what they tell of, so that a row of known key may contradict the stored one
+MARKS = ("tech_junction", "behaviours")
+#: name of the further table that takes the rows left out as they contradict stored ones
+REJECTS = "append_rejects"
+
 
 def continue_star(stored: dict[str, DataFrame], new: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Stored rows, then the new rows that are not stored yet, references turned to the ids under which parents stand.
 
-    A row is known if its natural key is stored; the stored row wins. Rows of junctions and marks belong to their record:
-    they are new if the record, or the trainee, is. Trainees without record are told apart by trainer and course and,
+    A row is known if its natural key is stored; the stored row wins. Rows of junctions and marks are told apart within
+    their record or trainee, so what a later load knows more of a stored one is added; scores and marks that contradict
+    stored ones of the same key go to a further table, REJECTS (source, record, reason). Trainees without record are told apart by trainer and course and,
     where several are alike, by their place among them. Keys made for records without file go on from the greatest.
     """
     known_ids: dict[str, DataFrame] = {}
-    out = {}
+    out, rejects = {}, []
     for name, (key, natural, references) in RULES.items():
         old, rows = stored[name], new[name]
         kinds = dict(old.dtypes)
@@ -49,10 +57,10 @@ def continue_star(stored: dict[str, DataFrame], new: dict[str, DataFrame]) -> di
                 mapped = known_ids[parent].select(F.col("_before").alias(column), F.col("_after"))
                 rows = lookup(rows, mapped, [column], "inner" if name == "behaviours" else "left")
                 rows = rows.withColumn(column, F.col("_after").cast(kinds[column])).drop("_after")
-        if name == "behaviours":
-            added = known_ids["trainees"].where("NOT _known").select(F.col("_after").alias("trainee_id"))
-            fresh = lookup(rows, added, ["trainee_id"], "left_semi")
-        elif key is None or name == "talent":
+        if name in MARKS:
+            rows = stage(rows, "append-marks")
+            rejects.append(_contradicting(name, old, rows, key, natural))
+        if key is None or name in ("talent", "behaviours"):
             keys = stage(old.select(*natural).distinct(), "stored-keys")
             fresh = lookup(rows, keys, natural, "left_anti", null_safe=True)
         else:
@@ -75,14 +83,23 @@ def continue_star(stored: dict[str, DataFrame], new: dict[str, DataFrame]) -> di
         fresh = joined.where("_after IS NULL").select(*old.columns)
         numbered = stage(_numbered(fresh, key, first, kinds[key]), f"append-{name}")
         out[name] = old.unionByName(numbered.drop("_before"))
-        ids = joined.where("_after IS NOT NULL").select(
-            F.col(key).alias("_before"), "_after", F.lit(True).alias("_known")
-        )
-        more = numbered.select("_before", F.col(key).alias("_after"), F.lit(False).alias("_known"))
+        ids = joined.where("_after IS NOT NULL").select(F.col(key).alias("_before"), "_after")
+        more = numbered.select("_before", F.col(key).alias("_after"))
         known_ids[name] = stage(ids.unionByName(more), "append-ids")
+    out[REJECTS] = reduce(DataFrame.unionByName, rejects)
     return out
 
 
+def _contradicting(name: str, old: DataFrame, rows: DataFrame, key: str | None, natural: list[str]) -> DataFrame:
+    """Rows whose natural key is stored, but never with the same values."""
+    values = [c for c in old.columns if c != key]
+    keys = stage(old.select(*values).distinct(), "stored-marks")
+    other = lookup(rows, keys, values, "left_anti", null_safe=True)
+    other = lookup(other, keys.select(*natural).distinct(), natural, "left_semi", null_safe=True)
+    record = F.to_json(F.struct(*values)).alias("record")
+    return other.select(F.lit(name).alias("source"), record, F.lit("contradicts a stored row").alias("reason"))
+
+
 def _ranked(rows: DataFrame, key: str, natural: list[str]) -> DataFrame:
     """``_nth``: place of a row among those of equal natural key, by id; more than one only for unlinked trainees."""
     order = Window.partitionBy(*natural).orderBy(F.col(key).cast("long"))

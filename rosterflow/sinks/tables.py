@@ -48,7 +48,8 @@ def write_star(tables: dict[str, DataFrame], target: str, mode: str = "refresh")
     """Write all tables as a new version and then log it; return the folder written to.
 
     Readers see the old version until all tables are complete, and no path is overwritten while it is read. "refresh"
-    stores the tables as they are; "append" adds to the current version what it lacks (see ``continue_star``).
+    stores the tables as they are; "append" adds to the current version what it lacks and writes what
+    contradicts it to a further table of the version, ``append_rejects`` (see ``continue_star``).
     """
     if mode not in ("refresh", "append"):
         raise ValueError("mode must be refresh or append")

@@ -59,5 +59,86 @@ SELECT conv_id, count(*) AS n_turns,
        coalesce(sum(upto - 1) FILTER (role = 'assistant'), 0)::BIGINT AS formatted_chars,
        count(*) FILTER (role = 'assistant') AS n_examples
 FROM heads GROUP BY conv_id
+""",
+    "op11_line_dedup": r"""
+WITH lines AS (
+  SELECT doc_id, row_number() OVER () AS r, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i
+  FROM documents),
+keyed AS (
+  SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM lines),
+owned AS (
+  SELECT *, length(key) >= 10 AND doc_id > min(doc_id) OVER (PARTITION BY key) AS gone FROM keyed)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM owned GROUP BY doc_id
+""",
+    "op12_resampling": r"""
+WITH crc AS (
+  SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)),
+         lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS steps),
+spoken AS (
+  SELECT 'd' AS side, row_number() OVER () AS r, doc_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM documents
+  UNION ALL
+  SELECT 't', row_number() OVER (), NULL, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')
+  FROM benchmark),
+runs AS (
+  SELECT side, r, feature, count(*) AS times
+  FROM (SELECT side, r, unnest(words || list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1])) AS feature
+        FROM spoken)
+  GROUP BY ALL),
+hashed AS (
+  SELECT feature, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT,
+           list_transform(range(1, strlen(feature) + 1), lambda i: ('0x' || hex(feature)[2 * i - 1:2 * i])::BIGINT)),
+           lambda c, b: xor(c >> 8, steps[1 + (xor(c, b) & 255)]))) % 10000 AS bucket
+  FROM (SELECT DISTINCT feature FROM runs), crc),
+sums AS (
+  SELECT bucket, coalesce(sum(times) FILTER (side = 'd'), 0)::DOUBLE AS s, coalesce(sum(times) FILTER (side = 't'), 0)::DOUBLE AS t
+  FROM runs JOIN hashed USING (feature) GROUP BY bucket),
+gains AS (
+  SELECT bucket, floor(1000 * ln((t + 1) * (sum(s) OVER () + 10000) / ((s + 1) * (sum(t) OVER () + 10000))))::BIGINT AS gain
+  FROM sums),
+weighed AS (
+  SELECT r, sum(times)::BIGINT AS n_features, floor(sum(times * gain) / sum(times))::BIGINT AS weight
+  FROM runs JOIN hashed USING (feature) JOIN gains USING (bucket) WHERE side = 'd' GROUP BY r),
+scored AS (
+  SELECT doc_id, len(words) >= 20 AS enough, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || sha256('7:' || doc_id)[1:8])::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+  FROM spoken LEFT JOIN weighed USING (r) WHERE side = 'd'),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY enough ORDER BY score DESC, doc_id) AS place, count(*) OVER (PARTITION BY enough) AS n FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN enough AND place <= 25 * n // 100 THEN place END AS rank FROM ranked
+""",
+    "op13_infill": r"""
+WITH cut AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS units,
+         sha256('7:' || doc_id) AS digest
+  FROM documents),
+drawn AS (
+  SELECT *, len(units) AS n, ('0x' || digest[1:8])::BIGINT AS h1, ('0x' || digest[9:16])::BIGINT AS h2,
+         ('0x' || digest[17:24])::BIGINT AS h3, ('0x' || digest[25:32])::BIGINT AS h4
+  FROM cut),
+parts AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 100
+              THEN 'plain' WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+  FROM drawn),
+texts AS (
+  SELECT *, array_to_string(units[1:a], '') AS prefix, array_to_string(units[a + 1:b], '') AS middle,
+         array_to_string(units[b + 1:], '') AS suffix
+  FROM parts)
+SELECT doc_id, n, form,
+       CASE WHEN form != 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form != 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM texts
 """,
 }

@@ -2,12 +2,28 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterflow.llm import chat, exact_dedup, language, mixing, packing, phrases, pseudo, quality, simhash, toxicity
+from rosterflow.llm import (
+    chat,
+    exact_dedup,
+    infill,
+    language,
+    line_dedup,
+    mixing,
+    packing,
+    phrases,
+    pseudo,
+    quality,
+    resampling,
+    simhash,
+    toxicity,
+)
 from rosterflow.llm.common import held_out
-from rosterflow.session import stage
+from rosterflow.session import checkpoint_root, stage
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,6 +91,24 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", out.alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    keys = line_dedup.line_keys(docs)
+    index = line_dedup.create(spark, f"{checkpoint_root(spark)}/lines-{uuid.uuid4().hex}")
+    cleaned = line_dedup.clean(docs, line_dedup.insert(index, keys), keys)
+    return cleaned.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op13_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored = stage(infill.store(documents(spark, sf_dir).select("doc_id", "text")), "frames")
+    found = infill.digests(infill.transform(stored))
+    return found.select("doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256")
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_lm_scoring": op2_lm_scoring,
@@ -86,4 +120,7 @@ QUERIES = {
     "op8_fingerprints": op8_fingerprints,
     "op9_quality": op9_quality,
     "op10_language_id": op10_language_id,
+    "op11_line_dedup": op11_line_dedup,
+    "op12_resampling": op12_resampling,
+    "op13_infill": op13_infill,
 }

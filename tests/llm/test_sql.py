@@ -30,5 +30,5 @@ def test_query_matches_sql(spark, name):
 def test_all_are_registered():
     names = entry.queries()
     assert set(QUERIES) < set(names) and "pipeline" in names
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert set(ORACLES) <= set(entry.oracle_sql())

@@ -17,12 +17,17 @@ _WEEKLY = rf"^({'|'.join(TRAITS)})_w\d+$"
 
 
 def scan_academy(spark: SparkSession, raw_dir: str, since=None) -> tuple[DataFrame, DataFrame]:
-    """(rows, rejects) of all files, whatever weeks they hold and in whatever order.
+    """(rows, rejects) of all files."""
+    return academy_rows(scan_lines(spark, f"{raw_dir}/Academy", since))
+
+
+def academy_rows(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejects) of staged CSV lines, whatever weeks the files hold and in whatever order.
 
     The driver sees the distinct names of weekly columns, whose number is that of traits and weeks. A mark that is not a
     number is null.
     """
-    records, rejects = read_delimited(scan_lines(spark, f"{raw_dir}/Academy", since), list(ACADEMY_FIXED), "academy")
+    records, rejects = read_delimited(lines, list(ACADEMY_FIXED), "academy")
     names = records.select(F.explode("heading").alias("name")).distinct().where(F.col("name").rlike(_WEEKLY)).collect()
     weekly = sorted({r["name"] for r in names} or {f"{t}_w1" for t in TRAITS})
     marks = [column(n).try_cast("double").alias(n) for n in weekly]

@@ -67,7 +67,11 @@ def parse_reports(lines: DataFrame) -> DataFrame:
 
 def read_assessment_reports(spark: SparkSession, raw_dir: str, since=None) -> tuple[DataFrame, DataFrame]:
     """(records, rejects)."""
-    parsed = stage(parse_reports(scan_report_lines(spark, raw_dir, since)), "reports")
+    return split_rejects(stage(parse_reports(scan_report_lines(spark, raw_dir, since)), "reports"))
+
+
+def split_rejects(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(records, rejects) of parsed lines."""
     records = parsed.where(F.col("reject_reason").isNull()).select(
         "first_name", "last_name", "psychometrics", "presentation", "date", "academy", "assessment_id", *POSITION
     )

@@ -51,7 +51,11 @@ def read_talent_json(spark: SparkSession, raw_dir: str, since=None) -> tuple[Dat
 
     Rejects are unreadable objects, and the strengths, weaknesses and scores of objects whose file name holds no key.
     """
-    staged = stage(clean_talent(scan_talent(spark, raw_dir, since)), "talent")
+    return split_rejects(stage(clean_talent(scan_talent(spark, raw_dir, since)), "talent"))
+
+
+def split_rejects(staged: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(records, rejects) of cleaned objects."""
     records = staged.where(F.col("_corrupt").isNull()).drop("_corrupt")
     broken = staged.where(F.col("_corrupt").isNotNull()).select(
         "src_file", F.col("_corrupt").alias("record"), F.lit("unreadable").alias("reason")

@@ -10,7 +10,7 @@ score each counts with its own share of its bucket, joined from the counts of al
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from zlib import crc32
 
@@ -31,10 +31,11 @@ SYMBOLS = VOCABULARY + OTHERS + 1
 EDGE = SYMBOLS - 1
 #: classes that the network predicts, words seen on each side, size of the hidden layer
 CLASSES, SIDE, HIDDEN = 64, 2, 16
-#: positions per gradient step, and the first step's rate
-BATCH, RATE = 1024, 0.3
+#: positions per gradient step, the first step's rate, and positions that are held at once
+BATCH, RATE, AT_ONCE = 4096, 0.6, 1 << 14
 #: models that are averaged by one task
 FAN_IN = 32
+_EDGES = np.full(SIDE, EDGE)
 #: distinct words that a counting task holds before it hands them on
 MOST_COUNTED = 300_000
 #: log shares of words are summed as whole multiples of 1 / SCALE, so the order of the rows does not matter
@@ -161,70 +162,122 @@ class Network:
 
     @staticmethod
     def windows(symbols: np.ndarray) -> np.ndarray:
-        """Rows of the table for every position, one column per place of the window."""
-        padded = np.concatenate((np.full(SIDE, EDGE), symbols, np.full(SIDE, EDGE)))
-        places = [k for k in range(2 * SIDE + 1) if k != SIDE]
-        return np.stack([padded[k : k + len(symbols)] + i * SYMBOLS for i, k in enumerate(places)], axis=1)
+        """Rows of the table for every position of a short text, one column per place of the window."""
+        return next(_slices([symbols], len(symbols) + 1)).windows if len(symbols) else np.empty((0, 2 * SIDE), np.int64)
 
     def _forward(self, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        summed = self.table[windows[:, 0]]
+        summed = self.table.take(windows[:, 0], axis=0)
         for i in range(1, windows.shape[1]):
-            summed += self.table[windows[:, i]]
-        hidden = np.tanh(summed + self.bias)
-        return hidden, hidden @ self.out + self.prior
+            summed += self.table.take(windows[:, i], axis=0)
+        summed += self.bias
+        hidden = np.tanh(summed, out=summed)
+        logits = hidden @ self.out
+        logits += self.prior
+        return hidden, logits
 
     def log_probabilities(self, windows: np.ndarray, classes: np.ndarray) -> np.ndarray:
         _, logits = self._forward(windows)
-        logits -= logits.max(axis=1, keepdims=True)
         own = logits[np.arange(len(classes)), classes]
-        return own - np.log(np.exp(logits).sum(axis=1))
+        return own - np.log(_sums(_exp(logits)))
 
     def word_log_probabilities(self, windows: np.ndarray, symbols: np.ndarray, counts: Counts) -> np.ndarray:
         """log p(word | both sides) over all symbols: that of the class and that of the word among those of its class."""
         hidden, logits = self._forward(windows)
-        classes, found = counts.group[symbols], np.empty(len(symbols), np.float32)
-        logits -= logits.max(axis=1, keepdims=True)
-        found = logits[np.arange(len(classes)), classes] - np.log(np.exp(logits).sum(axis=1))
+        classes = counts.group[symbols]
+        found = logits[np.arange(len(classes)), classes] - np.log(_sums(_exp(logits)))
         for at, low, high in _by_class(classes, counts):
-            among = self._among(hidden[at], low, high, counts)
+            among = self._among(hidden.take(at, axis=0), low, high, counts)
             own = among[np.arange(len(at)), counts.place[symbols[at]] - low]
-            found[at] += own - np.log(np.exp(among).sum(axis=1))
+            found[at] += own - np.log(_sums(_exp(among)))
         return found
 
     def _among(self, hidden: np.ndarray, low: int, high: int, counts: Counts) -> np.ndarray:
         among = hidden @ self.words[low:high].T
         among += self.lean[0, low:high] + counts.shares[low:high]
-        among -= among.max(axis=1, keepdims=True)
         return among
 
     def _step_words(self, hidden: np.ndarray, symbols: np.ndarray, counts: Counts, rate: float) -> np.ndarray:
         """One gradient step of the words of each class that occurs; the gradient of the hidden layer comes back."""
         back = np.zeros_like(hidden)
         for at, low, high in _by_class(counts.group[symbols], counts):
-            inner = hidden[at]
-            slope = np.exp(self._among(inner, low, high, counts))
-            slope /= slope.sum(axis=1, keepdims=True)
-            slope[np.arange(len(at)), counts.place[symbols[at]] - low] -= 1
-            back[at] = slope @ self.words[low:high]
-            pace = rate * 0.3 / len(at) ** 0.5
-            self.words[low:high] -= pace * (slope.T @ inner)
-            self.lean[0, low:high] -= pace * slope.sum(axis=0)
+            inner = hidden.take(at, axis=0)
+            # slopes times the sum of their row, which is divided out where rows are narrow
+            slope = _exp(self._among(inner, low, high, counts))
+            total = _sums(slope)
+            slope[np.arange(len(at)), counts.place[symbols[at]] - low] -= total
+            share = np.reciprocal(total)
+            back[at] = (slope @ self.words[low:high]) * share[:, None]
+            share *= np.float32(rate * 0.3 / len(at) ** 0.5)
+            self.words[low:high] -= slope.T @ (inner * share[:, None])
+            self.lean[0, low:high] -= share @ slope
         return back
 
     def step(self, windows: np.ndarray, symbols: np.ndarray, counts: Counts, rate: float) -> None:
         """One gradient step on the mean loss; the table moves by each position's own gradient."""
         classes = counts.group[symbols]
         hidden, logits = self._forward(windows)
-        slope = np.exp(logits - logits.max(axis=1, keepdims=True))
-        slope /= slope.sum(axis=1, keepdims=True)
+        slope = _exp(logits)
+        slope /= _sums(slope)[:, None]
         slope[np.arange(len(classes)), classes] -= 1
-        inner = (slope @ self.out.T + self._step_words(hidden, symbols, counts, rate)) * (1 - hidden * hidden)
-        self.out -= rate * 8 * (hidden.T @ slope) / len(classes)
-        self.prior -= rate * 8 * slope.mean(axis=0)
-        self.bias -= rate * inner.mean(axis=0)
+        inner = slope @ self.out.T
+        inner += self._step_words(hidden, symbols, counts, rate)
+        inner *= 1 - hidden * hidden
+        self.out -= np.float32(rate * 8 / len(classes)) * (hidden.T @ slope)
+        self.prior -= np.float32(rate * 8) * slope.mean(axis=0)
+        self.bias -= np.float32(rate) * inner.mean(axis=0)
+        inner *= np.float32(-rate * 0.3)
         flat = (windows[:, :, None] * HIDDEN + np.arange(HIDDEN)).reshape(-1)
-        moved = np.broadcast_to((-rate * 0.3 * inner)[:, None, :], (*windows.shape, HIDDEN)).reshape(-1)
-        np.add.at(self.table.reshape(-1), flat, moved.astype(np.float32))
+        moved = np.broadcast_to(inner[:, None, :], (*windows.shape, HIDDEN)).reshape(-1)
+        np.add.at(self.table.reshape(-1), flat, moved)
+
+
+def _exp(x: np.ndarray) -> np.ndarray:
+    """exp in place; values beyond 80 count as 80, which float32 can still sum."""
+    np.minimum(x, 80, out=x)
+    return np.exp(x, out=x)
+
+
+def _sums(x: np.ndarray) -> np.ndarray:
+    return x @ np.ones(x.shape[1], np.float32)
+
+
+@dataclass
+class Slice:
+    """Positions of some documents: the place of each position's document in their list, its symbol and its window."""
+
+    owner: np.ndarray
+    symbols: np.ndarray
+    windows: np.ndarray
+
+
+def _slices(documents: Iterable[np.ndarray], most: int = AT_ONCE) -> Iterator[Slice]:
+    """All positions of the documents in order, in slices of about ``most``; long documents are cut, windows are whole."""
+    held: list[tuple[int, np.ndarray, int]] = []
+    size = 0
+    for i, symbols in enumerate(documents):
+        for at in range(0, len(symbols), most):
+            part = symbols[max(0, at - SIDE) : at + most + SIDE]
+            n = min(most, len(symbols) - at)
+            left, right = SIDE - min(at, SIDE), SIDE - min(SIDE, len(symbols) - at - n)
+            held.append((i, np.concatenate((_EDGES[:left], part, _EDGES[:right])), n))
+            size += n
+            if size >= most:
+                yield _slice(held)
+                held, size = [], 0
+    if held:
+        yield _slice(held)
+
+
+def _slice(held: list[tuple[int, np.ndarray, int]]) -> Slice:
+    padded = np.concatenate([part for _, part, _ in held])
+    sizes = np.array([n for _, _, n in held])
+    # each part has SIDE symbols before and behind its positions
+    place = np.arange(sizes.sum()) + np.repeat(np.arange(len(sizes)) * 2 * SIDE + SIDE, sizes)
+    windows = np.empty((len(place), 2 * SIDE), np.int64)
+    for column, step in enumerate(k for k in range(-SIDE, SIDE + 1) if k):
+        windows[:, column] = padded[place + step]
+        windows[:, column] += column * SYMBOLS
+    return Slice(np.repeat([i for i, _, _ in held], sizes), padded[place], windows)
 
 
 def _by_class(classes: np.ndarray, counts: Counts) -> Iterator[tuple[np.ndarray, int, int]]:
@@ -286,29 +339,16 @@ def _symbols_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBa
 
 def _trained(documents: Iterator[np.ndarray], counts: Counts) -> Network:
     """One pass over all positions of the documents of a task, shuffled in parts."""
-    network, held, size, seen = Network(), [], 0, 0
-    for symbols in documents:
-        if len(symbols):
-            held.append((Network.windows(symbols), symbols))
-            size += len(symbols)
-        if size >= BATCH * 16:
-            seen = _fed(network, held, counts, seen)
-            held, size = [], 0
-    if held:
-        _fed(network, held, counts, seen)
+    network, seen = Network(), 0
+    for part in _slices(documents, BATCH * 8):
+        order = np.random.default_rng(seen).permutation(len(part.symbols))
+        for at in range(0, len(order), BATCH):
+            some = order[at : at + BATCH]
+            network.step(part.windows[some], part.symbols[some], counts, RATE / (1 + seen / 2e6) ** 0.5)
+            seen += len(some)
     return network
 
 
-def _fed(network: Network, held: list, counts: Counts, seen: int) -> int:
-    windows, symbols = (np.concatenate(x) for x in zip(*held))
-    order = np.random.default_rng(seen).permutation(len(symbols))
-    for at in range(0, len(order), BATCH):
-        some = order[at : at + BATCH]
-        network.step(windows[some], symbols[some], counts, RATE / (1 + seen / 2e6) ** 0.5)
-        seen += len(some)
-    return seen
-
-
 def train(encoded: DataFrame, counts: Counts) -> Network:
     """Learns from every position of every document. Averages the models of all tasks, weighed by their tokens, FAN_IN at a time; one model comes to the driver."""
     schema = T.StructType(
@@ -370,7 +410,8 @@ def score(encoded: DataFrame, counts: Counts, network: Network, words: DataFrame
 
     ``words``: the staged ``word_counts``, with which the network predicts every word, and each word outside the vocabulary
     has its own share of its bucket; without them it predicts classes, and words have their corpus shares. A null or empty text has no tokens, sum 0 and a null mean. Equal texts score alike; rows may repeat; an empty table
-    gives no rows; further columns are not looked at. A text is read in slices of positions, so memory is bounded.
+    gives no rows; further columns are not looked at. The symbols of a text (two bytes a token) are held whole, its
+    positions go through the network in slices of AT_ONCE.
     """
     schema = T.StructType(
         [
@@ -382,14 +423,13 @@ def score(encoded: DataFrame, counts: Counts, network: Network, words: DataFrame
         ]
     )
     shared = encoded.sparkSession.sparkContext.broadcast((counts, network.vector()))
-    likelihood = pseudo_likelihood if words is None else word_likelihood
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, vector = shared.value
         net = Network(vector)
         for batch, documents in _symbols_of(batches):
             sizes = [len(symbols) for symbols in documents]
-            sums = [likelihood(net, found, symbols) for symbols in documents]
+            sums = likelihoods(net, found, documents, words is not None).tolist()
             means = [s / n if n else None for s, n in zip(sums, sizes)]
             columns = [pa.array(sizes, pa.int64()), pa.array(sums, pa.float64()), pa.array(means, pa.float64())]
             yield pa.record_batch([batch.column("doc_id"), *columns, batch.column("row")], names=schema.names)
@@ -403,24 +443,26 @@ def score(encoded: DataFrame, counts: Counts, network: Network, words: DataFrame
     return both.select("doc_id", "n_tokens", total.alias("log_likelihood"), mean.alias("mean_log_likelihood"))
 
 
-def pseudo_likelihood(network: Network, counts: Counts, symbols: np.ndarray, at_once: int = 2048) -> float:
-    """Sum over positions of log p(class | both sides) + log p(word | class)."""
-    if not len(symbols):
-        return 0.0
-    windows, classes = Network.windows(symbols), counts.group[symbols]
-    total = counts.within[symbols].sum()
-    for at in range(0, len(symbols), at_once):
-        part = network.log_probabilities(windows[at : at + at_once], classes[at : at + at_once])
-        total += part.sum(dtype=np.float64)
-    return float(total)
-
-
-def word_likelihood(network: Network, counts: Counts, symbols: np.ndarray, at_once: int = 2048) -> float:
-    """Sum over positions of log p(word | both sides), a word outside the vocabulary as its bucket."""
-    if not len(symbols):
-        return 0.0
-    windows, total = Network.windows(symbols), 0.0
-    for at in range(0, len(symbols), at_once):
-        part = network.word_log_probabilities(windows[at : at + at_once], symbols[at : at + at_once], counts)
-        total += part.sum(dtype=np.float64)
-    return float(total)
+def likelihoods(network: Network, counts: Counts, documents: list[np.ndarray], by_word: bool = True) -> np.ndarray:
+    """For each document the sum over its positions of log p(word | both sides), a word outside the vocabulary as its
+    bucket; not ``by_word``: of log p(class | both sides) + log p(word | class)."""
+    sums = np.zeros(len(documents))
+    for part in _slices(documents):
+        if by_word:
+            found = network.word_log_probabilities(part.windows, part.symbols, counts)
+        else:
+            found = network.log_probabilities(part.windows, counts.group[part.symbols]) + counts.within[part.symbols]
+        first = part.owner[0]
+        own = np.bincount(part.owner - first, found)
+        sums[first : first + len(own)] += own
+    return sums
+
+
+def pseudo_likelihood(network: Network, counts: Counts, symbols: np.ndarray) -> float:
+    """Of one text: sum over positions of log p(class | both sides) + log p(word | class)."""
+    return float(likelihoods(network, counts, [symbols], False)[0])
+
+
+def word_likelihood(network: Network, counts: Counts, symbols: np.ndarray) -> float:
+    """Of one text: sum over positions of log p(word | both sides)."""
+    return float(likelihoods(network, counts, [symbols])[0])

@@ -423,13 +423,14 @@ def score(encoded: DataFrame, counts: Counts, network: Network, words: DataFrame
         ]
     )
     shared = encoded.sparkSession.sparkContext.broadcast((counts, network.vector()))
+    by_word = words is not None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, vector = shared.value
         net = Network(vector)
         for batch, documents in _symbols_of(batches):
             sizes = [len(symbols) for symbols in documents]
-            sums = likelihoods(net, found, documents, words is not None).tolist()
+            sums = likelihoods(net, found, documents, by_word).tolist()
             means = [s / n if n else None for s, n in zip(sums, sizes)]
             columns = [pa.array(sizes, pa.int64()), pa.array(sums, pa.float64()), pa.array(means, pa.float64())]
             yield pa.record_batch([batch.column("doc_id"), *columns, batch.column("row")], names=schema.names)

@@ -38,44 +38,69 @@ MOST_LABELLED = 3000
 MOST_FEATURES, LEAST_DOCS = 6000, 3
 RANK, NEIGHBOURS, BLOCK = 64, 15, 512
 PRIOR_WEIGHT = 0.05
-REMEMBERED, LONGEST = 100_000, 64
+REMEMBERED = 100_000
+#: classes of a stretch of a word's shape; letters beyond which a word counts by stretches, and letters of these
+SHAPE, LONG, GRAM = 12, 32, 5
 
 _RUN = re.compile(r"(.)\1+", re.S)
 _WORD = re.compile(r"[^\W\d_]+")
 _KNOWN: dict[str, tuple[int, int]] = {}
 
 
-def _shape(word: str) -> str:
-    """Letters as a or A, digits as 0, other characters as they are, runs as one; the first 12 of them."""
-    kinds = "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word[:256])
-    return _RUN.sub(r"\1", kinds)[:12]
+def _shapes(word: str) -> list[str]:
+    """Letters as a or A, digits as 0, other characters as they are, runs as one: all stretches of SHAPE of them."""
+    kinds = "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word)
+    kinds = _RUN.sub(r"\1", kinds)
+    return [kinds[i : i + SHAPE] for i in range(max(1, len(kinds) - SHAPE + 1))]
+
+
+def _grams(word: str) -> list[str]:
+    """The letters of a word; of a long one all stretches of GRAM letters."""
+    letters = "".join(_WORD.findall(word.lower()))
+    if len(letters) <= LONG:
+        return [letters]
+    return [letters[i : i + GRAM] for i in range(len(letters) - GRAM + 1)]
+
+
+def _hashes(pieces: list[str]) -> np.ndarray:
+    return np.array([crc32(p.encode("utf-8", "replace")) for p in pieces], np.int64)
 
 
 def _slots(word: str) -> tuple[int, int]:
+    """Numbers of a word of one stretch each."""
     found = _KNOWN.get(word)
     if found is None:
-        letters = "".join(_WORD.findall(word.lower()))
-        own = crc32(letters.encode("utf-8", "replace")) % WORDS
-        found = own, WORDS + crc32(_shape(word).encode("utf-8", "replace")) % (REPEATS - WORDS)
-        if len(word) <= LONGEST:
-            if len(_KNOWN) >= REMEMBERED:
-                _KNOWN.clear()
-            _KNOWN[word] = found
+        own, shape = _hashes([_grams(word)[0], _shapes(word)[0]]).tolist()
+        found = own % WORDS, WORDS + shape % (REPEATS - WORDS)
+        if len(_KNOWN) >= REMEMBERED:
+            _KNOWN.clear()
+        _KNOWN[word] = found
     return found
 
 
 def features(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Feature numbers and the share of each among words or lines; both empty for a text without words."""
+    """Feature numbers and the share of each among words or lines; both empty for a text without words.
+
+    A word that is long, as texts without blanks are, shares its weight among all its stretches, so that every character
+    counts.
+    """
     words = text.split()
     counts = Counter(words)
+    long = [w for w in counts if len(w) > SHAPE and (len(w) > LONG or len(_shapes(w)) > 1)]
+    again = sum(map(operator.eq, words, islice(words, 1, None)))
+    numbers, weights = [], []
+    for word in long:
+        often = counts.pop(word)
+        for found in (_hashes(_grams(word)) % WORDS, WORDS + _hashes(_shapes(word)) % (REPEATS - WORDS)):
+            numbers.append(found)
+            weights.append(np.full(len(found), often / len(found)))
     slots = np.array([_slots(w) for w in counts], np.int64).reshape(-1, 2)
     often = np.fromiter(counts.values(), np.float64, len(counts))
     lines = text.split("\n")
-    again = sum(map(operator.eq, words, islice(words, 1, None)))
     shares = (again / max(1, len(words)), 1 - len(set(lines)) / len(lines))
     extra = [(REPEATS + i, s) for i, (s, least) in enumerate((s, x) for s in shares for x in LEVELS) if s > least]
-    numbers = np.concatenate([slots[:, 0], slots[:, 1], [n for n, _ in extra]]).astype(np.int64)
-    weights = np.concatenate([often, often]) / max(1, len(words))
+    numbers = np.concatenate([*numbers, slots[:, 0], slots[:, 1], [n for n, _ in extra]]).astype(np.int64)
+    weights = np.concatenate([*weights, often, often]) / max(1, len(words))
     found, place = np.unique(numbers, return_inverse=True)
     return found, np.bincount(place, np.concatenate([weights, [s for _, s in extra]]), len(found))
 

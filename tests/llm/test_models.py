@@ -30,6 +30,26 @@ def test_quality_on_held_out_rows(spark, tables):
     assert held[held["quality"] == 1]["predicted"].mean() > 0.99
 
 
+def test_every_character_of_a_long_word_counts():
+    def bag(text):
+        numbers, weights = quality.features(text)
+        return dict(zip(numbers.tolist(), weights.tolist()))
+
+    head = "Ab1" * 90
+    one, other = bag(head + "QUALITY9" * 50), bag(head + "zzz@@" * 50)
+    words = [{n: w for n, w in b.items() if n < quality.WORDS} for b in (one, other)]
+    shapes = [{n: w for n, w in b.items() if n >= quality.WORDS} for b in (one, other)]
+    assert words[0] != words[1] and shapes[0] != shapes[1]
+    # a word weighs as much in stretches as in one
+    for found in words:
+        assert sum(found.values()) == pytest.approx(1)
+    for b in (one, other, bag("plain words here"), bag("x" * 40 + " y")):
+        assert sum(w for n, w in b.items() if n < quality.WORDS) == pytest.approx(1)
+    lines = [f"{i:04d}{chr(0x4E00 + i)}" for i in range(600)]
+    assert bag("".join(lines)) != bag("".join(lines[:-1] + ["x"]))
+    assert len(bag("".join(lines))) > 300
+
+
 def test_quality_votes_against_all_neighbours(tables):
     docs, labels = tables
     model = quality.fit(docs, labels, quality.train_rows())

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rosterflow.llm.common import texts_of, typed
-from rosterflow.llm.tokens import encoder
+from rosterflow.llm.tokens import MOST_CORES, encoder
 from rosterflow.session import stage
 
 #: tasks whose leftovers meet in one task of the next round
@@ -117,6 +117,7 @@ def pack(
     end_id: int = 1,
     min_cut: int = 32,
     keep_ids: bool = True,
+    remembered: int = MOST_CORES,
 ) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, and ids (uint32,
     little-endian bytes) if ``keep_ids``.
@@ -124,7 +125,7 @@ def pack(
     A document is the ids of its whole text, then ``end_id``; a null or empty text is that id alone. Equal rows are
     packed each for itself, a null id stays null, an empty table gives no pieces, further columns are not looked at.
     The fullest window is topped up with the head of a piece that fits nowhere if that leaves ``min_cut`` ids on both
-    sides; otherwise it is closed as it is. Memory per task: ``open_windows`` windows and one batch of texts.
+    sides; otherwise it is closed as it is. Memory per task: ``open_windows`` windows, one batch of texts and the ids of ``remembered`` words.
     Placement depends only on how files are split into tasks, so a task that is run again gives the same rows.
     """
     spark = docs.sparkSession
@@ -138,7 +139,7 @@ def pack(
 
     def online(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        encode, packer = encoder(tokenizer.value), Packer(length, open_windows, min_cut)
+        encode, packer = encoder(tokenizer.value, remembered), Packer(length, open_windows, min_cut)
         out = _Out(arrow, part << 32, keep_ids)
         for batch, texts in texts_of(batches):
             for doc, text in zip(batch.column("doc_id").to_pylist(), texts):

@@ -8,6 +8,8 @@ import struct
 
 import numpy as np
 
+#: lower-case letter runs whose ids are remembered
+MOST_CORES = 400_000
 #: words longer than this are encoded each time and not remembered
 LONGEST = 64
 #: a word of plain Latin letters and the punctuation after it: two tokens' worth of text, whatever the case
@@ -30,7 +32,7 @@ class WordEncoder(dict):
     When the memory is full it starts anew.
     """
 
-    def __init__(self, tokenizer_json: str, most: int = 100_000, most_cores: int = 400_000):
+    def __init__(self, tokenizer_json: str, most: int = 100_000, most_cores: int = MOST_CORES):
         super().__init__({"": b""})
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -74,9 +76,10 @@ class WordEncoder(dict):
         return ids
 
 
-def encoder(tokenizer_json: str) -> WordEncoder:
+def encoder(tokenizer_json: str, most_cores: int = MOST_CORES) -> WordEncoder:
     """One encoder per worker process and tokenizer."""
     if tokenizer_json not in _LOADED:
         _LOADED.clear()
         _LOADED[tokenizer_json] = WordEncoder(tokenizer_json)
+    _LOADED[tokenizer_json].most_cores = most_cores
     return _LOADED[tokenizer_json]

@@ -408,6 +408,66 @@ def _contents() -> str:
     return _with(needed, "").rstrip() + ",\n" + bodies + "\n" + "\nUNION ALL ".join(rows)
 
 
+_MONTHLY = f"""SELECT {_strip('first_name || last_name')} || strftime(date_trunc('month', date), '%Y%m%d') AS assessment_id,
+    psychometrics, presentation, 'Town' || strftime(date, '%m') AS academy{{more}} FROM parsed
+    WHERE has_dash AND psychometrics IS NOT NULL AND presentation IS NOT NULL"""
+_WEEKS = ", ".join(
+    f"CAST(max(value) FILTER (WHERE i = {i} AND week = {w}) AS INTEGER) AS {t}_w{w}" for i, t in ((0, "analytic"), (2, "imaginative")) for w in (1, 2)
+)
+
+
+def _by_names() -> str:
+    """The star of one load with names in place of ids; applicants of the second load only where their id is new."""
+    marks = ", ".join(_TRAITS)
+    people = """SELECT applicant_id, name, (SELECT seg FROM base WHERE k = app.id) AS uni, invited_date, invited_by AS recruiter_name,
+                src_file < '3' AS early FROM app"""
+    tables = {
+        "recruiters": ("SELECT invited_by FROM recruiter", ["invited_by"]),
+        "academy_locations": ("SELECT academy FROM acad UNION SELECT NULL", ["academy"]),
+        "strengths": ("SELECT value FROM strength", ["value"]),
+        "weaknesses": ("SELECT DISTINCT value FROM weakness_long", ["value"]),
+        "tech_self_scores": ("SELECT tech_name FROM tech", ["tech_name"]),
+        "trainers": ("SELECT trainer FROM trainer", ["trainer"]),
+        "courses": ("SELECT DISTINCT course_id, course_name FROM academy", ["course_id", "course_name"]),
+        "location": ("SELECT * FROM place", ["applicant_id", "address", "postcode", "city"]),
+        "applicants": (
+            "SELECT * FROM people p WHERE early OR NOT EXISTS (SELECT 1 FROM people q WHERE q.early AND q.applicant_id = p.applicant_id)",
+            ["applicant_id", "name", "uni", "invited_date", "recruiter_name"],
+        ),
+        "talent": (
+            "SELECT f.*, academy FROM final f JOIN acad USING (academy_location_id)",
+            ["applicant_id", "json_key", "date", "self_development", "financial_support_self", "result", "course_interest",
+             "psychometric_result", "presentation_result", "geo_flex", "academy"],
+        ),
+        "strengths_junction": ("SELECT * FROM strength_long WHERE json_key IN (SELECT json_key FROM final)", ["json_key", "value"]),
+        "weaknesses_junction": ("SELECT * FROM weakness_long WHERE json_key IN (SELECT json_key FROM final)", ["json_key", "value"]),
+        "tech_junction": (
+            "SELECT * FROM tech_long WHERE json_key IN (SELECT json_key FROM final)", ["json_key", "tech_name", "score"],
+        ),
+        "trainees": ("SELECT * FROM followed", ["name", "date", "course_id", "trainer", "json_key"]),
+        "behaviours": (
+            f"SELECT f.name, f.date, f.course_id, b.week, {marks} FROM behaviour b JOIN followed f ON f.behaviour_id = b.behaviour_id",
+            ["name", "date", "course_id", "week", *_TRAITS],
+        ),
+        "append_rejects": (
+            """SELECT 'applicants' AS source, count(*) AS n FROM people p WHERE NOT early
+               AND EXISTS (SELECT 1 FROM people q WHERE q.early AND q.applicant_id = p.applicant_id)
+               AND NOT EXISTS (SELECT 1 FROM people q WHERE q.early AND q.applicant_id = p.applicant_id
+                 AND q.name IS NOT DISTINCT FROM p.name AND q.uni IS NOT DISTINCT FROM p.uni
+                 AND q.invited_date IS NOT DISTINCT FROM p.invited_date AND q.recruiter_name IS NOT DISTINCT FROM p.recruiter_name)
+               HAVING count(*) > 0""",
+            ["source", "n"],
+        ),
+    }
+    needed = ["recruiter", "acad", "final", "strength", "weakness_long", "tech", "place", "trainer", "followed", "behaviour"]
+    rows = [
+        f"""SELECT '{name}' AS table_name, concat_ws('|', {', '.join(f"coalesce(CAST({c} AS VARCHAR), '-')" for c in columns)})
+            AS content FROM ({body})"""
+        for name, (body, columns) in tables.items()
+    ]
+    return _with(needed, "").rstrip() + f",\npeople AS ({people})\n" + "\nUNION ALL ".join(rows)
+
+
 ORACLES: dict[str, str] = {
     "phone_clean": """SELECT c_custkey, replace(replace(replace('+44 (' || c_nationkey || ') 555 ' || c_custkey,
         '(', ''), ')', ''), ' ', '-') AS phone_number FROM customer""",
@@ -593,7 +653,8 @@ ORACLES: dict[str, str] = {
         SELECT a.rec AS recruiter_name, a.id AS recruiter_id, count(*) AS n_rows
         FROM r JOIN (SELECT * FROM o UNION ALL SELECT * FROM n) a ON a.rec = r.rec
         WHERE d > DATE '1998-01-01' GROUP BY 1, 2
-        UNION ALL SELECT '(locations)', (SELECT count(*) FROM lo), count(*) FROM ln""".lstrip(),
+        UNION ALL SELECT concat_ws('|', place, seg, pr, name), (SELECT count(*) FROM lo) - 1 + row_number() OVER (ORDER BY min(k)), 1
+        FROM r JOIN ln USING (place, seg, pr, name) WHERE d > DATE '1998-01-01' GROUP BY place, seg, pr, name""".lstrip(),
     ).replace("\n, r AS", ", r AS"),
     "applicant_tables": _with(
         ["recruiter"],
@@ -625,7 +686,7 @@ ORACLES: dict[str, str] = {
     "star_load": _star(),
     "star_audit": _audit(),
     "star_contents": _contents(),
-    "star_append": _star(),
+    "star_append": _by_names(),
     "applicant_layouts": _with(
         ["base"],
         """SELECT CAST(k AS INTEGER) AS id, name, seg || chr(10) || place || ', "' || nk || '"' AS address,
@@ -662,4 +723,36 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT 'strength', json_key, value, NULL FROM strength_long
         UNION ALL SELECT 'weakness', json_key, value, NULL FROM weakness_long""",
     ),
+    "talent_since": f"""SELECT s_name AS name, '2019-0' || (s_nationkey % 9 + 1) || '-01' AS date, CAST(s_suppkey % 7 AS INTEGER) AS java,
+        CASE s_suppkey % 3 WHEN 0 THEN 'Yes' WHEN 1 THEN 'No' ELSE 'Maybe' END AS geo_flex,
+        {_strip('s_name')} || '20190' || (s_nationkey % 9 + 1) || '01' AS person_id FROM supplier WHERE s_suppkey % 2 = 1""",
+    "streamed_talent": f"""SELECT s_name AS name, '2019-0' || (s_nationkey % 9 + 1) || '-01' AS date, CAST(s_suppkey % 7 AS INTEGER) AS java,
+        CASE s_suppkey % 3 WHEN 0 THEN 'Yes' WHEN 1 THEN 'No' ELSE 'Maybe' END AS geo_flex,
+        {_strip('s_name')} || '20190' || (s_nationkey % 9 + 1) || '01' AS person_id, CAST(s_suppkey % 2 AS INTEGER) AS batch FROM supplier""",
+    "reports_since": _with(["parsed"], _MONTHLY.replace("{more}", "") + " AND month(date) % 2 = 0"),
+    "streamed_reports": _with(["parsed"], _MONTHLY.replace("{more}", ", CAST(month(date) % 2 = 0 AS INTEGER) AS batch")),
+    "academy_since": _with(["mark"], f"SELECT name, trainer, {_WEEKS} FROM mark GROUP BY trainee_id, name, trainer"),
+    "streamed_academy": _with(
+        ["mark"],
+        f"""SELECT name, trainer, {_WEEKS}, 1 AS batch FROM mark GROUP BY trainee_id, name, trainer
+        UNION ALL SELECT name, trainer, CAST(max(value) FILTER (WHERE i = 0 AND week = 1) AS INTEGER), NULL,
+        CAST(max(value) FILTER (WHERE i = 2 AND week = 1) AS INTEGER), NULL, 0 FROM mark GROUP BY trainee_id, name, trainer""",
+    ),
+    "applicant_long_values": "SELECT CAST(doc_id AS INTEGER) AS id, source AS name, sha256(nullif(text, '')) AS address, lang AS city FROM documents",
+    "applicant_stray_quotes": _with(
+        ["base"],
+        """SELECT CAST(k AS INTEGER) AS id, name, place || chr(10) || '-' || chr(10) || seg || ', "' || nk || '"' AS address, NULL AS reason
+           FROM base WHERE k % 7 <> 0 UNION ALL SELECT CAST(k AS INTEGER), NULL, NULL, 'quotes do not match' FROM base WHERE k % 7 = 0""",
+    ),
+    "exported_strengths": _with(
+        ["strength"], "SELECT json_key, strength_id, value AS strength FROM strength_long JOIN strength USING (value)"
+    ),
+    "candidate_append": _with(
+        ["base"], "SELECT name || '-' || k AS id, strftime(d, '%Y-%m-%d') AS invited_date, name FROM base"
+    ),
+    "nothing_since": """SELECT * FROM (VALUES
+        ('applicants', 'applicant_id,date_missing,day_missing,degree,dob,dob_unreadable,email,gender,id,iddate,invited_date,name,phone_number,recruiter_id,src_file,uni', CAST(0 AS BIGINT)),
+        ('location', 'address,applicant_id,city,location_id,postcode', 0),
+        ('recruiters', 'recruiter_id,recruiter_name', 0),
+        ('rejects', 'reason,record,source,src_file', 0)) t(table_name, columns, n_rows)""",
 }

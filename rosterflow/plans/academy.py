@@ -17,7 +17,8 @@ FIXED = ["behaviour_id", "name", "trainer", "course_name", "date"]
 def trainees(academy: DataFrame, order: list[str] = POSITION) -> tuple[DataFrame, DataFrame]:
     """(trainees with a row id and trainer_id, trainers). A missing trainer has an id of its own."""
     dim = dense_ids(academy, "trainer", order, "trainer_id", start=1, nulls="own")
-    people = number_rows(academy.select(*FIXED, *order), order, "trainee_id", 1)
+    file_name = F.regexp_extract("src_file", "[^/]*$", 0).alias("file_name")
+    people = number_rows(academy.select(*FIXED, file_name, *order), order, "trainee_id", 1)
     people = attach_ids(people, dim, "trainer").select(
         "trainee_id",
         "behaviour_id",
@@ -26,6 +27,7 @@ def trainees(academy: DataFrame, order: list[str] = POSITION) -> tuple[DataFrame
         course_code(F.col("course_name")).alias("course_id"),
         "course_name",
         "date",
+        "file_name",
     )
     return people, dim.select(F.col("trainer_id").cast("string").alias("trainer_id"), "trainer")
 

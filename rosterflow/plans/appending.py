@@ -1,121 +1,330 @@
-"""Adding a load to stored tables: what is known keeps its keys, what is new gets the next ones."""
+"""Adding a load to a stored star, so that the result is that of one load of everything.
+
+A star keeps a ledger beside its tables: the records, applicants and trainees as they were before they were linked, and
+the junction rows of records that were merged away. A load adds what is new under the next ids, rejects what contradicts
+stored rows, and links again only the people whose name occurs among its new applicants, records or trainees.
+"""
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import partial, reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rosterflow.operators.joins import lookup
+from rosterflow.functions.text import slug
+from rosterflow.operators.joins import equi_join
+from rosterflow.operators.merge import collapse_first
 from rosterflow.operators.numbering import SYNTHETIC_BASE, number_rows
-from rosterflow.session import stage
-
-#: table -> (id column or None, columns that tell its rows apart, references by column to parent tables)
-RULES = {
-    "recruiters": ("recruiter_id", ["recruiter_name"], {}),
-    "applicants": (None, ["applicant_id"], {"recruiter_id": "recruiters"}),
-    "academy_locations": ("academy_location_id", ["location_name"], {}),
-    "talent": ("talent_id", ["applicant_id"], {"academy_location_id": "academy_locations"}),
-    "strengths": ("strength_id", ["strength"], {}),
-    "weaknesses": ("weakness_id", ["weakness"], {}),
-    "tech_self_scores": ("tech_id", ["tech_name"], {}),
-    "strengths_junction": (None, ["json_key", "strength_id"], {"strength_id": "strengths"}),
-    "weaknesses_junction": (None, ["json_key", "weakness_id"], {"weakness_id": "weaknesses"}),
-    "tech_junction": (None, ["json_key", "tech_id"], {"tech_id": "tech_self_scores"}),
-    "location": ("location_id", ["applicant_id", "address", "postcode", "city"], {}),
-    "courses": (None, ["course_id", "course_name"], {}),
-    "trainers": ("trainer_id", ["trainer"], {}),
-    "trainees": ("trainee_id", ["json_key", "trainer_id", "course_id"], {"trainer_id": "trainers"}),
-    "behaviours": ("behaviour_id", ["trainee_id", "week_number"], {"trainee_id": "trainees"}),
-}
+from rosterflow.plans.linked import linked_records
+from rosterflow.session import stage, together
 
-#: tables whose rows are told apart by what they tell of, so that a row of known key may contradict the stored one
-MARKS = ("tech_junction", "behaviours")
+#: what a star keeps beside its tables: records, applicants and trainees before linking, junction rows not in use
+RECORDS, PEOPLE, ROSTER = "known_records", "known_people", "known_roster"
+SPARE = {
+    "strengths_junction": "spare_strengths",
+    "weaknesses_junction": "spare_weaknesses",
+    "tech_junction": "spare_scores",
+}
+LEDGER = (RECORDS, PEOPLE, ROSTER, *SPARE.values())
 #: name of the further table that takes the rows left out as they contradict stored ones
 REJECTS = "append_rejects"
 
+#: dimensions: id column, natural key
+DIMENSIONS = {
+    "recruiters": ("recruiter_id", "recruiter_name"),
+    "academy_locations": ("academy_location_id", "location_name"),
+    "strengths": ("strength_id", "strength"),
+    "weaknesses": ("weakness_id", "weakness"),
+    "tech_self_scores": ("tech_id", "tech_name"),
+    "trainers": ("trainer_id", "trainer"),
+}
+#: junctions: dimension, its id column
+JUNCTIONS = [
+    ("strengths_junction", "strengths", "strength_id"),
+    ("weaknesses_junction", "weaknesses", "weakness_id"),
+    ("tech_junction", "tech_self_scores", "tech_id"),
+]
+#: what tells a trainee apart: the file without its folder, its course and date, the name, the place among namesakes
+IDENTITY = ["file_name", "course_name", "date", "name", "nth"]
+_DATE_CHARS = 8
+
+
+def lookup(left: DataFrame, right: DataFrame, on: list[str], how: str, null_safe: bool = False) -> DataFrame:
+    """Join to a written table, whose size Spark knows from its files, so nothing is measured first."""
+    return equi_join(left, right, on, how, null_safe)
+
+
+def name_group(person: Column) -> Column:
+    """The part of an applicant or person id that comes from the name; all that is linked to a person shares it."""
+    return F.substring(person, F.lit(1), F.greatest(F.char_length(person) - _DATE_CHARS, F.lit(0)))
+
+
+def roster_with_identity(trainees: DataFrame) -> DataFrame:
+    """Trainees with ``nth``, their place among those of equal name, file, course and date.
+
+    Counted from one numbering over all, so that a name without value, or one that many share, is not one task's work.
+    """
+    others = IDENTITY[:-1]
+    order = [F.col(c).asc_nulls_first() for c in others]
+    numbered = stage(number_rows(trainees, [*order, "trainee_id"], "_row"), "roster")
+    firsts = stage(numbered.groupBy(*others).agg(F.min("_row").alias("_first")), "roster-firsts")
+    placed = lookup(numbered, firsts, others, "left", null_safe=True)
+    return placed.withColumn("nth", F.col("_row") - F.col("_first")).drop("_row", "_first")
+
+
+def ledger(
+    records: DataFrame, people: DataFrame, order: list[str], roster: DataFrame, talent: DataFrame, pairs: dict[str, DataFrame]
+) -> dict[str, DataFrame]:
+    """The further tables of a star; ``pairs`` are its junction rows before those of unknown records are left out."""
+    kept = ["trainee_id", "trainer_id", *IDENTITY]
+    keys = stage(talent.select("json_key").where(F.col("json_key").isNotNull()).distinct(), "ledger-keys")
+    spare = {SPARE[n]: lookup(df, keys, ["json_key"], "left_anti") for n, df in pairs.items()}
+    return {
+        RECORDS: records,
+        PEOPLE: people.select(*order, "applicant_id", "name", "invited_date"),
+        ROSTER: roster_with_identity(roster).select(*kept),
+        **spare,
+    }
+
 
 def continue_star(stored: dict[str, DataFrame], new: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Stored rows, then the new rows that are not stored yet, references turned to the ids under which parents stand.
+    """Tables and ledger of ``stored`` with the load ``new``, and a further table REJECTS (source, record, reason).
 
-    A row is known if its natural key is stored; the stored row wins. Rows of junctions and marks are told apart within
-    their record or trainee, so what a later load knows more of a stored one is added; scores and marks that contradict
-    stored ones of the same key go to a further table, REJECTS (source, record, reason). Trainees without record are told apart by trainer and course and,
-    where several are alike, by their place among them. Keys made for records without file go on from the greatest.
+    Stored rows keep their ids and win: of a new row whose natural key is stored, only what is missing there is taken,
+    and what differs goes to the rejects. Natural keys are names in dimensions, applicant_id, the code of a course, the
+    person id of a record, record and value in junctions, trainee and week in marks, and IDENTITY for trainees, so
+    people who share a trainer and course stay apart. Records keep their file's number, and keyless ones the key
+    made for them, as long as they are not merged. Loading the same again changes nothing.
     """
-    known_ids: dict[str, DataFrame] = {}
+    missing = [n for n in LEDGER if n not in stored or n not in new]
+    if missing:
+        raise ValueError(f"both sides need the ledger of build_star: {', '.join(missing)}")
+    spark = stored["talent"].sparkSession
     out, rejects = {}, []
-    for name, (key, natural, references) in RULES.items():
-        old, rows = stored[name], new[name]
-        kinds = dict(old.dtypes)
-        rows = rows.select(*[F.col(c).cast(kinds[c]).alias(c) for c in old.columns])
-        if name == "talent":
-            rows = _continued_keys(old, rows)
-        for column, parent in references.items():
-            if parent in known_ids:
-                mapped = known_ids[parent].select(F.col("_before").alias(column), F.col("_after"))
-                rows = lookup(rows, mapped, [column], "inner" if name == "behaviours" else "left")
-                rows = rows.withColumn(column, F.col("_after").cast(kinds[column])).drop("_after")
-        if name in MARKS:
-            rows = stage(rows, "append-marks")
-            rejects.append(_contradicting(name, old, rows, key, natural))
-        if key is None or name in ("talent", "behaviours"):
-            keys = stage(old.select(*natural).distinct(), "stored-keys")
-            fresh = lookup(rows, keys, natural, "left_anti", null_safe=True)
-        else:
-            fresh = None
-        if key is None:
-            out[name] = old.unionByName(fresh)
-            continue
-        top = old.agg(F.max(F.col(key).cast("long"))).first()[0]
-        first = 0 if top is None else top + 1
-        if fresh is not None:
-            numbered = stage(_numbered(fresh, key, first, kinds[key]), f"append-{name}")
-            out[name] = old.unionByName(numbered.drop("_before"))
-            continue
-        # several rows may share a natural key that is not unique by nature: the n-th new one is the n-th stored one
-        stored_rows = stage(_ranked(old, key, natural), "append-old")
-        rows = stage(_ranked(rows, key, natural), "append-new")
-        on = [*natural, "_nth"]
-        same = stored_rows.select(*on, F.col(key).alias("_after"))
-        joined = lookup(rows, same, on, "left", null_safe=True)
-        fresh = joined.where("_after IS NULL").select(*old.columns)
-        numbered = stage(_numbered(fresh, key, first, kinds[key]), f"append-{name}")
-        out[name] = old.unionByName(numbered.drop("_before"))
-        ids = joined.where("_after IS NOT NULL").select(F.col(key).alias("_before"), "_after")
-        more = numbered.select("_before", F.col(key).alias("_after"))
-        known_ids[name] = stage(ids.unionByName(more), "append-ids")
+    found = together(spark, *(partial(_continued, n, stored[n], new[n], *keys) for n, keys in DIMENSIONS.items()))
+    ids = {}
+    for name, (rows, mapped) in zip(DIMENSIONS, found):
+        out[name], ids[name] = rows, mapped
+
+    def keyed(name: str, rows: DataFrame, natural: list[str], key: str | None = None) -> tuple[DataFrame, DataFrame]:
+        out[name], fresh, differing = _added(name, stored[name], rows, natural, key)
+        rejects.append(differing)
+        return out[name], fresh
+
+    def add_trainees() -> tuple[DataFrame, DataFrame]:
+        out[ROSTER], roster_ids, fresh, differing = _trainees(stored, new, ids["trainers"])
+        rejects.append(differing)
+        marks = _mapped(new["behaviours"], roster_ids, "trainee_id", "inner")
+        keyed("behaviours", marks, ["trainee_id", "week_number"], "behaviour_id")
+        return roster_ids, fresh
+
+    def add_records() -> DataFrame:
+        rows = _mapped(new[RECORDS], ids["academy_locations"], "academy_location_id")
+        out[RECORDS], fresh, differing = _records(stored[RECORDS], rows)
+        rejects.append(differing)
+        return fresh
+
+    def add_pairs(name: str, dim: str, column: str) -> DataFrame:
+        columns, spare = stored[name].columns, SPARE[name]
+        rows = _mapped(new[name].select(*columns).unionByName(new[spare].select(*columns)), ids[dim], column)
+        old = stored[name].unionByName(stored[spare].select(*columns))
+        pairs, _, differing = _added(name, old, rows, ["json_key", column], None)
+        rejects.append(differing)
+        return pairs
+
+    people = stored[PEOPLE].columns
+    (roster_ids, fresh_roster), fresh_records, (_, fresh_people, _), *pairs, _, _, _ = together(
+        spark,
+        add_trainees,
+        add_records,
+        lambda: _added(PEOPLE, stored[PEOPLE], new[PEOPLE], people, None),
+        *(partial(add_pairs, *names) for names in JUNCTIONS),
+        lambda: keyed("courses", new["courses"], ["course_id"]),
+        lambda: keyed("location", new["location"], ["applicant_id", "address", "postcode", "city"], "location_id"),
+        lambda: keyed("applicants", _mapped(new["applicants"], ids["recruiters"], "recruiter_id"), ["applicant_id"]),
+    )
+    out[PEOPLE] = stored[PEOPLE].unionByName(fresh_people)
+    order = [c for c in people if c not in ("applicant_id", "name", "invited_date")]
+
+    # only people of these names can be linked otherwise than before
+    groups = [
+        fresh_records.select(name_group(F.col("applicant_id")).alias("_group")),
+        fresh_people.select(name_group(F.col("applicant_id")).alias("_group")),
+        fresh_roster.select(slug(F.col("name")).alias("_group")),
+    ]
+    groups = stage(reduce(DataFrame.unionByName, groups).where(F.col("_group").isNotNull()).distinct(), "append-groups")
+
+    def of_groups(rows: DataFrame, group: Column, how: str = "left_semi") -> DataFrame:
+        return lookup(rows.withColumn("_group", group), groups, ["_group"], how).drop("_group")
+
+    by_id, by_name = name_group(F.col("applicant_id")), slug(F.col("name"))
+    touched = stage(of_groups(out[ROSTER], by_name), "append-roster")
+    final, followed = linked_records(
+        stage(of_groups(out[RECORDS], by_id), "append-records"), of_groups(out[PEOPLE], by_id), touched, order
+    )
+    before = stage(of_groups(stored["talent"], by_id), "append-before")
+    untouched = of_groups(stored["talent"], by_id, "left_anti")
+    out["talent"] = untouched.unionByName(_talent(stored["talent"], before, stage(final, "append-final")))
+
+    trainees = _mapped(new["trainees"], ids["trainers"], "trainer_id")
+    added = _mapped(lookup(trainees, fresh_roster.select("trainee_id"), ["trainee_id"], "left_semi"), roster_ids, "trainee_id", "inner")
+    links = stage(followed.select("trainee_id", F.struct("json_key").alias("_link")), "append-links")
+    everyone = lookup(stored["trainees"].unionByName(added.select(*stored["trainees"].columns)), links, ["trainee_id"], "left")
+    key = F.when(F.col("_link").isNotNull(), F.col("_link.json_key")).otherwise(F.col("json_key"))
+    out["trainees"] = everyone.withColumn("json_key", key).drop("_link")
+
+    keys = stage(out["talent"].select("json_key").distinct(), "append-keys")
+    for (name, _, _), rows in zip(JUNCTIONS, pairs):
+        out[name] = lookup(rows, keys, ["json_key"], "left_semi")
+        out[SPARE[name]] = lookup(rows, keys, ["json_key"], "left_anti")
     out[REJECTS] = reduce(DataFrame.unionByName, rejects)
     return out
 
 
-def _contradicting(name: str, old: DataFrame, rows: DataFrame, key: str | None, natural: list[str]) -> DataFrame:
-    """Rows whose natural key is stored, but never with the same values."""
+def _first_id(old: DataFrame, rows: DataFrame, key: str) -> int:
+    """The id behind the greatest stored one; where nothing is stored, that at which the load begins."""
+    top = old.agg(F.max(F.col(key).cast("long"))).first()[0]
+    return int(rows.agg(F.min(F.col(key).cast("long"))).first()[0] or 0) if top is None else top + 1
+
+
+def _next(old: DataFrame, key: str) -> int:
+    top = old.agg(F.max(F.col(key).cast("long"))).first()[0]
+    return 1 if top is None else top + 1
+
+
+def _mapped(rows: DataFrame, ids: DataFrame, column: str, how: str = "left") -> DataFrame:
+    """``column`` turned from the load's ids to the stored ones."""
+    kind = dict(rows.dtypes)[column]
+    mapped = ids.select(F.col("_before").cast(kind).alias(column), F.col("_after").cast(kind).alias("_after"))
+    joined = lookup(rows, mapped, [column], how)
+    return joined.withColumn(column, F.col("_after")).select(*rows.columns)
+
+
+def _continued(name: str, old: DataFrame, rows: DataFrame, key: str, natural: str) -> tuple[DataFrame, DataFrame]:
+    """(dimension with new values, ids of the load as _before and _after)."""
+    kind = dict(old.dtypes)[key]
+    known = old.select(natural, F.col(key).alias("_after"))
+    joined = stage(lookup(rows, known, [natural], "left", null_safe=True), f"append-{name}")
+    fresh = joined.where("_after IS NULL")
+    if name == "academy_locations":
+        # no academy is 0 in every load
+        none = fresh.where(F.col(natural).isNull()).withColumn("_after", F.lit(0).cast("long"))
+        fresh = fresh.where(F.col(natural).isNotNull())
+    first = _first_id(old, rows, key)
+    first = max(first, 1) if name == "academy_locations" else first
+    fresh = stage(number_rows(fresh.drop("_after"), [F.col(key).cast("long")], "_after", first), f"append-new-{name}")
+    if name == "academy_locations":
+        fresh = fresh.unionByName(none)
+    added = fresh.select(F.col("_after").cast(kind).alias(key), natural)
+    ids = joined.where("_after IS NOT NULL").select(F.col(key).alias("_before"), F.col("_after").cast("long"))
+    ids = ids.unionByName(fresh.select(F.col(key).alias("_before"), "_after"))
+    return old.unionByName(added.select(*old.columns)), stage(ids, f"append-ids-{name}")
+
+
+def _digest(columns: list[str]) -> Column:
+    return F.md5(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}))
+
+
+def _added(
+    name: str, old: DataFrame, rows: DataFrame, natural: list[str], key: str | None
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(stored and new rows, the new ones, rejects): rows are new if their natural key is not stored.
+
+    Digests of rows tell those that are stored alike from those that contradict. ``key`` is numbered on.
+    """
+    kinds = dict(old.dtypes)
     values = [c for c in old.columns if c != key]
-    keys = stage(old.select(*values).distinct(), "stored-marks")
-    other = lookup(rows, keys, values, "left_anti", null_safe=True)
-    other = lookup(other, keys.select(*natural).distinct(), natural, "left_semi", null_safe=True)
+    typed = rows.select(*[F.col(c).cast(kinds[c]).alias(c) for c in old.columns])
+    known = stage(old.select(*natural, _digest(values).alias("_digest")).distinct(), f"append-known-{name}")
+    other = lookup(typed.withColumn("_digest", _digest(values)), known, [*natural, "_digest"], "left_anti", null_safe=True)
+    other = stage(other.drop("_digest"), f"append-other-{name}")
+    keys = known.select(*natural).distinct()
+    fresh = lookup(other, keys, natural, "left_anti", null_safe=True)
+    differing = lookup(other, keys, natural, "left_semi", null_safe=True)
+    if key is not None:
+        order = [F.col("_before").cast("long")]
+        fresh = number_rows(fresh.withColumnRenamed(key, "_before"), order, key, _first_id(old, rows, key))
+        fresh = fresh.withColumn(key, F.col(key).cast(kinds[key]))
+    fresh = stage(fresh.select(*old.columns), f"append-new-{name}")
+    return old.unionByName(fresh), fresh, _rejected(name, differing, values)
+
+
+def _rejected(name: str, rows: DataFrame, values: list[str]) -> DataFrame:
     record = F.to_json(F.struct(*values)).alias("record")
-    return other.select(F.lit(name).alias("source"), record, F.lit("contradicts a stored row").alias("reason"))
+    return rows.select(F.lit(name).alias("source"), record, F.lit("contradicts a stored row").alias("reason"))
+
+
+def _trainees(
+    stored: dict[str, DataFrame], new: dict[str, DataFrame], trainers: DataFrame
+) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(roster, ids of the load's trainees, new part of the roster under the load's ids, rejects)."""
+    old = stored[ROSTER]
+    rows = _mapped(new[ROSTER], trainers, "trainer_id")
+    known = old.select(*IDENTITY, F.col("trainee_id").alias("_after"), F.col("trainer_id").alias("_trainer"))
+    joined = stage(lookup(rows, known, IDENTITY, "left", null_safe=True), "append-trainees")
+    differing = joined.where("_after IS NOT NULL AND NOT (trainer_id <=> _trainer)")
+    fresh = joined.where("_after IS NULL").select(*rows.columns)
+    numbered = stage(number_rows(fresh, ["trainee_id"], "_after", _next(old, "trainee_id")), "append-new-trainees")
+    ids = joined.where("_after IS NOT NULL").select(F.col("trainee_id").alias("_before"), "_after")
+    ids = stage(ids.unionByName(numbered.select(F.col("trainee_id").alias("_before"), "_after")), "append-ids-trainees")
+    added = numbered.withColumn("trainee_id", F.col("_after")).select(*old.columns)
+    rejects = _rejected("trainees", differing, ["trainer_id", *IDENTITY])
+    return old.unionByName(added), ids, numbered.drop("_after"), rejects
+
+
+def _records(old: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(records, those new or changed, rejects). A person's record takes from a later one what it lacks."""
+    columns = old.columns
+    values = [c for c in columns if c != "applicant_id"]
+    rows = stage(rows.select(*columns), "append-load")
+    touched = lookup(old, rows.select("applicant_id").distinct(), ["applicant_id"], "left_semi")
+    touched = stage(_academy(touched, None), "append-touched")
+    both = touched.withColumn("_load", F.lit(0)).unionByName(_academy(rows, None).withColumn("_load", F.lit(1)))
+    merged = stage(_academy(collapse_first(both, "applicant_id", ["_load"]), 0).select(*columns), "append-merged")
+
+    known = touched.select("applicant_id", F.struct(*values).alias("_old"))
+    against = lookup(_academy(rows, None), known, ["applicant_id"], "inner")
+    differs = [F.col(f"_old.{c}").isNotNull() & F.col(c).isNotNull() & (F.col(f"_old.{c}") != F.col(c)) for c in values]
+    rejects = _rejected("talent", against.where(reduce(Column.__or__, differs)), columns)
+
+    same = _academy(touched, 0).select("applicant_id", _digest(columns).alias("_digest"))
+    changed = lookup(merged.withColumn("_digest", _digest(columns)), same, ["applicant_id", "_digest"], "left_anti", null_safe=True)
+    changed = stage(changed.select(*columns), "append-changed")
+    rest = lookup(old, changed.select("applicant_id"), ["applicant_id"], "left_anti")
+    return rest.select(*columns).unionByName(changed), changed, rejects
+
 
+def _academy(records: DataFrame, none: int | None) -> DataFrame:
+    """No academy (0) as null, or the other way round."""
+    academy = F.col("academy_location_id")
+    value = F.nullif(academy, F.lit(0)) if none is None else F.coalesce(academy, F.lit(none))
+    return records.withColumn("academy_location_id", value.cast("long"))
 
-def _ranked(rows: DataFrame, key: str, natural: list[str]) -> DataFrame:
-    """``_nth``: place of a row among those of equal natural key, by id; more than one only for unlinked trainees."""
-    order = Window.partitionBy(*natural).orderBy(F.col(key).cast("long"))
-    return rows.withColumn("_nth", F.row_number().over(order))
 
+def _talent(stored: DataFrame, before: DataFrame, final: DataFrame) -> DataFrame:
+    """Rows of the linked records under the ids they had: by their file's number, then by applicant; others get new ids."""
+    columns = stored.columns
+    final = final.select(*[c for c in columns if c != "talent_id"])
+    named = before.where(F.col("json_key") < SYNTHETIC_BASE).select("json_key", F.col("talent_id").alias("_id"))
+    found = stage(lookup(final, named, ["json_key"], "left"), "append-by-key")
+    taken = found.where("_id IS NOT NULL").select(F.col("_id").alias("talent_id"))
+    left = lookup(before, taken, ["talent_id"], "left_anti")
+    made = F.when(F.col("json_key") >= SYNTHETIC_BASE, F.col("json_key")).alias("_made")
+    left = stage(left.select("applicant_id", F.col("talent_id").alias("_other"), made), "append-left")
+    rest = lookup(found.where("_id IS NULL").drop("_id"), left, ["applicant_id"], "left")
+    rest = rest.withColumn("json_key", F.coalesce("json_key", "_made")).drop("_made").withColumnRenamed("_other", "_id")
+    everyone = stage(found.where("_id IS NOT NULL").unionByName(rest), "append-talent")
 
-def _numbered(rows: DataFrame, key: str, first: int, kind: str) -> DataFrame:
-    """The rows with ids from ``first`` on, in the order of their ids so far, which stay as ``_before``."""
-    numbered = number_rows(rows.withColumnRenamed(key, "_before"), [F.col("_before").cast("long")], key, first)
-    return numbered.withColumn(key, F.col(key).cast(kind)).select(*[c for c in rows.columns], "_before")
+    fresh = everyone.where("_id IS NULL").drop("_id").withColumn("_keyless", F.col("json_key").isNull())
+    fresh = stage(number_rows(fresh, ["_keyless", "applicant_id"], "_id", _next(stored, "talent_id")), "append-new-talent")
+    keyless = number_rows(everyone.where("json_key IS NULL").select("applicant_id"), ["applicant_id"], "_made", _next_made(stored))
+    rows = everyone.where("_id IS NOT NULL").unionByName(fresh.drop("_keyless"))
+    rows = lookup(rows, stage(keyless, "append-keyless"), ["applicant_id"], "left")
+    rows = rows.withColumn("json_key", F.coalesce("json_key", "_made").cast("long"))
+    return rows.withColumnRenamed("_id", "talent_id").select(*columns)
 
 
-def _continued_keys(old: DataFrame, rows: DataFrame) -> DataFrame:
-    """Made keys of new records raised above the stored ones."""
-    top = old.agg(F.max(F.when(F.col("json_key") >= SYNTHETIC_BASE, F.col("json_key")))).first()[0]
-    if top is None:
-        return rows
-    raised = F.col("json_key") - SYNTHETIC_BASE + top + 1
-    return rows.withColumn("json_key", F.when(F.col("json_key") >= SYNTHETIC_BASE, raised).otherwise(F.col("json_key")))
+def _next_made(stored: DataFrame) -> int:
+    top = stored.agg(F.max(F.when(F.col("json_key") >= SYNTHETIC_BASE, F.col("json_key")))).first()[0]
+    return SYNTHETIC_BASE if top is None else top + 1

@@ -57,13 +57,14 @@ def applicants_since(
     since,
     current: dict[str, DataFrame] | None = None,
 ) -> dict[str, DataFrame]:
-    """Tables of the files modified after ``since``; empty frames when there are none.
+    """Tables of the files modified after ``since``, and what could not be read as ``rejects``; empty frames when there
+    are none.
 
     ``current`` holds the stored ``recruiters`` and ``location``. Ids they already gave stay,
     and only new recruiters and places are returned.
     """
-    applicants, _ = read_applicants(spark, raw_dir, since)
-    return continue_applicants(applicants, current)
+    applicants, rejects = read_applicants(spark, raw_dir, since)
+    return {**continue_applicants(applicants, current), "rejects": rejects}
 
 
 def continue_applicants(

@@ -10,6 +10,7 @@ from rosterflow.operators.joins import keep_members, surrogate_join
 from rosterflow.operators.numbering import SYNTHETIC_BASE, number_rows
 from rosterflow.operators.reshape import TRAITS
 from rosterflow.plans import academy as academy_plan
+from rosterflow.plans.appending import ledger
 from rosterflow.plans.applicants import ORDER, applicant_tables
 from rosterflow.plans.linked import linked_records
 from rosterflow.plans.talent import merged_talent, strength_tables, tech_tables
@@ -141,8 +142,12 @@ def assemble_star(
     applicant_order: list[str] = ORDER,
     academy_order: list[str] = POSITION,
     skip: int = 0,
+    keep: bool = False,
 ) -> dict[str, DataFrame]:
-    """All tables from cleaned, staged sources; ``skip`` leaves out the first keyless talent."""
+    """All tables from cleaned, staged sources; ``skip`` leaves out the first keyless talent.
+
+    ``keep`` adds the ledger (see ``plans.appending``) that a later load needs to be added to them.
+    """
     spark = applicants.sparkSession
 
     def merged() -> tuple[DataFrame, DataFrame]:
@@ -192,7 +197,12 @@ def assemble_star(
         "trainees": trainees.withColumn("date", F.lit(None).cast("date")),
         "behaviours": marks,
     }
-    return {name: tables[name].select(*columns) for name, columns in COLUMNS.items()}
+    star = {name: tables[name].select(*columns) for name, columns in COLUMNS.items()}
+    if keep:
+        pairs = {"strengths_junction": strength_pairs, "weaknesses_junction": weakness_pairs, "tech_junction": scores}
+        pairs = {name: df.select(*COLUMNS[name]) for name, df in pairs.items()}
+        star |= ledger(records, applicants, applicant_order, roster, talent, pairs)
+    return star
 
 
 def _stored_talent(talent: DataFrame, skip: int) -> DataFrame:
@@ -222,7 +232,7 @@ def _stored_marks(behaviours: DataFrame, trainees: DataFrame) -> DataFrame:
 def build_star(spark: SparkSession, raw_dir: str, skip: int = 0) -> tuple[dict[str, DataFrame], DataFrame]:
     """(tables, rejects) of a full refresh from the raw files. Each source is read once and staged.
 
-    ``rejects`` (source, src_file, record, reason) holds all that was read and could not be used.
+    The tables come with the ledger, so that what is written of them can be added to. ``rejects`` (source, src_file, record, reason) holds all that was read and could not be used.
     """
     (interviews, objects), (reports, lines), (applicants, people), (academy, marks) = together(
         spark,
@@ -231,7 +241,7 @@ def build_star(spark: SparkSession, raw_dir: str, skip: int = 0) -> tuple[dict[s
         lambda: read_applicants(spark, raw_dir),
         lambda: read_academy(spark, raw_dir),
     )
-    tables = assemble_star(applicants, interviews, reports, academy, skip=skip)
+    tables = assemble_star(applicants, interviews, reports, academy, skip=skip, keep=True)
     return tables, load_rejects(objects, lines, people, marks)
 
 

@@ -8,7 +8,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterflow.plans.appending import continue_star
+from rosterflow.plans.appending import LEDGER, continue_star
 from rosterflow.session import together
 
 _LOG = "_versions"
@@ -44,21 +44,23 @@ def append_candidates(df: DataFrame, target: str) -> None:
     rows.write.mode("append").parquet(target)
 
 
-def write_star(tables: dict[str, DataFrame], target: str, mode: str = "refresh") -> str:
+def write_star(tables: dict[str, DataFrame], target: str, mode: str = "refresh", **more: DataFrame) -> str:
     """Write all tables as a new version and then log it; return the folder written to.
 
     Readers see the old version until all tables are complete, and no path is overwritten while it is read. "refresh"
-    stores the tables as they are; "append" adds to the current version what it lacks and writes what
-    contradicts it to a further table of the version, ``append_rejects`` (see ``continue_star``).
+    stores the tables as they are; "append" adds to the current version what it lacks, links people again where the load
+    matters to them, and writes what contradicts it to a further table of the version, ``append_rejects`` (see
+    ``continue_star``). It needs tables that ``build_star`` made, on both sides, since these come with a ledger.
+    ``more`` are further tables of the version.
     """
     if mode not in ("refresh", "append"):
         raise ValueError("mode must be refresh or append")
     spark = next(iter(tables.values())).sparkSession
     if mode == "append":
-        tables = continue_star(read_star(spark, target), tables)
+        tables = continue_star(read_star(spark, target) | read_ledger(spark, target), tables)
     version = f"v-{uuid.uuid4().hex}"
     folder = f"{target}/{version}"
-    together(spark, *(partial(_write, df, f"{folder}/{name}") for name, df in tables.items()))
+    together(spark, *(partial(_write, df, f"{folder}/{name}") for name, df in {**tables, **more}.items()))
     log = spark.range(1).select(F.lit(version).alias("version"), F.current_timestamp().alias("written_at"))
     log.coalesce(1).write.mode("append").parquet(f"{target}/{_LOG}")
     return folder
@@ -80,7 +82,32 @@ def read_star(spark: SparkSession, target: str) -> dict[str, DataFrame]:
     return {name: spark.read.parquet(f"{folder}/{name}") for name in COLUMNS}
 
 
+def read_ledger(spark: SparkSession, target: str) -> dict[str, DataFrame]:
+    """What the current version keeps beside its tables; empty if it was written without."""
+    folder = current_version(spark, target)
+    if not exists(spark, f"{folder}/{LEDGER[0]}"):
+        return {}
+    return {name: spark.read.parquet(f"{folder}/{name}") for name in LEDGER}
+
+
+def read_landed(spark: SparkSession, target: str) -> DataFrame:
+    """source and batch of the file batches that the current version holds; empty if there are none."""
+    schema = "source string, batch long"
+    if exists(spark, f"{target}/{_LOG}"):
+        folder = f"{current_version(spark, target)}/landed"
+        if exists(spark, folder):
+            return spark.read.schema(schema).parquet(folder)
+    return spark.createDataFrame([], schema)
+
+
+def exists(spark: SparkSession, folder: str) -> bool:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
+
 def append_jdbc(tables: dict[str, DataFrame], url: str, properties: dict | None = None) -> None:
     """Append all tables to a database, parents before children; date and id columns as they are."""
     for name, df in tables.items():
+        if name in LEDGER:
+            continue
         df.write.jdbc(url, name, mode="append", properties=properties)

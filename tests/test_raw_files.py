@@ -240,12 +240,12 @@ def test_write_and_refresh(spark, star, tmp_path):
     second = write_star(star, target)
     assert first != second
     assert read_star(spark, target)["talent"].count() == 5
-    before = {n: sorted(map(repr, df.collect())) for n, df in star.items()}
+    before = {n: sorted(map(repr, star[n].collect())) for n in COLUMNS}
     violations = {tuple(r) for r in audit_star(star).collect()}
     for _ in range(2):
         write_star(star, target, mode="append")
         stored = read_star(spark, target)
-        assert {n: sorted(map(repr, stored[n].select(df.columns).collect())) for n, df in star.items()} == before
+        assert {n: sorted(map(repr, stored[n].select(COLUMNS[n]).collect())) for n in COLUMNS} == before
     assert {tuple(r) for r in audit_star(stored).collect()} == violations
     assert spark.read.parquet(f"{first}/talent").count() == 5
     with pytest.raises(ValueError):
@@ -270,6 +270,10 @@ def test_append_continues_ids(spark, star, tmp_path):
     )
     lost = record.withColumns({"applicant_id": F.lit("lost"), "json_key": F.lit(1_000_000_000).cast("long"), "talent_id": F.lit(2).cast("long")})
     longer["talent"] = record.unionByName(lost)
+    known = star["known_records"].where("json_key = 10383")
+    longer["known_records"] = known.withColumns({"applicant_id": F.lit("newperson20200101"), "json_key": F.lit(555).cast("long")}).unionByName(
+        known.withColumns({"applicant_id": F.lit("lost"), "json_key": F.lit(None).cast("long")})
+    )
     longer["strengths"] = spark.createDataFrame([(0, "Brave"), (1, "Kind")], star["strengths"].schema)
     longer["strengths_junction"] = spark.createDataFrame([(555, 0), (555, 1)], star["strengths_junction"].schema)
     write_star(longer, target, mode="append")
@@ -319,7 +323,7 @@ def test_since_continues_ids(spark, tmp_path):
     assert {r.location_id for r in new["location"].collect()} == {4, 5}
     assert everything["location"].count() == 6
     nothing = applicants_since(spark, root, dt.datetime.fromtimestamp(time.time() + 3600, dt.timezone.utc), current)
-    assert {name: df.count() for name, df in nothing.items()} == {"applicants": 0, "location": 0, "recruiters": 0}
+    assert {name: df.count() for name, df in nothing.items()} == {"applicants": 0, "location": 0, "recruiters": 0, "rejects": 0}
 
 
 def test_since_is_strict_and_utc(spark, tmp_path):

@@ -31,8 +31,10 @@ SYMBOLS = VOCABULARY + OTHERS + 1
 EDGE = SYMBOLS - 1
 #: classes that the network predicts, words seen on each side, size of the hidden layer
 CLASSES, SIDE, HIDDEN = 64, 2, 16
-#: positions per gradient step, the first step's rate, and positions that are held at once
-BATCH, RATE, AT_ONCE = 4096, 0.6, 1 << 14
+#: positions of a task's first gradient steps and of later ones, an eighth of those seen so far in between; the first
+#: step's rate, and positions that are held at once
+FIRST_BATCH, BATCH, RATE, AT_ONCE = 1024, 1 << 14, 0.6, 1 << 14
+OFTEN = 8
 #: models that are averaged by one task
 FAN_IN = 32
 _EDGES = np.full(SIDE, EDGE)
@@ -87,8 +89,9 @@ class _Numbers(dict):
             self[word] = symbol
         return symbol
 
-    def symbols(self, text: str) -> np.ndarray:
-        words = tokens_of(text)
+    def symbols(self, words: str | list[str]) -> np.ndarray:
+        """Symbols of a text, or of its words."""
+        words = tokens_of(words) if isinstance(words, str) else words
         return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
 
 
@@ -226,9 +229,12 @@ class Network:
         self.prior -= np.float32(rate * 8) * slope.mean(axis=0)
         self.bias -= np.float32(rate) * inner.mean(axis=0)
         inner *= np.float32(-rate * 0.3)
+        # a row that occurs often in the step moves by the square root of its occurrences beyond OFTEN
+        occurs = np.bincount(windows.reshape(-1), minlength=len(self.table))
+        pace = np.sqrt(OFTEN / np.maximum(occurs, OFTEN)).astype(np.float32)
+        moved = inner[:, None, :] * pace[windows][:, :, None]
         flat = (windows[:, :, None] * HIDDEN + np.arange(HIDDEN)).reshape(-1)
-        moved = np.broadcast_to(inner[:, None, :], (*windows.shape, HIDDEN)).reshape(-1)
-        np.add.at(self.table.reshape(-1), flat, moved)
+        np.add.at(self.table.reshape(-1), flat, moved.reshape(-1))
 
 
 def _exp(x: np.ndarray) -> np.ndarray:
@@ -314,10 +320,10 @@ def encode(docs: DataFrame, counts: Counts) -> DataFrame:
         for batch, texts in texts_of(batches):
             packed, words, times, ends = [], [], [], [0]
             for text in texts:
-                symbols = numbers.symbols(text)
+                own = tokens_of(text)
+                symbols = numbers.symbols(own)
                 others = np.flatnonzero(symbols >= VOCABULARY).tolist()
                 if others:
-                    own = tokens_of(text)
                     counted = Counter([own[i] for i in others])
                     words += counted.keys()
                     times += counted.values()
@@ -340,12 +346,13 @@ def _symbols_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBa
 def _trained(documents: Iterator[np.ndarray], counts: Counts) -> Network:
     """One pass over all positions of the documents of a task, shuffled in parts."""
     network, seen = Network(), 0
-    for part in _slices(documents, BATCH * 8):
-        order = np.random.default_rng(seen).permutation(len(part.symbols))
-        for at in range(0, len(order), BATCH):
-            some = order[at : at + BATCH]
+    for part in _slices(documents, BATCH * 4):
+        order, at = np.random.default_rng(seen).permutation(len(part.symbols)), 0
+        while at < len(order):
+            some = order[at : at + min(max(seen // 8, FIRST_BATCH), BATCH)]
             network.step(part.windows[some], part.symbols[some], counts, RATE / (1 + seen / 2e6) ** 0.5)
             seen += len(some)
+            at += len(some)
     return network
 
 

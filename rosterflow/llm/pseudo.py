@@ -34,7 +34,8 @@ CLASSES, SIDE, HIDDEN = 64, 2, 16
 #: positions of a task's first gradient steps and of later ones, an eighth of those seen so far in between; the first
 #: step's rate, and positions that are held at once
 FIRST_BATCH, BATCH, RATE, AT_ONCE = 1024, 1 << 14, 0.6, 1 << 14
-OFTEN = 8
+#: occurrences of a symbol, and half their root for the words of a class, beyond which steps count means and not sums
+OFTEN, WORD_PACE = 25, 5
 #: models that are averaged by one task
 FAN_IN = 32
 _EDGES = np.full(SIDE, EDGE)
@@ -210,7 +211,7 @@ class Network:
             slope[np.arange(len(at)), counts.place[symbols[at]] - low] -= total
             share = np.reciprocal(total)
             back[at] = (slope @ self.words[low:high]) * share[:, None]
-            share *= np.float32(rate * 0.3 / len(at) ** 0.5)
+            share *= np.float32(rate * 0.3 * min(len(at) ** -0.5, WORD_PACE / len(at)))
             self.words[low:high] -= slope.T @ (inner * share[:, None])
             self.lean[0, low:high] -= share @ slope
         return back
@@ -225,13 +226,13 @@ class Network:
         inner = slope @ self.out.T
         inner += self._step_words(hidden, symbols, counts, rate)
         inner *= 1 - hidden * hidden
-        self.out -= np.float32(rate * 8 / len(classes)) * (hidden.T @ slope)
-        self.prior -= np.float32(rate * 8) * slope.mean(axis=0)
+        self.out -= np.float32(rate * 1.5 / len(classes)) * (hidden.T @ slope)
+        self.prior -= np.float32(rate * 1.5) * slope.mean(axis=0)
         self.bias -= np.float32(rate) * inner.mean(axis=0)
         inner *= np.float32(-rate * 0.3)
-        # a row that occurs often in the step moves by the square root of its occurrences beyond OFTEN
+        # a row that occurs often in the step moves no further than one that occurs OFTEN
         occurs = np.bincount(windows.reshape(-1), minlength=len(self.table))
-        pace = np.sqrt(OFTEN / np.maximum(occurs, OFTEN)).astype(np.float32)
+        pace = (OFTEN / np.maximum(occurs, OFTEN)).astype(np.float32)
         moved = inner[:, None, :] * pace[windows][:, :, None]
         flat = (windows[:, :, None] * HIDDEN + np.arange(HIDDEN)).reshape(-1)
         np.add.at(self.table.reshape(-1), flat, moved.reshape(-1))

@@ -6,6 +6,7 @@ from zlib import crc32
 
 import numpy as np
 import pytest
+from messy import empty, messy
 
 from rosterflow.llm import pseudo
 
@@ -100,3 +101,46 @@ def test_predicted_words_beat_their_corpus_shares(model):
     texts = [numbers.symbols(r["text"]) for r in docs.limit(200).collect()]
     predicted = sum(pseudo.word_likelihood(network, counts, s) for s in texts)
     assert predicted > sum(pseudo.pseudo_likelihood(network, counts, s) for s in texts)
+
+
+def test_messy_rows_by_word(spark, model):
+    _, words, counts, network = model
+    df = messy(spark)
+    numbers = pseudo._Numbers(counts.vocabulary)
+    shares = {r["word"]: r["n"] for r in words.collect()}
+    found = pseudo.score(pseudo.encode(df, counts), counts, network, words).collect()
+    assert len(found) == df.count()
+    expected = []
+    for doc_id, text in [(r["doc_id"], r["text"]) for r in df.collect()]:
+        own = pseudo.tokens_of(text or "")
+        total = pseudo.word_likelihood(network, counts, numbers.symbols(own))
+        for w in own:
+            if w not in set(counts.vocabulary):
+                b = crc32(w.encode()) % pseudo.OTHERS
+                part = -log(counts.kinds[b] + 1) if w not in shares else log(shares[w])
+                total += part - log(counts.tokens[b] + 1)
+        expected.append((doc_id, len(own), total))
+    order = lambda r: (r[0] is None, r[0] or 0, r[1])
+    got = sorted(((r["doc_id"], r["n_tokens"], r["log_likelihood"]) for r in found), key=order)
+    for a, b in zip(got, sorted(expected, key=order)):
+        assert a[:2] == b[:2] and a[2] == pytest.approx(b[2], rel=1e-4, abs=1e-3)
+    assert pseudo.score(pseudo.encode(empty(spark), counts), counts, network, words).collect() == []
+
+
+def test_slices_cover_every_position():
+    rng = np.random.default_rng(2)
+    documents = [rng.integers(pseudo.VOCABULARY, size=n) for n in (0, 1, 2, 7, 40, 0, 3, 19)]
+    for most in (1, 2, 5, 16, 1000):
+        parts = list(pseudo._slices(documents, most))
+        assert np.array_equal(np.concatenate([p.symbols for p in parts]), np.concatenate(documents))
+        owner = np.repeat(np.arange(len(documents)), [len(d) for d in documents])
+        assert np.array_equal(np.concatenate([p.owner for p in parts]), owner)
+        assert max(len(p.symbols) for p in parts) < 2 * most + max(most, 1)
+        windows = np.concatenate([p.windows for p in parts])
+        at = 0
+        for d in documents:
+            padded = [pseudo.EDGE] * pseudo.SIDE + d.tolist() + [pseudo.EDGE] * pseudo.SIDE
+            for i in range(len(d)):
+                near = [padded[i + k] for k in range(2 * pseudo.SIDE + 1) if k != pseudo.SIDE]
+                assert windows[at].tolist() == [n + j * pseudo.SYMBOLS for j, n in enumerate(near)]
+                at += 1

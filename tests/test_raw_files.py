@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from raw_files import write_raw
 from rosterflow.plans.applicants import applicant_tables, applicants_since
 from rosterflow.plans.assessments import interview_results, tech_by_assessment
+from rosterflow.plans.appending import LEDGER
 from rosterflow.plans.star import COLUMNS, audit_star, build_star, unlinked_trainees
 from rosterflow.plans.talent import merged_talent, talent_tables
 from rosterflow.sinks.tables import append_candidates, export_csv, export_tables, read_star, write_star
@@ -215,7 +216,8 @@ def test_extracts_by_name(spark, raw):
 
 
 def test_star_tables(star):
-    assert {name: df.columns for name, df in star.items()} == COLUMNS
+    assert {name: star[name].columns for name in COLUMNS} == COLUMNS
+    assert set(star) == {*COLUMNS, *LEDGER}
     talent = {r.applicant_id: r for r in star["talent"].collect()}
     # the record of May belongs to the invitation of April; reports without interview get keys
     assert talent["adaotest20190410"].json_key == 10383

@@ -87,7 +87,7 @@ def test_contradictions_are_rejected(spark, star):
         "courses": ("course_name", "'Another'"),
         "behaviours": ("analytic", "-1"),
         "tech_junction": ("score", "-1"),
-        "known_records": ("result", "7"),
+        "known_records": ("result", "CASE WHEN result IS NOT NULL THEN 7 END"),
         "known_roster": ("trainer_id", "CASE trainer_id WHEN '1' THEN '2' ELSE '1' END"),
     }
     new = dict(star)

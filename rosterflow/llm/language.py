@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rosterflow.llm.common import lists_of, texts_of, typed
-from rosterflow.llm.sampling import id_hash, within_share
+from rosterflow.llm.sampling import id_hash, one_text, within_share
 
 BUCKETS = 1 << 13
 #: documents per language that a fit may use, those with the least id hashes
@@ -25,7 +25,7 @@ UNKNOWN = "und"
 #: least distance between the losses per bit of the two nearest codewords; closer ones are flagged
 MARGIN = 0.1
 _PRIMES = np.array([2654435761, 2246822519, 3266489917], np.uint64)
-#: which of the first 128 code points are letters; all others count as letters unless they are spaces or punctuation
+#: which code points below 0x3000 are letters; all others count as letters unless they are spaces or punctuation
 _LETTER = np.array([chr(c).isalpha() for c in range(0x3000)])
 
 
@@ -94,18 +94,18 @@ class Model:
 def fit(docs: DataFrame, train: Column | None = None, most: int = MOST_PER_LANGUAGE) -> Model:
     """Learns from at most ``most`` documents per language among ``train`` rows with text and language.
 
-    Counts per language first set a hash threshold that leaves about twice as many rows, so no language is gathered
-    whole before its least hashes are taken.
+    Counts per language, one row each, are sent to all tasks and set a hash threshold that leaves about twice as many
+    rows; only these are shuffled, each id once. Of several texts of one id and language the least is learned.
     """
     rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
     rows = rows.where(train) if train is not None else rows
     ids = rows.select("doc_id", "lang", id_hash(F.col("doc_id")).alias("hash"))
     counts = ids.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).withColumnRenamed("lang", "name")
     below = within_share(F.lit(2.0 * most + 50) / F.col("n"))
-    few = ids.join(counts, (F.col("lang") == F.col("name")) & below)
+    few = ids.join(F.broadcast(counts), (F.col("lang") == F.col("name")) & below).select("doc_id", "lang", "hash").distinct()
     order = Window.partitionBy("lang").orderBy("hash", "doc_id")
     chosen = few.withColumn("place", F.row_number().over(order)).where(F.col("place") <= most)
-    chosen = chosen.select(F.col("doc_id").alias("chosen_id"), F.col("lang").alias("chosen_lang")).distinct()
+    chosen = chosen.select(F.col("doc_id").alias("chosen_id"), F.col("lang").alias("chosen_lang"))
     bag = T.StructType(
         [
             T.StructField("lang", T.StringType()),
@@ -124,11 +124,8 @@ def fit(docs: DataFrame, train: Column | None = None, most: int = MOST_PER_LANGU
 
     same = (rows["doc_id"] == chosen["chosen_id"]) & (rows["lang"] == chosen["chosen_lang"])
     sample = rows.join(F.broadcast(chosen), same, "left_semi").select("lang", F.col("doc_id").cast("string").alias("id"), "text")
-    found = sample.mapInArrow(run, bag).toArrow().sort_by([("lang", "ascending"), ("id", "ascending")])
-    names, ids = found.column("lang").to_pylist(), found.column("id").to_pylist()
-    bags = list(zip(lists_of(found, "found"), lists_of(found, "shares")))
-    kept = [i for i in range(len(ids)) if i == 0 or (names[i], ids[i]) != (names[i - 1], ids[i - 1])]
-    return _fitted([names[i] for i in kept], [bags[i] for i in kept])
+    found = one_text(sample, "lang", "id").mapInArrow(run, bag).toArrow().sort_by([("lang", "ascending"), ("id", "ascending")])
+    return _fitted(found.column("lang").to_pylist(), list(zip(lists_of(found, "found"), lists_of(found, "shares"))))
 
 
 def _fitted(names: list[str], bags: list, steps: int = 300, rate: float = 4.0, decay: float = 1e-4) -> Model:

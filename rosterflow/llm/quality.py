@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rosterflow.llm.common import held_out, lists_of, texts_of, typed
-from rosterflow.llm.sampling import least_hashes
+from rosterflow.llm.sampling import least_hashes, one_text
 
 #: hashed words and, after them, hashed shapes and repeats
 WORDS, SHAPES = 1 << 15, 1 << 12
@@ -155,8 +155,9 @@ def _basis(x: np.ndarray, rank: int) -> np.ndarray:
 def fit(docs: DataFrame, labels: DataFrame, train: Column | None = None, most: int = MOST_LABELLED) -> Model:
     """Learns from at most ``most`` labelled documents, those with the least id hashes among ``train`` rows.
 
-    Rows without label, id or document are left out; several labels of one document count as their mean. Features of
-    whole texts are made in tasks; the driver gets the sample's features only.
+    Rows without label, id or document are left out; several labels of one document count as their mean. Of several
+    texts of one id the least is learned. Features of whole texts are made in tasks; the driver gets one row per id of the
+    sample.
     """
     labelled = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
     labelled = labelled.where(train) if train is not None else labelled
@@ -178,11 +179,10 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column | None = None, most: i
             columns += [pa.array([b[i] for b in bags], pa.list_(t)) for i, t in enumerate((pa.int64(), pa.float64()))]
             yield pa.record_batch(columns, names=bag.names)
 
-    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("doc_id", "quality", "text")
-    found = rows.mapInArrow(run, bag).toArrow().sort_by("doc_id")
-    ids, bags = found.column("doc_id").to_pylist(), list(zip(lists_of(found, "numbers"), lists_of(found, "shares")))
-    kept = [i for i in range(len(ids)) if i == 0 or ids[i] != ids[i - 1]]
-    return _fitted([bags[i] for i in kept], found.column("quality").to_numpy()[kept])
+    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+    found = one_text(rows, "doc_id", "quality").mapInArrow(run, bag).toArrow().sort_by("doc_id")
+    bags = list(zip(lists_of(found, "numbers"), lists_of(found, "shares")))
+    return _fitted(bags, found.column("quality").to_numpy())
 
 
 def _fitted(bags: list, labels: np.ndarray) -> Model:

@@ -18,6 +18,12 @@ def within_share(share: Column) -> Column:
     return F.col("hash") <= share * F.lit(float(1 << HASH_BITS))
 
 
+def one_text(rows: DataFrame, *keys: str) -> DataFrame:
+    """One row per ``keys`` with the least of its texts, null only if all are: an id that repeats gives one text, and the
+    same one in whatever order rows arrive."""
+    return rows.groupBy(*keys).agg(F.min("text").alias("text"))
+
+
 def least_hashes(rows: DataFrame, most: int) -> DataFrame:
     """The ``most`` rows of distinct ids with the least hashes.
 

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rosterflow.llm.common import lists_of, texts_of, typed
-from rosterflow.llm.sampling import least_hashes
+from rosterflow.llm.sampling import least_hashes, one_text
 
 BUCKETS = 1 << 20
 #: labelled documents of each label that a fit may use, those with the least id hashes
@@ -98,7 +98,8 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column | None = None, grade:
     ``grade``: a column of labels with ordered grades 0, 1, 2, ...; without one, grade 0 are documents that are not
     toxic and toxic ones are spread over 1 to ``grades`` by how many of their words mark toxic documents, in equal
     parts. Rows without id or label are left out; the greatest of several labels counts. Words of whole texts are made
-    in tasks; the driver gets the sample's word numbers only. Copies in the sample count once. Each document of the sample
+    in tasks; the driver gets the word numbers of one row per id of the sample, the least of its texts. Copies in the sample
+    count once. Each document of the sample
     weighs as many train rows of its label as it stands for, so probabilities do not hang on the size of the table.
     """
     kind = F.col("toxic").cast("int")
@@ -126,7 +127,7 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column | None = None, grade:
             lists = [pa.array([b[i] for b in bags], pa.list_(pa.int32())) for i in (0, 1)]
             yield pa.record_batch([*map(batch.column, ("doc_id", "grade", "toxic")), *lists], names=bag.names)
 
-    texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("doc_id", "grade", "toxic", "text")
+    texts = one_text(docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id"), "doc_id", "grade", "toxic")
     found = texts.mapInArrow(run, bag).toArrow().sort_by("doc_id")
     different, grade_of = {}, found.column("grade").to_pylist()
     for i, (numbers, counts) in enumerate(zip(lists_of(found, "buckets"), lists_of(found, "counts"))):

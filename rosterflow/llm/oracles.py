@@ -20,17 +20,14 @@ targets AS (
   FROM shares),
 passes AS (
   SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS repeats FROM targets),
-summed AS (
-  SELECT source, hash, sum(size) AS words, sum(sum(size)) OVER (PARTITION BY source ORDER BY hash) AS upto
-  FROM docs GROUP BY source, hash),
-edges AS (
-  SELECT p.source, p.source_size, target, repeats, hash AS last, 2 * (target - repeats * p.source_size - upto + words) >= words AS closed
-  FROM passes p JOIN summed s ON p.source IS NOT DISTINCT FROM s.source
-  QUALIFY row_number() OVER (PARTITION BY p.source ORDER BY upto < target - repeats * p.source_size,
-      CASE WHEN upto < target - repeats * p.source_size THEN -hash ELSE hash END) = 1)
+ordered AS (
+  SELECT d.doc_id, d.size, p.source_size, target, repeats, target - repeats * p.source_size AS rest,
+         sum(d.size) OVER (PARTITION BY d.source ORDER BY hash, d.size, d.doc_id ROWS UNBOUNDED PRECEDING) AS upto
+  FROM docs d JOIN passes p ON d.source IS NOT DISTINCT FROM p.source)
 SELECT doc_id, size, source_size, target,
-       (size * (repeats + CASE WHEN repeats < 2 AND (hash < last OR hash = last AND closed) THEN 1 ELSE 0 END))::BIGINT AS taken
-FROM docs d JOIN edges e ON d.source IS NOT DISTINCT FROM e.source
+       (size * (repeats + CASE WHEN repeats < 2 AND (upto <= rest OR upto - size < rest AND 2 * (rest - upto + size) >= size)
+                               THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM ordered
 """,
     "op4_exact_dedup": r"""
 SELECT doc_id,

@@ -11,7 +11,7 @@ from rosterflow.llm.common import word_count
 
 
 def brute(rows, weights, total, repeats=2):
-    """taken by row number; sorts each source by hash and takes the nearest sum."""
+    """taken by row number; sorts each source by hash and size and takes the nearest sum."""
     size = [len((r[1] or "").split()) for r in rows]
     names = sorted({r[3] for r in rows}, key=lambda s: (s is None, s or ""))
     sums = {n: sum(s for s, r in zip(size, rows) if r[3] == n) for n in names}
@@ -30,7 +30,7 @@ def brute(rows, weights, total, repeats=2):
     groups = defaultdict(lambda: defaultdict(list))
     for i, r in enumerate(rows):
         h = int(md5(str(r[0]).encode()).hexdigest()[:15], 16) if r[0] is not None else 0
-        groups[r[3]][h].append(i)
+        groups[r[3]][h, size[i], i].append(i)
     taken = [0] * len(rows)
     for n in names:
         times = int(target[n] // sums[n]) if sums[n] else 0
@@ -88,4 +88,28 @@ def test_rows_come_as_often_as_taken(spark):
 def test_one_source_with_equal_ids(spark):
     df = spark.createDataFrame([(7, "a b", "en", "s", 3)] * 5, COLUMNS)
     taken = [r["taken"] for r in mixing.mix(df, [1], 0.7).collect()]
-    assert taken == [2] * 5  # taken together: 10 is nearer to 7 than 0
+    assert sorted(taken) == [0, 2, 2, 2, 2]  # 8 is as near to 7 as 6
+
+
+@pytest.mark.parametrize("hot", [7, None])
+@pytest.mark.parametrize("total", [0.7, 1.2])
+def test_a_third_of_the_rows_under_one_id(spark, hot, total):
+    rows = [(hot if i % 3 == 0 else 1000 + i, "w " * (1 + i % 4), "en", "s", 0) for i in range(300)]
+    df = spark.createDataFrame(rows, COLUMNS)
+    target, taken = brute(rows, [1], total)
+    found = mixing.mix(df, [1], total).collect()
+    key = lambda r: (r[0] or 0, r[1], r[2])
+    sizes = [len(r[1].split()) for r in rows]
+    assert sorted(map(key, ((r["doc_id"], r["size"], r["taken"]) for r in found))) == sorted(
+        map(key, zip((r[0] for r in rows), sizes, taken))
+    )
+    assert abs(sum(r["taken"] for r in found) - target["s"]) <= 4
+    words = mixing.mixed_rows(df, [1], total).select(F.sum(word_count(F.col("text"))).alias("s")).first()["s"]
+    assert words == sum(taken)
+
+
+def test_reruns_over_files_agree(spark, tmp_path):
+    spark.createDataFrame([(7, f"a b{i}", "en", "s", i) for i in range(40)], COLUMNS).write.parquet(str(tmp_path / "d"))
+    docs = spark.read.parquet(str(tmp_path / "d"))
+    first, second = (sorted(r["n_chars"] for r in mixing.mixed_rows(docs, [1], 0.5).collect()) for _ in range(2))
+    assert first == second and len(first) == 20

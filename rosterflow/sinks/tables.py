@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +14,7 @@ from rosterflow.plans.appending import LEDGER, continue_star
 from rosterflow.session import together
 
 _LOG = "_versions"
+_HOLDS = "_holds"
 
 
 def export_csv(df: DataFrame, folder: str) -> None:
@@ -100,9 +103,53 @@ def read_landed(spark: SparkSession, target: str) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
-def exists(spark: SparkSession, folder: str) -> bool:
+@contextmanager
+def hold_version(spark: SparkSession, target: str) -> Iterator[str]:
+    """The folder of the current version, which ``remove_versions`` leaves in place until the block ends.
+
+    The hold is an empty file beside the versions, so it counts for jobs of other sessions too. A job that is lost leaves
+    its hold behind; then the version stays until that file is deleted.
+    """
+    folder = current_version(spark, target)
+    files, path = _located(spark, f"{target}/{_HOLDS}/{folder.rsplit('/', 1)[1]}.{uuid.uuid4().hex}")
+    files.create(path, False).close()
+    try:
+        if not exists(spark, folder):
+            raise RuntimeError("the version was removed while it was taken hold of; read again")
+        yield folder
+    finally:
+        files.delete(path, False)
+
+
+def remove_versions(spark: SparkSession, target: str, keep: int = 2) -> tuple[list[str], list[str]]:
+    """Deletes all but the newest ``keep`` versions; returns the names of those deleted, and of older ones that a reader holds.
+
+    The list of versions has one row per load. What is not in it, such as a version that is still being written, is not
+    touched, and a run that was cut short is finished by the next one.
+    """
+    if keep < 1:
+        raise ValueError("the current version has to stay")
+    log = spark.read.schema("version string, written_at timestamp").parquet(f"{target}/{_LOG}")
+    logged = [r["version"] for r in log.orderBy(F.desc("written_at"), F.desc("version")).collect()]
+    older = [version for version in logged if exists(spark, f"{target}/{version}")][keep:]
+    files, holds = _located(spark, f"{target}/{_HOLDS}")
+    names = [f.getPath().getName() for f in files.listStatus(holds)] if files.exists(holds) else []
+    held = {name.split(".")[0] for name in names}
+    removed = [version for version in older if version not in held]
+    for version in removed:
+        files.delete(_located(spark, f"{target}/{version}")[1], True)
+    return removed, [version for version in older if version in held]
+
+
+def _located(spark: SparkSession, folder: str) -> tuple:
+    """The file system of a folder, and its path there."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
+def exists(spark: SparkSession, folder: str) -> bool:
+    files, path = _located(spark, folder)
+    return files.exists(path)
 
 
 def append_jdbc(tables: dict[str, DataFrame], url: str, properties: dict | None = None) -> None:

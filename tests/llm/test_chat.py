@@ -95,3 +95,20 @@ def test_empty_table(spark):
     expanded = chat.expand(table(spark).where("false"))
     assert expanded.collect() == [] and chat.digests(expanded).collect() == []
     assert chat.example_texts(expanded).collect() == []
+
+
+def test_examples_are_rows_with_their_contexts(spark):
+    rows = [(5, i, "assistant" if i % 2 else "user", f"turn {i} " + "x" * 5000) for i in range(300)]
+    rows += [(6, 0, "user", "y" * 40_000), (6, 1, "assistant", "z" * 300_000), (6, 2, "assistant", ""), (6, 3, "user", "end")]
+    expanded = chat.expand(table(spark, rows))
+    lengths = expanded.where("place IS NOT NULL").groupBy("conv_id", "place", "prefix_chars").agg(F.sum(F.char_length("text")).alias("n"))
+    found_lengths = lengths.collect()
+    assert len(found_lengths) == 152 and all(r["n"] == r["prefix_chars"] for r in found_lengths)
+    assert [r["text"] for r in expanded.where("place IS NULL").collect()] == ["<|im_start|>user\nend<|im_end|>\n"]
+    assert found(chat.digests(expanded)) == expected(rows)
+
+
+def test_no_row_holds_a_long_example(spark):
+    rows = [(7, i, "assistant" if i % 2 else "user", f"turn {i}") for i in range(4000)]
+    longest = chat.expand(table(spark, rows)).agg(F.max(F.char_length("text")).alias("n")).first()["n"]
+    assert longest < 2 * chat.PART

@@ -8,7 +8,8 @@ visible together with its rows: a run that fails between the steps is taken up a
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,6 +70,20 @@ def _files(spark: SparkSession, raw_dir: str, source: str, most_files: int | Non
     return with_split(reader.option("lineSep", "\n").option("encoding", "UTF-8").text(f"{raw_dir}/{folder}"))
 
 
+@contextmanager
+def _few_listing_tasks(spark: SparkSession) -> Iterator[None]:
+    """A batch's files are listed by some tasks per core; by default each file is a task of its own, up to 10,000."""
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    given = spark.conf.get(key, None)
+    if given is None:
+        spark.conf.set(key, 4 * spark.sparkContext.defaultParallelism)
+    try:
+        yield
+    finally:
+        if given is None:
+            spark.conf.unset(key)
+
+
 def land(spark: SparkSession, raw_dir: str, landing: str, source: str, most_files: int | None = None) -> None:
     """Clean all files of a source that were not seen before, in batches of ``most_files``, into the landing folder."""
     clean = SOURCES[source][2]
@@ -79,7 +94,8 @@ def land(spark: SparkSession, raw_dir: str, landing: str, source: str, most_file
 
     stream = _files(spark, raw_dir, source, most_files).writeStream.foreachBatch(store)
     stream = stream.option("checkpointLocation", f"{landing}/{source}/checkpoint").trigger(availableNow=True)
-    stream.start().awaitTermination()
+    with _few_listing_tasks(spark):
+        stream.start().awaitTermination()
 
 
 def landed(spark: SparkSession, landing: str, source: str, part: str = "rows") -> DataFrame | None:

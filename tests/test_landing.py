@@ -44,3 +44,27 @@ def test_nothing_arrives(spark, tmp_path):
     landing = str(tmp_path / "landing")
     assert run_updates(spark, str(tmp_path / "raw"), str(tmp_path / "store"), landing) is None
     assert landed(spark, landing, "reports") is None
+
+
+def test_objects_are_written_by_many_tasks(spark, tmp_path):
+    from rosterflow.checks.queries import _write_objects
+
+    objects = spark.createDataFrame([(i, f"n{i % 30}") for i in range(60)], "s_suppkey long, name string").coalesce(1)
+    _write_objects(objects, str(tmp_path / "Talent"))
+    files = [p.name for p in (tmp_path / "Talent").glob("*.json")]
+    assert len(files) == 60 and len({name.split("-")[1] for name in files}) > 1
+    assert sorted(r["name"] for r in spark.read.json(str(tmp_path / "Talent")).collect()) == sorted(f"n{i % 30}" for i in range(60))
+
+
+def test_files_of_a_batch_are_listed_by_few_tasks(spark):
+    from rosterflow.streaming.landing import _few_listing_tasks
+
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    with _few_listing_tasks(spark):
+        assert int(spark.conf.get(key)) == 4 * spark.sparkContext.defaultParallelism
+    assert spark.conf.get(key, None) is None
+    spark.conf.set(key, 3)
+    with _few_listing_tasks(spark):
+        assert int(spark.conf.get(key)) == 3
+    assert int(spark.conf.get(key)) == 3
+    spark.conf.unset(key)

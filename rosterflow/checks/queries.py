@@ -992,7 +992,10 @@ def _talent_objects(spark, sf):
 
 
 def _write_objects(objects, folder):
-    objects.drop("s_suppkey").write.mode("append").option("maxRecordsPerFile", 1).json(folder)
+    """One file per object; all tasks write, and each moves its own files into the folder."""
+    spread = objects.drop("s_suppkey").repartition(4 * objects.sparkSession.sparkContext.defaultParallelism)
+    writer = spread.write.mode("append").option("maxRecordsPerFile", 1)
+    writer.option("mapreduce.fileoutputcommitter.algorithm.version", 2).json(folder)
 
 
 @query

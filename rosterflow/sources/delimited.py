@@ -25,8 +25,8 @@ _VALUE = f",({_WHOLE})"
 _OPENS = rf'\A((?:{_WHOLE},)*+)"{_INSIDE}\z'
 _CLOSES = rf'\A{_INSIDE}"((?:,{_WHOLE})*+)\z'
 _REOPENS = rf'\A{_INSIDE}"((?:,{_WHOLE})*+),"{_INSIDE}\z'
-#: a quote between two ordinary characters neither opens nor closes a value
-_LETTER_QUOTE = r'(?<=[^,"\n])"(?=[^,"\n])'
+#: a quote between two ordinary characters neither opens nor closes a value; the quote comes first, so it is sought first
+_LETTER_QUOTE = r'"(?<=[^,"\n]")(?=[^,"\n])'
 REJECTS = "source string, src_file string, record string, reason string"
 SPLIT = ["src_file", "src_block"]
 
@@ -45,7 +45,7 @@ def _quotes(value: Column) -> Column:
 
 def _line(value: Column) -> Column:
     """A line without the return at its end."""
-    return F.regexp_replace(value, r"\r\z", "")
+    return F.when(value.endswith("\r"), F.left(value, F.char_length(value) - 1)).otherwise(value)
 
 
 def _is_odd(line: Column) -> Column:
@@ -171,7 +171,8 @@ def _told(records: DataFrame) -> DataFrame:
 
 def _values(record: Column) -> Column:
     """Values of a record as they stand between the commas, quoted ones with their quotes."""
-    return F.regexp_extract_all(F.concat(F.lit(","), record), F.lit(_VALUE), F.lit(1))
+    quoted = F.regexp_extract_all(F.concat(F.lit(","), record), F.lit(_VALUE), F.lit(1))
+    return F.when(F.contains(record, F.lit('"')), quoted).otherwise(F.split(record, ",", -1))
 
 
 def _bare(value: Column) -> Column:
@@ -229,7 +230,7 @@ def read_delimited(lines: DataFrame, needed: list[str], source: str) -> tuple[Da
         F.when(F.size("_values") > F.size("heading"), "too many values"),
     )
     missing = F.array(*[F.lit(m) for m in MISSING])
-    bare = F.transform("_values", lambda v: F.when(~F.array_contains(missing, _bare(v)), _bare(v)))
+    bare = F.transform(F.transform("_values", _bare), lambda v: F.when(~F.array_contains(missing, v), v))
     rows = rows.withColumn("_reason", reason).select(
         *POSITION,
         "heading",

@@ -181,3 +181,23 @@ def test_column_by_heading(spark, tmp_path):
     good, _ = read_delimited(scan_lines(spark, str(tmp_path)), ["id"], "t")
     row = good.select(column("id").alias("id"), column("note").alias("note"), column("none").alias("none")).first()
     assert tuple(row) == ("1", "x", None)
+
+
+def test_values_are_those_of_the_plain_patterns(spark):
+    """Lines without quotes are split and a return is cut without a pattern; the values are as with them."""
+    from pyspark.sql import functions as F
+
+    from rosterflow.sources import delimited as D
+
+    texts = ["", ",", "a,b", "a,,", 'a,"b,c",d', '"a""b",c', 'a"b"c,d', 'a"b",c', "x\r", "x\r\r", "\r", '\U0001f600"y,z', 'a"b"c"d', '"', '""', "a\nb,c", 'x,"\n']
+    rows = spark.createDataFrame([(t,) for t in texts], "v string")
+    letter = r'(?<=[^,"\n])"(?=[^,"\n])'
+    plain = F.regexp_replace("v", letter, "")
+    old = [
+        F.regexp_replace("v", r"\r\z", ""),
+        F.regexp_extract_all(F.concat(F.lit(","), F.col("v")), F.lit(D._VALUE), F.lit(1)),
+        F.char_length(plain) - F.char_length(F.replace(plain, F.lit('"'), F.lit(""))),
+    ]
+    new = [D._line(F.col("v")), D._values(F.col("v")), D._quotes(F.col("v"))]
+    pairs = rows.select("v", F.struct(*old).alias("old"), F.struct(*new).alias("new")).collect()
+    assert all(tuple(r["old"]) == tuple(r["new"]) for r in pairs)

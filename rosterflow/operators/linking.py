@@ -38,7 +38,8 @@ def link_forward(
     for side in (left, right):
         if side.schema[date].dataType.simpleString() != "date":
             raise TypeError(f"{date} must be a date column")
-    choosers = left.select(*keys, date, F.col(left_pos).alias("_lpos"), F.col(value).alias("_value"))
+    last = F.when(F.col(left_pos).isNotNull(), F.struct(F.col(left_pos).alias("_lpos"), F.col(value).alias("_value")))
+    choosers = left.select(*keys, date, last.alias("_last"))
     if null_rule != "left_wild":
         choosers = choosers.where(F.col(date).isNotNull())
     candidates = right.select(*keys, date, F.col(right_pos).alias("_rpos"))
@@ -47,11 +48,7 @@ def link_forward(
         choosers.unionByName(candidates, allowMissingColumns=True)
         .where(known)
         .groupBy(*keys, date)
-        .agg(
-            F.max("_lpos").alias("_lpos"),
-            F.max_by("_value", "_lpos").alias("_value"),
-            F.min("_rpos").alias("_rpos"),
-        )
+        .agg(F.max("_last").alias("_last"), F.min("_rpos").alias("_rpos"))
     )
 
     # from the latest day back, so the last candidate seen is the nearest one; a day without
@@ -67,9 +64,9 @@ def link_forward(
         choice = F.coalesce(choice, undated)
     return (
         days.withColumn("_choice", choice)
-        .where(F.col("_lpos").isNotNull() & F.col("_choice").isNotNull())
+        .where(F.col("_last").isNotNull() & F.col("_choice").isNotNull())
         .groupBy(F.col("_choice").alias(right_pos))
-        .agg(F.max_by("_value", "_lpos").alias(value))
+        .agg(F.max("_last")["_value"].alias(value))
     )
 
 

@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rosterflow.functions.dates import NO_DATE, compact_date, month_only
+from rosterflow.operators.joins import equi_join, fits_broadcast
 from rosterflow.operators.numbering import carry_forward
+from rosterflow.session import stage
 
 
 def collapse_first(df: DataFrame, key: str, order: list[str]) -> DataFrame:
@@ -24,6 +26,22 @@ def collapse_first(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     )
 
 
+def collapse_repeated(df: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """As ``collapse_first``, for a written table in which few keys repeat: only their rows are merged, the others stay.
+
+    Keys are counted without the columns. If those that repeat are too many to be broadcast, all rows are merged.
+    """
+    repeated = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    repeated = stage(repeated.where("_n > 1").select(key), "repeated")
+    if not fits_broadcast(repeated):
+        return collapse_first(df, key, order)
+    columns = [key, *[c for c in df.columns if c != key and c not in order]]
+    known, repeated = df.where(F.col(key).isNotNull()), F.broadcast(repeated)
+    alone = equi_join(known, repeated, [key], "left_anti", False).select(*columns)
+    several = equi_join(known, repeated, [key], "left_semi", False)
+    return alone.unionByName(collapse_first(several, key, order))
+
+
 def fill_previous_date(
     df: DataFrame, parts: list[str], order: str, date: str, name: str = "iddate", flag: str = "date_missing"
 ) -> DataFrame:

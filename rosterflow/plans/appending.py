@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from rosterflow.functions.text import slug
 from rosterflow.operators.joins import equi_join
-from rosterflow.operators.merge import collapse_first
 from rosterflow.operators.numbering import SYNTHETIC_BASE, number_rows
 from rosterflow.plans.linked import linked_records
 from rosterflow.session import stage, together
@@ -68,9 +67,10 @@ def roster_with_identity(trainees: DataFrame) -> DataFrame:
     others = IDENTITY[:-1]
     order = [F.col(c).asc_nulls_first() for c in others]
     numbered = stage(number_rows(trainees, [*order, "trainee_id"], "_row"), "roster")
-    firsts = stage(numbered.groupBy(*others).agg(F.min("_row").alias("_first")), "roster-firsts")
+    firsts = numbered.groupBy(*others).agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    firsts = stage(firsts.where("_n > 1").drop("_n"), "roster-firsts")
     placed = lookup(numbered, firsts, others, "left", null_safe=True)
-    return placed.withColumn("nth", F.col("_row") - F.col("_first")).drop("_row", "_first")
+    return placed.withColumn("nth", F.coalesce(F.col("_row") - F.col("_first"), F.lit(0))).drop("_row", "_first")
 
 
 def ledger(
@@ -89,7 +89,14 @@ def ledger(
 
 
 def continue_star(stored: dict[str, DataFrame], new: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Tables and ledger of ``stored`` with the load ``new``, and a further table REJECTS (source, record, reason).
+    """Tables and ledger of ``stored`` with the load ``new``, and a further table REJECTS (see ``star_parts``)."""
+    return {name: reduce(DataFrame.unionByName, parts) for name, parts in star_parts(stored, new).items()}
+
+
+def star_parts(stored: dict[str, DataFrame], new: dict[str, DataFrame]) -> dict[str, list[DataFrame]]:
+    """The tables of ``continue_star`` as parts: a table that only grows is the stored one, unchanged, and the new rows.
+
+    REJECTS has the columns source, record, reason.
 
     Stored rows keep their ids and win: of a new row whose natural key is stored, only what is missing there is taken,
     and what differs goes to the rejects. Natural keys are names in dimensions, applicant_id, the code of a course, the
@@ -105,23 +112,26 @@ def continue_star(stored: dict[str, DataFrame], new: dict[str, DataFrame]) -> di
     found = together(spark, *(partial(_continued, n, stored[n], new[n], *keys) for n, keys in DIMENSIONS.items()))
     ids = {}
     for name, (rows, mapped) in zip(DIMENSIONS, found):
-        out[name], ids[name] = rows, mapped
+        out[name], ids[name] = _grown(stored[name], rows), mapped
 
-    def keyed(name: str, rows: DataFrame, natural: list[str], key: str | None = None) -> tuple[DataFrame, DataFrame]:
-        out[name], fresh, differing = _added(name, stored[name], rows, natural, key)
+    def keyed(name: str, rows: DataFrame, natural: list[str], key: str | None = None) -> DataFrame:
+        fresh, differing = _added(name, stored[name], rows, natural, key)
+        out[name] = _grown(stored[name], fresh)
         rejects.append(differing)
-        return out[name], fresh
+        return fresh
 
-    def add_trainees() -> tuple[DataFrame, DataFrame]:
-        out[ROSTER], roster_ids, fresh, differing = _trainees(stored, new, ids["trainers"])
+    def add_trainees() -> DataFrame:
+        fresh, roster_ids, differing = _trainees(stored, new, ids["trainers"])
+        out[ROSTER] = _grown(stored[ROSTER], fresh.drop("_before"))
         rejects.append(differing)
         marks = _mapped(new["behaviours"], roster_ids, "trainee_id", "inner")
         keyed("behaviours", marks, ["trainee_id", "week_number"], "behaviour_id")
-        return roster_ids, fresh
+        return fresh
 
     def add_records() -> DataFrame:
         rows = _mapped(new[RECORDS], ids["academy_locations"], "academy_location_id")
-        out[RECORDS], fresh, differing = _records(stored[RECORDS], rows)
+        merged, fresh, differing = _records(stored[RECORDS], rows)
+        out[RECORDS] = [stored[RECORDS] if fresh.isEmpty() else merged]
         rejects.append(differing)
         return fresh
 
@@ -129,12 +139,12 @@ def continue_star(stored: dict[str, DataFrame], new: dict[str, DataFrame]) -> di
         columns, spare = stored[name].columns, SPARE[name]
         rows = _mapped(new[name].select(*columns).unionByName(new[spare].select(*columns)), ids[dim], column)
         old = stored[name].unionByName(stored[spare].select(*columns))
-        pairs, _, differing = _added(name, old, rows, ["json_key", column], None)
+        fresh, differing = _added(name, old, rows, ["json_key", column], None)
         rejects.append(differing)
-        return pairs
+        return fresh
 
     people = stored[PEOPLE].columns
-    (roster_ids, fresh_roster), fresh_records, (_, fresh_people, _), *pairs, _, _, _ = together(
+    fresh_roster, fresh_records, (fresh_people, _), *fresh_pairs, _, _, _ = together(
         spark,
         add_trainees,
         add_records,
@@ -144,7 +154,7 @@ def continue_star(stored: dict[str, DataFrame], new: dict[str, DataFrame]) -> di
         lambda: keyed("location", new["location"], ["applicant_id", "address", "postcode", "city"], "location_id"),
         lambda: keyed("applicants", _mapped(new["applicants"], ids["recruiters"], "recruiter_id"), ["applicant_id"]),
     )
-    out[PEOPLE] = stored[PEOPLE].unionByName(fresh_people)
+    out[PEOPLE] = _grown(stored[PEOPLE], fresh_people)
     order = [c for c in people if c not in ("applicant_id", "name", "invited_date")]
 
     # only people of these names can be linked otherwise than before
@@ -154,32 +164,68 @@ def continue_star(stored: dict[str, DataFrame], new: dict[str, DataFrame]) -> di
         fresh_roster.select(slug(F.col("name")).alias("_group")),
     ]
     groups = stage(reduce(DataFrame.unionByName, groups).where(F.col("_group").isNotNull()).distinct(), "append-groups")
+    out["talent"], out["trainees"] = [stored["talent"]], [stored["trainees"]]
+    if not fresh_roster.isEmpty():
+        trainees = _mapped(new["trainees"], ids["trainers"], "trainer_id")
+        added = fresh_roster.select("_before", F.col("trainee_id").alias("_after"))
+        added = _mapped(trainees, added, "trainee_id", "inner").select(*stored["trainees"].columns)
+        out["trainees"] = [stored["trainees"], added]
+    moved = None
+    if not groups.isEmpty():
+        whole = {name: reduce(DataFrame.unionByName, out[name]) for name in (RECORDS, PEOPLE, ROSTER, "trainees")}
+        talent, links, moved = _linked_again(stored["talent"], whole, groups, order)
+        everyone = lookup(whole["trainees"], links, ["trainee_id"], "left")
+        key = F.when(F.col("_link").isNotNull(), F.col("_link.json_key")).otherwise(F.col("json_key"))
+        out["talent"], out["trainees"] = [talent], [everyone.withColumn("json_key", key).drop("_link")]
+
+    kept = None
+    for (name, _, _), fresh in zip(JUNCTIONS, fresh_pairs):
+        used, spare = [stored[name]], [stored[SPARE[name]]]
+        if moved is not None and not all(keys.isEmpty() for keys in moved):
+            gone, come = moved
+            used, spare = (
+                [lookup(used[0], gone, ["json_key"], "left_anti"), lookup(spare[0], come, ["json_key"], "left_semi")],
+                [lookup(spare[0], come, ["json_key"], "left_anti"), lookup(used[0], gone, ["json_key"], "left_semi")],
+            )
+        if not fresh.isEmpty():
+            kept = kept or stage(out["talent"][0].select("json_key"), "append-keys")
+            used.append(lookup(fresh, kept, ["json_key"], "left_semi"))
+            spare.append(lookup(fresh, kept, ["json_key"], "left_anti"))
+        out[name], out[SPARE[name]] = used, spare
+    out[REJECTS] = [reduce(DataFrame.unionByName, rejects)]
+    return out
+
+
+def _linked_again(
+    stored: DataFrame, tables: dict[str, DataFrame], groups: DataFrame, order: list[str]
+) -> tuple[DataFrame, DataFrame, tuple[DataFrame, DataFrame]]:
+    """(talent with the people of these groups linked again, their trainees' links, the file keys gone from it and come to it)."""
 
     def of_groups(rows: DataFrame, group: Column, how: str = "left_semi") -> DataFrame:
         return lookup(rows.withColumn("_group", group), groups, ["_group"], how).drop("_group")
 
     by_id, by_name = name_group(F.col("applicant_id")), slug(F.col("name"))
-    touched = stage(of_groups(out[ROSTER], by_name), "append-roster")
+    touched = stage(of_groups(tables[ROSTER], by_name), "append-roster")
     final, followed = linked_records(
-        stage(of_groups(out[RECORDS], by_id), "append-records"), of_groups(out[PEOPLE], by_id), touched, order
+        stage(of_groups(tables[RECORDS], by_id), "append-records"), of_groups(tables[PEOPLE], by_id), touched, order
     )
-    before = stage(of_groups(stored["talent"], by_id), "append-before")
-    untouched = of_groups(stored["talent"], by_id, "left_anti")
-    out["talent"] = untouched.unionByName(_talent(stored["talent"], before, stage(final, "append-final")))
-
-    trainees = _mapped(new["trainees"], ids["trainers"], "trainer_id")
-    added = _mapped(lookup(trainees, fresh_roster.select("trainee_id"), ["trainee_id"], "left_semi"), roster_ids, "trainee_id", "inner")
+    before = stage(of_groups(stored, by_id), "append-before")
+    after = stage(_talent(stored, before, stage(final, "append-final")), "append-after")
     links = stage(followed.select("trainee_id", F.struct("json_key").alias("_link")), "append-links")
-    everyone = lookup(stored["trainees"].unionByName(added.select(*stored["trainees"].columns)), links, ["trainee_id"], "left")
-    key = F.when(F.col("_link").isNotNull(), F.col("_link.json_key")).otherwise(F.col("json_key"))
-    out["trainees"] = everyone.withColumn("json_key", key).drop("_link")
-
-    keys = stage(out["talent"].select("json_key").distinct(), "append-keys")
-    for (name, _, _), rows in zip(JUNCTIONS, pairs):
-        out[name] = lookup(rows, keys, ["json_key"], "left_semi")
-        out[SPARE[name]] = lookup(rows, keys, ["json_key"], "left_anti")
-    out[REJECTS] = reduce(DataFrame.unionByName, rejects)
-    return out
+
+    # keys that were made have no junction rows
+    had, has = (rows.select("json_key").where(F.col("json_key") < SYNTHETIC_BASE) for rows in (before, after))
+    gone = stage(lookup(had, has, ["json_key"], "left_anti"), "append-gone")
+    come = stage(lookup(has, had, ["json_key"], "left_anti"), "append-come")
+    # a key that records of other groups hold as well is not gone
+    counted = stored.select("json_key", F.lit(1).alias("_n")).unionByName(had.withColumn("_n", F.lit(-1)))
+    counted = lookup(counted, gone, ["json_key"], "left_semi").groupBy("json_key").agg(F.sum("_n").alias("_n"))
+    gone = stage(counted.where("_n = 0").select("json_key"), "append-gone-keys")
+    return of_groups(stored, by_id, "left_anti").unionByName(after), links, (gone, come)
+
+
+def _grown(old: DataFrame, fresh: DataFrame) -> list[DataFrame]:
+    return [old] if fresh.isEmpty() else [old, fresh]
 
 
 def _first_id(old: DataFrame, rows: DataFrame, key: str) -> int:
@@ -202,7 +248,7 @@ def _mapped(rows: DataFrame, ids: DataFrame, column: str, how: str = "left") ->
 
 
 def _continued(name: str, old: DataFrame, rows: DataFrame, key: str, natural: str) -> tuple[DataFrame, DataFrame]:
-    """(dimension with new values, ids of the load as _before and _after)."""
+    """(new values of a dimension, ids of the load as _before and _after)."""
     kind = dict(old.dtypes)[key]
     known = old.select(natural, F.col(key).alias("_after"))
     joined = stage(lookup(rows, known, [natural], "left", null_safe=True), f"append-{name}")
@@ -219,35 +265,63 @@ def _continued(name: str, old: DataFrame, rows: DataFrame, key: str, natural: st
     added = fresh.select(F.col("_after").cast(kind).alias(key), natural)
     ids = joined.where("_after IS NOT NULL").select(F.col(key).alias("_before"), F.col("_after").cast("long"))
     ids = ids.unionByName(fresh.select(F.col(key).alias("_before"), "_after"))
-    return old.unionByName(added.select(*old.columns)), stage(ids, f"append-ids-{name}")
+    return added.select(*old.columns), stage(ids, f"append-ids-{name}")
 
 
-def _digest(columns: list[str]) -> Column:
-    return F.md5(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}))
+def _json(columns: list[str]) -> Column:
+    return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
 
 
-def _added(
-    name: str, old: DataFrame, rows: DataFrame, natural: list[str], key: str | None
-) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(stored and new rows, the new ones, rejects): rows are new if their natural key is not stored.
+def _with_key(df: DataFrame, columns: list[str]) -> tuple[DataFrame, list[str]]:
+    """``df`` with columns that are never null and equal where ``columns`` are (null equals null), and their names.
+
+    Whole numbers stand for themselves, as they take less room in a shuffle than a digest; others are one digest.
+    """
+    kinds = dict(df.dtypes)
+    if any(kinds[c] not in ("bigint", "int", "smallint", "tinyint") for c in columns):
+        return df.withColumn("_key", F.unhex(F.md5(_json(columns)))), ["_key"]
+    nulls = reduce(Column.__add__, [F.col(c).isNull().cast("int") * F.lit(1 << n) for n, c in enumerate(columns)])
+    keys = {f"_key{n}": F.coalesce(c, F.lit(0).cast(kinds[c])) for n, c in enumerate(columns)}
+    return df.withColumns({**keys, "_nulls": nulls}), [*keys, "_nulls"]
+
+
+def _added(name: str, old: DataFrame, rows: DataFrame, natural: list[str], key: str | None) -> tuple[DataFrame, DataFrame]:
+    """(new rows, rejects): rows are new if their natural key is not stored. ``key`` is numbered on.
 
-    Digests of rows tell those that are stored alike from those that contradict. ``key`` is numbered on.
+    Both sides are shuffled once, the stored one as its keys with the least and the greatest digest of their further
+    values: these tell rows that are stored alike from those that contradict, unless a key is stored with three or more
+    values. Only rows of such keys are compared with all digests. A load without rows is compared with nothing.
     """
     kinds = dict(old.dtypes)
     values = [c for c in old.columns if c != key]
+    further = [c for c in values if c not in natural]
     typed = rows.select(*[F.col(c).cast(kinds[c]).alias(c) for c in old.columns])
-    known = stage(old.select(*natural, _digest(values).alias("_digest")).distinct(), f"append-known-{name}")
-    other = lookup(typed.withColumn("_digest", _digest(values)), known, [*natural, "_digest"], "left_anti", null_safe=True)
-    other = stage(other.drop("_digest"), f"append-other-{name}")
-    keys = known.select(*natural).distinct()
-    fresh = lookup(other, keys, natural, "left_anti", null_safe=True)
-    differing = lookup(other, keys, natural, "left_semi", null_safe=True)
-    if key is not None:
+    load = stage(typed, f"append-load-{name}")
+    if load.isEmpty():
+        return load, _rejected(name, load, values)
+    known, on = _with_key(old.select(*natural, *further), natural)
+    given, _ = _with_key(load, natural)
+    if further:
+        known = known.select(*on, F.xxhash64(_json(further)).alias("_stored"))
+        given = given.withColumn("_given", F.xxhash64(_json(further)))
+        ends = known.groupBy(*on).agg(F.min("_stored").alias("_least"), F.max("_stored").alias("_most"))
+        met = lookup(given, ends, on, "left").where("_least IS NULL OR _given NOT IN (_least, _most)")
+        other = stage(met, f"append-other-{name}")
+        fresh, differing = other.where("_least IS NULL"), other.where("_least = _most")
+        unsure = other.where("_least < _most")
+        if not unsure.isEmpty():
+            several = known.withColumnRenamed("_stored", "_given")
+            differing = differing.unionByName(lookup(unsure, several, [*on, "_given"], "left_anti"))
+        differing = differing.select(*values)
+    else:
+        fresh = stage(lookup(given, known.select(*on), on, "left_anti").select(*old.columns), f"append-new-{name}")
+        differing = load.where("false")
+    fresh = fresh.select(*old.columns)
+    if key is not None and not fresh.isEmpty():
         order = [F.col("_before").cast("long")]
-        fresh = number_rows(fresh.withColumnRenamed(key, "_before"), order, key, _first_id(old, rows, key))
-        fresh = fresh.withColumn(key, F.col(key).cast(kinds[key]))
-    fresh = stage(fresh.select(*old.columns), f"append-new-{name}")
-    return old.unionByName(fresh), fresh, _rejected(name, differing, values)
+        fresh = number_rows(fresh.withColumnRenamed(key, "_before"), order, key, _first_id(old, load, key))
+        fresh = fresh.withColumn(key, F.col(key).cast(kinds[key])).select(*old.columns)
+    return fresh, _rejected(name, differing, values)
 
 
 def _rejected(name: str, rows: DataFrame, values: list[str]) -> DataFrame:
@@ -257,42 +331,50 @@ def _rejected(name: str, rows: DataFrame, values: list[str]) -> DataFrame:
 
 def _trainees(
     stored: dict[str, DataFrame], new: dict[str, DataFrame], trainers: DataFrame
-) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """(roster, ids of the load's trainees, new part of the roster under the load's ids, rejects)."""
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(new rows of the roster with their id in the load as _before, ids of the load's trainees, rejects)."""
     old = stored[ROSTER]
-    rows = _mapped(new[ROSTER], trainers, "trainer_id")
-    known = old.select(*IDENTITY, F.col("trainee_id").alias("_after"), F.col("trainer_id").alias("_trainer"))
-    joined = stage(lookup(rows, known, IDENTITY, "left", null_safe=True), "append-trainees")
-    differing = joined.where("_after IS NOT NULL AND NOT (trainer_id <=> _trainer)")
-    fresh = joined.where("_after IS NULL").select(*rows.columns)
-    numbered = stage(number_rows(fresh, ["trainee_id"], "_after", _next(old, "trainee_id")), "append-new-trainees")
-    ids = joined.where("_after IS NOT NULL").select(F.col("trainee_id").alias("_before"), "_after")
-    ids = stage(ids.unionByName(numbered.select(F.col("trainee_id").alias("_before"), "_after")), "append-ids-trainees")
-    added = numbered.withColumn("trainee_id", F.col("_after")).select(*old.columns)
-    rejects = _rejected("trainees", differing, ["trainer_id", *IDENTITY])
-    return old.unionByName(added), ids, numbered.drop("_after"), rejects
+    rows, on = _with_key(_mapped(new[ROSTER], trainers, "trainer_id"), IDENTITY)
+    known, _ = _with_key(old, IDENTITY)
+    known = known.select(*on, F.col("trainee_id").alias("_after"), F.col("trainer_id").alias("_trainer"))
+    joined = stage(lookup(rows, known, on, "left").drop(*on), "append-trainees")
+    found = joined.where("_after IS NOT NULL")
+    differing = found.where("NOT (trainer_id <=> _trainer)")
+    fresh = joined.where("_after IS NULL").drop("_after", "_trainer").withColumnRenamed("trainee_id", "_before")
+    if not fresh.isEmpty():
+        fresh = number_rows(fresh, ["_before"], "trainee_id", _next(old, "trainee_id"))
+    else:
+        fresh = fresh.withColumn("trainee_id", F.col("_before"))
+    ids = found.select(F.col("trainee_id").alias("_before"), "_after")
+    ids = ids.unionByName(fresh.select("_before", F.col("trainee_id").alias("_after")))
+    return fresh.select(*old.columns, "_before"), ids, _rejected("trainees", differing, ["trainer_id", *IDENTITY])
 
 
 def _records(old: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(records, those new or changed, rejects). A person's record takes from a later one what it lacks."""
+    """(records, those new or changed, rejects). A person's record takes from a later one what it lacks.
+
+    Both sides hold one record per person, so no key is hot in the full join, and each is shuffled once.
+    """
     columns = old.columns
     values = [c for c in columns if c != "applicant_id"]
-    rows = stage(rows.select(*columns), "append-load")
-    touched = lookup(old, rows.select("applicant_id").distinct(), ["applicant_id"], "left_semi")
-    touched = stage(_academy(touched, None), "append-touched")
-    both = touched.withColumn("_load", F.lit(0)).unionByName(_academy(rows, None).withColumn("_load", F.lit(1)))
-    merged = stage(_academy(collapse_first(both, "applicant_id", ["_load"]), 0).select(*columns), "append-merged")
-
-    known = touched.select("applicant_id", F.struct(*values).alias("_old"))
-    against = lookup(_academy(rows, None), known, ["applicant_id"], "inner")
-    differs = [F.col(f"_old.{c}").isNotNull() & F.col(c).isNotNull() & (F.col(f"_old.{c}") != F.col(c)) for c in values]
-    rejects = _rejected("talent", against.where(reduce(Column.__or__, differs)), columns)
-
-    same = _academy(touched, 0).select("applicant_id", _digest(columns).alias("_digest"))
-    changed = lookup(merged.withColumn("_digest", _digest(columns)), same, ["applicant_id", "_digest"], "left_anti", null_safe=True)
-    changed = stage(changed.select(*columns), "append-changed")
-    rest = lookup(old, changed.select("applicant_id"), ["applicant_id"], "left_anti")
-    return rest.select(*columns).unionByName(changed), changed, rejects
+    load = stage(rows.select(*columns).where(F.col("applicant_id").isNotNull()), "append-load")
+    if load.isEmpty():
+        return old, load, _rejected("talent", load, columns)
+    known = _academy(old, None).select("applicant_id", F.struct(*values).alias("_old"))
+    given = _academy(load, None).select("applicant_id", F.struct(*values).alias("_new"))
+    both = known.join(given, "applicant_id", "full_outer")
+    lacked = [F.col(f"_old.{c}").isNull() & F.col(f"_new.{c}").isNotNull() for c in values]
+    differs = [F.col(f"_old.{c}").isNotNull() & F.col(f"_new.{c}").isNotNull() & (F.col(f"_old.{c}") != F.col(f"_new.{c}")) for c in values]
+    merged = both.select(
+        "applicant_id",
+        *[F.coalesce(f"_old.{c}", f"_new.{c}").alias(c) for c in values],
+        (F.col("_old").isNull() | reduce(Column.__or__, lacked)).alias("_changed"),
+        F.when(reduce(Column.__or__, differs), F.col("_new")).alias("_refused"),
+    )
+    merged = stage(_academy(merged, 0), "append-merged")
+    changed = merged.where("_changed").select(*columns)
+    refused = merged.where("_refused IS NOT NULL").select("applicant_id", "_refused.*")
+    return merged.select(*columns), changed, _rejected("talent", refused, columns)
 
 
 def _academy(records: DataFrame, none: int | None) -> DataFrame:
@@ -307,21 +389,33 @@ def _talent(stored: DataFrame, before: DataFrame, final: DataFrame) -> DataFrame
     columns = stored.columns
     final = final.select(*[c for c in columns if c != "talent_id"])
     named = before.where(F.col("json_key") < SYNTHETIC_BASE).select("json_key", F.col("talent_id").alias("_id"))
-    found = stage(lookup(final, named, ["json_key"], "left"), "append-by-key")
-    taken = found.where("_id IS NOT NULL").select(F.col("_id").alias("talent_id"))
+    keyed = stage(lookup(final.where("json_key IS NOT NULL"), named, ["json_key"], "left"), "append-by-key")
+    taken = keyed.where("_id IS NOT NULL").select(F.col("_id").alias("talent_id"))
     left = lookup(before, taken, ["talent_id"], "left_anti")
     made = F.when(F.col("json_key") >= SYNTHETIC_BASE, F.col("json_key")).alias("_made")
     left = stage(left.select("applicant_id", F.col("talent_id").alias("_other"), made), "append-left")
-    rest = lookup(found.where("_id IS NULL").drop("_id"), left, ["applicant_id"], "left")
+    rest = keyed.where("_id IS NULL").drop("_id").unionByName(final.where("json_key IS NULL"))
+    rest = lookup(rest, left, ["applicant_id"], "left")
     rest = rest.withColumn("json_key", F.coalesce("json_key", "_made")).drop("_made").withColumnRenamed("_other", "_id")
-    everyone = stage(found.where("_id IS NOT NULL").unionByName(rest), "append-talent")
-
-    fresh = everyone.where("_id IS NULL").drop("_id").withColumn("_keyless", F.col("json_key").isNull())
-    fresh = stage(number_rows(fresh, ["_keyless", "applicant_id"], "_id", _next(stored, "talent_id")), "append-new-talent")
-    keyless = number_rows(everyone.where("json_key IS NULL").select("applicant_id"), ["applicant_id"], "_made", _next_made(stored))
-    rows = everyone.where("_id IS NOT NULL").unionByName(fresh.drop("_keyless"))
-    rows = lookup(rows, stage(keyless, "append-keyless"), ["applicant_id"], "left")
-    rows = rows.withColumn("json_key", F.coalesce("json_key", "_made").cast("long"))
+    rest = stage(rest, "append-rest")
+    known = keyed.where("_id IS NOT NULL").unionByName(rest.where("_id IS NOT NULL"))
+
+    # new records with a file stand before those without, so one numbering gives the ids and the made keys
+    first, first_made = _next(stored, "talent_id"), _next_made(stored)
+    fresh = rest.where("_id IS NULL").drop("_id").withColumn("_keyless", F.col("json_key").isNull())
+    fresh = number_rows(fresh, ["_keyless", "applicant_id"], "_id", first)
+    first_keyless = first + fresh.where("NOT _keyless").count()
+    bare = known.where("json_key IS NULL")
+    if bare.isEmpty():
+        key = F.when(F.col("_keyless"), F.col("_id") - F.lit(first_keyless) + F.lit(first_made)).otherwise(F.col("json_key"))
+        fresh = fresh.withColumn("json_key", key.cast("long"))
+        rows = known.unionByName(fresh.drop("_keyless"))
+    else:
+        # records that kept their id and lost their file take their places among them
+        rows = known.unionByName(fresh.drop("_keyless"))
+        keyless = rows.where("json_key IS NULL").select("applicant_id")
+        keyless = stage(number_rows(keyless, ["applicant_id"], "_made", first_made), "append-keyless")
+        rows = lookup(rows, keyless, ["applicant_id"], "left").withColumn("json_key", F.coalesce("json_key", "_made").cast("long"))
     return rows.withColumnRenamed("_id", "talent_id").select(*columns)
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rosterflow.operators.linking import apply_links, link_forward
-from rosterflow.operators.merge import collapse_first
+from rosterflow.operators.merge import collapse_repeated
 from rosterflow.session import stage
 
 
@@ -59,5 +59,5 @@ def linked_records(
     """
     moved = stage(link_applicants(talent, applicants, order, "final_id"), "linked")
     followed = link_trainees(trainees, moved, "applicant_id")
-    merged = collapse_first(moved, "final_id", ["applicant_id"]).withColumnRenamed("final_id", "applicant_id")
+    merged = collapse_repeated(moved, "final_id", ["applicant_id"]).withColumnRenamed("final_id", "applicant_id")
     return merged, followed

@@ -5,14 +5,18 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterflow.plans.appending import LEDGER, continue_star
-from rosterflow.session import together
+from rosterflow.plans.appending import LEDGER, star_parts
+from rosterflow.session import COMPRESSION, together
 
+#: table in a version that names the folders of tables which are not, or not only, its own
+_PARTS = "_parts"
+#: a table in more folders than these is written whole again
+MOST_PARTS = 32
 _LOG = "_versions"
 _HOLDS = "_holds"
 
@@ -59,18 +63,43 @@ def write_star(tables: dict[str, DataFrame], target: str, mode: str = "refresh",
     if mode not in ("refresh", "append"):
         raise ValueError("mode must be refresh or append")
     spark = next(iter(tables.values())).sparkSession
-    if mode == "append":
-        tables = continue_star(read_star(spark, target) | read_ledger(spark, target), tables)
+    if mode == "refresh":
+        return _write_version(spark, target, {name: [df] for name, df in {**tables, **more}.items()}, {}, {})
+    # what the new version does not write again has to stay until it is logged
+    with hold_version(spark, target) as folder:
+        stored = _read(spark, target, folder, _star_names()) | _read_known(spark, target, folder)
+        parts = star_parts(stored, tables) | {name: [df] for name, df in more.items()}
+        return _write_version(spark, target, parts, stored, _folders(spark, folder))
+
+
+def _write_version(
+    spark: SparkSession, target: str, tables: dict[str, list[DataFrame]], stored: dict[str, DataFrame], held: dict[str, list[str]]
+) -> str:
+    """Write and log a version. A part that is a table of ``stored`` stays in its folders, those of ``held`` or that of
+    the stored version, and is named in the new version."""
     version = f"v-{uuid.uuid4().hex}"
     folder = f"{target}/{version}"
-    together(spark, *(partial(_write, df, f"{folder}/{name}") for name, df in {**tables, **more}.items()))
+    named, writes = [], []
+    for name, parts in tables.items():
+        places = held.get(name, []) if name in stored and parts[0] is stored[name] else []
+        if places and len(places) < MOST_PARTS:
+            named += [(name, place) for place in places]
+            parts = parts[1:]
+            if parts:
+                named.append((name, f"{version}/{name}"))
+        if parts:
+            writes.append(partial(_write, reduce(DataFrame.unionByName, parts), f"{folder}/{name}"))
+    if named:
+        rows = spark.createDataFrame(named, "name string, folder string").coalesce(1)
+        writes.append(partial(_write, rows, f"{folder}/{_PARTS}"))
+    together(spark, *writes)
     log = spark.range(1).select(F.lit(version).alias("version"), F.current_timestamp().alias("written_at"))
     log.coalesce(1).write.mode("append").parquet(f"{target}/{_LOG}")
     return folder
 
 
 def _write(df: DataFrame, folder: str) -> None:
-    df.write.parquet(folder)
+    df.write.option("compression", COMPRESSION).parquet(folder)
 
 
 def current_version(spark: SparkSession, target: str) -> str:
@@ -78,19 +107,42 @@ def current_version(spark: SparkSession, target: str) -> str:
     return f"{target}/{log.agg(F.max_by('version', 'written_at')).first()[0]}"
 
 
-def read_star(spark: SparkSession, target: str) -> dict[str, DataFrame]:
+def _folders(spark: SparkSession, folder: str) -> dict[str, list[str]]:
+    """The folders, below the target, of every table of a version."""
+    version = folder.rsplit("/", 1)[1]
+    files, path = _located(spark, folder)
+    names = [f.getPath().getName() for f in files.listStatus(path)]
+    found = {name: [f"{version}/{name}"] for name in names if name != _PARTS}
+    if _PARTS in names:
+        named: dict[str, list[str]] = {}
+        for row in spark.read.schema("name string, folder string").parquet(f"{folder}/{_PARTS}").collect():
+            named.setdefault(row["name"], []).append(row["folder"])
+        found |= named
+    return found
+
+
+def _star_names() -> list[str]:
     from rosterflow.plans.star import COLUMNS
 
-    folder = current_version(spark, target)
-    return {name: spark.read.parquet(f"{folder}/{name}") for name in COLUMNS}
+    return list(COLUMNS)
+
+
+def _read(spark: SparkSession, target: str, folder: str, names: list[str]) -> dict[str, DataFrame]:
+    places = _folders(spark, folder)
+    return {name: spark.read.parquet(*(f"{target}/{place}" for place in places[name])) for name in names}
+
+
+def _read_known(spark: SparkSession, target: str, folder: str) -> dict[str, DataFrame]:
+    return _read(spark, target, folder, list(LEDGER)) if LEDGER[0] in _folders(spark, folder) else {}
+
+
+def read_star(spark: SparkSession, target: str) -> dict[str, DataFrame]:
+    return _read(spark, target, current_version(spark, target), _star_names())
 
 
 def read_ledger(spark: SparkSession, target: str) -> dict[str, DataFrame]:
     """What the current version keeps beside its tables; empty if it was written without."""
-    folder = current_version(spark, target)
-    if not exists(spark, f"{folder}/{LEDGER[0]}"):
-        return {}
-    return {name: spark.read.parquet(f"{folder}/{name}") for name in LEDGER}
+    return _read_known(spark, target, current_version(spark, target))
 
 
 def read_landed(spark: SparkSession, target: str) -> DataFrame:
@@ -125,7 +177,8 @@ def remove_versions(spark: SparkSession, target: str, keep: int = 2) -> tuple[li
     """Deletes all but the newest ``keep`` versions; returns the names of those deleted, and of older ones that a reader holds.
 
     The list of versions has one row per load. What is not in it, such as a version that is still being written, is not
-    touched, and a run that was cut short is finished by the next one.
+    touched, and a run that was cut short is finished by the next one. Tables of a deleted version that are also tables of
+    one that stays remain in its folder until no version names them.
     """
     if keep < 1:
         raise ValueError("the current version has to stay")
@@ -135,12 +188,24 @@ def remove_versions(spark: SparkSession, target: str, keep: int = 2) -> tuple[li
     files, holds = _located(spark, f"{target}/{_HOLDS}")
     names = [f.getPath().getName() for f in files.listStatus(holds)] if files.exists(holds) else []
     held = {name.split(".")[0] for name in names}
-    removed = [version for version in older if version not in held]
-    for version in removed:
-        files.delete(_located(spark, f"{target}/{version}")[1], True)
+    stay = [version for version in logged if exists(spark, f"{target}/{version}") and (version not in older or version in held)]
+    needed = {place for version in stay for places in _folders(spark, f"{target}/{version}").values() for place in places}
+    removed = [version for version in older if version not in held and _remove(spark, target, version, needed)]
     return removed, [version for version in older if version in held]
 
 
+def _remove(spark: SparkSession, target: str, version: str, needed: set[str]) -> bool:
+    """Delete what no other version needs of a version; whether there was anything to delete."""
+    files, path = _located(spark, f"{target}/{version}")
+    if not any(place.startswith(f"{version}/") for place in needed):
+        return files.delete(path, True)
+    entries = [f.getPath() for f in files.listStatus(path)]
+    surplus = [entry for entry in entries if f"{version}/{entry.getName()}" not in needed]
+    for entry in surplus:
+        files.delete(entry, True)
+    return bool(surplus)
+
+
 def _located(spark: SparkSession, folder: str) -> tuple:
     """The file system of a folder, and its path there."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)

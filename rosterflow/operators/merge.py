@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from rosterflow.functions.dates import NO_DATE, compact_date, month_only
 from rosterflow.operators.joins import equi_join, fits_broadcast
 from rosterflow.operators.numbering import carry_forward
-from rosterflow.session import stage
+from rosterflow.session import stage_packed
 
 
 def collapse_first(df: DataFrame, key: str, order: list[str]) -> DataFrame:
@@ -32,7 +32,7 @@ def collapse_repeated(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     Keys are counted without the columns. If those that repeat are too many to be broadcast, all rows are merged.
     """
     repeated = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    repeated = stage(repeated.where("_n > 1").select(key), "repeated")
+    repeated = stage_packed(repeated.where("_n > 1").select(key), "repeated")
     if not fits_broadcast(repeated):
         return collapse_first(df, key, order)
     columns = [key, *[c for c in df.columns if c != key and c not in order]]

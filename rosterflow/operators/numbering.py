@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rosterflow.session import stage
+from rosterflow.session import stage_packed
 
 SYNTHETIC_BASE = 1_000_000_000  # fixed value: first key given to records without one
 _SLOT = "_slot"
@@ -27,7 +27,7 @@ def number_rows(df: DataFrame, order: list, name: str, start: int = 0) -> DataFr
     ``spark.sql.shuffle.partitions`` rows, reaches the driver.
     """
     spark = df.sparkSession
-    placed = stage(df.orderBy(*order).withColumn(_SLOT, F.monotonically_increasing_id()), "numbered")
+    placed = stage_packed(df.orderBy(*order).withColumn(_SLOT, F.monotonically_increasing_id()), "numbered")
     part = F.shiftright(F.col(_SLOT), 33)
     sizes = sorted(placed.groupBy(part.alias("p")).count().collect())
     bases = list(accumulate((rows for _, rows in sizes), initial=start))[: len(sizes)]

@@ -16,7 +16,7 @@ from rosterflow.functions.text import slug
 from rosterflow.operators.joins import equi_join
 from rosterflow.operators.numbering import SYNTHETIC_BASE, number_rows
 from rosterflow.plans.linked import linked_records
-from rosterflow.session import stage, together
+from rosterflow.session import stage_packed, together
 
 #: what a star keeps beside its tables: records, applicants and trainees before linking, junction rows not in use
 RECORDS, PEOPLE, ROSTER = "known_records", "known_people", "known_roster"
@@ -66,9 +66,9 @@ def roster_with_identity(trainees: DataFrame) -> DataFrame:
     """
     others = IDENTITY[:-1]
     order = [F.col(c).asc_nulls_first() for c in others]
-    numbered = stage(number_rows(trainees, [*order, "trainee_id"], "_row"), "roster")
+    numbered = stage_packed(number_rows(trainees, [*order, "trainee_id"], "_row"), "roster")
     firsts = numbered.groupBy(*others).agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    firsts = stage(firsts.where("_n > 1").drop("_n"), "roster-firsts")
+    firsts = stage_packed(firsts.where("_n > 1").drop("_n"), "roster-firsts")
     placed = lookup(numbered, firsts, others, "left", null_safe=True)
     return placed.withColumn("nth", F.coalesce(F.col("_row") - F.col("_first"), F.lit(0))).drop("_row", "_first")
 
@@ -78,7 +78,7 @@ def ledger(
 ) -> dict[str, DataFrame]:
     """The further tables of a star; ``pairs`` are its junction rows before those of unknown records are left out."""
     kept = ["trainee_id", "trainer_id", *IDENTITY]
-    keys = stage(talent.select("json_key").where(F.col("json_key").isNotNull()).distinct(), "ledger-keys")
+    keys = stage_packed(talent.select("json_key").where(F.col("json_key").isNotNull()).distinct(), "ledger-keys")
     spare = {SPARE[n]: lookup(df, keys, ["json_key"], "left_anti") for n, df in pairs.items()}
     return {
         RECORDS: records,
@@ -163,7 +163,7 @@ def star_parts(stored: dict[str, DataFrame], new: dict[str, DataFrame]) -> dict[
         fresh_people.select(name_group(F.col("applicant_id")).alias("_group")),
         fresh_roster.select(slug(F.col("name")).alias("_group")),
     ]
-    groups = stage(reduce(DataFrame.unionByName, groups).where(F.col("_group").isNotNull()).distinct(), "append-groups")
+    groups = stage_packed(reduce(DataFrame.unionByName, groups).where(F.col("_group").isNotNull()).distinct(), "append-groups")
     out["talent"], out["trainees"] = [stored["talent"]], [stored["trainees"]]
     if not fresh_roster.isEmpty():
         trainees = _mapped(new["trainees"], ids["trainers"], "trainer_id")
@@ -188,7 +188,7 @@ def star_parts(stored: dict[str, DataFrame], new: dict[str, DataFrame]) -> dict[
                 [lookup(spare[0], come, ["json_key"], "left_anti"), lookup(used[0], gone, ["json_key"], "left_semi")],
             )
         if not fresh.isEmpty():
-            kept = kept or stage(out["talent"][0].select("json_key"), "append-keys")
+            kept = kept or stage_packed(out["talent"][0].select("json_key"), "append-keys")
             used.append(lookup(fresh, kept, ["json_key"], "left_semi"))
             spare.append(lookup(fresh, kept, ["json_key"], "left_anti"))
         out[name], out[SPARE[name]] = used, spare
@@ -205,22 +205,22 @@ def _linked_again(
         return lookup(rows.withColumn("_group", group), groups, ["_group"], how).drop("_group")
 
     by_id, by_name = name_group(F.col("applicant_id")), slug(F.col("name"))
-    touched = stage(of_groups(tables[ROSTER], by_name), "append-roster")
+    touched = stage_packed(of_groups(tables[ROSTER], by_name), "append-roster")
     final, followed = linked_records(
-        stage(of_groups(tables[RECORDS], by_id), "append-records"), of_groups(tables[PEOPLE], by_id), touched, order
+        stage_packed(of_groups(tables[RECORDS], by_id), "append-records"), of_groups(tables[PEOPLE], by_id), touched, order
     )
-    before = stage(of_groups(stored, by_id), "append-before")
-    after = stage(_talent(stored, before, stage(final, "append-final")), "append-after")
-    links = stage(followed.select("trainee_id", F.struct("json_key").alias("_link")), "append-links")
+    before = stage_packed(of_groups(stored, by_id), "append-before")
+    after = stage_packed(_talent(stored, before, stage_packed(final, "append-final")), "append-after")
+    links = stage_packed(followed.select("trainee_id", F.struct("json_key").alias("_link")), "append-links")
 
     # keys that were made have no junction rows
     had, has = (rows.select("json_key").where(F.col("json_key") < SYNTHETIC_BASE) for rows in (before, after))
-    gone = stage(lookup(had, has, ["json_key"], "left_anti"), "append-gone")
-    come = stage(lookup(has, had, ["json_key"], "left_anti"), "append-come")
+    gone = stage_packed(lookup(had, has, ["json_key"], "left_anti"), "append-gone")
+    come = stage_packed(lookup(has, had, ["json_key"], "left_anti"), "append-come")
     # a key that records of other groups hold as well is not gone
     counted = stored.select("json_key", F.lit(1).alias("_n")).unionByName(had.withColumn("_n", F.lit(-1)))
     counted = lookup(counted, gone, ["json_key"], "left_semi").groupBy("json_key").agg(F.sum("_n").alias("_n"))
-    gone = stage(counted.where("_n = 0").select("json_key"), "append-gone-keys")
+    gone = stage_packed(counted.where("_n = 0").select("json_key"), "append-gone-keys")
     return of_groups(stored, by_id, "left_anti").unionByName(after), links, (gone, come)
 
 
@@ -251,7 +251,7 @@ def _continued(name: str, old: DataFrame, rows: DataFrame, key: str, natural: st
     """(new values of a dimension, ids of the load as _before and _after)."""
     kind = dict(old.dtypes)[key]
     known = old.select(natural, F.col(key).alias("_after"))
-    joined = stage(lookup(rows, known, [natural], "left", null_safe=True), f"append-{name}")
+    joined = stage_packed(lookup(rows, known, [natural], "left", null_safe=True), f"append-{name}")
     fresh = joined.where("_after IS NULL")
     if name == "academy_locations":
         # no academy is 0 in every load
@@ -259,13 +259,13 @@ def _continued(name: str, old: DataFrame, rows: DataFrame, key: str, natural: st
         fresh = fresh.where(F.col(natural).isNotNull())
     first = _first_id(old, rows, key)
     first = max(first, 1) if name == "academy_locations" else first
-    fresh = stage(number_rows(fresh.drop("_after"), [F.col(key).cast("long")], "_after", first), f"append-new-{name}")
+    fresh = stage_packed(number_rows(fresh.drop("_after"), [F.col(key).cast("long")], "_after", first), f"append-new-{name}")
     if name == "academy_locations":
         fresh = fresh.unionByName(none)
     added = fresh.select(F.col("_after").cast(kind).alias(key), natural)
     ids = joined.where("_after IS NOT NULL").select(F.col(key).alias("_before"), F.col("_after").cast("long"))
     ids = ids.unionByName(fresh.select(F.col(key).alias("_before"), "_after"))
-    return added.select(*old.columns), stage(ids, f"append-ids-{name}")
+    return added.select(*old.columns), stage_packed(ids, f"append-ids-{name}")
 
 
 def _json(columns: list[str]) -> Column:
@@ -296,7 +296,7 @@ def _added(name: str, old: DataFrame, rows: DataFrame, natural: list[str], key:
     values = [c for c in old.columns if c != key]
     further = [c for c in values if c not in natural]
     typed = rows.select(*[F.col(c).cast(kinds[c]).alias(c) for c in old.columns])
-    load = stage(typed, f"append-load-{name}")
+    load = stage_packed(typed, f"append-load-{name}")
     if load.isEmpty():
         return load, _rejected(name, load, values)
     known, on = _with_key(old.select(*natural, *further), natural)
@@ -306,7 +306,7 @@ def _added(name: str, old: DataFrame, rows: DataFrame, natural: list[str], key:
         given = given.withColumn("_given", F.xxhash64(_json(further)))
         ends = known.groupBy(*on).agg(F.min("_stored").alias("_least"), F.max("_stored").alias("_most"))
         met = lookup(given, ends, on, "left").where("_least IS NULL OR _given NOT IN (_least, _most)")
-        other = stage(met, f"append-other-{name}")
+        other = stage_packed(met, f"append-other-{name}")
         fresh, differing = other.where("_least IS NULL"), other.where("_least = _most")
         unsure = other.where("_least < _most")
         if not unsure.isEmpty():
@@ -314,7 +314,7 @@ def _added(name: str, old: DataFrame, rows: DataFrame, natural: list[str], key:
             differing = differing.unionByName(lookup(unsure, several, [*on, "_given"], "left_anti"))
         differing = differing.select(*values)
     else:
-        fresh = stage(lookup(given, known.select(*on), on, "left_anti").select(*old.columns), f"append-new-{name}")
+        fresh = stage_packed(lookup(given, known.select(*on), on, "left_anti").select(*old.columns), f"append-new-{name}")
         differing = load.where("false")
     fresh = fresh.select(*old.columns)
     if key is not None and not fresh.isEmpty():
@@ -337,7 +337,7 @@ def _trainees(
     rows, on = _with_key(_mapped(new[ROSTER], trainers, "trainer_id"), IDENTITY)
     known, _ = _with_key(old, IDENTITY)
     known = known.select(*on, F.col("trainee_id").alias("_after"), F.col("trainer_id").alias("_trainer"))
-    joined = stage(lookup(rows, known, on, "left").drop(*on), "append-trainees")
+    joined = stage_packed(lookup(rows, known, on, "left").drop(*on), "append-trainees")
     found = joined.where("_after IS NOT NULL")
     differing = found.where("NOT (trainer_id <=> _trainer)")
     fresh = joined.where("_after IS NULL").drop("_after", "_trainer").withColumnRenamed("trainee_id", "_before")
@@ -357,7 +357,7 @@ def _records(old: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame, Dat
     """
     columns = old.columns
     values = [c for c in columns if c != "applicant_id"]
-    load = stage(rows.select(*columns).where(F.col("applicant_id").isNotNull()), "append-load")
+    load = stage_packed(rows.select(*columns).where(F.col("applicant_id").isNotNull()), "append-load")
     if load.isEmpty():
         return old, load, _rejected("talent", load, columns)
     known = _academy(old, None).select("applicant_id", F.struct(*values).alias("_old"))
@@ -371,7 +371,7 @@ def _records(old: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame, Dat
         (F.col("_old").isNull() | reduce(Column.__or__, lacked)).alias("_changed"),
         F.when(reduce(Column.__or__, differs), F.col("_new")).alias("_refused"),
     )
-    merged = stage(_academy(merged, 0), "append-merged")
+    merged = stage_packed(_academy(merged, 0), "append-merged")
     changed = merged.where("_changed").select(*columns)
     refused = merged.where("_refused IS NOT NULL").select("applicant_id", "_refused.*")
     return merged.select(*columns), changed, _rejected("talent", refused, columns)
@@ -389,15 +389,15 @@ def _talent(stored: DataFrame, before: DataFrame, final: DataFrame) -> DataFrame
     columns = stored.columns
     final = final.select(*[c for c in columns if c != "talent_id"])
     named = before.where(F.col("json_key") < SYNTHETIC_BASE).select("json_key", F.col("talent_id").alias("_id"))
-    keyed = stage(lookup(final.where("json_key IS NOT NULL"), named, ["json_key"], "left"), "append-by-key")
+    keyed = stage_packed(lookup(final.where("json_key IS NOT NULL"), named, ["json_key"], "left"), "append-by-key")
     taken = keyed.where("_id IS NOT NULL").select(F.col("_id").alias("talent_id"))
     left = lookup(before, taken, ["talent_id"], "left_anti")
     made = F.when(F.col("json_key") >= SYNTHETIC_BASE, F.col("json_key")).alias("_made")
-    left = stage(left.select("applicant_id", F.col("talent_id").alias("_other"), made), "append-left")
+    left = stage_packed(left.select("applicant_id", F.col("talent_id").alias("_other"), made), "append-left")
     rest = keyed.where("_id IS NULL").drop("_id").unionByName(final.where("json_key IS NULL"))
     rest = lookup(rest, left, ["applicant_id"], "left")
     rest = rest.withColumn("json_key", F.coalesce("json_key", "_made")).drop("_made").withColumnRenamed("_other", "_id")
-    rest = stage(rest, "append-rest")
+    rest = stage_packed(rest, "append-rest")
     known = keyed.where("_id IS NOT NULL").unionByName(rest.where("_id IS NOT NULL"))
 
     # new records with a file stand before those without, so one numbering gives the ids and the made keys
@@ -414,7 +414,7 @@ def _talent(stored: DataFrame, before: DataFrame, final: DataFrame) -> DataFrame
         # records that kept their id and lost their file take their places among them
         rows = known.unionByName(fresh.drop("_keyless"))
         keyless = rows.where("json_key IS NULL").select("applicant_id")
-        keyless = stage(number_rows(keyless, ["applicant_id"], "_made", first_made), "append-keyless")
+        keyless = stage_packed(number_rows(keyless, ["applicant_id"], "_made", first_made), "append-keyless")
         rows = lookup(rows, keyless, ["applicant_id"], "left").withColumn("json_key", F.coalesce("json_key", "_made").cast("long"))
     return rows.withColumnRenamed("_id", "talent_id").select(*columns)
 

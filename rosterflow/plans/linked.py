@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rosterflow.operators.linking import apply_links, link_forward
 from rosterflow.operators.merge import collapse_repeated
-from rosterflow.session import stage
+from rosterflow.session import stage_packed
 
 
 def link_applicants(
@@ -57,7 +57,7 @@ def linked_records(
     ``talent`` holds one record per ``applicant_id``. Records that end up under one applicant
     are merged in the order of their former ids.
     """
-    moved = stage(link_applicants(talent, applicants, order, "final_id"), "linked")
+    moved = stage_packed(link_applicants(talent, applicants, order, "final_id"), "linked")
     followed = link_trainees(trainees, moved, "applicant_id")
     merged = collapse_repeated(moved, "final_id", ["applicant_id"]).withColumnRenamed("final_id", "applicant_id")
     return merged, followed

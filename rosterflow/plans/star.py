@@ -14,7 +14,7 @@ from rosterflow.plans.appending import ledger
 from rosterflow.plans.applicants import ORDER, applicant_tables
 from rosterflow.plans.linked import linked_records
 from rosterflow.plans.talent import merged_talent, strength_tables, tech_tables
-from rosterflow.session import stage, together
+from rosterflow.session import stage_packed, together
 from rosterflow.sources.academy import read_academy
 from rosterflow.sources.applicants import read_applicants
 from rosterflow.sources.files import POSITION
@@ -152,11 +152,11 @@ def assemble_star(
 
     def merged() -> tuple[DataFrame, DataFrame]:
         records, locations = merged_talent(interviews, reports)
-        return stage(records, "merged"), locations
+        return stage_packed(records, "merged"), locations
 
     def schooled() -> tuple[dict[str, DataFrame], DataFrame]:
         tables = academy_plan.academy_tables(academy, academy_order)
-        return tables, stage(tables["trainees"], "trainees")
+        return tables, stage_packed(tables["trainees"], "trainees")
 
     people, (records, academies), (school, roster), strength, weakness, tech = together(
         spark,
@@ -169,7 +169,7 @@ def assemble_star(
     )
     talent, trainees = linked_records(records, applicants, roster, applicant_order)
     talent, trainees = together(
-        spark, lambda: stage(talent, "talent-final"), lambda: stage(trainees, "trainees-linked")
+        spark, lambda: stage_packed(talent, "talent-final"), lambda: stage_packed(trainees, "trainees-linked")
     )
     (strengths, strength_pairs), (weaknesses, weakness_pairs), (languages, scores) = strength, weakness, tech
     stored, marks, strength_kept, weakness_kept, scores_kept = together(

@@ -4,21 +4,22 @@ The vocabulary and the classes are counts over all documents. The network sees t
 predicts the class of the word there and, from the same hidden layer, the word among those of its class. Every task trains a copy on its own documents
 from the same start; the copies are averaged in rounds of a fixed number, so what is gathered grows with the corpus. A
 document's score is the sum of the conditional log-probabilities of all its tokens. Words outside the vocabulary enter the network by hash bucket; in the
-score each counts with its own share of its bucket, joined from the counts of all words.
+score each counts with its own share of its bucket: the more frequent ones from a bounded list that every task has, all
+others joined from the counts of all words.
 """
 
 from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field, replace
 from zlib import crc32
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,6 +39,8 @@ FIRST_BATCH, BATCH, RATE, AT_ONCE = 1024, 1 << 14, 0.6, 1 << 14
 CACHED = 1 << 11
 #: occurrences of a symbol, and half their root for the words of a class, beyond which steps count means and not sums
 OFTEN, WORD_PACE = 25, 5
+#: greatest logit whose exponential is made
+MOST_LOGIT = 80
 #: models that are averaged by one task
 FAN_IN = 32
 _EDGES = np.full(SIDE, EDGE)
@@ -46,6 +49,8 @@ MOST_COUNTED = 300_000
 #: log shares of words are summed as whole multiples of 1 / SCALE, so the order of the rows does not matter
 SCALE = 10**8
 REMEMBERED, LONGEST = 400_000, 64
+#: most words outside the vocabulary whose shares every task has; those of all others are joined
+LISTED = 1 << 17
 
 
 def tokens_of(text: str) -> list[str]:
@@ -77,10 +82,12 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 
 class _Numbers(dict):
-    """Symbol of each word; words outside the vocabulary are remembered up to REMEMBERED."""
+    """Symbol of each word; words outside the vocabulary are remembered up to REMEMBERED. Words of a further list have
+    numbers from SYMBOLS on instead, in its order."""
 
-    def __init__(self, vocabulary: list[str]):
+    def __init__(self, vocabulary: list[str], listed: Iterable[str] = ()):
         self.own = {w: i for i, w in enumerate(vocabulary)}
+        self.own.update((w, i) for i, w in enumerate(listed, SYMBOLS))
         super().__init__(self.own)
 
     def __missing__(self, word: str) -> int:
@@ -101,13 +108,15 @@ class _Numbers(dict):
 @dataclass
 class Counts:
     """vocabulary by falling count; class of each symbol; log of each symbol's share of its class, by corpus counts;
-    tokens and distinct words outside the vocabulary of each bucket."""
+    tokens and distinct words outside the vocabulary of each bucket; the most frequent of these words with their shares, as
+    in ``rest_shares``."""
 
     vocabulary: list[str]
     group: np.ndarray
     within: np.ndarray
     tokens: np.ndarray
     kinds: np.ndarray
+    listed: dict[str, int] = field(default_factory=dict)
 
     def __post_init__(self):
         #: symbols class by class, where each class starts among them, and the place of each symbol
@@ -118,7 +127,8 @@ class Counts:
 
 
 def count(docs: DataFrame, words: DataFrame | None = None) -> Counts:
-    """Counts over all documents; the VOCABULARY most frequent words come to the driver, and one sum per bucket.
+    """Counts over all documents; the VOCABULARY most frequent words come to the driver, one sum per bucket, and the shares
+    of up to LISTED further words: all those of the greatest counts, in steps of a sixteenth power of two.
 
     ``words``: the staged ``word_counts`` of the documents, if they are at hand.
     """
@@ -145,7 +155,21 @@ def count(docs: DataFrame, words: DataFrame | None = None) -> Counts:
     group[order] = np.minimum(np.cumsum(share[order]) / share.sum() * CLASSES, CLASSES - 1).astype(np.int64)
     total = np.bincount(group, n + 1, CLASSES)
     rest = [np.array([x.get(b, 0) for b in range(OTHERS)], np.int64) for x in (sums, kinds)]
-    return Counts(vocabulary, group, np.log((n + 1) / total[group]), *rest)
+    ends = np.cumsum([w for _, w in sizes])
+    least = [s for (s, _), end in zip(sizes, ends) if end <= VOCABULARY + LISTED]
+    known = set(vocabulary)
+    shares = counts.where(size >= min(least)).select("word", _own_share(*rest).alias("share")).collect() if least else []
+    listed = {r["word"]: r["share"] for r in shares if r["word"] not in known}
+    return Counts(vocabulary, group, np.log((n + 1) / total[group]), *rest, listed)
+
+
+def _own_share(tokens: np.ndarray, kinds: np.ndarray) -> Column:
+    """Log of the share of ``word`` with the count ``n``, null for an unseen one, in its bucket, in multiples of 1 / SCALE."""
+    bucket = (F.crc32(F.col("word").cast("binary")) % OTHERS + 1).cast("int")
+    seen = F.lit(np.log(tokens + 1.0).tolist())
+    unseen = F.lit((-np.log(tokens + 1.0) - np.log(kinds + 1.0)).tolist())
+    own = F.coalesce(F.log(F.col("n").cast("double")) - F.element_at(seen, bucket), F.element_at(unseen, bucket))
+    return F.round(own * SCALE).cast("long")
 
 
 class Network:
@@ -171,6 +195,14 @@ class Network:
         """Rows of the table for every position of a short text, one column per place of the window."""
         return next(_slices([symbols], len(symbols) + 1)).windows if len(symbols) else np.empty((0, 2 * SIDE), np.int64)
 
+    def _safe(self, counts: Counts | None = None) -> bool:
+        """Whether no logit can exceed what _exp holds: a hidden unit is within -1 and 1."""
+        most = np.abs(self.out).sum(axis=0) + self.prior[0]
+        if counts is None:
+            return bool(most.max() < MOST_LOGIT - 1)
+        among = np.abs(self.words).sum(axis=1) + self.lean[0] + counts.shares
+        return bool(max(most.max(), among.max()) < MOST_LOGIT - 1)
+
     def _forward(self, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         summed = self.table.take(windows[:, 0], axis=0)
         for i in range(1, windows.shape[1]):
@@ -184,17 +216,26 @@ class Network:
     def log_probabilities(self, windows: np.ndarray, classes: np.ndarray) -> np.ndarray:
         _, logits = self._forward(windows)
         own = logits[np.arange(len(classes)), classes]
-        return own - np.log(_sums(_exp(logits)))
+        return own - np.log(_sums(_exp(logits, self._safe())))
 
     def word_log_probabilities(self, windows: np.ndarray, symbols: np.ndarray, counts: Counts) -> np.ndarray:
         """log p(word | both sides) over all symbols: that of the class and that of the word among those of its class."""
-        hidden, logits = self._forward(windows)
-        classes = counts.group[symbols]
-        found = logits[np.arange(len(classes)), classes] - np.log(_sums(_exp(logits)))
-        for at, low, high in _by_class(classes, counts):
-            among = self._among(hidden.take(at, axis=0), low, high, counts)
-            own = among[np.arange(len(at)), counts.place[symbols[at]] - low]
-            found[at] += own - np.log(_sums(_exp(among)))
+        safe, classes = self._safe(counts), counts.group[symbols]
+        hidden = np.empty((len(classes), HIDDEN), np.float32)
+        found = np.empty(len(classes), np.float32)
+        for at in range(0, len(classes), CACHED):
+            some = slice(at, at + CACHED)
+            hidden[some], logits = self._forward(windows[some])
+            found[some] = logits[np.arange(len(logits)), classes[some]]
+            found[some] -= np.log(_sums(_exp(logits, safe)))
+        order, groups = _by_class(classes, counts)
+        hidden, place = hidden.take(order, axis=0), counts.place[symbols.take(order)]
+        inner = np.zeros(len(classes), np.float32)
+        for at, low, high in groups:
+            among = self._among(hidden[at], low, high, counts)
+            inner[at] = among[np.arange(len(among)), place[at] - low]
+            inner[at] -= np.log(_sums(_exp(among, safe)))
+        found[order] += inner
         return found
 
     def _among(self, hidden: np.ndarray, low: int, high: int, counts: Counts) -> np.ndarray:
@@ -202,38 +243,43 @@ class Network:
         among += self.lean[0, low:high] + counts.shares[low:high]
         return among
 
-    def _step_words(self, hidden: np.ndarray, symbols: np.ndarray, counts: Counts, rate: float) -> np.ndarray:
+    def _step_words(self, hidden: np.ndarray, symbols: np.ndarray, counts: Counts, rate: float, safe: bool) -> np.ndarray:
         """One gradient step of the words of each class that occurs; the gradient of the hidden layer comes back."""
-        back = np.zeros_like(hidden)
-        for at, low, high in _by_class(counts.group[symbols], counts):
-            inner = hidden.take(at, axis=0)
+        order, groups = _by_class(counts.group[symbols], counts)
+        hidden, place = hidden.take(order, axis=0), counts.place[symbols.take(order)]
+        sorted_back = np.zeros_like(hidden)
+        for at, low, high in groups:
+            inner, back = hidden[at], sorted_back[at]
             # slopes times the sum of their row, which is divided out where rows are narrow
-            slope = _exp(self._among(inner, low, high, counts))
+            slope = _exp(self._among(inner, low, high, counts), safe)
             total = _sums(slope)
-            slope[np.arange(len(at)), counts.place[symbols[at]] - low] -= total
+            slope[np.arange(len(slope)), place[at] - low] -= total
             share = np.reciprocal(total)
-            back[at] = (slope @ self.words[low:high]) * share[:, None]
-            share *= np.float32(rate * 0.3 * min(len(at) ** -0.5, WORD_PACE / len(at)))
+            np.matmul(slope, self.words[low:high], out=back)
+            back *= share[:, None]
+            share *= np.float32(rate * 0.3 * min(len(slope) ** -0.5, WORD_PACE / len(slope)))
             self.words[low:high] -= slope.T @ (inner * share[:, None])
             self.lean[0, low:high] -= share @ slope
+        back = np.empty_like(hidden)
+        back[order] = sorted_back
         return back
 
     def step(self, windows: np.ndarray, symbols: np.ndarray, counts: Counts, rate: float) -> None:
         """One gradient step on the mean loss; the table moves by each position's own gradient."""
-        classes = counts.group[symbols]
+        safe, classes = self._safe(counts), counts.group[symbols]
         hidden = np.empty((len(classes), HIDDEN), np.float32)
         inner = np.empty_like(hidden)
         out, prior = np.zeros_like(self.out), np.zeros_like(self.prior)
         for at in range(0, len(classes), CACHED):
             some = slice(at, at + CACHED)
             hidden[some], slope = self._forward(windows[some])
-            _exp(slope)
+            _exp(slope, safe)
             slope /= _sums(slope)[:, None]
             slope[np.arange(len(slope)), classes[some]] -= 1
             np.matmul(slope, self.out.T, out=inner[some])
             out += hidden[some].T @ slope
             prior += slope.sum(axis=0)
-        inner += self._step_words(hidden, symbols, counts, rate)
+        inner += self._step_words(hidden, symbols, counts, rate, safe)
         inner *= 1 - hidden * hidden
         self.out -= np.float32(rate * 1.5 / len(classes)) * out
         self.prior -= np.float32(rate * 1.5 / len(classes)) * prior
@@ -243,18 +289,23 @@ class Network:
 
     def _step_table(self, moves: np.ndarray, windows: np.ndarray) -> None:
         """Adds each position's move to its rows; a row that occurs more than OFTEN times moves as if it did OFTEN times."""
-        columns = np.ascontiguousarray(moves.T)
+        columns = np.ascontiguousarray(moves.T, dtype=np.float64)
+        summed = np.empty((HIDDEN, SYMBOLS))
         for i in range(windows.shape[1]):
             first = i * SYMBOLS
             rows, table = windows[:, i] - first, self.table[first : first + SYMBOLS]
-            pace = OFTEN / np.maximum(np.bincount(rows, minlength=SYMBOLS), OFTEN)
+            times = np.bincount(rows, minlength=SYMBOLS)
+            used = np.flatnonzero(times)
             for j, column in enumerate(columns):
-                table[:, j] += np.bincount(rows, column, SYMBOLS) * pace
+                summed[j] = np.bincount(rows, column, SYMBOLS)
+            # rows that do not occur stay as they are
+            table[used] += (summed.take(used, axis=1) * (OFTEN / np.maximum(times[used], OFTEN))).T
 
 
-def _exp(x: np.ndarray) -> np.ndarray:
-    """exp in place; values beyond 80 count as 80, which float32 can still sum."""
-    np.minimum(x, 80, out=x)
+def _exp(x: np.ndarray, safe: bool = False) -> np.ndarray:
+    """exp in place; values beyond MOST_LOGIT count as that, which float32 can still sum. ``safe``: there are none."""
+    if not safe:
+        np.minimum(x, MOST_LOGIT, out=x)
     return np.exp(x, out=x)
 
 
@@ -301,21 +352,24 @@ def _slice(held: list[tuple[int, np.ndarray, int]]) -> Slice:
     return Slice(np.repeat([i for i, _, _ in held], sizes), padded[place], windows)
 
 
-def _by_class(classes: np.ndarray, counts: Counts) -> Iterator[tuple[np.ndarray, int, int]]:
-    """Positions of each class of more than one word, with the bounds of its members."""
+def _by_class(classes: np.ndarray, counts: Counts) -> tuple[np.ndarray, list[tuple[slice, int, int]]]:
+    """Positions in the order of their classes, and of each class of more than one word the stretch there and the bounds of
+    its members."""
     order = np.argsort(classes.astype(np.uint8), kind="stable")
     ends = np.cumsum(np.bincount(classes, minlength=CLASSES)).tolist()
-    start = 0
+    groups, start = [], 0
     for k, end in enumerate(ends):
         low, high = int(counts.starts[k]), int(counts.starts[k + 1])
         if end > start and high - low > 1:
-            yield order[start:end], low, high
+            groups.append((slice(start, end), low, high))
         start = end
+    return order, groups
 
 
 def encode(docs: DataFrame, counts: Counts) -> DataFrame:
-    """(doc_id, symbols, row, rest) of every row, written once for training and scoring; symbols as 16-bit little-endian
-    bytes, a number of the row, and its words outside the vocabulary with how often each occurs.
+    """(doc_id, symbols, row, listed, rest) of every row, written once for training and scoring; symbols as 16-bit
+    little-endian bytes, a number of the row, the sum of the shares of its listed words, and its other words outside the
+    vocabulary with how often each occurs.
 
     A null text has no symbols. Equal rows all stay; further columns are not looked at.
     """
@@ -325,27 +379,35 @@ def encode(docs: DataFrame, counts: Counts) -> DataFrame:
             *typed(docs, "doc_id"),
             T.StructField("symbols", T.BinaryType()),
             T.StructField("row", T.LongType()),
+            T.StructField("listed", T.LongType()),
             T.StructField("rest", T.ArrayType(rest)),
         ]
     )
-    shared = docs.sparkSession.sparkContext.broadcast(counts.vocabulary)
+    listed = list(counts.listed)
+    # by the numbers of the words: their symbols and their shares, 0 for those of the vocabulary
+    symbol_of = [*range(SYMBOLS), *(VOCABULARY + crc32(w.encode()) % OTHERS for w in listed)]
+    share_of = [0] * SYMBOLS + list(counts.listed.values())
+    tables = np.array(symbol_of, "<u2"), np.array(share_of, np.int64)
+    shared = docs.sparkSession.sparkContext.broadcast((counts.vocabulary, listed, *tables))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers, row = _Numbers(shared.value), TaskContext.get().partitionId() << 40
+        vocabulary, listed, symbol_of, share_of = shared.value
+        numbers, row = _Numbers(vocabulary, listed), TaskContext.get().partitionId() << 40
         for batch, texts in texts_of(batches):
-            packed, words, times, ends = [], [], [], [0]
+            packed, sums, words, times, ends = [], [], [], [], [0]
             for text in texts:
                 own = tokens_of(text)
-                symbols = numbers.symbols(own)
-                others = np.flatnonzero(symbols >= VOCABULARY).tolist()
+                found = numbers.symbols(own)
+                others = np.flatnonzero((found >= VOCABULARY) & (found < SYMBOLS)).tolist()
                 if others:
                     counted = Counter([own[i] for i in others])
                     words += counted.keys()
                     times += counted.values()
-                packed.append(symbols.astype("<u2").tobytes())
+                packed.append(symbol_of.take(found).tobytes())
+                sums.append(int(share_of.take(found).sum()))
                 ends.append(len(words))
             pairs = pa.StructArray.from_arrays([pa.array(words, pa.string()), pa.array(times, pa.int64())], names=rest.names)
-            columns = [pa.array(packed, pa.binary()), pa.array(range(row, row + len(texts)), pa.int64())]
+            columns = [pa.array(packed, pa.binary()), pa.array(range(row, row + len(texts)), pa.int64()), pa.array(sums, pa.int64())]
             columns.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs))
             row += len(texts)
             yield pa.record_batch([batch.column("doc_id"), *columns], names=schema.names)
@@ -365,7 +427,7 @@ def _trained(documents: Iterator[np.ndarray], counts: Counts) -> Network:
         order, at = np.random.default_rng(seen).permutation(len(part.symbols)), 0
         while at < len(order):
             some = order[at : at + min(max(seen // 8, FIRST_BATCH), BATCH)]
-            network.step(part.windows[some], part.symbols[some], counts, RATE / (1 + seen / 2e6) ** 0.5)
+            network.step(part.windows.take(some, axis=0), part.symbols.take(some), counts, RATE / (1 + seen / 2e6) ** 0.5)
             seen += len(some)
             at += len(some)
     return network
@@ -376,7 +438,7 @@ def train(encoded: DataFrame, counts: Counts) -> Network:
     schema = T.StructType(
         [T.StructField("part", T.LongType()), T.StructField("weight", T.DoubleType()), T.StructField("model", T.BinaryType())]
     )
-    shared = encoded.sparkSession.sparkContext.broadcast(counts)
+    shared = encoded.sparkSession.sparkContext.broadcast(replace(counts, listed={}))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = 0
@@ -412,18 +474,14 @@ def train(encoded: DataFrame, counts: Counts) -> Network:
 
 
 def rest_shares(encoded: DataFrame, counts: Counts, words: DataFrame) -> DataFrame:
-    """(row, share): sum over a row's tokens outside the vocabulary of the log of the word's share of its bucket.
+    """(row, share): sum over a row's tokens in ``rest`` of the log of the word's share of its bucket.
 
     A word seen n times among N tokens of its bucket has n / (N + 1). One count is kept back for unseen words and spread
     over as many of them as the bucket has known ones, and one more. ``share`` is a whole multiple of 1 / SCALE. The rows
     are joined by word; a word outside the vocabulary has less than one token in VOCABULARY.
     """
-    bucket = (F.crc32(F.col("word").cast("binary")) % OTHERS + 1).cast("int")
-    seen = F.lit(np.log(counts.tokens + 1.0).tolist())
-    unseen = F.lit((-np.log(counts.tokens + 1.0) - np.log(counts.kinds + 1.0)).tolist())
-    own = F.coalesce(F.log(F.col("n").cast("double")) - F.element_at(seen, bucket), F.element_at(unseen, bucket))
     pairs = encoded.select("row", F.inline("rest")).join(words.select("word", "n"), "word", "left")
-    scaled = F.round(own * SCALE).cast("long") * F.col("times")
+    scaled = _own_share(counts.tokens, counts.kinds) * F.col("times")
     return pairs.select("row", scaled.alias("share")).groupBy("row").agg(F.sum("share").alias("share"))
 
 
@@ -442,9 +500,10 @@ def score(encoded: DataFrame, counts: Counts, network: Network, words: DataFrame
             T.StructField("log_likelihood", T.DoubleType()),
             T.StructField("mean_log_likelihood", T.DoubleType()),
             T.StructField("row", T.LongType()),
+            T.StructField("listed", T.LongType()),
         ]
     )
-    shared = encoded.sparkSession.sparkContext.broadcast((counts, network.vector()))
+    shared = encoded.sparkSession.sparkContext.broadcast((replace(counts, listed={}), network.vector()))
     by_word = words is not None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -455,13 +514,14 @@ def score(encoded: DataFrame, counts: Counts, network: Network, words: DataFrame
             sums = likelihoods(net, found, documents, by_word).tolist()
             means = [s / n if n else None for s, n in zip(sums, sizes)]
             columns = [pa.array(sizes, pa.int64()), pa.array(sums, pa.float64()), pa.array(means, pa.float64())]
-            yield pa.record_batch([batch.column("doc_id"), *columns, batch.column("row")], names=schema.names)
+            columns = [batch.column("doc_id"), *columns, batch.column("row"), batch.column("listed")]
+            yield pa.record_batch(columns, names=schema.names)
 
-    scored = encoded.select("doc_id", "symbols", "row").mapInArrow(run, schema)
+    scored = encoded.select("doc_id", "symbols", "row", "listed").mapInArrow(run, schema)
     if words is None:
-        return scored.drop("row")
+        return scored.drop("row", "listed")
     both = scored.join(rest_shares(encoded, counts, words), "row", "left")
-    total = F.col("log_likelihood") + F.coalesce("share", F.lit(0)) / SCALE
+    total = F.col("log_likelihood") + (F.col("listed") + F.coalesce("share", F.lit(0))) / SCALE
     mean = F.when(F.col("n_tokens") > 0, total / F.col("n_tokens"))
     return both.select("doc_id", "n_tokens", total.alias("log_likelihood"), mean.alias("mean_log_likelihood"))
 

@@ -7,6 +7,7 @@ from zlib import crc32
 import numpy as np
 import pytest
 from messy import empty, messy
+from pyspark.sql import functions as F
 
 from rosterflow.llm import pseudo
 
@@ -127,6 +128,53 @@ def test_messy_rows_by_word(spark, model):
     assert pseudo.score(pseudo.encode(empty(spark), counts), counts, network, words).collect() == []
 
 
+def test_listed_words_count_as_joined_ones(spark, model, monkeypatch):
+    docs, words, counts, network = model
+    df = messy(spark).unionByName(docs.select("doc_id", "text").where("doc_id < 40"), allowMissingColumns=True)
+    outside = {r["word"] for r in words.collect()} - set(counts.vocabulary)
+    scores, joined = [], []
+    for most in (0, 300, len(outside) // 2, pseudo.LISTED):
+        monkeypatch.setattr(pseudo, "LISTED", most)
+        own = pseudo.count(docs, words)
+        assert own.vocabulary == counts.vocabulary and len(own.listed) <= most and set(own.listed) <= outside
+        encoded = pseudo.encode(df, own)
+        rest = encoded.select(F.explode("rest.word").alias("word")).collect()
+        assert not {r["word"] for r in rest} & ({*own.listed} | {*own.vocabulary})
+        joined.append(len(rest))
+        found = pseudo.score(encoded, own, network, words).collect()
+        scores.append(sorted((r["doc_id"] is None, r["doc_id"] or 0, r["n_tokens"], r["log_likelihood"]) for r in found))
+    assert len(scores[0]) == df.count() and all(s == scores[0] for s in scores)
+    # all words of so small a corpus are listed, so that only unseen ones are left to the join
+    assert set(own.listed) == outside and joined[0] > joined[2] > joined[3]
+
+
+def test_moves_of_the_table_are_plain_sums():
+    rng = np.random.default_rng(6)
+    network, windows = pseudo.Network(), np.arange(2 * pseudo.SIDE) * pseudo.SYMBOLS + rng.integers(90, size=(4000, 1)) ** 2
+    moves, before = rng.normal(size=(4000, pseudo.HIDDEN)).astype(np.float32), network.table.astype(float)
+    network._step_table(moves, windows)
+    times = np.bincount(windows.ravel(), minlength=len(before))
+    for row in np.unique(windows):
+        own = moves[(windows == row).any(axis=1)].astype(float).sum(axis=0)
+        before[row] += own * min(1, pseudo.OFTEN / times[row])
+    assert np.allclose(network.table, before, atol=1e-5)
+
+
+def test_large_logits_do_not_overflow():
+    x = np.array([[1.0, 200.0, -5.0]], np.float32)
+    assert np.isfinite(pseudo._exp(x.copy())).all() and np.array_equal(pseudo._exp(x.copy())[:, [0, 2]], np.exp(x[:, [0, 2]]))
+    counts = pseudo.Counts([], np.arange(pseudo.SYMBOLS) % pseudo.CLASSES, np.zeros(pseudo.SYMBOLS), *np.zeros((2, pseudo.OTHERS), int))
+    network = pseudo.Network()
+    assert network._safe(counts)
+    network.words[5] = 30
+    assert network._safe() and not network._safe(counts)
+    symbols = np.arange(50)
+    assert np.isfinite(network.word_log_probabilities(network.windows(symbols), symbols, counts)).all()
+    network.out[:, 3] = 30
+    assert not network._safe()
+    assert np.isfinite(network.log_probabilities(network.windows(symbols), counts.group[symbols])).all()
+
+
 def test_slices_cover_every_position():
     rng = np.random.default_rng(2)
     documents = [rng.integers(pseudo.VOCABULARY, size=n) for n in (0, 1, 2, 7, 40, 0, 3, 19)]

@@ -221,13 +221,9 @@ class Network:
     def word_log_probabilities(self, windows: np.ndarray, symbols: np.ndarray, counts: Counts) -> np.ndarray:
         """log p(word | both sides) over all symbols: that of the class and that of the word among those of its class."""
         safe, classes = self._safe(counts), counts.group[symbols]
-        hidden = np.empty((len(classes), HIDDEN), np.float32)
-        found = np.empty(len(classes), np.float32)
-        for at in range(0, len(classes), CACHED):
-            some = slice(at, at + CACHED)
-            hidden[some], logits = self._forward(windows[some])
-            found[some] = logits[np.arange(len(logits)), classes[some]]
-            found[some] -= np.log(_sums(_exp(logits, safe)))
+        hidden, logits = self._forward(windows)
+        found = logits[np.arange(len(classes)), classes]
+        found -= np.log(_sums(_exp(logits, safe)))
         order, groups = _by_class(classes, counts)
         hidden, place = hidden.take(order, axis=0), counts.place[symbols.take(order)]
         inner = np.zeros(len(classes), np.float32)

@@ -128,7 +128,8 @@ class Counts:
 
 def count(docs: DataFrame, words: DataFrame | None = None) -> Counts:
     """Counts over all documents; the VOCABULARY most frequent words come to the driver, one sum per bucket, and the shares
-    of up to LISTED further words: all those of the greatest counts, in steps of a sixteenth power of two.
+    of up to LISTED further words: all those of the greatest counts, in steps of a sixteenth power of two, that have at most
+    LONGEST characters.
 
     ``words``: the staged ``word_counts`` of the documents, if they are at hand.
     """
@@ -158,7 +159,8 @@ def count(docs: DataFrame, words: DataFrame | None = None) -> Counts:
     ends = np.cumsum([w for _, w in sizes])
     least = [s for (s, _), end in zip(sizes, ends) if end <= VOCABULARY + LISTED]
     known = set(vocabulary)
-    shares = counts.where(size >= min(least)).select("word", _own_share(*rest).alias("share")).collect() if least else []
+    short = counts.where((size >= F.lit(min(least, default=0))) & (F.length("word") <= LONGEST))
+    shares = short.select("word", _own_share(*rest).alias("share")).collect() if least else []
     listed = {r["word"]: r["share"] for r in shares if r["word"] not in known}
     return Counts(vocabulary, group, np.log((n + 1) / total[group]), *rest, listed)
 

@@ -821,7 +821,7 @@ def _by_names(tables):
     """Rows of a star with names in place of ids, and of trainees with what tells them apart."""
     academies = tables["academy_locations"].withColumnRenamed("location_name", "academy")
     roster = tables[ROSTER].select("trainee_id", "name", F.col("date").alias("start"))
-    trainees = tables["trainees"].join(roster, "trainee_id").join(tables["trainers"], "trainer_id")
+    trainees = J.bounded_join(tables["trainees"], roster, ["trainee_id"]).join(tables["trainers"], "trainer_id")
     file_key = F.when(F.col("json_key") < N.SYNTHETIC_BASE, F.col("json_key"))
     return {
         **{t: tables[t].select(c) for t, c in (("recruiters", "recruiter_name"), ("academy_locations", "location_name"))},
@@ -840,7 +840,7 @@ def _by_names(tables):
         "weaknesses_junction": tables["weaknesses_junction"].join(tables["weaknesses"], "weakness_id").select("json_key", "weakness"),
         "tech_junction": tables["tech_junction"].join(tables["tech_self_scores"], "tech_id").select("json_key", "tech_name", "score"),
         "trainees": trainees.select("name", "start", "course_id", "trainer", "json_key"),
-        "behaviours": trainees.drop("json_key").join(tables["behaviours"], "trainee_id").select(
+        "behaviours": J.bounded_join(trainees.drop("json_key"), tables["behaviours"], ["trainee_id"]).select(
             "name", "start", "course_id", "week_number", *TRAITS
         ),
     }

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from rosterflow.functions.dates import compact_date
 from rosterflow.functions.text import TRAINER_CORRECTIONS, behaviour_key, correct_values, person_id
+from rosterflow.operators.joins import bounded_join
 from rosterflow.operators.merge import fill_previous_date
 from rosterflow.operators.reshape import TRAITS
 from rosterflow.session import stage
@@ -35,7 +36,7 @@ def people(spark: SparkSession, sf_dir: str) -> DataFrame:
         "c_custkey AS o_custkey", "replace(c_name, '#', ' #') AS name", "c_mktsegment AS seg", "c_nationkey AS nk"
     )
     nation = table(spark, sf_dir, "nation").selectExpr("n_nationkey AS nk", "n_name AS place")
-    return orders.join(customer, "o_custkey").join(nation, "nk").drop("o_custkey")
+    return bounded_join(orders, customer, ["o_custkey"]).join(nation, "nk").drop("o_custkey")
 
 
 def applicants(spark: SparkSession, sf_dir: str) -> DataFrame:

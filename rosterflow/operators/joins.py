@@ -7,17 +7,20 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_BROADCAST_BYTES = 64 << 20
+#: of what the driver holds of one table that it broadcasts; independent jobs do so at the same time
+MAX_BROADCAST_BYTES = 16 << 20
+#: held for a row beside its values: its own header and its share of the hash table
+ROW_BYTES = 64
 
 
 def fits_broadcast(df: DataFrame) -> bool:
-    """Whether the values of ``df`` are within the broadcast bound, measured, not guessed."""
-    width = F.lit(0)
+    """Whether ``df``, as the driver would hold it, is within the broadcast bound; measured, not guessed."""
+    width = F.lit(ROW_BYTES)
     for field in df.schema.fields:
         size = F.lit(8)
-        if field.dataType.simpleString() == "string":
+        if field.dataType.simpleString() in ("string", "binary"):
             size = F.coalesce(F.octet_length(field.name), F.lit(0)) + F.lit(16)
-        elif field.dataType.simpleString().startswith(("array", "map", "struct", "binary")):
+        elif field.dataType.simpleString().startswith(("array", "map", "struct")):
             size = F.coalesce(F.octet_length(F.to_json(F.struct(field.name))), F.lit(0))
         width = width + size
     total = df.agg(F.sum(width.cast("long")).alias("n")).first()["n"]
@@ -37,7 +40,32 @@ def lookup(
     adaptive execution splits where a key is hot; the rows are the same either way. Pass a staged ``right``: it is read
     once more for the measurement.
     """
-    return equi_join(left, F.broadcast(right) if fits_broadcast(right) else right, on, how, null_safe)
+    return equi_join(left, F.broadcast(right) if fits_broadcast(right) else right.hint("merge"), on, how, null_safe)
+
+
+def bounded_join(
+    left: DataFrame, right: DataFrame, on: list[str], how: str = "inner", null_safe: bool = False
+) -> DataFrame:
+    """``equi_join`` in which Spark chooses what it broadcasts, but nothing beyond the bound.
+
+    Spark goes by the size of files, which may be packed to a fiftieth of what the driver would hold of them. So the side
+    that it would broadcast is measured first, unless its files are small however they are packed. The driver would hold
+    a table once for each job that broadcasts it.
+    """
+    sides = {"right": right, "left": left} if how == "inner" else {"right": right}
+    guesses = {name: _guessed_bytes(df) for name, df in sides.items()}
+    least = min(guesses, key=guesses.get)
+    most = right.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    if MAX_BROADCAST_BYTES >> 8 < guesses[least] <= most and not fits_broadcast(sides[least]):
+        sides[least] = sides[least].hint("merge")
+    return equi_join(sides.get("left", left), sides["right"], on, how, null_safe)
+
+
+def _guessed_bytes(df: DataFrame) -> int:
+    """What Spark takes for the size of ``df`` when it plans a join."""
+    stats = df._jdf.queryExecution().optimizedPlan().stats()
+    # as text, since a product of sizes may be beyond a long
+    return int(stats.productIterator().mkString(",").split(",")[0])
 
 
 def equi_join(left: DataFrame, right: DataFrame, on: list[str], how: str, null_safe: bool) -> DataFrame:
@@ -111,4 +139,4 @@ def decode(df: DataFrame, dim: DataFrame, code: str) -> DataFrame:
 
 def surrogate_join(facts: DataFrame, parents: DataFrame, natural: str, surrogate: str) -> DataFrame:
     """Replace a natural key by the parents' surrogate key; facts without parent are left out."""
-    return facts.join(parents.select(natural, surrogate), natural, "inner").drop(natural)
+    return lookup(facts, parents.select(natural, surrogate), [natural], "inner").drop(natural)

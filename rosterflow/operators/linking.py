@@ -71,8 +71,11 @@ def link_forward(
 
 
 def apply_links(right: DataFrame, links: DataFrame, right_pos: str, value: str, target: str) -> DataFrame:
-    """Write the linked values over ``target``; rows nobody chose keep theirs."""
-    links = links.withColumnRenamed(value, "_linked")
+    """Write the linked values over ``target``; rows nobody chose keep theirs.
+
+    There may be a link for every row, and they are dealt by ``right_pos`` already, so they are never broadcast.
+    """
+    links = links.withColumnRenamed(value, "_linked").hint("merge")
     linked = right.join(links, right_pos, "left")
     old = F.col(target) if target in right.columns else F.lit(None)
     return linked.withColumn(target, F.coalesce("_linked", old)).drop("_linked")

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rosterflow.functions.text import slug
-from rosterflow.operators.joins import equi_join
+from rosterflow.operators.joins import bounded_join, equi_join
 from rosterflow.operators.numbering import SYNTHETIC_BASE, number_rows
 from rosterflow.plans.linked import linked_records
 from rosterflow.session import stage_packed, together
@@ -50,8 +50,8 @@ _DATE_CHARS = 8
 
 
 def lookup(left: DataFrame, right: DataFrame, on: list[str], how: str, null_safe: bool = False) -> DataFrame:
-    """Join to a written table, whose size Spark knows from its files, so nothing is measured first."""
-    return equi_join(left, right, on, how, null_safe)
+    """Join to a written table, whose size Spark knows from its files; only what it would broadcast is measured."""
+    return bounded_join(left, right, on, how, null_safe)
 
 
 def name_group(person: Column) -> Column:
@@ -305,7 +305,8 @@ def _added(name: str, old: DataFrame, rows: DataFrame, natural: list[str], key:
         known = known.select(*on, F.xxhash64(_json(further)).alias("_stored"))
         given = given.withColumn("_given", F.xxhash64(_json(further)))
         ends = known.groupBy(*on).agg(F.min("_stored").alias("_least"), F.max("_stored").alias("_most"))
-        met = lookup(given, ends, on, "left").where("_least IS NULL OR _given NOT IN (_least, _most)")
+        # the stored keys are dealt out anyway, so they are never broadcast
+        met = equi_join(given, ends.hint("merge"), on, "left", False).where("_least IS NULL OR _given NOT IN (_least, _most)")
         other = stage_packed(met, f"append-other-{name}")
         fresh, differing = other.where("_least IS NULL"), other.where("_least = _most")
         unsure = other.where("_least < _most")

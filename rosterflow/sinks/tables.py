@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterflow.plans.appending import LEDGER, star_parts
-from rosterflow.session import COMPRESSION, together
+from rosterflow.session import COMPRESSION, release, together
 
 #: table in a version that names the folders of tables which are not, or not only, its own
 _PARTS = "_parts"
@@ -64,12 +64,15 @@ def write_star(tables: dict[str, DataFrame], target: str, mode: str = "refresh",
         raise ValueError("mode must be refresh or append")
     spark = next(iter(tables.values())).sparkSession
     if mode == "refresh":
-        return _write_version(spark, target, {name: [df] for name, df in {**tables, **more}.items()}, {}, {})
-    # what the new version does not write again has to stay until it is logged
-    with hold_version(spark, target) as folder:
-        stored = _read(spark, target, folder, _star_names()) | _read_known(spark, target, folder)
-        parts = star_parts(stored, tables) | {name: [df] for name, df in more.items()}
-        return _write_version(spark, target, parts, stored, _folders(spark, folder))
+        written = _write_version(spark, target, {name: [df] for name, df in {**tables, **more}.items()}, {}, {})
+    else:
+        # what the new version does not write again has to stay until it is logged
+        with hold_version(spark, target) as folder:
+            stored = _read(spark, target, folder, _star_names()) | _read_known(spark, target, folder)
+            parts = star_parts(stored, tables) | {name: [df] for name, df in more.items()}
+            written = _write_version(spark, target, parts, stored, _folders(spark, folder))
+    release(spark)
+    return written
 
 
 def _write_version(
